@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The surveyed jobs have no streams: no ``readStream``/``writeStream``,
+watermarks or stateful operators.  Their "incremental" extract is a batch
+job driven by the run ledger (``lakezones.plans.extract``), so nothing is
+built here.
+"""
