@@ -5,23 +5,33 @@
   position and silently compares the wrong columns when two are swapped).
 * ``changed_rows`` is what extraction writes: rows of the new snapshot whose
   *business* columns have no equal row in the base, carrying their other
-  columns (row number, audit stamps) along.  It is a null-safe left-anti
-  join; the base is de-duplicated first, which combines map-side, so even a
-  base where one row value repeats for a third of the table ships one copy
-  per partition.  A hot value on the new side is split by AQE's skew-join
-  handling (left-anti joins split their left side).
-* ``current_state`` keeps the newest version of every primary key with a
-  hash aggregate (``max_by`` over the batch order), which also combines
-  map-side; no window, no per-key sort.
+  columns (row number, audit stamps) along.  It is a left-anti join.
+
+Both compare whole rows through one ``struct`` key: a struct is never null
+and struct equality treats null fields as equal, so it is the null-safe
+comparison, and the de-duplication and the join hash-partition on the same
+expression.  Each side is therefore shuffled once (Spark's own ``subtract``
+shuffles the new side twice: for the anti join and again for the distinct).
+De-duplicating combines map-side, so a base where one row value repeats for
+a third of the table ships one copy per partition; a hot value on the new
+side is split by AQE's skew-join handling (left-anti joins split their left
+side).  A base known to be unique (a current state by primary key) skips
+the de-duplication.
+
+``current_state`` keeps the newest version of every primary key with one
+aggregate (``max_by`` over the batch order) that has a partial, map-side
+step, so a key with many versions ships one row per partition.  Spark runs
+it as a sort aggregate (the carried row is variable width); there is no
+window and no collection of a key's versions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import date_text
 
@@ -44,17 +54,38 @@ def align_by_name(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*like.columns)
 
 
-def snapshot_diff(new: DataFrame, old: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Distinct rows of ``new`` with no equal row in ``old`` (NULL = NULL)."""
-    columns = list(columns or new.columns)
-    return new.select(*columns).subtract(align_by_name(old.select(*columns), new.select(*columns)))
+_KEY = "__row_key"
+
+
+def _key_field(df: DataFrame, c: str) -> Column:
+    # Float fields would make Catalyst wrap the join key in a normalisation
+    # expression that no longer matches the aggregate's partitioning (one
+    # more shuffle).  Their text form is exact (it round-trips), and ``+ 0.0``
+    # maps -0.0 to 0.0 so equality stays Spark's (NaN = NaN, -0.0 = 0.0).
+    if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+        return (F.col(c) + F.lit(0.0).cast(df.schema[c].dataType)).cast("string").alias(c)
+    return F.col(c)
 
 
-def _null_safe_equal(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+def row_key(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Whole-row comparison key (null-safe through struct equality)."""
+    return F.struct(*[_key_field(df, c) for c in columns])
+
+
+def snapshot_diff(new: DataFrame, old: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Distinct rows of ``new`` with no equal row in ``old`` (NULL = NULL),
+    i.e. ``EXCEPT DISTINCT`` with columns matched by name."""
+    columns = list(columns or new.columns)
+    old = align_by_name(old.select(*columns), new.select(*columns))
+    left = new.select(row_key(new, columns).alias(_KEY)).dropDuplicates()
+    right = old.select(row_key(old, columns).alias(_KEY)).dropDuplicates()
+    types = {f.name: f.dataType for f in new.schema.fields}
+    return left.join(right, _KEY, "left_anti").select(
+        *[F.col(f"{_KEY}.{c}").cast(types[c]).alias(c) for c in columns])
 
 
-def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str] | None = None) -> DataFrame:
+def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str] | None = None,
+                 base_unique: bool = False) -> DataFrame:
     """Rows of ``new`` whose ``columns`` match no row of ``base``.
 
     Other columns of ``new`` are kept.  Duplicate rows of ``new`` keep their
@@ -63,10 +94,10 @@ def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str]
     if base is None:
         return new
     columns = list(columns or business_columns(new))
-    right = base.select(*columns).dropDuplicates()
-    right = right.select(*[F.col(c).alias(f"__b_{c}") for c in columns])
-    cond = reduce(lambda a, b: a & b, [new[c].eqNullSafe(right[f"__b_{c}"]) for c in columns])
-    return new.join(right, cond, "left_anti")
+    right = base.select(row_key(base, columns).alias(_KEY))
+    if not base_unique:
+        right = right.dropDuplicates()
+    return new.join(right, row_key(new, columns) == right[_KEY], "left_anti")
 
 
 def add_audit_columns(df: DataFrame, run_date, *, created: bool = True, updated: bool = True,

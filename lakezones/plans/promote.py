@@ -82,7 +82,8 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
                     staged = None if versions is None else current_state(versions, primary_key)
                 else:
                     staged = target.read()
-                to_write = changed_rows(incoming, None if staged is None else staged.select(*compare), compare)
+                to_write = changed_rows(incoming, None if staged is None else staged.select(*compare), compare,
+                                        base_unique=base == "current" and bool(primary_key))
             rows = write_batch(to_write, path, target.fmt)
             if rows == 0:
                 outcomes.append(Outcome(table_name, NO_CHANGES, last_row_number=m))

@@ -68,3 +68,15 @@ def test_current_state_hot_key(spark):
                                    F.col("id").alias("ROW_NUMBER"))
     out = current_state(df, ["k"])
     assert out.filter("k = 0").first()["ROW_NUMBER"] == 19998
+
+
+def test_float_keys_follow_spark_equality(spark):
+    nan = float("nan")
+    new = spark.createDataFrame([(1, -0.0), (2, nan), (3, 0.1 + 0.2), (4, 1e300), (5, None)], "k int, x double")
+    old = spark.createDataFrame([(1, 0.0), (2, nan), (3, 0.3), (4, 1e300), (5, None)], "k int, x double")
+    got = snapshot_diff(new, old).collect()
+    assert [(r.k, r.x) for r in got] == [(3, 0.1 + 0.2)]  # exact value survives the key round trip
+    assert snapshot_diff(new, old).schema == new.schema
+    assert [r.k for r in changed_rows(new, old, ["k", "x"]).collect()] == [3]
+    f = spark.createDataFrame([(1, 1.5)], "k int, x float")
+    assert snapshot_diff(f, f).count() == 0
