@@ -20,6 +20,7 @@ STAGING_ZONE = "staging"
 WAREHOUSE_ZONE = "warehouse"
 EXTRACT_ACTION = "extract"
 TRANSFORM_ACTION = "transform"
+COMPACT_ACTION = "compact"      # our own: rewrite of a table's current state
 
 DATE_TEXT_FORMAT = "yyyy-MM-dd"
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
-from ..functions import SUCCESS_STATUS, as_date, json_field, zero_if_null
+from ..functions import COMPACT_ACTION, SUCCESS_STATUS, as_date, json_field, zero_if_null
 
 LEDGER_SCHEMA = StructType([
     StructField("run_id", StringType(), False),
@@ -115,6 +115,7 @@ def zone_paths_of(ledger: DataFrame, zone: str | None = None, job_date=None, db_
     removes repeated paths, so failed or repeated runs are not reprocessed.
     """
     runs = runs_where(ledger, zone=zone, job_date=job_date, db_name=db_name, status=status)
+    runs = runs.filter(F.col("action").isNull() | (F.col("action") != COMPACT_ACTION))
     return (runs.select("db_name", "table_name", "job_date",
                         json_field("details", "sink_path").alias("sink_path"), "job_end")
             .groupBy("db_name", "table_name", "job_date", "sink_path")
@@ -210,23 +211,38 @@ class Ledger:
     def zone_paths(self, zone: str, job_date=None, db_name: str | None = None) -> DataFrame:
         return zone_paths_of(self.frame(), zone=zone, job_date=job_date, db_name=db_name)
 
+    def _batches(self, zone: str, db_name: str, table_name: str) -> list:
+        return (self.runs(zone=zone, db_name=db_name, table_name=table_name, status=SUCCESS_STATUS)
+                .select(json_field("details", "sink_path").alias("p"), "run_id", "job_end", "action")
+                .filter(F.col("p").isNotNull())
+                .orderBy("job_end", "run_id").collect())
+
     def committed_batches(self, *, zone: str, db_name: str, table_name: str) -> list[tuple[str, str]]:
-        """Paths of successful batches of one table, oldest first.
+        """Paths of successful data batches of one table, oldest first
+        (compaction snapshots are not listed: they repeat earlier rows).
 
         The answer has one row per committed run of one table (metadata, not
         data), so it is collected to drive the reader.
         """
-        rows = (self.runs(zone=zone, db_name=db_name, table_name=table_name, status=SUCCESS_STATUS)
-                .select(json_field("details", "sink_path").alias("p"), "run_id", "job_end")
-                .filter(F.col("p").isNotNull())
-                .orderBy("job_end", "run_id").collect())
         seen, out = set(), []
-        for r in rows:
-            if r["p"] not in seen:
+        for r in self._batches(zone, db_name, table_name):
+            if r["action"] != COMPACT_ACTION and r["p"] not in seen:
                 seen.add(r["p"])
                 out.append((r["p"], r["run_id"]))
         return out
 
+    def snapshot_and_after(self, *, zone: str, db_name: str, table_name: str) -> tuple[str | None, list[str]]:
+        """Newest compaction snapshot of a table and the data batches
+        committed after it (all batches when never compacted)."""
+        snapshot, after, seen = None, [], set()
+        for r in self._batches(zone, db_name, table_name):
+            if r["action"] == COMPACT_ACTION:
+                snapshot, after, seen = r["p"], [], set()
+            elif r["p"] not in seen:
+                seen.add(r["p"])
+                after.append(r["p"])
+        return snapshot, after
+
     def compact(self) -> str:
         """Rewrite the ledger's many one-row files as one file in a new folder.
 

@@ -21,7 +21,8 @@ range-sorted, checkpointed frame numbered from per-partition counts.
 
 The order columns must be unique for the numbering to be repeatable; a
 non-unique leading value that holds a large share of rows lands in one
-bucket (use the primary key).
+bucket (lead with the primary key, or with ``row_hash`` for tables without
+one, as extraction does).
 """
 
 from __future__ import annotations
@@ -49,21 +50,32 @@ def _numeric_key(df: DataFrame, column: str):
     return None
 
 
-def _default_buckets(df: DataFrame) -> int:
+ROWS_PER_BUCKET = 4_000_000
+
+
+def _default_buckets(df: DataFrame, n_rows: int | None, rows_per_bucket: int) -> int:
+    """Enough buckets that one window partition holds ~``rows_per_bucket``
+    rows (the window cannot be split later), never fewer than the shuffle
+    partitions."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(parts, spark.sparkContext.defaultParallelism, 1)
+    by_size = -(-int(n_rows) // rows_per_bucket) if n_rows else 1
+    return max(parts, spark.sparkContext.defaultParallelism, by_size, 1)
 
 
 def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NUMBER",
-                     buckets: int | None = None, relative_error: float = 1e-4) -> DataFrame:
+                     buckets: int | None = None, relative_error: float | None = None,
+                     n_rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``1..n`` in ``order_by`` order; ``n_rows`` (if known) sizes the buckets."""
     order_by = list(order_by)
     if not order_by:
         raise ValueError("dense_row_number needs order columns")
     key = _numeric_key(df, order_by[0])
     if key is None:
         return _sorted_checkpoint_numbering(df, order_by, name)
-    buckets = buckets or _default_buckets(df)
+    buckets = buckets or _default_buckets(df, n_rows, rows_per_bucket)
+    # rank error of a boundary at most a quarter of a bucket
+    relative_error = relative_error or min(1e-4, 0.25 / buckets)
 
     keyed = df.withColumn(_KEY, key)
     probs = [i / buckets for i in range(1, buckets)]
@@ -112,3 +124,11 @@ def _sorted_checkpoint_numbering(df: DataFrame, order_by: list[str], name: str)
     out = (fixed.join(F.broadcast(offset_df), "__rn_part")
            .withColumn(name, (F.col("__rn_offset") + F.col("__rn_pos") - F.col("__rn_first") + 1).cast("long")))
     return out.select(*df.columns, name)
+
+
+def row_hash(columns: Sequence[str]):
+    """A well-spread numeric leading key for tables without a primary key:
+    numbering by ``(row_hash, *columns)`` is dense and repeatable and its
+    buckets stay balanced whatever the value distribution of the first
+    column (only fully identical rows share a hash)."""
+    return F.xxhash64(*[F.col(c) for c in columns])

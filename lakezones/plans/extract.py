@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions import EXTRACT_ACTION, RAW_ZONE, SUCCESS_STATUS, as_date
 from ..operators.changes import (TECHNICAL_COLUMNS, add_audit_columns, changed_rows, current_state)
 from ..operators.ledger import Ledger, utcnow
-from ..operators.rownum import dense_row_number
+from ..operators.rownum import dense_row_number, row_hash
 from ..session import ensure_checkpoint_dir
 from ..sources.files import TableSource
 from ..sources.lake import LakeTable, write_batch
@@ -59,7 +59,7 @@ def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: st
                     .drop("ingest_date", "batch_id")
         return day
     if base == "current" and spec.primary_key:
-        versions = table.read(with_batch_columns=True)
+        versions = table.read_state_inputs()
         if versions is None:
             return None
         return current_state(versions, spec.primary_key).select(*columns)
@@ -92,7 +92,11 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
         log.info("extract skipped, %s.%s has %d rows < watermark %d", db_name, spec.name, c, w)
         return Outcome(spec.name, SOURCE_SHRANK, last_row_number=c)
 
-    numbered = dense_row_number(df, list(spec.primary_key) or business)
+    if spec.primary_key:
+        numbered = dense_row_number(df, list(spec.primary_key), n_rows=c)
+    else:  # no key: order by a row hash first so buckets stay balanced
+        numbered = dense_row_number(df.withColumn("__row_hash", row_hash(business)), ["__row_hash", *business],
+                                    n_rows=c).drop("__row_hash")
     stamped = add_audit_columns(numbered, run_date, created=spec.make_created_at, updated=spec.make_updated_at,
                                 legacy=legacy)
     path, batch_id = table.new_batch_path(run_date)

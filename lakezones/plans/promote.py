@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date, json_field
+from ..functions import COMPACT_ACTION, EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date, json_field
 from ..operators.changes import business_columns, changed_rows, current_state
 from ..operators.ledger import Ledger, utcnow
 from ..sources.lake import LakeTable, read_batches, write_batch
@@ -38,6 +38,7 @@ def pending_batches(ledger: Ledger, *, db_name: str, table_name: str, job_date,
     runs = ledger.frame()
     raw = (runs.filter((F.col("zone") == from_zone) & (F.col("db_name") == db_name)
                        & (F.col("table_name") == table_name) & (F.col("status") == SUCCESS_STATUS)
+                       & (F.col("action") != COMPACT_ACTION)
                        & (F.col("job_date") == F.lit(as_date(job_date))))
            .select(json_field("details", "sink_path").alias("path"), "job_end", "run_id"))
     done = (runs.filter((F.col("zone") == to_zone) & (F.col("db_name") == db_name)
@@ -78,7 +79,7 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
             else:
                 compare = business_columns(incoming)
                 if base == "current" and primary_key:
-                    versions = target.read(with_batch_columns=True)
+                    versions = target.read_state_inputs()
                     staged = None if versions is None else current_state(versions, primary_key)
                 else:
                     staged = target.read()

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import SUCCESS_STATUS, as_date, date_text
+from ..functions import COMPACT_ACTION, SUCCESS_STATUS, as_date, date_text
 from ..operators.ledger import Ledger, new_run_id, utcnow
 
 BATCH_COLUMNS = ("ingest_date", "batch_id")
@@ -107,6 +107,38 @@ class LakeTable:
             paths = paths[-1:]
         return read_batches(self.spark, paths, self.base, self.fmt, with_batch_columns)
 
+    def read_state_inputs(self) -> DataFrame | None:
+        """Rows a current state is computed from: the newest compaction
+        snapshot plus the batches committed after it (with batch columns).
+        Without compaction this is every committed batch."""
+        snapshot, after = self.ledger.snapshot_and_after(zone=self.zone, db_name=self.ledger_db,
+                                                         table_name=self.table)
+        paths = ([snapshot] if snapshot else []) + after
+        if not paths:
+            return None
+        return read_batches(self.spark, paths, self.base, self.fmt, with_batch_columns=True)
+
+    def compact(self, run_date, primary_key=()) -> int:
+        """Write the table's current state (newest version per key; all rows
+        for keyless tables) as one snapshot batch and commit it with action
+        ``compact``.  Later diffs read the snapshot plus newer batches, so
+        their cost follows the table's size, not its history.  Plain reads
+        still return every appended version."""
+        from ..operators.changes import current_state
+
+        inputs = self.read_state_inputs()
+        if inputs is None:
+            return 0
+        state = current_state(inputs, primary_key) if primary_key else inputs
+        start = utcnow()
+        path, batch_id = self.new_batch_path(run_date, new_run_id(start))
+        rows = write_batch(state.drop(*BATCH_COLUMNS), path, self.fmt)
+        self.ledger.record(db_name=self.ledger_db, table_name=self.table, action=COMPACT_ACTION, zone=self.zone,
+                           status=SUCCESS_STATUS, last_row_number=rows,
+                           details={"sink_path": path, "primary_key": list(primary_key)},
+                           job_date=as_date(run_date), job_start=start, job_end=utcnow(), run_id=batch_id)
+        return rows
+
     def _commit(self, path: str, batch_id: str, rows: int, run_date, start: _dt.datetime,
                 last_row_number: int | None, details: dict | None) -> int:
         info = {"sink_path": path}

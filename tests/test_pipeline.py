@@ -191,3 +191,26 @@ def test_transform_error_row(spark, lake):
     assert out.kind == runs.ERROR
     row = ledger.frame().first()
     assert (row["status"], row["table_name"], row["last_row_number"]) == (ERROR_STATUS, "", 0)
+
+
+def test_compaction_bounds_the_diff_base(spark, lake):
+    root, ledger = lake
+    changed = [ORDERS[0][:3] + (9,) + ORDERS[0][4:]] + ORDERS[1:]
+    _extract(spark, lake, ORDERS, ORDERS_SCHEMA, day=D1)
+    _extract(spark, lake, changed, ORDERS_SCHEMA, day=D2)
+    raw = _raw(spark, lake)
+    assert raw.compact(D2, ["id"]) == 4
+    snapshot, after = ledger.snapshot_and_after(zone="raw", db_name="inv", table_name="orders")
+    assert snapshot is not None and after == []
+    # plain reads still list appended versions only, never the snapshot
+    assert raw.read().count() == 5
+    assert ledger.watermark(zone="raw", db_name="inv", table_name="orders", action="extract") == 4
+    # the reverted row is still found against snapshot + newer batches
+    out = _extract(spark, lake, ORDERS, ORDERS_SCHEMA, day=D3)
+    assert (out.kind, out.rows_written) == (runs.WRITTEN, 1)
+    snapshot2, after2 = ledger.snapshot_and_after(zone="raw", db_name="inv", table_name="orders")
+    assert snapshot2 == snapshot and len(after2) == 1
+    # compaction batches are never promoted
+    outs = promote_table(spark, root, ledger, db_name="inv", schema="s", table_name="orders", job_date=D2,
+                         primary_key=("id",))
+    assert [o.rows_written for o in outs] == [1]  # the changed row only; the snapshot is skipped
