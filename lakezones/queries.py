@@ -447,6 +447,21 @@ def q_grid_metrics(spark, sf):
     return spark.createDataFrame(rows, "maxIter int, regParam double, metric double, reloaded_f1 double")
 
 
+def q_batch_inference(spark, sf):
+    """I8: fit the pipeline on the train part, persist it as ``bestModel``,
+    reload it and score a repeatable sample of 5 rows (M2 + O2 + M7 + M8)."""
+    from .operators.sampling import hash_split
+    from .plans.ml_jobs import batch_inference
+
+    emb = _embeddings(spark, sf)
+    train, _ = hash_split(emb, ["vec_id"], (0.7, 0.3), 42)
+    model = ml.classification_pipeline("label_text", ["emb_vec"], label_col="label_idx").fit(train)
+    path = scratch_dir(spark, "model")
+    model.write().save(f"{path}/bestModel")
+    out = batch_inference(emb, model_path=path, key=["vec_id"], fraction=0.1, n=5)
+    return out.select("vec_id", "label_text", "prediction", "predict_label")
+
+
 def q_random_split_sizes(spark, sf):
     train, test = random_split(table(spark, sf, "lineitem"), (0.7, 0.3), 42)
     return train.select(F.lit(0).alias("part")).unionByName(test.select(F.lit(1).alias("part"))) \
@@ -493,6 +508,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "weighted_f1": q_weighted_f1,
     "lr_scored": q_lr_scored,
     "grid_metrics": q_grid_metrics,
+    "batch_inference": q_batch_inference,
     "random_split_sizes": q_random_split_sizes,
 }
 
@@ -522,7 +538,8 @@ _DESCRIBE = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", COUNT({c}) AS \"count\", round(avg(CAST({c} AS DOUBLE)), 4) AS mean, "
     f"round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS stddev, min(CAST({c} AS DOUBLE)) AS \"min\", "
     f"max(CAST({c} AS DOUBLE)) AS \"max\" FROM lineitem" for c in LINEITEM_NUMERIC)
-_RULE = ("SELECT CAST(l.quality AS DOUBLE) AS label, CASE WHEN d.n_chars >= 1000 THEN 1.0 ELSE 0.0 END AS prediction "
+_RULE = ("SELECT CAST(l.quality AS DOUBLE) AS label, "
+         "CAST(CASE WHEN d.n_chars >= 1000 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction "
          "FROM labels l JOIN documents d USING (doc_id)")
 _LABEL_INDEX = ("SELECT source, CAST(row_number() OVER (ORDER BY n DESC, source) - 1 AS DOUBLE) AS source_index "
                 "FROM (SELECT source, COUNT(*) AS n FROM documents GROUP BY source)")
