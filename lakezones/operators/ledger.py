@@ -152,6 +152,7 @@ class Ledger:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._exists = False  # append-only: once there, always there
 
     # K5 -------------------------------------------------------------------
     def record(self, *, db_name: str, table_name: str, action: str, zone: str, status: str,
@@ -164,12 +165,19 @@ class Ledger:
                         job_end=job_end or utcnow())
         (self.spark.createDataFrame([rec.as_row()], LEDGER_SCHEMA)
          .coalesce(1).write.mode("append").parquet(self.path))
+        self._exists = True
         return rec
 
     def frame(self) -> DataFrame:
+        if not self._exists:
+            from ..session import path_exists
+
+            self._exists = path_exists(self.spark, self.path)
+            if not self._exists:
+                return self.spark.createDataFrame([], LEDGER_SCHEMA)
         try:
             return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
-        except AnalysisException:
+        except AnalysisException:  # removed underneath us
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
     # F1 -------------------------------------------------------------------

@@ -79,14 +79,16 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
     if snapshot if snapshot is not None else not source.stable:
         ensure_checkpoint_dir(spark)
         df = df.checkpoint(eager=True)
-    if df.isEmpty():
+    # The count is needed for every non-empty source, so it doubles as the
+    # emptiness test (one job instead of two).
+    c = source.count(spark, df) if source.stable else df.count()
+    if c == 0:
         log.info("extract ignored, source empty: %s.%s", db_name, spec.name)
         return Outcome(spec.name, SKIPPED_EMPTY)
 
     # Contract check outside the error capture: a broken contract stops the run.
     spec.check(df)
     business = [c for c in df.columns if c not in TECHNICAL_COLUMNS]
-    c = source.count(spark, df) if source.stable else df.count()
     w = ledger.watermark(zone=zone, db_name=db_name, table_name=spec.name, action=action)
     if 0 < w and c < w:
         log.info("extract skipped, %s.%s has %d rows < watermark %d", db_name, spec.name, c, w)

@@ -71,3 +71,14 @@ def batch_inference(df: DataFrame, *, model_path: str, key: Sequence[str], fract
     model = ml.load_best_model(model_path)
     sample = sample_limit(df, key, fraction, n, seed) if n else hash_sample(df, key, fraction, seed)
     return ml.decoder(model, "prediction", output_col).transform(model.transform(sample))
+
+
+def save_predictions(predictions: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """K8, re-aimed: scored rows go to a table, not to the driver log.
+    Vector columns are stored as arrays so any reader can use them."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.linalg import VectorUDT
+
+    cols = [vector_to_array(predictions[f.name]).alias(f.name) if isinstance(f.dataType, VectorUDT)
+            else predictions[f.name] for f in predictions.schema.fields]
+    predictions.select(*cols).write.mode(mode).parquet(path)

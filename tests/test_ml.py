@@ -44,6 +44,17 @@ def test_train_score_decode(spark, flowers):
     assert f1 > 0.9 and own == pytest.approx(f1, abs=1e-12)
 
 
+def test_predictions_saved_as_table(spark, flowers):
+    from lakezones.plans.ml_jobs import save_predictions
+
+    s = train_and_score(flowers, label_source="Species", feature_cols=FEATURES, id_col="Id")
+    path = scratch_dir(spark, "pred") + "/p"
+    save_predictions(s.predictions, path)
+    back = spark.read.parquet(path)
+    assert back.count() == s.predictions.count()
+    assert dict(back.dtypes)["probability"] == "array<double>"
+
+
 def test_weighted_f1_matches_evaluator_on_noise(spark):
     rng = np.random.default_rng(3)
     rows = [(float(a), float(b)) for a, b in zip(rng.integers(0, 4, 500), rng.integers(0, 5, 500))]

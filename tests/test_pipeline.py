@@ -214,3 +214,22 @@ def test_compaction_bounds_the_diff_base(spark, lake):
     outs = promote_table(spark, root, ledger, db_name="inv", schema="s", table_name="orders", job_date=D2,
                          primary_key=("id",))
     assert [o.rows_written for o in outs] == [1]  # the changed row only; the snapshot is skipped
+
+
+def test_wide_table_versions_or_current_state(spark, lake):
+    """Appended versions stay (the reference's joins see both); current=True
+    joins the newest version per key."""
+    _golden_extract(spark, lake, ORDERS)
+    changed = [ORDERS[0][:3] + (7,) + ORDERS[0][4:]] + ORDERS[1:]
+    _golden_extract(spark, lake, changed)
+    job = _normalize_job(spark, lake)
+    assert job.load(D1).rows_written == 5
+    root, ledger = lake
+    current = WideTable(spark, root, ledger, db_name="inv", schema="s", output_table="normalize_current",
+                        fact="orders", fact_key=["id"], current=True,
+                        fact_columns=["id", "order_date", "quantity", "product_id"],
+                        dims=[DimTable("customers", "purchaser", "id", ["first_name", "last_name", "email"], ["id"]),
+                              DimTable("products", "product_id", "id", primary_key=["id"])])
+    assert current.load(D1).rows_written == 4
+    q = {r["id"]: r["quantity"] for r in current.read_output("normalize_current").collect()}
+    assert q[10001] == 7
