@@ -45,8 +45,12 @@ def _numeric_key(df: DataFrame, column: str):
         return c.cast("double")
     if isinstance(dtype, DateType):
         return F.unix_date(c).cast("double")
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtype, TimestampNTZType):
+        # wall-clock microseconds, independent of the session time zone
+        # (a cast to TIMESTAMP is not monotone across daylight-saving gaps)
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{column}`)").cast("double")
     return None
 
 
