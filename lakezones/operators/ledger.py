@@ -147,12 +147,39 @@ class RunRecord:
 
 
 class Ledger:
-    """Append-only run ledger stored as Parquet at ``path``."""
+    """Append-only run ledger stored as Parquet below ``path``.
+
+    Layout: ``runs/<run_id>/`` holds one record per run, written as its own
+    output, so runs of different tables may commit concurrently without
+    sharing a temporary folder.  ``compact()`` folds all runs into one file
+    under ``compacted/<id>/`` and then removes exactly the run folders it
+    folded, so lookups read a handful of files instead of one per run.
+    Readers de-duplicate by ``run_id`` while a compaction snapshot exists, so
+    a crash between the snapshot and the clean-up cannot double-count.
+    """
+
+    RUNS = "runs"
+    COMPACTED = "compacted"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self._exists = False  # append-only: once there, always there
+
+    # file-system helpers (driver-side metadata calls) ----------------------
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+    def _glob(self, pattern: str) -> list[str]:
+        fs, hpath = self._fs(pattern)
+        found = fs.globStatus(hpath)
+        return [] if found is None else [str(st.getPath().toString()) for st in found]
+
+    def _has(self, pattern: str) -> bool:
+        fs, hpath = self._fs(pattern)
+        found = fs.globStatus(hpath)
+        return found is not None and len(found) > 0
 
     # K5 -------------------------------------------------------------------
     def record(self, *, db_name: str, table_name: str, action: str, zone: str, status: str,
@@ -164,21 +191,21 @@ class Ledger:
                         details=dict(details or {}), job_date=as_date(job_date), job_start=job_start,
                         job_end=job_end or utcnow())
         (self.spark.createDataFrame([rec.as_row()], LEDGER_SCHEMA)
-         .coalesce(1).write.mode("append").parquet(self.path))
-        self._exists = True
+         .coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/{self.RUNS}/{rec.run_id}"))
         return rec
 
     def frame(self) -> DataFrame:
-        if not self._exists:
-            from ..session import path_exists
-
-            self._exists = path_exists(self.spark, self.path)
-            if not self._exists:
-                return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        snapshots = f"{self.path}/{self.COMPACTED}/*"
+        runs = f"{self.path}/{self.RUNS}/*"
+        compacted = self._has(snapshots)
+        paths = [g for g, present in ((snapshots, compacted), (runs, self._has(runs))) if present]
+        if not paths:
+            return self.spark.createDataFrame([], LEDGER_SCHEMA)
         try:
-            return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+            df = self.spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
         except AnalysisException:  # removed underneath us
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return df.dropDuplicates(["run_id"]) if compacted else df
 
     # F1 -------------------------------------------------------------------
     def runs(self, **equalities) -> DataFrame:
@@ -252,11 +279,23 @@ class Ledger:
         return snapshot, after
 
     def compact(self) -> str:
-        """Rewrite the ledger's many one-row files as one file in a new folder.
+        """Fold every run record into one snapshot file, then delete the
+        older snapshots and the run folders the new snapshot contains.
 
-        Returns the new path; the caller switches to it (old files stay, so
-        concurrent readers are not broken).
+        Run it when no pipeline is writing (one writer, as for tables): a
+        reader that listed the old files just before the clean-up may fail
+        and must retry.  Returns the snapshot path.
         """
-        target = f"{self.path}-compacted-{new_run_id()}"
-        self.frame().coalesce(1).write.mode("errorifexists").parquet(target)
+        before = self._glob(f"{self.path}/{self.COMPACTED}/*")
+        current = self.frame()
+        run_ids = [r["run_id"] for r in current.select("run_id").collect()]  # one per run: metadata
+        target = f"{self.path}/{self.COMPACTED}/{new_run_id()}"
+        current.coalesce(1).write.mode("errorifexists").parquet(target)
+        for old in before:
+            fs, hpath = self._fs(old)
+            fs.delete(hpath, True)
+        for run_id in run_ids:
+            fs, hpath = self._fs(f"{self.path}/{self.RUNS}/{run_id}")
+            if fs.exists(hpath):
+                fs.delete(hpath, True)
         return target
