@@ -286,16 +286,13 @@ class Ledger:
         reader that listed the old files just before the clean-up may fail
         and must retry.  Returns the snapshot path.
         """
+        # List first, then read: every folder listed here is in the snapshot
+        # (runs that land in between are read too and de-duplicated later).
         before = self._glob(f"{self.path}/{self.COMPACTED}/*")
-        current = self.frame()
-        run_ids = [r["run_id"] for r in current.select("run_id").collect()]  # one per run: metadata
+        run_folders = self._glob(f"{self.path}/{self.RUNS}/*")
         target = f"{self.path}/{self.COMPACTED}/{new_run_id()}"
-        current.coalesce(1).write.mode("errorifexists").parquet(target)
-        for old in before:
+        self.frame().coalesce(1).write.mode("errorifexists").parquet(target)
+        for old in before + run_folders:
             fs, hpath = self._fs(old)
             fs.delete(hpath, True)
-        for run_id in run_ids:
-            fs, hpath = self._fs(f"{self.path}/{self.RUNS}/{run_id}")
-            if fs.exists(hpath):
-                fs.delete(hpath, True)
         return target

@@ -15,14 +15,23 @@ but moves every row into one task.  Instead:
    rows; each window partition is one bucket.
 
 The boundaries are literals, so both passes see the same buckets and the
-numbering equals the global window exactly (``1..n`` in key order).  Keys
-whose leading column is not numeric, date or timestamp fall back to a
-range-sorted, checkpointed frame numbered from per-partition counts.
-
-The order columns must be unique for the numbering to be repeatable; a
-non-unique leading value that holds a large share of rows lands in one
-bucket (lead with the primary key, or with ``row_hash`` for tables without
-one, as extraction does).
+numbering equals the global window exactly (``1..n`` in key order).
+
+Buckets cut the *leading* column only, so one leading value that holds a
+large share of rows (a hot first column of a composite key, nulls, or a
+third of the table being copies of one row) would make one bucket, and so
+one window task, hold that share.  Step 3's counts show it for free: when a
+bucket exceeds twice ``rows_per_bucket`` (and whenever the leading column is
+not numeric, date or timestamp) the numbering switches to the range-sorted
+path: a range shuffle on *all* order columns plus a scan-position tie
+breaker (so copies of one row are spread over many partitions too), cut by
+a reliable checkpoint so the partition contents are fixed, then numbered
+from per-partition counts.  No task ever holds more than about
+``rows_per_bucket`` rows on either path.
+
+For repeatable numbers the order columns should be unique (lead with the
+primary key, or with ``row_hash`` for tables without one, as extraction
+does); among equal keys the order is unspecified, as with any window.
 """
 
 from __future__ import annotations
@@ -36,6 +45,12 @@ from pyspark.sql.types import DateType, NumericType, TimestampNTZType, Timestamp
 
 _BUCKET = "__rn_bucket"
 _KEY = "__rn_key"
+_TIE = "__rn_tie"
+_PART = "__rn_part"
+_POS = "__rn_pos"
+# monotonically_increasing_id keeps the record number within a partition in
+# its lower 33 bits
+_IN_PARTITION = (1 << 33) - 1
 
 
 def _numeric_key(df: DataFrame, column: str):
@@ -76,7 +91,7 @@ def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NU
         raise ValueError("dense_row_number needs order columns")
     key = _numeric_key(df, order_by[0])
     if key is None:
-        return _sorted_checkpoint_numbering(df, order_by, name)
+        return _range_sorted_numbering(df, order_by, name, n_rows, rows_per_bucket)
     buckets = buckets or _default_buckets(df, n_rows, rows_per_bucket)
     # rank error of a boundary at most a quarter of a bucket
     relative_error = relative_error or min(1e-4, 0.25 / buckets)
@@ -96,6 +111,9 @@ def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NU
                                .cast("int")).drop(_KEY, "__rn_null")
 
     counts = tagged.groupBy(_BUCKET).count().collect()  # at most len(splits) + 1 rows
+    if counts and max(r["count"] for r in counts) > 2 * rows_per_bucket:
+        # a hot leading value: one window task would hold it whole
+        return _range_sorted_numbering(df, order_by, name, sum(r["count"] for r in counts), rows_per_bucket)
     offsets, running = [], 0
     for row in sorted(counts, key=lambda r: r[_BUCKET]):
         offsets.append((row[_BUCKET], running))
@@ -109,24 +127,31 @@ def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NU
     return numbered.select(*df.columns, name)
 
 
-def _sorted_checkpoint_numbering(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
-    """Fallback for non-numeric leading keys: sort once, cut lineage with a
-    reliable checkpoint (so partition contents are fixed), then number rows
-    from per-partition counts."""
-    sorted_df = (df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order_by])
-                 .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order_by])
-                 .withColumn("__rn_part", F.spark_partition_id())
-                 .withColumn("__rn_pos", F.monotonically_increasing_id()))
-    fixed = sorted_df.checkpoint(eager=True)
-    counts = fixed.groupBy("__rn_part").agg(F.count(F.lit(1)).alias("n"),
-                                            F.min("__rn_pos").alias("first")).collect()
+def _range_sorted_numbering(df: DataFrame, order_by: list[str], name: str, n_rows: int | None,
+                            rows_per_bucket: int) -> DataFrame:
+    """Range-shuffle on all order columns plus a tie breaker, cut lineage
+    with a reliable checkpoint (partition contents fixed, in the shared
+    checkpoint folder), then number rows from per-partition counts.
+
+    The tie breaker is the row's scan position, so rows equal in every order
+    column (copies) spread over partitions instead of piling into one.
+    """
+    n_parts = _default_buckets(df, n_rows, rows_per_bucket)
+    order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col(_TIE).asc()]
+    fixed = (df.withColumn(_TIE, F.monotonically_increasing_id())
+             .repartitionByRange(n_parts, *order)
+             .sortWithinPartitions(*order)
+             .withColumn(_PART, F.spark_partition_id())
+             .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)))
+             .checkpoint(eager=True))
+    counts = fixed.groupBy(_PART).count().collect()  # at most n_parts rows
     offsets, running = [], 0
-    for row in sorted(counts, key=lambda r: r["__rn_part"]):
-        offsets.append((row["__rn_part"], running, row["first"]))
-        running += row["n"]
-    offset_df = df.sparkSession.createDataFrame(offsets, "__rn_part int, __rn_offset long, __rn_first long")
-    out = (fixed.join(F.broadcast(offset_df), "__rn_part")
-           .withColumn(name, (F.col("__rn_offset") + F.col("__rn_pos") - F.col("__rn_first") + 1).cast("long")))
+    for row in sorted(counts, key=lambda r: r[_PART]):
+        offsets.append((row[_PART], running))
+        running += row["count"]
+    offset_df = df.sparkSession.createDataFrame(offsets, f"{_PART} int, __rn_offset long")
+    out = (fixed.join(F.broadcast(offset_df), _PART)
+           .withColumn(name, (F.col("__rn_offset") + F.col(_POS) + 1).cast("long")))
     return out.select(*df.columns, name)
 
 

@@ -44,3 +44,44 @@ def test_single_value_key(spark):
     df = spark.range(50).select(F.lit(1).alias("k"), F.col("id"))
     got = dense_row_number(df, ["k", "id"], buckets=4)
     assert sorted(r["ROW_NUMBER"] for r in got.collect()) == list(range(1, 51))
+
+
+def test_hot_leading_value_switches_to_range_path(spark, monkeypatch):
+    """A third of the rows share the first key column: the bucket counts show
+    it and the numbering takes the range-sorted path, still equal to the
+    global window."""
+    from lakezones.operators import rownum
+
+    taken = []
+    real = rownum._range_sorted_numbering
+    monkeypatch.setattr(rownum, "_range_sorted_numbering", lambda *a, **k: taken.append(1) or real(*a, **k))
+    n = 3000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("a"),
+                               F.col("id").alias("b"))
+    got = rownum.dense_row_number(df, ["a", "b"], rows_per_bucket=200)
+    assert taken
+    assert {tuple(r) for r in got.collect()} == _expected(df, ["a", "b"])
+
+
+def test_copies_of_one_row_spread_over_partitions(spark):
+    """A third of the rows are copies of one row (no column tells them
+    apart): numbers stay 1..n and the copies do not share one partition."""
+    from lakezones.operators.rownum import _range_sorted_numbering
+
+    n = 3000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    got = _range_sorted_numbering(df, ["k"], "ROW_NUMBER", n, 100)
+    rows = got.collect()
+    assert sorted(r["ROW_NUMBER"] for r in rows) == list(range(1, n + 1))
+    copies = sorted(r["ROW_NUMBER"] for r in rows if r["k"] == -1)
+    assert copies == list(range(1, n // 3 + 1))
+    spread = got.filter("k = -1").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert spread > 1
+
+
+def test_null_heavy_key_stays_dense(spark):
+    n = 2000
+    df = spark.range(n).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"),
+                               F.col("id"))
+    got = dense_row_number(df, ["k", "id"], rows_per_bucket=100)
+    assert {tuple(r) for r in got.collect()} == _expected(df, ["k", "id"])
