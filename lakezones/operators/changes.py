@@ -85,21 +85,48 @@ def snapshot_diff(new: DataFrame, old: DataFrame, columns: Sequence[str] | None
 
 
 def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str] | None = None,
-                 base_unique: bool = False) -> DataFrame:
+                 base_unique: bool = False, key: Sequence[str] = ()) -> DataFrame:
     """Rows of ``new`` whose ``columns`` match no row of ``base``.
 
     Other columns of ``new`` are kept.  Duplicate rows of ``new`` keep their
     multiplicity (they differ in their row number, as in the reference).
+
+    With ``key`` (a primary key contained in ``columns``) and a base that is
+    unique by it (a current state), a row can only equal the base row with
+    the same key.  The anti join then becomes a left join on the key plus a
+    null-safe whole-row compare.  The current state comes out of its
+    aggregate hash-partitioned by the key, so the join reuses that
+    partitioning and the base is not shuffled a second time.  A null key
+    cannot join; if the base has any, the whole-row anti join is used (the
+    check reads only key columns and Parquet statistics skip row groups
+    without nulls).
     """
     if base is None:
         return new
     columns = list(columns or business_columns(new))
+    key = list(key)
+    if key and base_unique and set(key) <= set(columns):
+        null_key = F.lit(False)
+        for c in key:
+            null_key = null_key | F.col(c).isNull()
+        if base.select(*key).filter(null_key).isEmpty():
+            return _changed_by_key(new, base, columns, key)
     right = base.select(row_key(base, columns).alias(_KEY))
     if not base_unique:
         right = right.dropDuplicates()
     return new.join(right, row_key(new, columns) == right[_KEY], "left_anti")
 
 
+_BASE_ROW = "__base_row"
+
+
+def _changed_by_key(new: DataFrame, base: DataFrame, columns: list[str], key: list[str]) -> DataFrame:
+    right = base.select(*key, row_key(base, columns).alias(_BASE_ROW))
+    joined = new.join(right, key, "left")
+    differs = F.col(_BASE_ROW).isNull() | (row_key(joined, columns) != F.col(_BASE_ROW))
+    return joined.filter(differs).select(*new.columns)
+
+
 def add_audit_columns(df: DataFrame, run_date, *, created: bool = True, updated: bool = True,
                       legacy: bool = False) -> DataFrame:
     """P5: stamp ``CREATED_AT`` / ``UPDATED_AT`` with the run date as text.

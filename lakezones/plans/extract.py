@@ -111,7 +111,8 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
             base_df = diff_base(table, spec, compare, base=base, run_date=run_date,
                                 pre_check_last_checkpoint=pre_check_last_checkpoint)
             keyed_base = base == "current" and bool(spec.primary_key) and not legacy
-            to_write = changed_rows(stamped, base_df, compare, base_unique=keyed_base)
+            to_write = changed_rows(stamped, base_df, compare, base_unique=keyed_base,
+                                    key=spec.primary_key if keyed_base else ())
         rows = write_batch(to_write, path, table.fmt)
         if rows == 0:
             log.info("extract found no changes: %s.%s", db_name, spec.name)

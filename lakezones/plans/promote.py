@@ -84,7 +84,8 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
                 else:
                     staged = target.read()
                 to_write = changed_rows(incoming, None if staged is None else staged.select(*compare), compare,
-                                        base_unique=base == "current" and bool(primary_key))
+                                        base_unique=base == "current" and bool(primary_key),
+                                        key=primary_key if base == "current" else ())
             rows = write_batch(to_write, path, target.fmt)
             if rows == 0:
                 outcomes.append(Outcome(table_name, NO_CHANGES, last_row_number=m))
