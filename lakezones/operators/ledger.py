@@ -1,7 +1,8 @@
 """The run ledger: one row per run of one table.
 
-The ledger is an append-only Parquet table read with a fixed schema, so an
-empty or missing ledger is simply an empty frame.  A data batch becomes
+The ledger is an append-only table of one-line JSON run records (plus
+Parquet compaction snapshots) read with a fixed schema, so an empty or
+missing ledger is simply an empty frame.  A data batch becomes
 visible only once its success row is in the ledger: the row *is* the commit.
 
 Every question asked of the ledger is a frame function (``*_of``) that works
@@ -140,6 +141,17 @@ class RunRecord:
     job_start: _dt.datetime
     job_end: _dt.datetime
 
+    def as_json(self) -> str:
+        def ts(v: _dt.datetime) -> str:
+            return v.strftime("%Y-%m-%d %H:%M:%S.%f")
+
+        return json.dumps({"run_id": self.run_id, "db_name": self.db_name, "table_name": self.table_name,
+                           "action": self.action, "zone": self.zone, "status": self.status,
+                           "last_row_number": int(self.last_row_number),
+                           "details": json.dumps(self.details, sort_keys=True, default=str),
+                           "job_date": self.job_date.isoformat(), "job_start": ts(self.job_start),
+                           "job_end": ts(self.job_end)})
+
     def as_row(self) -> tuple:
         return (self.run_id, self.db_name, self.table_name, self.action, self.zone, self.status,
                 int(self.last_row_number), json.dumps(self.details, sort_keys=True, default=str),
@@ -147,19 +159,24 @@ class RunRecord:
 
 
 class Ledger:
-    """Append-only run ledger stored as Parquet below ``path``.
-
-    Layout: ``runs/<run_id>/`` holds one record per run, written as its own
-    output, so runs of different tables may commit concurrently without
-    sharing a temporary folder.  ``compact()`` folds all runs into one file
-    under ``compacted/<id>/`` and then removes exactly the run folders it
-    folded, so lookups read a handful of files instead of one per run.
-    Readers de-duplicate by ``run_id`` while a compaction snapshot exists, so
-    a crash between the snapshot and the clean-up cannot double-count.
+    """Append-only run ledger stored below ``path``.
+
+    Layout: ``runs/<run_id>.json`` holds one run record as one JSON line.  It
+    is written by the driver through the Hadoop file system (a hidden
+    ``_``-prefixed file, then a rename), which is one small file operation
+    instead of a Spark write job.  Spark's readers skip hidden files, so a
+    record appears whole or not at all, and runs of different tables may
+    commit concurrently.  ``compact()`` folds all runs into one Parquet file
+    under ``compacted/<id>/`` and then removes exactly the run files it
+    listed before reading, so lookups read a handful of files instead of
+    one per run.  Readers de-duplicate by ``run_id`` while a compaction
+    snapshot exists, so a crash between the snapshot and the clean-up cannot
+    double-count.
     """
 
     RUNS = "runs"
     COMPACTED = "compacted"
+    TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -190,21 +207,34 @@ class Ledger:
                         action=action, zone=zone, status=status, last_row_number=int(last_row_number or 0),
                         details=dict(details or {}), job_date=as_date(job_date), job_start=job_start,
                         job_end=job_end or utcnow())
-        (self.spark.createDataFrame([rec.as_row()], LEDGER_SCHEMA)
-         .coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/{self.RUNS}/{rec.run_id}"))
+        fs, final = self._fs(f"{self.path}/{self.RUNS}/{rec.run_id}.json")
+        _, hidden = self._fs(f"{self.path}/{self.RUNS}/_{rec.run_id}.json.tmp")
+        out = fs.create(hidden, False)
+        try:
+            out.write(bytearray((rec.as_json() + "\n").encode("utf-8")))
+        finally:
+            out.close()
+        if not fs.rename(hidden, final):
+            fs.delete(hidden, False)
+            raise OSError(f"could not commit ledger record {rec.run_id}")
         return rec
 
     def frame(self) -> DataFrame:
         snapshots = f"{self.path}/{self.COMPACTED}/*"
-        runs = f"{self.path}/{self.RUNS}/*"
         compacted = self._has(snapshots)
-        paths = [g for g, present in ((snapshots, compacted), (runs, self._has(runs))) if present]
-        if not paths:
+        has_runs = self._has(f"{self.path}/{self.RUNS}/*.json")
+        if not (compacted or has_runs):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
         try:
-            df = self.spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
+            parts = []
+            if compacted:
+                parts.append(self.spark.read.schema(LEDGER_SCHEMA).parquet(snapshots))
+            if has_runs:  # the folder, so the listing skips hidden in-flight files
+                parts.append(self.spark.read.schema(LEDGER_SCHEMA).option("timestampNTZFormat", self.TS_FORMAT)
+                             .option("mode", "FAILFAST").json(f"{self.path}/{self.RUNS}"))
         except AnalysisException:  # removed underneath us
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         return df.dropDuplicates(["run_id"]) if compacted else df
 
     # F1 -------------------------------------------------------------------
@@ -289,7 +319,7 @@ class Ledger:
         # List first, then read: every folder listed here is in the snapshot
         # (runs that land in between are read too and de-duplicated later).
         before = self._glob(f"{self.path}/{self.COMPACTED}/*")
-        run_folders = self._glob(f"{self.path}/{self.RUNS}/*")
+        run_folders = self._glob(f"{self.path}/{self.RUNS}/*.json")  # committed records only
         target = f"{self.path}/{self.COMPACTED}/{new_run_id()}"
         self.frame().coalesce(1).write.mode("errorifexists").parquet(target)
         for old in before + run_folders:

@@ -14,6 +14,9 @@ but moves every row into one task.  Instead:
 4. ``offset + row_number()`` over ``Window.partitionBy(bucket)`` numbers the
    rows; each window partition is one bucket.
 
+A table whose exact row count is at most ``single_task_rows`` skips all
+this: one window task numbers it (the count bounds what that task holds).
+
 The boundaries are literals, so both passes see the same buckets and the
 numbering equals the global window exactly (``1..n`` in key order).
 
@@ -70,6 +73,9 @@ def _numeric_key(df: DataFrame, column: str):
 
 
 ROWS_PER_BUCKET = 4_000_000
+# Up to this many rows (an exact count) one window task numbers the table:
+# cheaper than two planning passes, and bounded.
+SINGLE_TASK_ROWS = 250_000
 
 
 def _default_buckets(df: DataFrame, n_rows: int | None, rows_per_bucket: int) -> int:
@@ -84,11 +90,19 @@ def _default_buckets(df: DataFrame, n_rows: int | None, rows_per_bucket: int) ->
 
 def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NUMBER",
                      buckets: int | None = None, relative_error: float | None = None,
-                     n_rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``1..n`` in ``order_by`` order; ``n_rows`` (if known) sizes the buckets."""
+                     n_rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
+                     single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """``1..n`` in ``order_by`` order; ``n_rows`` (the exact row count, if
+    known) picks the path and sizes the buckets."""
     order_by = list(order_by)
     if not order_by:
         raise ValueError("dense_row_number needs order columns")
+    if buckets is None and single_task_rows > 0:
+        if n_rows is None:
+            n_rows = df.count()
+        if n_rows <= single_task_rows:
+            w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+            return df.withColumn(name, F.row_number().over(w).cast("long"))
     key = _numeric_key(df, order_by[0])
     if key is None:
         return _range_sorted_numbering(df, order_by, name, n_rows, rows_per_bucket)

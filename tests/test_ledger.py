@@ -46,7 +46,7 @@ def test_compact_keeps_rows_and_drops_run_files(spark, lake):
         _rec(ledger, "t", "succeed", i, f"p{i}", T0 + dt.timedelta(seconds=i))
     ledger.compact()
     assert ledger.frame().count() == 3
-    assert ledger._glob(f"{ledger.path}/runs/*") == []
+    assert ledger._glob(f"{ledger.path}/runs/*.json") == []
     _rec(ledger, "t", "succeed", 9, "p9", T0 + dt.timedelta(seconds=9))
     assert ledger.watermark(zone="raw", db_name="db", table_name="t") == 9
     ledger.compact()

@@ -36,8 +36,9 @@ def test_nulls_first_and_timestamps(spark):
 
 def test_string_key_fallback(spark):
     cust = spark.read.parquet(f"{SF_SMALL}/customer.parquet").select("c_name", "c_custkey")
-    got = dense_row_number(cust, ["c_name"])
-    assert {tuple(r) for r in got.collect()} == _expected(cust, ["c_name"])
+    for limit in (0, 10**6):  # range-sorted path and single-task path
+        got = dense_row_number(cust, ["c_name"], single_task_rows=limit)
+        assert {tuple(r) for r in got.collect()} == _expected(cust, ["c_name"])
 
 
 def test_single_value_key(spark):
@@ -58,7 +59,7 @@ def test_hot_leading_value_switches_to_range_path(spark, monkeypatch):
     n = 3000
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("a"),
                                F.col("id").alias("b"))
-    got = rownum.dense_row_number(df, ["a", "b"], rows_per_bucket=200)
+    got = rownum.dense_row_number(df, ["a", "b"], rows_per_bucket=200, single_task_rows=0)
     assert taken
     assert {tuple(r) for r in got.collect()} == _expected(df, ["a", "b"])
 
@@ -83,5 +84,5 @@ def test_null_heavy_key_stays_dense(spark):
     n = 2000
     df = spark.range(n).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"),
                                F.col("id"))
-    got = dense_row_number(df, ["k", "id"], rows_per_bucket=100)
+    got = dense_row_number(df, ["k", "id"], rows_per_bucket=100, single_task_rows=0)
     assert {tuple(r) for r in got.collect()} == _expected(df, ["k", "id"])
