@@ -127,7 +127,7 @@ def cmd_select_model(spark, args):
     from .plans.ml_jobs import select_model
 
     sel = select_model(read_csv(spark, args.csv), label_source=args.label, feature_cols=args.features.split(","),
-                       path=args.model_path, overwrite=args.overwrite)
+                       path=args.model_path, overwrite=args.overwrite, parallelism=args.parallelism)
     _print({"validation": sel.metrics, "f1_after_reload": sel.f1})
 
 
@@ -193,6 +193,7 @@ def parser() -> argparse.ArgumentParser:
         m.add_argument("--overwrite", action="store_true")
         m.add_argument("--fraction", type=float, default=0.1)
         m.add_argument("--limit", type=int, default=5)
+        m.add_argument("--parallelism", type=int, default=1, help="grid points fitted side by side")
         m.set_defaults(func=func)
     return p
 

@@ -86,12 +86,13 @@ def watermarks_of(ledger: DataFrame, keys=KEY_COLUMNS, status: str = SUCCESS_STA
 
 
 def checkpoints_of(ledger: DataFrame, keys=KEY_COLUMNS, status: str = SUCCESS_STATUS) -> DataFrame:
-    """O1 for every table: ``sink_path`` of the newest run with ``status``."""
-    newest = F.max_by(F.struct(json_field("details", "sink_path").alias("sink_path"), F.col("job_end")),
-                      F.struct(*[F.col(c) for c in RUN_ORDER]))
+    """O1 for every table: ``sink_path`` of the newest run with ``status``
+    (the JSON is parsed after the aggregate: once per table, not per run)."""
+    newest = F.max_by(F.struct("details", "job_end"), F.struct(*[F.col(c) for c in RUN_ORDER]))
     return (runs_where(ledger, status=status).groupBy(*keys)
             .agg(newest.alias("_n"))
-            .select(*keys, F.col("_n.sink_path").alias("sink_path"), F.col("_n.job_end").alias("job_end")))
+            .select(*keys, json_field("_n.details", "sink_path").alias("sink_path"),
+                    F.col("_n.job_end").alias("job_end")))
 
 
 def row_numbers_on_date_of(ledger: DataFrame, keys=KEY_COLUMNS, status: str = SUCCESS_STATUS) -> DataFrame:
@@ -252,8 +253,8 @@ class Ledger:
     def last_checkpoint(self, *, zone: str, db_name: str, table_name: str, action: str | None = None,
                         status: str = SUCCESS_STATUS) -> str | None:
         runs = self.runs(zone=zone, db_name=db_name, table_name=table_name, action=action, status=status)
-        row = runs.agg(F.max_by(json_field("details", "sink_path"),
-                                F.struct(*[F.col(c) for c in RUN_ORDER])).alias("p")).first()
+        row = runs.agg(F.max_by("details", F.struct(*[F.col(c) for c in RUN_ORDER])).alias("d")) \
+            .select(json_field("d", "sink_path").alias("p")).first()
         return row["p"]
 
     # A6 -------------------------------------------------------------------

@@ -442,7 +442,8 @@ def q_lr_scored(spark, sf):
 def q_grid_metrics(spark, sf):
     emb = _embeddings(spark, sf)
     path = scratch_dir(spark, "model") + "/model"
-    sel = select_model(emb, label_source="label_text", feature_cols=["emb_vec"], path=path)
+    # grid points are fitted side by side (same models and metrics as one by one)
+    sel = select_model(emb, label_source="label_text", feature_cols=["emb_vec"], path=path, parallelism=4)
     rows = [(int(m["maxIter"]), float(m["regParam"]), float(m["metric"]), float(sel.f1)) for m in sel.metrics]
     return spark.createDataFrame(rows, "maxIter int, regParam double, metric double, reloaded_f1 double")
 

@@ -104,3 +104,14 @@ def test_vector_elements(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0)], "id int, a double, b double")
     out = ml.vector_elements(ml.feature_assembler(["a", "b"]).transform(df), "features", 2)
     assert out.first()["f1"] == 3.0
+
+
+def test_parallel_grid_same_selection(spark, flowers):
+    """Fitting grid points side by side picks the same model with the same
+    validation metrics as fitting them one by one."""
+    one = select_model(flowers, label_source="Species", feature_cols=FEATURES,
+                       path=scratch_dir(spark, "model") + "/m1")
+    four = select_model(flowers, label_source="Species", feature_cols=FEATURES,
+                        path=scratch_dir(spark, "model") + "/m4", parallelism=4)
+    assert [round(m["metric"], 9) for m in one.metrics] == [round(m["metric"], 9) for m in four.metrics]
+    assert round(one.f1, 9) == round(four.f1, 9)
