@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import SUCCESS_STATUS
+from .functions import SUCCESS_STATUS, json_field
 from .operators import ml
 from .operators.changes import add_audit_columns, current_state, snapshot_diff
 from .operators.joins import Dim, wide_join
@@ -319,6 +319,24 @@ def q_extract_deleted_source(spark, sf):
                                                                 "job_date")
 
 
+def q_failed_run_logged(spark, sf):
+    """One run over three tables in which the customer batch breaks while
+    it is written (a row with a negative balance raises inside the read, as
+    a source failing mid-run would).  The failure becomes a complete error
+    row (status, source row count, message) and the other tables still
+    load."""
+    root, ledger = _lake(spark, "failed_run")
+    customer = table(spark, sf, "customer")
+    breaking = customer.withColumn("c_acctbal", F.when(F.col("c_acctbal") < 0, F.raise_error(F.lit("negative balance")))
+                                   .otherwise(F.col("c_acctbal")))
+    for spec, frame in ((ORDERS_SPEC, table(spark, sf, "orders")), (CUSTOMER_SPEC, breaking),
+                        (NATION_SPEC, table(spark, sf, "nation"))):
+        extract_table(spark, root, ledger, FrameSource(spec.name, frame), spec, db_name=DB, schema=SCHEMA,
+                      run_date=DAY1)
+    return ledger.runs(zone="raw").select("table_name", "status", "last_row_number", "job_date",
+                                          json_field("details", "error_message").isNotNull().alias("has_error"))
+
+
 def q_current_state(spark, sf):
     orders = table(spark, sf, "orders")
     root, ledger = _lake(spark, "current_state")
@@ -494,6 +512,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extract_incremental": q_extract_incremental,
     "extract_reverted_row": q_extract_reverted_row,
     "extract_deleted_source": q_extract_deleted_source,
+    "failed_run_logged": q_failed_run_logged,
     "current_state": q_current_state,
     "promote_first": q_promote_first,
     "promote_incremental": q_promote_incremental,
@@ -591,6 +610,12 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
     "extract_reverted_row": _changed_join("SELECT * FROM orders", ALTERED_ORDERS_SQL, DAY3),
     "extract_deleted_source": (f"SELECT 'orders' AS table_name, 'succeed' AS status, COUNT(*) AS last_row_number, "
                                f"DATE '{DAY1}' AS job_date FROM orders"),
+    "failed_run_logged": (
+        f"SELECT 'orders' AS table_name, 'succeed' AS status, COUNT(*) AS last_row_number, DATE '{DAY1}' AS job_date, "
+        "false AS has_error FROM orders UNION ALL "
+        "SELECT 'customer', CASE WHEN COUNT(*) FILTER (WHERE c_acctbal < 0) > 0 THEN 'error' ELSE 'succeed' END, "
+        f"COUNT(*), DATE '{DAY1}', COUNT(*) FILTER (WHERE c_acctbal < 0) > 0 FROM customer UNION ALL "
+        f"SELECT 'nation', 'succeed', COUNT(*), DATE '{DAY1}', false FROM nation"),
     "current_state": "SELECT * FROM orders",
     "promote_first": _numbered("SELECT * FROM orders", DAY1),
     "promote_incremental": (f"SELECT * FROM ({_numbered(OLD_ORDERS_SQL, DAY1)}) UNION ALL "
