@@ -159,6 +159,62 @@ class RunRecord:
                 self.job_date, self.job_start, self.job_end)
 
 
+@dataclass
+class TableRuns:
+    """Every run of one table in one zone, oldest first, read with one query.
+
+    A pipeline step asks several questions of the same table's history
+    (watermark, committed batches, a day's run and row number); this holds
+    the answer rows once (metadata: one short row per run of one table) and
+    answers them in Python with the same rules as the frame functions above.
+    """
+
+    rows: list
+
+    def _hits(self, action: str | None = None, status: str | None = SUCCESS_STATUS, job_date=None) -> list:
+        day = as_date(job_date) if job_date is not None else None
+        return [r for r in self.rows if (status is None or r["status"] == status)
+                and (action is None or r["action"] == action) and (day is None or r["job_date"] == day)]
+
+    def watermark(self, action: str | None = None, status: str = SUCCESS_STATUS) -> int:
+        """A5."""
+        return max((r["last_row_number"] for r in self._hits(action, status)
+                    if r["last_row_number"] is not None), default=0)
+
+    def exists(self, job_date) -> bool:
+        """a run of any status on ``job_date``."""
+        return bool(self._hits(status=None, job_date=job_date))
+
+    def row_number_on_date(self, job_date, action: str | None = None, status: str = SUCCESS_STATUS) -> int:
+        """Row number of the newest such run of the day, 0 if none."""
+        hits = self._hits(action, status, job_date)
+        return int(hits[-1]["last_row_number"] or 0) if hits else 0
+
+    def committed_batches(self) -> list[tuple[str, str]]:
+        """Paths of successful data batches, oldest first (compaction
+        snapshots are not listed: they repeat earlier rows)."""
+        seen, out = set(), []
+        for r in self._hits():
+            if r["sink_path"] is not None and r["action"] != COMPACT_ACTION and r["sink_path"] not in seen:
+                seen.add(r["sink_path"])
+                out.append((r["sink_path"], r["run_id"]))
+        return out
+
+    def snapshot_and_after(self) -> tuple[str | None, list[str]]:
+        """Newest compaction snapshot and the data batches committed after it
+        (all batches when never compacted)."""
+        snapshot, after, seen = None, [], set()
+        for r in self._hits():
+            if r["sink_path"] is None:
+                continue
+            if r["action"] == COMPACT_ACTION:
+                snapshot, after, seen = r["sink_path"], [], set()
+            elif r["sink_path"] not in seen:
+                seen.add(r["sink_path"])
+                after.append(r["sink_path"])
+        return snapshot, after
+
+
 class Ledger:
     """Append-only run ledger stored below ``path``.
 
@@ -277,37 +333,23 @@ class Ledger:
     def zone_paths(self, zone: str, job_date=None, db_name: str | None = None) -> DataFrame:
         return zone_paths_of(self.frame(), zone=zone, job_date=job_date, db_name=db_name)
 
-    def _batches(self, zone: str, db_name: str, table_name: str) -> list:
-        return (self.runs(zone=zone, db_name=db_name, table_name=table_name, status=SUCCESS_STATUS)
-                .select(json_field("details", "sink_path").alias("p"), "run_id", "job_end", "action")
-                .filter(F.col("p").isNotNull())
-                .orderBy("job_end", "run_id").collect())
+    def table_runs(self, *, zone: str, db_name: str, table_name: str) -> TableRuns:
+        """All runs of one table in one zone, oldest first (one query; one
+        row per run of one table, metadata not data)."""
+        rows = (self.runs(zone=zone, db_name=db_name, table_name=table_name)
+                .select("run_id", "action", "status", "last_row_number",
+                        json_field("details", "sink_path").alias("sink_path"), "job_date", "job_end")
+                .orderBy(*RUN_ORDER).collect())
+        return TableRuns([r.asDict() for r in rows])
 
     def committed_batches(self, *, zone: str, db_name: str, table_name: str) -> list[tuple[str, str]]:
-        """Paths of successful data batches of one table, oldest first
-        (compaction snapshots are not listed: they repeat earlier rows).
-
-        The answer has one row per committed run of one table (metadata, not
-        data), so it is collected to drive the reader.
-        """
-        seen, out = set(), []
-        for r in self._batches(zone, db_name, table_name):
-            if r["action"] != COMPACT_ACTION and r["p"] not in seen:
-                seen.add(r["p"])
-                out.append((r["p"], r["run_id"]))
-        return out
+        """Paths of successful data batches of one table, oldest first."""
+        return self.table_runs(zone=zone, db_name=db_name, table_name=table_name).committed_batches()
 
     def snapshot_and_after(self, *, zone: str, db_name: str, table_name: str) -> tuple[str | None, list[str]]:
         """Newest compaction snapshot of a table and the data batches
         committed after it (all batches when never compacted)."""
-        snapshot, after, seen = None, [], set()
-        for r in self._batches(zone, db_name, table_name):
-            if r["action"] == COMPACT_ACTION:
-                snapshot, after, seen = r["p"], [], set()
-            elif r["p"] not in seen:
-                seen.add(r["p"])
-                after.append(r["p"])
-        return snapshot, after
+        return self.table_runs(zone=zone, db_name=db_name, table_name=table_name).snapshot_and_after()
 
     def compact(self) -> str:
         """Fold every run record into one snapshot file, then delete the

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import EXTRACT_ACTION, RAW_ZONE, SUCCESS_STATUS, as_date
 from ..operators.changes import (TECHNICAL_COLUMNS, add_audit_columns, changed_rows, current_state)
-from ..operators.ledger import Ledger, utcnow
+from ..operators.ledger import Ledger, TableRuns, utcnow
 from ..operators.rownum import dense_row_number, row_hash
 from ..session import ensure_checkpoint_dir
 from ..sources.files import TableSource
@@ -48,10 +48,10 @@ from .runs import (NO_CHANGES, SKIPPED_EMPTY, SOURCE_SHRANK, WRITTEN, Outcome, l
 
 
 def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: str, run_date,
-              pre_check_last_checkpoint: bool = False) -> DataFrame | None:
+              pre_check_last_checkpoint: bool = False, runs: TableRuns | None = None) -> DataFrame | None:
     """The committed rows a new snapshot is compared with (``None`` = none)."""
     if base == "day_path":
-        day = table.read(job_date=run_date)
+        day = table.read(job_date=run_date, runs=runs)
         if day is None and pre_check_last_checkpoint:
             last = table.ledger.last_checkpoint(zone=table.zone, db_name=table.ledger_db, table_name=table.table)
             if last:
@@ -59,11 +59,11 @@ def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: st
                     .drop("ingest_date", "batch_id")
         return day
     if base == "current" and spec.primary_key:
-        versions = table.read_state_inputs()
+        versions = table.read_state_inputs(runs)
         if versions is None:
             return None
         return current_state(versions, spec.primary_key).select(*columns)
-    committed = table.read()
+    committed = table.read(runs=runs)
     return None if committed is None else committed.select(*columns)
 
 
@@ -89,7 +89,8 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
     # Contract check outside the error capture: a broken contract stops the run.
     spec.check(df)
     business = [c for c in df.columns if c not in TECHNICAL_COLUMNS]
-    w = ledger.watermark(zone=zone, db_name=db_name, table_name=spec.name, action=action)
+    history = table.runs()  # one ledger query answers the watermark and the base batches
+    w = history.watermark(action)
     if 0 < w and c < w:
         log.info("extract skipped, %s.%s has %d rows < watermark %d", db_name, spec.name, c, w)
         return Outcome(spec.name, SOURCE_SHRANK, last_row_number=c)
@@ -109,7 +110,7 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
         else:
             compare = stamped.columns if legacy else business
             base_df = diff_base(table, spec, compare, base=base, run_date=run_date,
-                                pre_check_last_checkpoint=pre_check_last_checkpoint)
+                                pre_check_last_checkpoint=pre_check_last_checkpoint, runs=history)
             keyed_base = base == "current" and bool(spec.primary_key) and not legacy
             to_write = changed_rows(stamped, base_df, compare, base_unique=keyed_base,
                                     key=spec.primary_key if keyed_base else ())

@@ -69,9 +69,9 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
         try:
             incoming = read_batches(spark, [raw_path], source.base, source.fmt)
             m = int(incoming.agg(F.coalesce(F.max("ROW_NUMBER"), F.lit(0))).first()[0])  # A2
-            if not ledger.exists(zone=to_zone, db_name=db_name, table_name=table_name, job_date=job_date):
-                r = ledger.row_number_on_date(zone=to_zone, db_name=db_name, table_name=table_name,
-                                              job_date=job_date, action=action)
+            staged_runs = target.runs()  # one ledger query: F3, A6 and the base batches
+            if not staged_runs.exists(job_date):
+                r = staged_runs.row_number_on_date(job_date, action)
                 if m <= r:
                     outcomes.append(Outcome(table_name, NOT_NEWER, last_row_number=m))
                     continue
@@ -79,10 +79,10 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
             else:
                 compare = business_columns(incoming)
                 if base == "current" and primary_key:
-                    versions = target.read_state_inputs()
+                    versions = target.read_state_inputs(staged_runs)
                     staged = None if versions is None else current_state(versions, primary_key)
                 else:
-                    staged = target.read()
+                    staged = target.read(runs=staged_runs)
                 to_write = changed_rows(incoming, None if staged is None else staged.select(*compare), compare,
                                         base_unique=base == "current" and bool(primary_key),
                                         key=primary_key if base == "current" else ())

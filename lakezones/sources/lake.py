@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import COMPACT_ACTION, SUCCESS_STATUS, as_date, date_text
-from ..operators.ledger import Ledger, new_run_id, utcnow
+from ..operators.ledger import Ledger, TableRuns, new_run_id, utcnow
 
 BATCH_COLUMNS = ("ingest_date", "batch_id")
 
@@ -90,29 +90,34 @@ class LakeTable:
         batch_id = batch_id or new_run_id()
         return batch_path(self.base, run_date, batch_id), batch_id
 
-    def committed_paths(self, job_date=None) -> list[str]:
-        batches = self.ledger.committed_batches(zone=self.zone, db_name=self.ledger_db, table_name=self.table)
+    def runs(self) -> TableRuns:
+        """This table's run history (one ledger query)."""
+        return self.ledger.table_runs(zone=self.zone, db_name=self.ledger_db, table_name=self.table)
+
+    def committed_paths(self, job_date=None, runs: TableRuns | None = None) -> list[str]:
+        batches = (runs or self.runs()).committed_batches()
         if job_date is not None:
             marker = f"/ingest_date={date_text(job_date)}/"
             batches = [b for b in batches if marker in b[0]]
         return [p for p, _ in batches]
 
-    def read(self, *, latest_only: bool = False, job_date=None, with_batch_columns: bool = False) -> DataFrame | None:
+    def read(self, *, latest_only: bool = False, job_date=None, with_batch_columns: bool = False,
+             runs: TableRuns | None = None) -> DataFrame | None:
         """Committed rows (all batches, or the newest for ``replace``
-        tables); ``None`` when nothing is committed yet."""
-        paths = self.committed_paths(job_date)
+        tables); ``None`` when nothing is committed yet.  ``runs`` reuses a
+        history already read in this step."""
+        paths = self.committed_paths(job_date, runs)
         if not paths:
             return None
         if latest_only:
             paths = paths[-1:]
         return read_batches(self.spark, paths, self.base, self.fmt, with_batch_columns)
 
-    def read_state_inputs(self) -> DataFrame | None:
+    def read_state_inputs(self, runs: TableRuns | None = None) -> DataFrame | None:
         """Rows a current state is computed from: the newest compaction
         snapshot plus the batches committed after it (with batch columns).
         Without compaction this is every committed batch."""
-        snapshot, after = self.ledger.snapshot_and_after(zone=self.zone, db_name=self.ledger_db,
-                                                         table_name=self.table)
+        snapshot, after = (runs or self.runs()).snapshot_and_after()
         paths = ([snapshot] if snapshot else []) + after
         if not paths:
             return None

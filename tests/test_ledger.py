@@ -66,3 +66,24 @@ def test_concurrent_records(spark, lake):
     with ThreadPoolExecutor(4) as pool:
         list(pool.map(lambda i: _rec(ledger, f"t{i}", "succeed", i, f"p{i}", T0), range(8)))
     assert ledger.frame().count() == 8
+
+
+def test_table_runs_answer_like_the_spark_lookups(spark, lake):
+    """One history read answers what the per-question Spark aggregates answer."""
+    _, ledger = lake
+    _rec(ledger, "t", "succeed", 4, "p1", T0)
+    _rec(ledger, "t", "error", 99, "p3", T0 + dt.timedelta(minutes=9))
+    _rec(ledger, "t", "succeed", 5, "p2", T0 + dt.timedelta(minutes=5), day="2024-03-09")
+    _rec(ledger, "t", "succeed", 3, "p4", T0 + dt.timedelta(minutes=7), day="2024-03-09")
+    _rec(ledger, "t", "succeed", 8, "s1", T0, zone="staging")
+    for zone in ("raw", "staging", "analytics"):
+        runs = ledger.table_runs(zone=zone, db_name="db", table_name="t")
+        kw = dict(zone=zone, db_name="db", table_name="t")
+        assert runs.watermark() == ledger.watermark(**kw)
+        assert runs.watermark("extract") == ledger.watermark(action="extract", **kw)
+        assert runs.watermark("other") == ledger.watermark(action="other", **kw) == 0
+        for day in ("2024-03-08", "2024-03-09", "2024-03-10"):
+            assert runs.exists(day) == ledger.exists(job_date=day, **kw)
+            assert runs.row_number_on_date(day) == ledger.row_number_on_date(job_date=day, **kw)
+        assert runs.committed_batches() == ledger.committed_batches(**kw)
+    assert ledger.table_runs(zone="raw", db_name="db", table_name="t").row_number_on_date("2024-03-09") == 3
