@@ -37,12 +37,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import EXTRACT_ACTION, RAW_ZONE, SUCCESS_STATUS, as_date
-from ..operators.changes import (TECHNICAL_COLUMNS, add_audit_columns, changed_rows, current_state)
+from ..operators.changes import (ROW_NUMBER, TECHNICAL_COLUMNS, add_audit_columns, changed_rows,
+                                 current_state)
 from ..operators.ledger import Ledger, TableRuns, utcnow
 from ..operators.rownum import dense_row_number, row_hash
 from ..session import ensure_checkpoint_dir
 from ..sources.files import TableSource
-from ..sources.lake import LakeTable, write_batch
+from ..sources.lake import LakeTable, write_batch_observed
 from ..specs import TableSpec, select_table
 from .runs import (NO_CHANGES, SKIPPED_EMPTY, SOURCE_SHRANK, WRITTEN, Outcome, log, record_error)
 
@@ -114,7 +115,8 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
             keyed_base = base == "current" and bool(spec.primary_key) and not legacy
             to_write = changed_rows(stamped, base_df, compare, base_unique=keyed_base,
                                     key=spec.primary_key if keyed_base else ())
-        rows = write_batch(to_write, path, table.fmt)
+        rows, top = write_batch_observed(to_write, path, table.fmt, max_of=ROW_NUMBER)
+        details["max_row_number"] = top  # A2 for the promotion, observed during the write
         if rows == 0:
             log.info("extract found no changes: %s.%s", db_name, spec.name)
             return Outcome(spec.name, NO_CHANGES, last_row_number=c)

@@ -27,20 +27,23 @@ from pyspark.sql import functions as F
 from ..functions import COMPACT_ACTION, EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date, json_field
 from ..operators.changes import business_columns, changed_rows, current_state
 from ..operators.ledger import Ledger, utcnow
-from ..sources.lake import LakeTable, read_batches, write_batch
+from ..sources.lake import LakeTable, read_batches, write_batch_observed
 from .runs import NO_CHANGES, NOT_NEWER, WRITTEN, Outcome, log, record_error
 
 
 def pending_batches(ledger: Ledger, *, db_name: str, table_name: str, job_date, from_zone: str,
-                    to_zone: str) -> list[str]:
-    """Raw batch paths of ``job_date`` with no staging success naming them,
-    oldest first (metadata: one row per run)."""
+                    to_zone: str) -> list[tuple[str, int | None]]:
+    """Raw batches of ``job_date`` with no staging success naming them,
+    oldest first, with the highest row number the extract observed while
+    writing each (``None`` for batches logged without it).  Metadata: one
+    row per run."""
     runs = ledger.frame()
     raw = (runs.filter((F.col("zone") == from_zone) & (F.col("db_name") == db_name)
                        & (F.col("table_name") == table_name) & (F.col("status") == SUCCESS_STATUS)
                        & (F.col("action") != COMPACT_ACTION)
                        & (F.col("job_date") == F.lit(as_date(job_date))))
-           .select(json_field("details", "sink_path").alias("path"), "job_end", "run_id"))
+           .select(json_field("details", "sink_path").alias("path"),
+                   json_field("details", "max_row_number").cast("long").alias("top"), "job_end", "run_id"))
     done = (runs.filter((F.col("zone") == to_zone) & (F.col("db_name") == db_name)
                         & (F.col("table_name") == table_name) & (F.col("status") == SUCCESS_STATUS))
             .select(json_field("details", "source_path").alias("path")).filter(F.col("path").isNotNull()))
@@ -49,7 +52,7 @@ def pending_batches(ledger: Ledger, *, db_name: str, table_name: str, job_date,
     for r in rows:
         if r["path"] not in seen:
             seen.add(r["path"])
-            out.append(r["path"])
+            out.append((r["path"], r["top"]))
     return out
 
 
@@ -60,15 +63,16 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
     source = LakeTable(spark, ledger, lake_root, from_zone, table_name, db_name, schema, action)
     target = LakeTable(spark, ledger, lake_root, to_zone, table_name, db_name, schema, action)
     outcomes = []
-    for raw_path in pending_batches(ledger, db_name=db_name, table_name=table_name, job_date=job_date,
-                                    from_zone=from_zone, to_zone=to_zone):
+    for raw_path, top in pending_batches(ledger, db_name=db_name, table_name=table_name, job_date=job_date,
+                                         from_zone=from_zone, to_zone=to_zone):
         start = utcnow()
         path, batch_id = target.new_batch_path(job_date)
         details = {"sink_path": path, "source_path": raw_path}
         m = 0
         try:
             incoming = read_batches(spark, [raw_path], source.base, source.fmt)
-            m = int(incoming.agg(F.coalesce(F.max("ROW_NUMBER"), F.lit(0))).first()[0])  # A2
+            # A2: observed while the batch was written; scanned only for older ledger rows
+            m = top if top is not None else int(incoming.agg(F.coalesce(F.max("ROW_NUMBER"), F.lit(0))).first()[0])
             staged_runs = target.runs()  # one ledger query: F3, A6 and the base batches
             if not staged_runs.exists(job_date):
                 r = staged_runs.row_number_on_date(job_date, action)
@@ -86,7 +90,8 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
                 to_write = changed_rows(incoming, None if staged is None else staged.select(*compare), compare,
                                         base_unique=base == "current" and bool(primary_key),
                                         key=primary_key if base == "current" else ())
-            rows = write_batch(to_write, path, target.fmt)
+            rows, written_top = write_batch_observed(to_write, path, target.fmt, max_of="ROW_NUMBER")
+            details["max_row_number"] = written_top
             if rows == 0:
                 outcomes.append(Outcome(table_name, NO_CHANGES, last_row_number=m))
                 continue

@@ -45,16 +45,27 @@ def batch_path(root_of_table: str, run_date, batch_id: str) -> str:
     return f"{root_of_table}/ingest_date={date_text(run_date)}/batch_id={batch_id}"
 
 
-def write_batch(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """K1: write ``df`` to a new batch directory; returns the row count.
+def write_batch_observed(df: DataFrame, path: str, fmt: str = "parquet",
+                         max_of: str | None = None) -> tuple[int, int | None]:
+    """K1: write ``df`` to a new batch directory; returns the row count and
+    the highest value of ``max_of`` (``None`` if absent or empty).
 
-    The count is taken by an ``Observation`` during the write itself (A3),
-    so the plan runs once.
+    Both are taken by an ``Observation`` during the write itself (A2, A3),
+    so the plan runs once and the batch is never scanned again for them.
     """
     obs = Observation("batch")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    observed.write.format(fmt).mode("errorifexists").save(path)
-    return int(obs.get["rows"])
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if max_of and max_of in df.columns:
+        metrics.append(F.max(max_of).cast("long").alias("max"))
+    df.observe(obs, *metrics).write.format(fmt).mode("errorifexists").save(path)
+    got = obs.get
+    top = got.get("max")
+    return int(got["rows"]), None if top is None else int(top)
+
+
+def write_batch(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """K1: write ``df`` to a new batch directory; returns the row count."""
+    return write_batch_observed(df, path, fmt)[0]
 
 
 def read_batches(spark: SparkSession, paths: list[str], base: str, fmt: str = "parquet",

@@ -233,3 +233,28 @@ def test_wide_table_versions_or_current_state(spark, lake):
     assert current.load(D1).rows_written == 4
     q = {r["id"]: r["quantity"] for r in current.read_output("normalize_current").collect()}
     assert q[10001] == 7
+
+
+def test_row_number_max_observed_during_write(spark, lake):
+    """The extract logs the batch's highest row number (observed while
+    writing), and promotion uses it; a ledger row without it still promotes
+    by scanning the batch."""
+    import json
+
+    root, ledger = lake
+    _extract(spark, lake, ORDERS, ORDERS_SCHEMA)
+    _extract(spark, lake, ORDERS + [NEW_ORDER], ORDERS_SCHEMA, day=D1)  # diff: only the new order, number 5
+    tops = [json.loads(r["details"])["max_row_number"] for r in
+            ledger.runs(zone="raw", table_name="orders").orderBy("job_end").collect()]
+    assert tops == [4, 5]
+    outs = promote_table(spark, root, ledger, db_name="inv", schema="s", table_name="orders", job_date=D1,
+                         primary_key=("id",))
+    assert [(o.kind, o.rows_written, o.last_row_number) for o in outs] == [(runs.WRITTEN, 4, 4),
+                                                                            (runs.WRITTEN, 1, 5)]
+    # a batch appended without the observed maximum: promotion scans it
+    t = _raw(spark, lake)
+    late = spark.createDataFrame([(10009, None, 1, 1, 1, 7)], ORDERS_SCHEMA + ", ROW_NUMBER long")
+    t.append(late, D1)
+    outs = promote_table(spark, root, ledger, db_name="inv", schema="s", table_name="orders", job_date=D1,
+                         primary_key=("id",))
+    assert [(o.kind, o.last_row_number) for o in outs] == [(runs.WRITTEN, 7)]
