@@ -90,13 +90,15 @@ def _default_buckets(df: DataFrame, n_rows: int | None, rows_per_bucket: int) ->
 
 def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NUMBER",
                      buckets: int | None = None, relative_error: float | None = None,
-                     n_rows: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET,
-                     single_task_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+                     n_rows: int | None = None, rows_per_bucket: int | None = None,
+                     single_task_rows: int | None = None) -> DataFrame:
     """``1..n`` in ``order_by`` order; ``n_rows`` (the exact row count, if
     known) picks the path and sizes the buckets."""
     order_by = list(order_by)
     if not order_by:
         raise ValueError("dense_row_number needs order columns")
+    single_task_rows = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     if buckets is None and single_task_rows > 0:
         if n_rows is None:
             n_rows = df.count()

@@ -258,3 +258,33 @@ def test_row_number_max_observed_during_write(spark, lake):
     outs = promote_table(spark, root, ledger, db_name="inv", schema="s", table_name="orders", job_date=D1,
                          primary_key=("id",))
     assert [(o.kind, o.last_row_number) for o in outs] == [(runs.WRITTEN, 7)]
+
+
+@pytest.mark.parametrize("rows_per_bucket", [50, 4_000_000])
+def test_extract_numbers_like_the_global_window_on_every_path(spark, lake, monkeypatch, rows_per_bucket):
+    """Extraction with the small-table path switched off: bucketed numbering
+    (big buckets) and, with tiny buckets plus a hot key prefix, the range
+    path.  Both equal row_number() over the key."""
+    from pyspark.sql import Window
+
+    from lakezones.operators import rownum
+    from lakezones.specs import TableSpec
+
+    monkeypatch.setattr(rownum, "SINGLE_TASK_ROWS", 0)
+    monkeypatch.setattr(rownum, "ROWS_PER_BUCKET", rows_per_bucket)
+    taken = []
+    real = rownum._range_sorted_numbering
+    monkeypatch.setattr(rownum, "_range_sorted_numbering", lambda *a, **k: taken.append(1) or real(*a, **k))
+    root, ledger = lake
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    # composite key whose first column is hot for a third of the rows
+    src = orders.withColumn("region", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_orderkey")))
+    spec = TableSpec("orders", required_columns=("o_custkey",), primary_key=("region", "o_orderkey"))
+    out = extract_table(spark, root, ledger, FrameSource("orders", src), spec, db_name="tpch", schema="s", run_date=D1)
+    assert out.kind == runs.WRITTEN
+    got = {(r["o_orderkey"], r["ROW_NUMBER"]) for r in
+           LakeTable(spark, ledger, root, "raw", "orders", "tpch", "s").read().collect()}
+    w = Window.orderBy("region", "o_orderkey")
+    exp = {(r[0], r[1]) for r in src.select("o_orderkey", F.row_number().over(w)).collect()}
+    assert got == exp
+    assert bool(taken) == (rows_per_bucket == 50)  # the hot prefix only matters for small buckets
