@@ -14,9 +14,11 @@ expression.  Each side is therefore shuffled once (Spark's own ``subtract``
 shuffles the new side twice: for the anti join and again for the distinct).
 De-duplicating combines map-side, so a base where one row value repeats for
 a third of the table ships one copy per partition; a hot value on the new
-side is split by AQE's skew-join handling (left-anti joins split their left
-side).  A base known to be unique (a current state by primary key) skips
-the de-duplication.
+side is split by AQE's skew-join handling (left-anti and left-outer joins
+split their left side; ``changed_rows`` gives the de-duplicated base its own
+exchange so the split applies, checked in the final adaptive plan).  A base
+known to be unique (a current state by primary key) skips the
+de-duplication and is joined on the key.
 
 ``current_state`` keeps the newest version of every primary key with one
 aggregate (``max_by`` over the batch order) that has a partial, map-side
@@ -112,9 +114,16 @@ def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str]
         if base.select(*key).filter(null_key).isEmpty():
             return _changed_by_key(new, base, columns, key)
     right = base.select(row_key(base, columns).alias(_KEY))
-    if not base_unique:
-        right = right.dropDuplicates()
-    return new.join(right, row_key(new, columns) == right[_KEY], "left_anti")
+    if base_unique:
+        return new.join(right, row_key(new, columns) == right[_KEY], "left_anti")
+    # Copies in the base collapse map-side first.  AQE splits a hot group of
+    # ``new`` (a third of the rows being copies of one row) only when both
+    # join inputs are plain shuffles, and the de-duplicating aggregate in
+    # between would block that.  Wrapping the key once more gives the distinct
+    # keys an exchange of their own (one shuffle of distinct keys), so the
+    # skew split applies.
+    right = right.dropDuplicates().select(F.struct(F.col(_KEY).alias("r")).alias(_KEY))
+    return new.join(right, F.struct(row_key(new, columns).alias("r")) == right[_KEY], "left_anti")
 
 
 _BASE_ROW = "__base_row"

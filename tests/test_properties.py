@@ -83,3 +83,38 @@ def test_keyed_changes_equal_whole_row_anti_join(spark, new, old, parts):
         return sorted((_canon(tuple(r)) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))
 
     assert bag(changed_rows(n, base, cols, base_unique=True, key=["k"])) == bag(changed_rows(n, base, cols))
+
+
+def test_hot_copies_on_the_new_side_are_split(spark):
+    """A third of the new rows share their compared columns (copies that
+    differ only in the row number).  Both diff paths leave the hot group to
+    AQE's skew split: the final adaptive plan shows it."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 300_000
+        hot = F.col("id") % 3 == 0
+        new = spark.range(n).select(F.when(hot, F.lit(7)).otherwise(F.col("id")).alias("k"),
+                                    F.when(hot, F.lit(1)).otherwise(F.col("id") % 1000).alias("v"),
+                                    (F.col("id") * 7919 % 1000003).alias("ROW_NUMBER"))
+        base = spark.range(0, n, 2).select(F.col("id").alias("k"), (F.col("id") % 1000).alias("v"))
+        versions = base.withColumn("batch_id", F.lit("b1"))
+        for df in (changed_rows(new, base, ["k", "v"]),
+                   changed_rows(new, current_state(versions, ["k"]).select("k", "v"), ["k", "v"],
+                                base_unique=True, key=["k"])):
+            qe = df._jdf.queryExecution()
+            qe.toRdd().count()
+            assert "skew=true" in qe.executedPlan().toString()
+            # every hot copy (7, 1) is new; other rows are new exactly for odd ids not divisible by 3
+            assert df.count() == n // 3 + n // 3
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
