@@ -200,6 +200,10 @@ class TableRuns:
                 out.append((r["sink_path"], r["run_id"]))
         return out
 
+    def promoted_sources(self) -> set[str]:
+        """Source batch paths that successful runs of this zone promoted."""
+        return {r["source_path"] for r in self._hits() if r["source_path"] is not None}
+
     def snapshot_and_after(self) -> tuple[str | None, list[str]]:
         """Newest compaction snapshot and the data batches committed after it
         (all batches when never compacted)."""
@@ -338,7 +342,10 @@ class Ledger:
         row per run of one table, metadata not data)."""
         rows = (self.runs(zone=zone, db_name=db_name, table_name=table_name)
                 .select("run_id", "action", "status", "last_row_number",
-                        json_field("details", "sink_path").alias("sink_path"), "job_date", "job_end")
+                        json_field("details", "sink_path").alias("sink_path"),
+                        json_field("details", "source_path").alias("source_path"),
+                        json_field("details", "max_row_number").cast("long").alias("max_row_number"),
+                        "job_date", "job_end")
                 .orderBy(*RUN_ORDER).collect())
         return TableRuns([r.asDict() for r in rows])
 

@@ -24,35 +24,29 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import COMPACT_ACTION, EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date, json_field
+from ..functions import COMPACT_ACTION, EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date
 from ..operators.changes import business_columns, changed_rows, current_state
-from ..operators.ledger import Ledger, utcnow
+from ..operators.ledger import Ledger, TableRuns, utcnow
 from ..sources.lake import LakeTable, read_batches, write_batch_observed
 from .runs import NO_CHANGES, NOT_NEWER, WRITTEN, Outcome, log, record_error
 
 
 def pending_batches(ledger: Ledger, *, db_name: str, table_name: str, job_date, from_zone: str,
-                    to_zone: str) -> list[tuple[str, int | None]]:
+                    to_zone: str, target_runs: TableRuns | None = None) -> list[tuple[str, int | None]]:
     """Raw batches of ``job_date`` with no staging success naming them,
     oldest first, with the highest row number the extract observed while
-    writing each (``None`` for batches logged without it).  Metadata: one
-    row per run."""
-    runs = ledger.frame()
-    raw = (runs.filter((F.col("zone") == from_zone) & (F.col("db_name") == db_name)
-                       & (F.col("table_name") == table_name) & (F.col("status") == SUCCESS_STATUS)
-                       & (F.col("action") != COMPACT_ACTION)
-                       & (F.col("job_date") == F.lit(as_date(job_date))))
-           .select(json_field("details", "sink_path").alias("path"),
-                   json_field("details", "max_row_number").cast("long").alias("top"), "job_end", "run_id"))
-    done = (runs.filter((F.col("zone") == to_zone) & (F.col("db_name") == db_name)
-                        & (F.col("table_name") == table_name) & (F.col("status") == SUCCESS_STATUS))
-            .select(json_field("details", "source_path").alias("path")).filter(F.col("path").isNotNull()))
-    rows = raw.join(done, "path", "left_anti").orderBy("job_end", "run_id").collect()
+    writing each (``None`` for batches logged without it).  Answered from
+    the two zones' histories of this table (metadata: one row per run)."""
+    source = ledger.table_runs(zone=from_zone, db_name=db_name, table_name=table_name)
+    done = (target_runs or ledger.table_runs(zone=to_zone, db_name=db_name, table_name=table_name)) \
+        .promoted_sources()
     seen, out = set(), []
-    for r in rows:
-        if r["path"] not in seen:
-            seen.add(r["path"])
-            out.append((r["path"], r["top"]))
+    for r in source._hits(job_date=job_date):
+        path = r["sink_path"]
+        if r["action"] == COMPACT_ACTION or path is None or path in done or path in seen:
+            continue
+        seen.add(path)
+        out.append((path, r["max_row_number"]))
     return out
 
 
@@ -63,8 +57,9 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
     source = LakeTable(spark, ledger, lake_root, from_zone, table_name, db_name, schema, action)
     target = LakeTable(spark, ledger, lake_root, to_zone, table_name, db_name, schema, action)
     outcomes = []
+    staged_runs = target.runs()  # one ledger query: promoted sources, F3, A6 and the base batches
     for raw_path, top in pending_batches(ledger, db_name=db_name, table_name=table_name, job_date=job_date,
-                                         from_zone=from_zone, to_zone=to_zone):
+                                         from_zone=from_zone, to_zone=to_zone, target_runs=staged_runs):
         start = utcnow()
         path, batch_id = target.new_batch_path(job_date)
         details = {"sink_path": path, "source_path": raw_path}
@@ -73,7 +68,6 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
             incoming = read_batches(spark, [raw_path], source.base, source.fmt)
             # A2: observed while the batch was written; scanned only for older ledger rows
             m = top if top is not None else int(incoming.agg(F.coalesce(F.max("ROW_NUMBER"), F.lit(0))).first()[0])
-            staged_runs = target.runs()  # one ledger query: F3, A6 and the base batches
             if not staged_runs.exists(job_date):
                 r = staged_runs.row_number_on_date(job_date, action)
                 if m <= r:
@@ -98,6 +92,7 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
             ledger.record(db_name=db_name, table_name=table_name, action=action, zone=to_zone,
                           status=SUCCESS_STATUS, last_row_number=m, details=details, job_date=job_date,
                           job_start=start, job_end=utcnow(), run_id=batch_id)
+            staged_runs = target.runs()  # the next batch sees this one
             log.info("promoted %s.%s: %d rows from %s", db_name, table_name, rows, raw_path)
             outcomes.append(Outcome(table_name, WRITTEN, rows_written=rows, last_row_number=m, sink_path=path,
                                     details=details))
@@ -105,6 +100,7 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
             outcomes.append(record_error(ledger, db_name=db_name, table_name=table_name, action=action,
                                          zone=to_zone, job_date=job_date, job_start=start, error=exc,
                                          last_row_number=m, details=details))
+            staged_runs = target.runs()  # an error row is a run of that day too
     return outcomes
 
 
