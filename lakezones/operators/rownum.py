@@ -171,6 +171,34 @@ def _range_sorted_numbering(df: DataFrame, order_by: list[str], name: str, n_row
     return out.select(*df.columns, name)
 
 
+def key_is_unique(df: DataFrame, key: Sequence[str]) -> bool:
+    """Whether ``key`` is non-null and unique in ``df``: a null filter
+    (Parquet statistics skip row groups without nulls), then one aggregate
+    over the key columns only, with map-side combine."""
+    key = list(key)
+    null_key = F.lit(False)
+    for c in key:
+        null_key = null_key | F.col(c).isNull()
+    if not df.select(*key).filter(null_key).isEmpty():
+        return False
+    return df.groupBy(*key).count().filter(F.col("count") > 1).isEmpty()
+
+
+def attach_row_numbers(rows: DataFrame, universe: DataFrame, key: Sequence[str], name: str = "ROW_NUMBER",
+                       n_rows: int | None = None) -> DataFrame:
+    """Give ``rows`` their position in ``key`` order of ``universe`` (which
+    holds every row of ``rows``; ``key`` unique and non-null there, see
+    ``key_is_unique``).
+
+    Only the key columns are numbered and shuffled; the numbers are joined
+    back on the key.  When ``rows`` is already hash-partitioned by the key
+    (the output of a diff joined on it) only the narrow numbers move.
+    """
+    key = list(key)
+    numbers = dense_row_number(universe.select(*key), key, name=name, n_rows=n_rows)
+    return rows.join(numbers, key, "inner").select(*rows.columns, name)
+
+
 def row_hash(columns: Sequence[str]):
     """A well-spread numeric leading key for tables without a primary key:
     numbering by ``(row_hash, *columns)`` is dense and repeatable and its

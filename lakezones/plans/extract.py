@@ -40,7 +40,8 @@ from ..functions import EXTRACT_ACTION, RAW_ZONE, SUCCESS_STATUS, as_date
 from ..operators.changes import (ROW_NUMBER, TECHNICAL_COLUMNS, add_audit_columns, changed_rows,
                                  current_state)
 from ..operators.ledger import Ledger, TableRuns, utcnow
-from ..operators.rownum import dense_row_number, row_hash
+from ..operators import rownum
+from ..operators.rownum import attach_row_numbers, dense_row_number, key_is_unique, row_hash
 from ..session import ensure_checkpoint_dir
 from ..sources.files import TableSource
 from ..sources.lake import LakeTable, write_batch_observed
@@ -96,25 +97,42 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
         log.info("extract skipped, %s.%s has %d rows < watermark %d", db_name, spec.name, c, w)
         return Outcome(spec.name, SOURCE_SHRANK, last_row_number=c)
 
-    if spec.primary_key:
-        numbered = dense_row_number(df, list(spec.primary_key), n_rows=c)
-    else:  # no key: order by a row hash first so buckets stay balanced
-        numbered = dense_row_number(df.withColumn("__row_hash", row_hash(business)), ["__row_hash", *business],
-                                    n_rows=c).drop("__row_hash")
-    stamped = add_audit_columns(numbered, run_date, created=spec.make_created_at, updated=spec.make_updated_at,
-                                legacy=legacy)
+    pk = list(spec.primary_key)
+    keyed_base = base == "current" and bool(pk) and not legacy
+
+    def stamp(numbered: DataFrame) -> DataFrame:
+        return add_audit_columns(numbered, run_date, created=spec.make_created_at, updated=spec.make_updated_at,
+                                 legacy=legacy)
+
+    # Increment of a large keyed table: diff the unnumbered rows (one shuffle
+    # of full rows, by key), then number the key column alone and join the
+    # numbers back on the key, so full rows are not shuffled a second time
+    # for the numbering window.  Exact only for a unique, non-null key; that
+    # is checked first (narrow), otherwise the rows are numbered whole.
+    narrow = w > 0 and keyed_base and c > rownum.SINGLE_TASK_ROWS and key_is_unique(df, pk)
+    stamped = None
+    if not narrow:
+        if pk:
+            numbered = dense_row_number(df, pk, n_rows=c)
+        else:  # no key: order by a row hash first so buckets stay balanced
+            numbered = dense_row_number(df.withColumn("__row_hash", row_hash(business)),
+                                        ["__row_hash", *business], n_rows=c).drop("__row_hash")
+        stamped = stamp(numbered)
     path, batch_id = table.new_batch_path(run_date)
     details = {"sink_path": path, **spec.config()}
     try:
         if w == 0:
             to_write = stamped
+        elif narrow:
+            base_df = diff_base(table, spec, business, base=base, run_date=run_date, runs=history)
+            changed = changed_rows(df, base_df, business, base_unique=True, key=pk)
+            to_write = stamp(attach_row_numbers(changed, df, pk, name=ROW_NUMBER, n_rows=c))
         else:
             compare = stamped.columns if legacy else business
             base_df = diff_base(table, spec, compare, base=base, run_date=run_date,
                                 pre_check_last_checkpoint=pre_check_last_checkpoint, runs=history)
-            keyed_base = base == "current" and bool(spec.primary_key) and not legacy
             to_write = changed_rows(stamped, base_df, compare, base_unique=keyed_base,
-                                    key=spec.primary_key if keyed_base else ())
+                                    key=pk if keyed_base else ())
         rows, top = write_batch_observed(to_write, path, table.fmt, max_of=ROW_NUMBER)
         details["max_row_number"] = top  # A2 for the promotion, observed during the write
         if rows == 0:
