@@ -171,30 +171,31 @@ class TableRuns:
 
     rows: list
 
-    def _hits(self, action: str | None = None, status: str | None = SUCCESS_STATUS, job_date=None) -> list:
+    def hits(self, action: str | None = None, status: str | None = SUCCESS_STATUS, job_date=None) -> list:
+        """Runs matching the given action, status (None: any) and day, oldest first."""
         day = as_date(job_date) if job_date is not None else None
         return [r for r in self.rows if (status is None or r["status"] == status)
                 and (action is None or r["action"] == action) and (day is None or r["job_date"] == day)]
 
     def watermark(self, action: str | None = None, status: str = SUCCESS_STATUS) -> int:
         """A5."""
-        return max((r["last_row_number"] for r in self._hits(action, status)
+        return max((r["last_row_number"] for r in self.hits(action, status)
                     if r["last_row_number"] is not None), default=0)
 
     def exists(self, job_date) -> bool:
         """a run of any status on ``job_date``."""
-        return bool(self._hits(status=None, job_date=job_date))
+        return bool(self.hits(status=None, job_date=job_date))
 
     def row_number_on_date(self, job_date, action: str | None = None, status: str = SUCCESS_STATUS) -> int:
         """Row number of the newest such run of the day, 0 if none."""
-        hits = self._hits(action, status, job_date)
+        hits = self.hits(action, status, job_date)
         return int(hits[-1]["last_row_number"] or 0) if hits else 0
 
     def committed_batches(self) -> list[tuple[str, str]]:
         """Paths of successful data batches, oldest first (compaction
         snapshots are not listed: they repeat earlier rows)."""
         seen, out = set(), []
-        for r in self._hits():
+        for r in self.hits():
             if r["sink_path"] is not None and r["action"] != COMPACT_ACTION and r["sink_path"] not in seen:
                 seen.add(r["sink_path"])
                 out.append((r["sink_path"], r["run_id"]))
@@ -202,13 +203,13 @@ class TableRuns:
 
     def promoted_sources(self) -> set[str]:
         """Source batch paths that successful runs of this zone promoted."""
-        return {r["source_path"] for r in self._hits() if r["source_path"] is not None}
+        return {r["source_path"] for r in self.hits() if r["source_path"] is not None}
 
     def snapshot_and_after(self) -> tuple[str | None, list[str]]:
         """Newest compaction snapshot and the data batches committed after it
         (all batches when never compacted)."""
         snapshot, after, seen = None, [], set()
-        for r in self._hits():
+        for r in self.hits():
             if r["sink_path"] is None:
                 continue
             if r["action"] == COMPACT_ACTION:

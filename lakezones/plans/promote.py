@@ -41,7 +41,7 @@ def pending_batches(ledger: Ledger, *, db_name: str, table_name: str, job_date,
     done = (target_runs or ledger.table_runs(zone=to_zone, db_name=db_name, table_name=table_name)) \
         .promoted_sources()
     seen, out = set(), []
-    for r in source._hits(job_date=job_date):
+    for r in source.hits(job_date=job_date):
         path = r["sink_path"]
         if r["action"] == COMPACT_ACTION or path is None or path in done or path in seen:
             continue
