@@ -104,30 +104,32 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
         return add_audit_columns(numbered, run_date, created=spec.make_created_at, updated=spec.make_updated_at,
                                  legacy=legacy)
 
-    # Increment of a large keyed table: diff the unnumbered rows (one shuffle
-    # of full rows, by key), then number the key column alone and join the
-    # numbers back on the key, so full rows are not shuffled a second time
-    # for the numbering window.  Exact only for a unique, non-null key; that
-    # is checked first (narrow), otherwise the rows are numbered whole.
-    narrow = w > 0 and keyed_base and c > rownum.SINGLE_TASK_ROWS and key_is_unique(df, pk)
-    stamped = None
-    if not narrow:
+    def numbered_whole() -> DataFrame:
         if pk:
             numbered = dense_row_number(df, pk, n_rows=c)
         else:  # no key: order by a row hash first so buckets stay balanced
             numbered = dense_row_number(df.withColumn("__row_hash", row_hash(business)),
                                         ["__row_hash", *business], n_rows=c).drop("__row_hash")
-        stamped = stamp(numbered)
+        return stamp(numbered)
+
     path, batch_id = table.new_batch_path(run_date)
     details = {"sink_path": path, **spec.config()}
-    try:
+    try:  # from here on every failure (numbering passes included) becomes an error row
+        # Increment of a large keyed table: diff the unnumbered rows (one
+        # shuffle of full rows, by key), then number the key column alone and
+        # join the numbers back on the key, so full rows are not shuffled a
+        # second time for the numbering window.  Exact only for a unique,
+        # non-null key; that is checked first (narrow), otherwise the rows are
+        # numbered whole.
+        narrow = w > 0 and keyed_base and c > rownum.SINGLE_TASK_ROWS and key_is_unique(df, pk)
         if w == 0:
-            to_write = stamped
+            to_write = numbered_whole()
         elif narrow:
             base_df = diff_base(table, spec, business, base=base, run_date=run_date, runs=history)
             changed = changed_rows(df, base_df, business, base_unique=True, key=pk)
             to_write = stamp(attach_row_numbers(changed, df, pk, name=ROW_NUMBER, n_rows=c))
         else:
+            stamped = numbered_whole()
             compare = stamped.columns if legacy else business
             base_df = diff_base(table, spec, compare, base=base, run_date=run_date,
                                 pre_check_last_checkpoint=pre_check_last_checkpoint, runs=history)

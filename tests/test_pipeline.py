@@ -329,3 +329,19 @@ def test_incremental_extract_numbers_only_the_key(spark, lake, monkeypatch, dupl
         assert {tuple(r) for r in got.select(*cols, "ROW_NUMBER").collect()} == \
             {tuple(r) for r in exp.select(*cols, "ROW_NUMBER").collect()}
     assert {r["UPDATED_AT"] for r in got.collect()} == {D2}
+
+
+def test_failure_while_numbering_becomes_an_error_row(spark, lake, monkeypatch):
+    """A source that breaks while its key is read for numbering (past the
+    contract check) ends as a complete error row, not an escaped exception."""
+    from lakezones.operators import rownum
+
+    monkeypatch.setattr(rownum, "SINGLE_TASK_ROWS", 0)
+    root, ledger = lake
+    df = spark.createDataFrame(ORDERS, ORDERS_SCHEMA)
+    broken = df.withColumn("id", F.when(F.col("id") == 10003, F.raise_error(F.lit("bad key"))).otherwise(F.col("id")))
+    out = extract_table(spark, root, ledger, FrameSource("orders", broken), SPECS["orders"], db_name="inv",
+                        schema="s", run_date=D1)
+    assert out.kind == runs.ERROR and "bad key" in out.error
+    row = ledger.runs(zone="raw", table_name="orders").first()
+    assert (row["status"], row["last_row_number"]) == (ERROR_STATUS, 4)
