@@ -42,9 +42,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (ArrayType, BinaryType, DateType, MapType, NumericType, StringType, StructType,
+                               TimestampNTZType, TimestampType, UserDefinedType)
 
 _BUCKET = "__rn_bucket"
 _KEY = "__rn_key"
@@ -76,6 +77,41 @@ ROWS_PER_BUCKET = 4_000_000
 # Up to this many rows (an exact count) one window task numbers the table:
 # cheaper than two planning passes, and bounded.
 SINGLE_TASK_ROWS = 250_000
+# Rows per window task are also capped by size: about this many bytes of
+# rows, from the average row size of a small sample (wide rows, such as long
+# texts, make smaller buckets).
+TARGET_TASK_BYTES = 512 * 1024 * 1024
+SAMPLE_ROWS = 10_000
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Approximate in-memory size of a row: text and binary by their byte
+    length, nested values by their JSON length, other values 8 bytes."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(t, UserDefinedType):
+            size = F.lit(64)
+        elif isinstance(t, (StringType, BinaryType)):
+            size = F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            size = F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            size = F.lit(8)
+        total = total + size
+    return total
+
+
+def rows_per_task(df: DataFrame, rows_per_bucket: int, sample_rows: int = SAMPLE_ROWS) -> int:
+    """``rows_per_bucket`` capped so one window task holds about
+    ``TARGET_TASK_BYTES``.  The row size is averaged over the first
+    ``sample_rows`` rows (``take``: partitions are read one after another
+    until enough rows arrive, not a scan of the table)."""
+    sizes = [r[0] for r in df.select(_row_bytes(df)).take(sample_rows)]
+    if not sizes:
+        return rows_per_bucket
+    avg = max(1.0, sum(sizes) / len(sizes))
+    return max(1_000, min(rows_per_bucket, int(TARGET_TASK_BYTES / avg)))
 
 
 def _default_buckets(df: DataFrame, n_rows: int | None, rows_per_bucket: int) -> int:
@@ -99,9 +135,12 @@ def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NU
         raise ValueError("dense_row_number needs order columns")
     single_task_rows = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    if buckets is None and single_task_rows > 0:
+    if buckets is None:
         if n_rows is None:
             n_rows = df.count()
+        if n_rows > SAMPLE_ROWS:  # wide rows: smaller window tasks
+            rows_per_bucket = rows_per_task(df, rows_per_bucket)
+            single_task_rows = min(single_task_rows, rows_per_bucket)
         if n_rows <= single_task_rows:
             w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
             return df.withColumn(name, F.row_number().over(w).cast("long"))

@@ -86,3 +86,20 @@ def test_null_heavy_key_stays_dense(spark):
                                F.col("id"))
     got = dense_row_number(df, ["k", "id"], rows_per_bucket=100, single_task_rows=0)
     assert {tuple(r) for r in got.collect()} == _expected(df, ["k", "id"])
+
+
+def test_wide_rows_make_smaller_window_tasks(spark, monkeypatch):
+    """Rows of about 1 KB with a 1 MB task target: buckets of about 1,000 rows
+    (not the 4M-row default, and no single task), numbers still exact."""
+    from lakezones.operators import rownum
+
+    monkeypatch.setattr(rownum, "TARGET_TASK_BYTES", 1_000_000)
+    seen = []
+    real = rownum._default_buckets
+    monkeypatch.setattr(rownum, "_default_buckets", lambda df, n, per: seen.append(per) or real(df, n, per))
+    n = 20_000
+    df = spark.range(n).select(((F.col("id") * 7919) % n).alias("k"), F.repeat(F.lit("x"), 1000).alias("text"))
+    got = rownum.dense_row_number(df.select("k", "text"), ["k"])
+    assert seen and seen[0] == 1_000
+    assert got.select("k", "ROW_NUMBER").filter("k + 1 != ROW_NUMBER").count() == 0
+    assert rownum.rows_per_task(df, 4_000_000) == 1_000
