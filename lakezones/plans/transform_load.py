@@ -103,7 +103,7 @@ class WideTable(TransformLoad):
     def read_source(self, table: str, primary_key: Sequence[str]) -> DataFrame:
         t = LakeTable(self.spark, self.ledger, self.lake_root, self.source_zone, table, self.db_name, self.schema)
         if self.current and primary_key:
-            versions = t.read(with_batch_columns=True)
+            versions = t.read_state_inputs()  # newest compaction snapshot + later batches
             if versions is None:
                 raise ValueError(f"no committed batch of {self.source_zone}.{table}")
             df = current_state(versions, primary_key)

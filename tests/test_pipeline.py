@@ -233,6 +233,11 @@ def test_wide_table_versions_or_current_state(spark, lake):
     assert current.load(D1).rows_written == 4
     q = {r["id"]: r["quantity"] for r in current.read_output("normalize_current").collect()}
     assert q[10001] == 7
+    # after compacting staging the current state comes from the snapshot: same table
+    assert LakeTable(spark, ledger, root, "staging", "orders", "inv", "s").compact(D1, ["id"]) == 4
+    assert current.load(D1).rows_written == 4
+    q = {r["id"]: r["quantity"] for r in current.read_output("normalize_current").collect()}
+    assert q[10001] == 7 and len(q) == 4
 
 
 def test_row_number_max_observed_during_write(spark, lake):
