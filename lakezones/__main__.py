@@ -4,6 +4,7 @@
                                   --run-date 2024-03-08 (--jdbc-url URL [--jdbc-driver CLS] | --parquet-dir DIR)
     python -m lakezones promote   --contracts db.yaml --db inv --schema inventory --lake-root ... --job-date ...
     python -m lakezones compact   --contracts db.yaml --db inv --schema inventory --lake-root ... --zone staging
+    python -m lakezones compact-ledger --lake-root ...
     python -m lakezones wide-table --job wide.yaml --db inv --schema inventory --lake-root ... --run-date ...
     python -m lakezones train | select-model | score  --csv data.csv --label Species --features a,b,c,d ...
 
@@ -97,6 +98,12 @@ def cmd_compact(spark, args):
         _print({"table": name, "zone": args.zone, "rows": rows})
 
 
+def cmd_compact_ledger(spark, args):
+    ledger = Ledger(spark, f"{args.lake_root.rstrip('/')}/_ledger")
+    snapshot = ledger.compact()
+    _print({"ledger_snapshot": snapshot, "runs": ledger.frame().count()})
+
+
 def cmd_wide_table(spark, args):
     import yaml
 
@@ -175,6 +182,10 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--zone", default=STAGING_ZONE)
     c.set_defaults(func=cmd_compact)
 
+    cl = sub.add_parser("compact-ledger", help="fold the run records into one snapshot (no pipeline running)")
+    cl.add_argument("--lake-root", required=True)
+    cl.set_defaults(func=cmd_compact_ledger)
+
     w = sub.add_parser("wide-table", help="join staging tables into a warehouse table")
     _common(w)
     w.add_argument("--job", required=True, help="YAML: output_table, fact, fact_columns, dims, current")

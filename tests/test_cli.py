@@ -39,3 +39,6 @@ def test_extract_promote_compact_wide(spark, tmp_path, capsys):
     main(["wide-table", *common, "--job", str(job), "--run-date", "2024-03-08"])
     out = _lines(capsys)[0]
     assert (out["kind"], out["rows_written"]) == ("written", 1500)
+    main(["compact-ledger", "--lake-root", root])
+    out = _lines(capsys)[0]
+    assert out["runs"] == 2 + 2 + 2 + 1  # extracts, promotions, compactions, the wide table
