@@ -70,7 +70,7 @@ def cmd_extract(spark, args):
     ledger = Ledger(spark, f"{args.lake_root.rstrip('/')}/_ledger")
     outs = run_extract(spark, args.lake_root, ledger, _sources(args, specs), specs, db_name=args.db,
                        schema=args.schema, run_date=args.run_date, single_table=args.table, base=args.base,
-                       legacy=args.legacy)
+                       legacy=args.legacy, log_skipped=args.log_skipped)
     for o in outs:
         _print(asdict(o))
 
@@ -163,6 +163,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--parquet-dir")
     e.add_argument("--base", default="current", choices=["current", "committed", "day_path"])
     e.add_argument("--legacy", action="store_true")
+    e.add_argument("--log-skipped", action="store_true", help="log a 'skipped' run when the source shrank")
     e.set_defaults(func=cmd_extract)
 
     pr = sub.add_parser("promote", help="promote raw batches of a day to staging")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 # Fixed values that must equal the reference's for the same outputs.
 SUCCESS_STATUS = "succeed"
 ERROR_STATUS = "error"
+SKIPPED_STATUS = "skipped"      # our own, opt-in: a run that wrote nothing on purpose
 RAW_ZONE = "raw"
 STAGING_ZONE = "staging"
 WAREHOUSE_ZONE = "warehouse"

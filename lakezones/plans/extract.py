@@ -9,7 +9,8 @@ source empty           nothing             nothing
 ``w == 0``             whole table         success, ``c``
 ``c >= w > 0``, diff   changed rows only   success, ``c``
 ``c >= w > 0``, none   nothing             nothing
-``c < w``              nothing             nothing
+``c < w``              nothing             nothing (``skipped`` row
+                                           with ``log_skipped``)
 write/log fails        (orphan batch)      error row
 =====================  ==================  ===================
 
@@ -36,7 +37,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions import EXTRACT_ACTION, RAW_ZONE, SUCCESS_STATUS, as_date
+from ..functions import EXTRACT_ACTION, RAW_ZONE, SKIPPED_STATUS, SUCCESS_STATUS, as_date
 from ..operators.changes import (ROW_NUMBER, TECHNICAL_COLUMNS, add_audit_columns, changed_rows,
                                  current_state)
 from ..operators.ledger import Ledger, TableRuns, utcnow
@@ -72,7 +73,14 @@ def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: st
 def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: TableSource, spec: TableSpec, *,
                   db_name: str, schema: str, run_date, zone: str = RAW_ZONE, action: str = EXTRACT_ACTION,
                   base: str = "current", legacy: bool = False, pre_check_last_checkpoint: bool = False,
-                  snapshot: bool | None = None) -> Outcome:
+                  snapshot: bool | None = None, log_skipped: bool = False) -> Outcome:
+    """I1 for one table (decision table in the module docstring).
+
+    ``log_skipped`` logs a ``skipped`` ledger row (with the source count and
+    the watermark) when the source has fewer rows than the watermark; the
+    reference logs nothing there, and a skipped row never moves the
+    watermark.
+    """
     start = utcnow()
     run_date = as_date(run_date)
     table = LakeTable(spark, ledger, lake_root, zone, spec.name, db_name, schema, action)
@@ -95,6 +103,10 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
     w = history.watermark(action)
     if 0 < w and c < w:
         log.info("extract skipped, %s.%s has %d rows < watermark %d", db_name, spec.name, c, w)
+        if log_skipped:
+            ledger.record(db_name=db_name, table_name=spec.name, action=action, zone=zone, status=SKIPPED_STATUS,
+                          last_row_number=c, details={"reason": SOURCE_SHRANK, "watermark": w},
+                          job_date=run_date, job_start=start, job_end=utcnow())
         return Outcome(spec.name, SOURCE_SHRANK, last_row_number=c)
 
     pk = list(spec.primary_key)

@@ -350,3 +350,18 @@ def test_failure_while_numbering_becomes_an_error_row(spark, lake, monkeypatch):
     assert out.kind == runs.ERROR and "bad key" in out.error
     row = ledger.runs(zone="raw", table_name="orders").first()
     assert (row["status"], row["last_row_number"]) == (ERROR_STATUS, 4)
+
+
+def test_source_shrank_logged_only_when_asked(spark, lake):
+    import json
+
+    from lakezones.functions import SKIPPED_STATUS
+
+    _extract(spark, lake, ORDERS, ORDERS_SCHEMA)
+    out = _extract(spark, lake, ORDERS[:2], ORDERS_SCHEMA, day=D2, log_skipped=True)
+    assert out.kind == runs.SOURCE_SHRANK
+    ledger = lake[1]
+    row = ledger.runs(zone="raw", table_name="orders", status=SKIPPED_STATUS).first()
+    assert row["last_row_number"] == 2 and json.loads(row["details"]) == {"reason": "source_shrank", "watermark": 4}
+    assert ledger.watermark(zone="raw", db_name="inv", table_name="orders") == 4
+    assert _raw(spark, lake).read().count() == 4  # nothing written
