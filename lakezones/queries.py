@@ -363,6 +363,19 @@ def q_promote_incremental(spark, sf):
     return _zone(spark, root, ledger, "staging", ORDERS_SPEC).read()
 
 
+def q_promote_reverted_row(spark, sf):
+    """I2 with three raw batches on one day (all orders; the altered prices;
+    the prices reverted): promoted one after the other in commit order, each
+    diffed against staging's current state, so the A -> B -> A rows arrive
+    as three versions."""
+    orders = table(spark, sf, "orders")
+    root, ledger = _lake(spark, "promote_revert")
+    for frame in (orders, altered_orders(orders), orders):
+        _extract(spark, root, ledger, frame, ORDERS_SPEC, DAY1)
+    _promote(spark, root, ledger, ORDERS_SPEC, DAY1)
+    return _zone(spark, root, ledger, "staging", ORDERS_SPEC).read()
+
+
 def q_transform_load(spark, sf):
     root, ledger = _lake(spark, "transform_load")
     for spec in (ORDERS_SPEC, CUSTOMER_SPEC, NATION_SPEC):
@@ -516,6 +529,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "current_state": q_current_state,
     "promote_first": q_promote_first,
     "promote_incremental": q_promote_incremental,
+    "promote_reverted_row": q_promote_reverted_row,
     "transform_load": q_transform_load,
     "describe_numeric": q_describe_numeric,
     "row_counts": q_row_counts,
@@ -620,6 +634,9 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
     "promote_first": _numbered("SELECT * FROM orders", DAY1),
     "promote_incremental": (f"SELECT * FROM ({_numbered(OLD_ORDERS_SQL, DAY1)}) UNION ALL "
                             f"SELECT * FROM ({_changed_join('SELECT * FROM orders', OLD_ORDERS_SQL, DAY1)})"),
+    "promote_reverted_row": (f"SELECT * FROM ({_numbered('SELECT * FROM orders', DAY1)}) UNION ALL "
+                             f"SELECT * FROM ({_changed_join(ALTERED_ORDERS_SQL, 'SELECT * FROM orders', DAY1)}) "
+                             f"UNION ALL SELECT * FROM ({_changed_join('SELECT * FROM orders', ALTERED_ORDERS_SQL, DAY1)})"),
     "transform_load": """SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice, o.o_orderstatus, c.c_name,
        c.c_mktsegment, n.n_name
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""",
