@@ -391,6 +391,33 @@ def q_transform_load(spark, sf):
     return job.read_output("orders_wide")
 
 
+class _BalanceCheckedWide(WideTable):
+    """A wide-table transform that breaks on a negative customer balance
+    while its output is written."""
+
+    def transform(self, **kwargs):
+        df, name = super().transform(**kwargs)
+        bad = F.raise_error(F.lit("negative balance"))
+        return df.withColumn("c_acctbal", F.when(F.col("c_acctbal") < 0, bad).otherwise(F.col("c_acctbal"))), name
+
+
+def q_transform_failed_logged(spark, sf):
+    """I3 + I5: extract and promote orders and customers, then a wide-table
+    transform that fails mid-write.  The ledger keeps the successful runs
+    with their row numbers and one complete error row for the transform
+    (table name '' and 0 rows, as the reference logs it)."""
+    root, ledger = _lake(spark, "transform_failed")
+    for spec in (ORDERS_SPEC, CUSTOMER_SPEC):
+        _extract(spark, root, ledger, table(spark, sf, spec.name), spec, DAY1)
+        _promote(spark, root, ledger, spec, DAY1)
+    job = _BalanceCheckedWide(spark, root, ledger, db_name=DB, schema=SCHEMA, output_table="orders_wide",
+                              fact="orders", fact_columns=["o_orderkey", "o_totalprice"],
+                              dims=[DimTable("customer", "o_custkey", "c_custkey", ["c_name", "c_acctbal"])])
+    job.load(DAY1)
+    return ledger.frame().select("zone", "table_name", "action", "status", "last_row_number",
+                                 json_field("details", "error_message").isNotNull().alias("has_error"))
+
+
 # ---------------------------------------------------------------------------
 # 6. Profile
 # ---------------------------------------------------------------------------
@@ -531,6 +558,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "promote_incremental": q_promote_incremental,
     "promote_reverted_row": q_promote_reverted_row,
     "transform_load": q_transform_load,
+    "transform_failed_logged": q_transform_failed_logged,
     "describe_numeric": q_describe_numeric,
     "row_counts": q_row_counts,
     "hash_split": q_hash_split,
@@ -640,6 +668,16 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
     "transform_load": """SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice, o.o_orderstatus, c.c_name,
        c.c_mktsegment, n.n_name
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    "transform_failed_logged": (
+        "SELECT 'raw' AS zone, 'orders' AS table_name, 'extract' AS action, 'succeed' AS status, "
+        "COUNT(*) AS last_row_number, false AS has_error FROM orders UNION ALL "
+        "SELECT 'raw', 'customer', 'extract', 'succeed', COUNT(*), false FROM customer UNION ALL "
+        "SELECT 'staging', 'orders', 'extract', 'succeed', COUNT(*), false FROM orders UNION ALL "
+        "SELECT 'staging', 'customer', 'extract', 'succeed', COUNT(*), false FROM customer UNION ALL "
+        "SELECT 'warehouse', CASE WHEN bad THEN '' ELSE 'orders_wide' END, 'transform', "
+        "CASE WHEN bad THEN 'error' ELSE 'succeed' END, CASE WHEN bad THEN 0 ELSE n END, bad "
+        "FROM (SELECT COUNT(*) FILTER (WHERE c.c_acctbal < 0) > 0 AS bad, COUNT(*) AS n "
+        "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)"),
     "describe_numeric": _DESCRIBE,
     "row_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in TABLES),
     "hash_split": (f"SELECT event_id, CAST(CASE WHEN {_HASH.format(seed=42)} < 'b3333333' THEN 0 ELSE 1 END AS INTEGER) "
