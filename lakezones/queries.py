@@ -8,10 +8,11 @@ return what a reader of the lake would see.
 
 Derived inputs (same rule in Spark and in the oracle SQL):
 
-* *old orders snapshot*: ``orders`` without ``o_orderkey % 7 = 0`` and with
-  ``o_totalprice + 1`` where ``o_orderkey % 11 = 0``; ``orders`` is the new
-  snapshot.  (This is the fixture rule for snapshot pairs; it alters and
-  removes rows, it does not shrink the query's input.)
+* *old orders snapshot*: the table as of 2001-01-01.  Orders placed since
+  then are not in it yet, and orders finished (``F``) since 2000-07-01 were
+  still pending (``P``) in it.  ``orders`` is the new snapshot.  The
+  *altered* snapshot is ``orders`` with only that status change (used for a
+  row that goes A -> B -> A).
 * *events ledger*: a run ledger with one run per event (``event_type`` as
   table, ``ts`` as end time, ``value`` as row number).
 """
@@ -63,14 +64,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Derived inputs
 # ---------------------------------------------------------------------------
 
+# Fixed values of the snapshot rule (same in Spark and in the oracle SQL).
+SNAPSHOT_DAY = "2001-01-01"     # the old snapshot is the table as of this day
+FINISHED_SINCE = "2000-07-01"   # orders finished since then were still pending in it
+
+
+def _status_then(orders: DataFrame):
+    day = F.lit(FINISHED_SINCE).cast(orders.schema["o_orderdate"].dataType)
+    was_pending = (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= day)
+    return F.when(was_pending, F.lit("P")).otherwise(F.col("o_orderstatus"))
+
+
 def old_orders(orders: DataFrame) -> DataFrame:
-    price = F.when(F.col("o_orderkey") % 11 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    return orders.filter(F.col("o_orderkey") % 7 != 0).withColumn("o_totalprice", price)
+    cutoff = F.lit(SNAPSHOT_DAY).cast(orders.schema["o_orderdate"].dataType)
+    return orders.filter(F.col("o_orderdate") < cutoff).withColumn("o_orderstatus", _status_then(orders))
 
 
 def altered_orders(orders: DataFrame) -> DataFrame:
-    price = F.when(F.col("o_orderkey") % 11 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    return orders.withColumn("o_totalprice", price)
+    return orders.withColumn("o_orderstatus", _status_then(orders))
 
 
 def events_ledger(events: DataFrame) -> DataFrame:
@@ -91,15 +102,14 @@ def events_ledger(events: DataFrame) -> DataFrame:
     ).select(*[F.col(f.name).cast(f.dataType) for f in LEDGER_SCHEMA.fields])
 
 
-OLD_ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus,
-       CASE WHEN o_orderkey % 11 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-       o_orderdate, o_orderpriority
-FROM orders WHERE o_orderkey % 7 <> 0"""
+_STATUS_THEN_SQL = (f"CASE WHEN o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '{FINISHED_SINCE}' THEN 'P' "
+                    "ELSE o_orderstatus END AS o_orderstatus")
+
+OLD_ORDERS_SQL = (f"SELECT o_orderkey, o_custkey, {_STATUS_THEN_SQL}, o_totalprice, o_orderdate, o_orderpriority "
+                  f"FROM orders WHERE o_orderdate < TIMESTAMP '{SNAPSHOT_DAY}'")
 
-ALTERED_ORDERS_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus,
-       CASE WHEN o_orderkey % 11 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-       o_orderdate, o_orderpriority
-FROM orders"""
+ALTERED_ORDERS_SQL = (f"SELECT o_orderkey, o_custkey, {_STATUS_THEN_SQL}, o_totalprice, o_orderdate, o_orderpriority "
+                      "FROM orders")
 
 EVENTS_LEDGER_SQL = """SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') AS run_id,
        'db' || CAST(user_id % 3 AS VARCHAR) AS db_name,
