@@ -201,6 +201,17 @@ class TableRuns:
                 out.append((r["sink_path"], r["run_id"]))
         return out
 
+    def add(self, rec: "RunRecord") -> None:
+        """Take a run this process just logged into the history (one writer
+        per table, so nothing else lands in between; it is the newest run)."""
+        info = rec.details or {}
+        top = info.get("max_row_number")
+        self.rows.append({"run_id": rec.run_id, "action": rec.action, "status": rec.status,
+                          "last_row_number": rec.last_row_number, "sink_path": info.get("sink_path"),
+                          "source_path": info.get("source_path"),
+                          "max_row_number": None if top is None else int(top),
+                          "job_date": rec.job_date, "job_end": rec.job_end})
+
     def promoted_sources(self) -> set[str]:
         """Source batch paths that successful runs of this zone promoted."""
         return {r["source_path"] for r in self.hits() if r["source_path"] is not None}

@@ -89,10 +89,9 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
             if rows == 0:
                 outcomes.append(Outcome(table_name, NO_CHANGES, last_row_number=m))
                 continue
-            ledger.record(db_name=db_name, table_name=table_name, action=action, zone=to_zone,
-                          status=SUCCESS_STATUS, last_row_number=m, details=details, job_date=job_date,
-                          job_start=start, job_end=utcnow(), run_id=batch_id)
-            staged_runs = target.runs()  # the next batch sees this one
+            staged_runs.add(ledger.record(db_name=db_name, table_name=table_name, action=action, zone=to_zone,
+                                          status=SUCCESS_STATUS, last_row_number=m, details=details,
+                                          job_date=job_date, job_start=start, job_end=utcnow(), run_id=batch_id))
             log.info("promoted %s.%s: %d rows from %s", db_name, table_name, rows, raw_path)
             outcomes.append(Outcome(table_name, WRITTEN, rows_written=rows, last_row_number=m, sink_path=path,
                                     details=details))
@@ -100,7 +99,7 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
             outcomes.append(record_error(ledger, db_name=db_name, table_name=table_name, action=action,
                                          zone=to_zone, job_date=job_date, job_start=start, error=exc,
                                          last_row_number=m, details=details))
-            staged_runs = target.runs()  # an error row is a run of that day too
+            staged_runs = target.runs()  # an error row is a run of that day too (re-read: rare path)
     return outcomes
 
 

@@ -87,3 +87,14 @@ def test_table_runs_answer_like_the_spark_lookups(spark, lake):
             assert runs.row_number_on_date(day) == ledger.row_number_on_date(job_date=day, **kw)
         assert runs.committed_batches() == ledger.committed_batches(**kw)
     assert ledger.table_runs(zone="raw", db_name="db", table_name="t").row_number_on_date("2024-03-09") == 3
+
+
+def test_table_runs_add_matches_a_fresh_read(spark, lake):
+    _, ledger = lake
+    runs = ledger.table_runs(zone="raw", db_name="db", table_name="t")
+    runs.add(_rec(ledger, "t", "succeed", 4, "p1", T0))
+    runs.add(ledger.record(db_name="db", table_name="t", action="extract", zone="raw", status="succeed",
+                           last_row_number=6, details={"sink_path": "p2", "source_path": "r1", "max_row_number": 6},
+                           job_date="2024-03-08", job_start=T0, job_end=T0 + dt.timedelta(seconds=1)))
+    fresh = ledger.table_runs(zone="raw", db_name="db", table_name="t")
+    assert runs.rows == fresh.rows
