@@ -9,16 +9,20 @@
 
 Both compare whole rows through one ``struct`` key: a struct is never null
 and struct equality treats null fields as equal, so it is the null-safe
-comparison, and the de-duplication and the join hash-partition on the same
-expression.  Each side is therefore shuffled once (Spark's own ``subtract``
-shuffles the new side twice: for the anti join and again for the distinct).
-De-duplicating combines map-side, so a base where one row value repeats for
-a third of the table ships one copy per partition; a hot value on the new
-side is split by AQE's skew-join handling (left-anti and left-outer joins
-split their left side; ``changed_rows`` gives the de-duplicated base its own
-exchange so the split applies, checked in the final adaptive plan).  A base
-known to be unique (a current state by primary key) skips the
-de-duplication and is joined on the key.
+comparison.  In ``snapshot_diff`` the de-duplication and the anti join
+hash-partition on the same expression, so each side is shuffled once
+(Spark's own ``subtract`` shuffles the new side twice: for the anti join and
+again for the distinct).  De-duplicating combines map-side, so a value that
+repeats for a third of a side ships one copy per partition.
+
+``changed_rows`` keeps every new row, so a hot group of copies on the new
+side is left to AQE's skew split (left-anti and left-outer joins split their
+left side).  That split applies only when both join inputs are plain
+shuffles, so on the keyless path the de-duplicated base keys get an exchange
+of their own (one shuffle of distinct keys more; checked in the final
+adaptive plan).  A base known to be unique (a current state by primary key)
+skips the de-duplication and is joined on the key, reusing the state's
+partitioning.
 
 ``current_state`` keeps the newest version of every primary key with one
 aggregate (``max_by`` over the batch order) that has a partial, map-side
