@@ -16,6 +16,11 @@ but moves every row into one task.  Instead:
 
 A table whose exact row count is at most ``single_task_rows`` skips all
 this: one window task numbers it (the count bounds what that task holds).
+Both ``rows_per_bucket`` and ``single_task_rows`` are capped so a task holds
+about ``TARGET_TASK_BYTES`` of rows, from the average row size of the first
+``SAMPLE_ROWS`` rows (a ``take``, not a scan): long texts make small buckets.
+``attach_row_numbers`` numbers the key columns alone and joins the numbers
+back, for callers that only need numbers on a subset of rows.
 
 The boundaries are literals, so both passes see the same buckets and the
 numbering equals the global window exactly (``1..n`` in key order).
