@@ -204,6 +204,20 @@ def q_dense_row_number_text(spark, sf):
     return dense_row_number(table(spark, sf, "customer"), ["c_name"]).select("c_custkey", "c_name", "ROW_NUMBER")
 
 
+def q_dense_row_number_composite(spark, sf):
+    """Bucketed path (small-table shortcut off): leading column with many
+    repeated values, ties ordered by the second column inside each bucket."""
+    return dense_row_number(table(spark, sf, "events"), ["user_id", "event_id"], single_task_rows=0) \
+        .select("event_id", "user_id", "ROW_NUMBER")
+
+
+def q_dense_row_number_range(spark, sf):
+    """Range-sorted, checkpointed path (small-table shortcut off): text
+    leading column."""
+    return dense_row_number(table(spark, sf, "events"), ["event_type", "event_id"], single_task_rows=0) \
+        .select("event_id", "event_type", "ROW_NUMBER")
+
+
 def q_audit_columns(spark, sf):
     return add_audit_columns(table(spark, sf, "customer"), DAY1)
 
@@ -545,6 +559,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dense_row_number": q_dense_row_number,
     "dense_row_number_ts": q_dense_row_number_ts,
     "dense_row_number_text": q_dense_row_number_text,
+    "dense_row_number_composite": q_dense_row_number_composite,
+    "dense_row_number_range": q_dense_row_number_range,
     "audit_columns": q_audit_columns,
     "audit_columns_legacy": q_audit_columns_legacy,
     "append_union": q_append_union,
@@ -630,6 +646,10 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
     "dense_row_number_ts": "SELECT event_id, ts, row_number() OVER (ORDER BY ts) AS ROW_NUMBER FROM events",
     "dense_row_number_text": ("SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_name) AS ROW_NUMBER "
                               "FROM customer"),
+    "dense_row_number_composite": ("SELECT event_id, user_id, row_number() OVER (ORDER BY user_id, event_id) "
+                                   "AS ROW_NUMBER FROM events"),
+    "dense_row_number_range": ("SELECT event_id, event_type, row_number() OVER (ORDER BY event_type, event_id) "
+                               "AS ROW_NUMBER FROM events"),
     "audit_columns": f"SELECT *, '{DAY1}' AS CREATED_AT, '{DAY1}' AS UPDATED_AT FROM customer",
     "audit_columns_legacy": f"SELECT *, '{DAY1}' AS UPDATED_AT FROM customer",
     "append_union": (f"SELECT * FROM ({OLD_ORDERS_SQL}) UNION ALL "
