@@ -91,7 +91,7 @@ def snapshot_diff(new: DataFrame, old: DataFrame, columns: Sequence[str] | None
 
 
 def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str] | None = None,
-                 base_unique: bool = False, key: Sequence[str] = ()) -> DataFrame:
+                 base_unique: bool = False, key: Sequence[str] = (), base_key_null_free: bool = False) -> DataFrame:
     """Rows of ``new`` whose ``columns`` match no row of ``base``.
 
     Other columns of ``new`` are kept.  Duplicate rows of ``new`` keep their
@@ -105,7 +105,8 @@ def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str]
     partitioning and the base is not shuffled a second time.  A null key
     cannot join; if the base has any, the whole-row anti join is used (the
     check reads only key columns and Parquet statistics skip row groups
-    without nulls).
+    without nulls).  ``base_key_null_free`` says it is already known (the
+    lake logs null keys while it writes each batch), and skips the check.
     """
     if base is None:
         return new
@@ -115,7 +116,7 @@ def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str]
         null_key = F.lit(False)
         for c in key:
             null_key = null_key | F.col(c).isNull()
-        if base.select(*key).filter(null_key).isEmpty():
+        if base_key_null_free or base.select(*key).filter(null_key).isEmpty():
             return _changed_by_key(new, base, columns, key)
     right = base.select(row_key(base, columns).alias(_KEY))
     if base_unique:

@@ -205,13 +205,25 @@ class TableRuns:
         """Take a run this process just logged into the history (one writer
         per table, so nothing else lands in between; it is the newest run)."""
         info = rec.details or {}
-        top = info.get("max_row_number")
+        top, nulls, of = info.get("max_row_number"), info.get("null_keys"), info.get("null_keys_of")
         self.rows.append({"run_id": rec.run_id, "action": rec.action, "status": rec.status,
                           "last_row_number": rec.last_row_number, "sink_path": info.get("sink_path"),
                           "source_path": info.get("source_path"),
                           "max_row_number": None if top is None else int(top),
+                          "null_keys": None if nulls is None else int(nulls),
+                          "null_keys_of": tuple(of) if of else None,
                           "job_date": rec.job_date, "job_end": rec.job_end})
 
+    def state_key_null_free(self, key) -> bool:
+        """Whether every batch a current state is built from (see
+        ``snapshot_and_after``) logged, while it was written, zero rows with
+        a null in ``key``.  Unknown batches count as "maybe"."""
+        snapshot, after = self.snapshot_and_after()
+        paths = ([snapshot] if snapshot else []) + after
+        logged = {r["sink_path"]: (r["null_keys"], r["null_keys_of"]) for r in self.hits()
+                  if r["sink_path"] is not None}
+        return bool(paths) and all(logged.get(p) == (0, tuple(key)) for p in paths)
+
     def promoted_sources(self) -> set[str]:
         """Source batch paths that successful runs of this zone promoted."""
         return {r["source_path"] for r in self.hits() if r["source_path"] is not None}
@@ -357,9 +369,16 @@ class Ledger:
                         json_field("details", "sink_path").alias("sink_path"),
                         json_field("details", "source_path").alias("source_path"),
                         json_field("details", "max_row_number").cast("long").alias("max_row_number"),
+                        json_field("details", "null_keys").cast("long").alias("null_keys"),
+                        json_field("details", "null_keys_of").alias("null_keys_of"),
                         "job_date", "job_end")
                 .orderBy(*RUN_ORDER).collect())
-        return TableRuns([r.asDict() for r in rows])
+        out = []
+        for r in rows:
+            d = r.asDict()
+            d["null_keys_of"] = tuple(json.loads(d["null_keys_of"])) if d["null_keys_of"] else None
+            out.append(d)
+        return TableRuns(out)
 
     def committed_batches(self, *, zone: str, db_name: str, table_name: str) -> list[tuple[str, str]]:
         """Paths of successful data batches of one table, oldest first."""

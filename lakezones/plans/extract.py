@@ -138,7 +138,8 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
             to_write = numbered_whole()
         elif narrow:
             base_df = diff_base(table, spec, business, base=base, run_date=run_date, runs=history)
-            changed = changed_rows(df, base_df, business, base_unique=True, key=pk)
+            changed = changed_rows(df, base_df, business, base_unique=True, key=pk,
+                                   base_key_null_free=history.state_key_null_free(pk))
             to_write = stamp(attach_row_numbers(changed, df, pk, name=ROW_NUMBER, n_rows=c))
         else:
             stamped = numbered_whole()
@@ -146,9 +147,12 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
             base_df = diff_base(table, spec, compare, base=base, run_date=run_date,
                                 pre_check_last_checkpoint=pre_check_last_checkpoint, runs=history)
             to_write = changed_rows(stamped, base_df, compare, base_unique=keyed_base,
-                                    key=pk if keyed_base else ())
-        rows, top = write_batch_observed(to_write, path, table.fmt, max_of=ROW_NUMBER)
+                                    key=pk if keyed_base else (),
+                                    base_key_null_free=keyed_base and history.state_key_null_free(pk))
+        rows, top, nulls = write_batch_observed(to_write, path, table.fmt, max_of=ROW_NUMBER, null_key=pk)
         details["max_row_number"] = top  # A2 for the promotion, observed during the write
+        if pk:
+            details.update(null_keys=nulls, null_keys_of=pk)
         if rows == 0:
             log.info("extract found no changes: %s.%s", db_name, spec.name)
             return Outcome(spec.name, NO_CHANGES, last_row_number=c)

@@ -81,11 +81,15 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
                     staged = None if versions is None else current_state(versions, primary_key)
                 else:
                     staged = target.read(runs=staged_runs)
+                keyed = base == "current" and bool(primary_key)
                 to_write = changed_rows(incoming, None if staged is None else staged.select(*compare), compare,
-                                        base_unique=base == "current" and bool(primary_key),
-                                        key=primary_key if base == "current" else ())
-            rows, written_top = write_batch_observed(to_write, path, target.fmt, max_of="ROW_NUMBER")
+                                        base_unique=keyed, key=primary_key if keyed else (),
+                                        base_key_null_free=keyed and staged_runs.state_key_null_free(primary_key))
+            rows, written_top, nulls = write_batch_observed(to_write, path, target.fmt, max_of="ROW_NUMBER",
+                                                            null_key=list(primary_key))
             details["max_row_number"] = written_top
+            if primary_key:
+                details.update(null_keys=nulls, null_keys_of=list(primary_key))
             if rows == 0:
                 outcomes.append(Outcome(table_name, NO_CHANGES, last_row_number=m))
                 continue

@@ -19,6 +19,7 @@ writers to one table are out of scope.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -45,22 +46,29 @@ def batch_path(root_of_table: str, run_date, batch_id: str) -> str:
     return f"{root_of_table}/ingest_date={date_text(run_date)}/batch_id={batch_id}"
 
 
-def write_batch_observed(df: DataFrame, path: str, fmt: str = "parquet",
-                         max_of: str | None = None) -> tuple[int, int | None]:
-    """K1: write ``df`` to a new batch directory; returns the row count and
-    the highest value of ``max_of`` (``None`` if absent or empty).
+def write_batch_observed(df: DataFrame, path: str, fmt: str = "parquet", max_of: str | None = None,
+                         null_key: Sequence[str] = ()) -> tuple[int, int | None, int | None]:
+    """K1: write ``df`` to a new batch directory; returns the row count, the
+    highest value of ``max_of`` (``None`` if absent or empty) and the number
+    of rows with a null in ``null_key`` (``None`` without a key).
 
-    Both are taken by an ``Observation`` during the write itself (A2, A3),
-    so the plan runs once and the batch is never scanned again for them.
+    All three are taken by an ``Observation`` during the write itself (A2,
+    A3), so the plan runs once and the batch is never scanned again for
+    them.
     """
     obs = Observation("batch")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if max_of and max_of in df.columns:
         metrics.append(F.max(max_of).cast("long").alias("max"))
+    if null_key:
+        any_null = F.lit(False)
+        for c in null_key:
+            any_null = any_null | F.col(c).isNull()
+        metrics.append(F.count(F.when(any_null, 1)).alias("null_keys"))
     df.observe(obs, *metrics).write.format(fmt).mode("errorifexists").save(path)
     got = obs.get
-    top = got.get("max")
-    return int(got["rows"]), None if top is None else int(top)
+    top, nulls = got.get("max"), got.get("null_keys")
+    return int(got["rows"]), None if top is None else int(top), None if nulls is None else int(nulls)
 
 
 def write_batch(df: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -148,10 +156,13 @@ class LakeTable:
         state = current_state(inputs, primary_key) if primary_key else inputs
         start = utcnow()
         path, batch_id = self.new_batch_path(run_date, new_run_id(start))
-        rows = write_batch(state.drop(*BATCH_COLUMNS), path, self.fmt)
+        rows, _, nulls = write_batch_observed(state.drop(*BATCH_COLUMNS), path, self.fmt,
+                                              null_key=list(primary_key))
+        info = {"sink_path": path, "primary_key": list(primary_key)}
+        if primary_key:
+            info.update(null_keys=nulls, null_keys_of=list(primary_key))
         self.ledger.record(db_name=self.ledger_db, table_name=self.table, action=COMPACT_ACTION, zone=self.zone,
-                           status=SUCCESS_STATUS, last_row_number=rows,
-                           details={"sink_path": path, "primary_key": list(primary_key)},
+                           status=SUCCESS_STATUS, last_row_number=rows, details=info,
                            job_date=as_date(run_date), job_start=start, job_end=utcnow(), run_id=batch_id)
         return rows
 

@@ -365,3 +365,27 @@ def test_source_shrank_logged_only_when_asked(spark, lake):
     assert row["last_row_number"] == 2 and json.loads(row["details"]) == {"reason": "source_shrank", "watermark": 4}
     assert ledger.watermark(zone="raw", db_name="inv", table_name="orders") == 4
     assert _raw(spark, lake).read().count() == 4  # nothing written
+
+
+@pytest.mark.parametrize("null_key_row", [False, True])
+def test_logged_null_keys_decide_the_diff_path(spark, lake, monkeypatch, null_key_row):
+    """Batches log how many rows have a null key.  A state whose batches all
+    logged zero skips the Spark null check; a state with a null key uses the
+    whole-row anti join.  The written increment is the same either way."""
+    import json
+
+    from lakezones.plans import extract as extract_mod
+
+    seen = []
+    real = extract_mod.changed_rows
+    monkeypatch.setattr(extract_mod, "changed_rows",
+                        lambda *a, **k: seen.append(k.get("base_key_null_free")) or real(*a, **k))
+    rows = ORDERS + ([(None, None, 1001, 9, 101)] if null_key_row else [])
+    _extract(spark, lake, rows, ORDERS_SCHEMA)
+    ledger = lake[1]
+    logged = json.loads(ledger.runs(zone="raw", table_name="orders").first()["details"])
+    assert (logged["null_keys"], logged["null_keys_of"]) == (int(null_key_row), ["id"])
+    out = _extract(spark, lake, rows + [NEW_ORDER], ORDERS_SCHEMA, day=D2)
+    assert (out.kind, out.rows_written) == (runs.WRITTEN, 1)
+    assert seen == [not null_key_row]
+    assert [r["id"] for r in _raw(spark, lake).read(job_date=D2).collect()] == [10005]
