@@ -361,11 +361,16 @@ class Ledger:
     def zone_paths(self, zone: str, job_date=None, db_name: str | None = None) -> DataFrame:
         return zone_paths_of(self.frame(), zone=zone, job_date=job_date, db_name=db_name)
 
-    def table_runs(self, *, zone: str, db_name: str, table_name: str) -> TableRuns:
-        """All runs of one table in one zone, oldest first (one query; one
-        row per run of one table, metadata not data)."""
-        rows = (self.runs(zone=zone, db_name=db_name, table_name=table_name)
-                .select("run_id", "action", "status", "last_row_number",
+    def histories(self, *, db_name: str, tables) -> dict[tuple[str, str], TableRuns]:
+        """Run histories of several ``(zone, table_name)`` pairs of one db,
+        each oldest first, read with one query (one row per run of those
+        tables: metadata, not data)."""
+        pairs = list(dict.fromkeys((z, t) for z, t in tables))
+        which = F.lit(False)
+        for zone, table in pairs:
+            which = which | ((F.col("zone") == zone) & (F.col("table_name") == table))
+        rows = (runs_where(self.frame(), db_name=db_name).filter(which)
+                .select("zone", "table_name", "run_id", "action", "status", "last_row_number",
                         json_field("details", "sink_path").alias("sink_path"),
                         json_field("details", "source_path").alias("source_path"),
                         json_field("details", "max_row_number").cast("long").alias("max_row_number"),
@@ -373,12 +378,17 @@ class Ledger:
                         json_field("details", "null_keys_of").alias("null_keys_of"),
                         "job_date", "job_end")
                 .orderBy(*RUN_ORDER).collect())
-        out = []
+        out = {pair: TableRuns([]) for pair in pairs}
         for r in rows:
             d = r.asDict()
+            pair = (d.pop("zone"), d.pop("table_name"))
             d["null_keys_of"] = tuple(json.loads(d["null_keys_of"])) if d["null_keys_of"] else None
-            out.append(d)
-        return TableRuns(out)
+            out[pair].rows.append(d)
+        return out
+
+    def table_runs(self, *, zone: str, db_name: str, table_name: str) -> TableRuns:
+        """All runs of one table in one zone, oldest first (one query)."""
+        return self.histories(db_name=db_name, tables=[(zone, table_name)])[(zone, table_name)]
 
     def committed_batches(self, *, zone: str, db_name: str, table_name: str) -> list[tuple[str, str]]:
         """Paths of successful data batches of one table, oldest first."""

@@ -32,12 +32,13 @@ from .runs import NO_CHANGES, NOT_NEWER, WRITTEN, Outcome, log, record_error
 
 
 def pending_batches(ledger: Ledger, *, db_name: str, table_name: str, job_date, from_zone: str,
-                    to_zone: str, target_runs: TableRuns | None = None) -> list[tuple[str, int | None]]:
+                    to_zone: str, target_runs: TableRuns | None = None,
+                    source_runs: TableRuns | None = None) -> list[tuple[str, int | None]]:
     """Raw batches of ``job_date`` with no staging success naming them,
     oldest first, with the highest row number the extract observed while
     writing each (``None`` for batches logged without it).  Answered from
     the two zones' histories of this table (metadata: one row per run)."""
-    source = ledger.table_runs(zone=from_zone, db_name=db_name, table_name=table_name)
+    source = source_runs or ledger.table_runs(zone=from_zone, db_name=db_name, table_name=table_name)
     done = (target_runs or ledger.table_runs(zone=to_zone, db_name=db_name, table_name=table_name)) \
         .promoted_sources()
     seen, out = set(), []
@@ -57,9 +58,12 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
     source = LakeTable(spark, ledger, lake_root, from_zone, table_name, db_name, schema, action)
     target = LakeTable(spark, ledger, lake_root, to_zone, table_name, db_name, schema, action)
     outcomes = []
-    staged_runs = target.runs()  # one ledger query: promoted sources, F3, A6 and the base batches
+    # one ledger query: pending raw batches, promoted sources, F3, A6 and the base batches
+    both = ledger.histories(db_name=db_name, tables=[(from_zone, table_name), (to_zone, table_name)])
+    staged_runs = both[(to_zone, table_name)]
     for raw_path, top in pending_batches(ledger, db_name=db_name, table_name=table_name, job_date=job_date,
-                                         from_zone=from_zone, to_zone=to_zone, target_runs=staged_runs):
+                                         from_zone=from_zone, to_zone=to_zone, target_runs=staged_runs,
+                                         source_runs=both[(from_zone, table_name)]):
         start = utcnow()
         path, batch_id = target.new_batch_path(job_date)
         details = {"sink_path": path, "source_path": raw_path}

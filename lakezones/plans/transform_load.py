@@ -100,25 +100,29 @@ class WideTable(TransformLoad):
         self.source_zone = source_zone
         self.current = current
 
-    def read_source(self, table: str, primary_key: Sequence[str]) -> DataFrame:
+    def read_source(self, table: str, primary_key: Sequence[str], runs=None) -> DataFrame:
         t = LakeTable(self.spark, self.ledger, self.lake_root, self.source_zone, table, self.db_name, self.schema)
         if self.current and primary_key:
-            versions = t.read_state_inputs()  # newest compaction snapshot + later batches
+            versions = t.read_state_inputs(runs)  # newest compaction snapshot + later batches
             if versions is None:
                 raise ValueError(f"no committed batch of {self.source_zone}.{table}")
             df = current_state(versions, primary_key)
         else:
-            df = t.read()
+            df = t.read(runs=runs)
             if df is None:
                 raise ValueError(f"no committed batch of {self.source_zone}.{table}")
         return df.drop(*[c for c in TECHNICAL_COLUMNS if c in df.columns])
 
     def transform(self, **kwargs) -> tuple[DataFrame, str]:
-        fact = self.read_source(self.fact, self.fact_key)
+        # the histories of every source table in one ledger query
+        hist = self.ledger.histories(db_name=self.db_name,
+                                     tables=[(self.source_zone, t) for t in [self.fact, *[d.table for d in self.dims]]])
+        fact = self.read_source(self.fact, self.fact_key, hist[(self.source_zone, self.fact)])
         # Join keys of later dimensions may come from earlier dimensions.
         keys = [k for d in self.dims for k in ([d.fact_key] if isinstance(d.fact_key, str) else d.fact_key)]
         needed = list(dict.fromkeys(self.fact_columns + [k for k in keys if k in fact.columns]))
-        dims = [Dim(self.read_source(d.table, d.primary_key), d.fact_key, d.dim_key, d.columns) for d in self.dims]
+        dims = [Dim(self.read_source(d.table, d.primary_key, hist[(self.source_zone, d.table)]), d.fact_key, d.dim_key,
+                    d.columns) for d in self.dims]
         out = wide_join(fact.select(*needed), dims)
         keep = self.fact_columns + [c for c in out.columns if c not in needed and c not in keys]
         return out.select(*keep), self.output_table

@@ -98,3 +98,14 @@ def test_table_runs_add_matches_a_fresh_read(spark, lake):
                            job_date="2024-03-08", job_start=T0, job_end=T0 + dt.timedelta(seconds=1)))
     fresh = ledger.table_runs(zone="raw", db_name="db", table_name="t")
     assert runs.rows == fresh.rows
+
+
+def test_histories_of_several_tables_in_one_read(spark, lake):
+    _, ledger = lake
+    _rec(ledger, "t", "succeed", 4, "p1", T0)
+    _rec(ledger, "t", "succeed", 8, "s1", T0, zone="staging")
+    _rec(ledger, "u", "error", 1, "q1", T0)
+    both = ledger.histories(db_name="db", tables=[("raw", "t"), ("staging", "t"), ("raw", "u"), ("raw", "none")])
+    for (zone, table), runs in both.items():
+        assert runs.rows == ledger.table_runs(zone=zone, db_name="db", table_name=table).rows
+    assert [r["sink_path"] for r in both[("staging", "t")].rows] == ["s1"] and both[("raw", "none")].rows == []
