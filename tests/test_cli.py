@@ -42,3 +42,22 @@ def test_extract_promote_compact_wide(spark, tmp_path, capsys):
     main(["compact-ledger", "--lake-root", root])
     out = _lines(capsys)[0]
     assert out["runs"] == 2 + 2 + 2 + 1  # extracts, promotions, compactions, the wide table
+
+
+def test_ml_commands(spark, tmp_path, capsys):
+    """train, select-model and score on a CSV written from the customer table."""
+    csv = scratch_dir(spark, "cli-ml") + "/customer.csv"
+    spark.read.parquet(f"{SF}/customer.parquet").select("c_custkey", "c_acctbal", "c_nationkey", "c_mktsegment") \
+        .coalesce(1).write.option("header", True).csv(csv)
+    ml = ["--csv", csv, "--label", "c_mktsegment", "--features", "c_acctbal,c_nationkey", "--id", "c_custkey"]
+    out_dir = scratch_dir(spark, "cli-ml") + "/predictions"
+    main(["train", *ml, "--output", out_dir])
+    out = _lines(capsys)[0]
+    assert out["train_rows"] + out["test_rows"] == 150
+    assert spark.read.parquet(out_dir).count() == out["test_rows"]
+    model = scratch_dir(spark, "cli-ml") + "/model"
+    main(["select-model", *ml, "--model-path", model, "--parallelism", "2"])
+    sel = _lines(capsys)[0]
+    assert len(sel["validation"]) == 4 and 0.0 <= sel["f1_after_reload"] <= 1.0
+    main(["score", *ml, "--model-path", model, "--limit", "3", "--fraction", "0.5"])
+    assert _lines(capsys)[0]["scored"] == 3
