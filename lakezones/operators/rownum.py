@@ -216,16 +216,14 @@ def _range_sorted_numbering(df: DataFrame, order_by: list[str], name: str, n_row
 
 
 def key_is_unique(df: DataFrame, key: Sequence[str]) -> bool:
-    """Whether ``key`` is non-null and unique in ``df``: a null filter
-    (Parquet statistics skip row groups without nulls), then one aggregate
-    over the key columns only, with map-side combine."""
+    """Whether ``key`` is non-null and unique in ``df``: one aggregate over
+    the key columns only, with map-side combine (null keys form a group of
+    their own and fail the test too)."""
     key = list(key)
     null_key = F.lit(False)
     for c in key:
         null_key = null_key | F.col(c).isNull()
-    if not df.select(*key).filter(null_key).isEmpty():
-        return False
-    return df.groupBy(*key).count().filter(F.col("count") > 1).isEmpty()
+    return df.groupBy(*key).count().filter((F.col("count") > 1) | null_key).isEmpty()
 
 
 def attach_row_numbers(rows: DataFrame, universe: DataFrame, key: Sequence[str], name: str = "ROW_NUMBER",
