@@ -153,10 +153,6 @@ class RunRecord:
                            "job_date": self.job_date.isoformat(), "job_start": ts(self.job_start),
                            "job_end": ts(self.job_end)})
 
-    def as_row(self) -> tuple:
-        return (self.run_id, self.db_name, self.table_name, self.action, self.zone, self.status,
-                int(self.last_row_number), json.dumps(self.details, sort_keys=True, default=str),
-                self.job_date, self.job_start, self.job_end)
 
 
 @dataclass

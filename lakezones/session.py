@@ -66,11 +66,3 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder below the shared root."""
     return f"{shared_root(spark)}/lakezones/{label}-{uuid.uuid4().hex[:12]}"
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on its file system (local, HDFS, object store)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
