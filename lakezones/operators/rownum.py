@@ -87,6 +87,10 @@ SINGLE_TASK_ROWS = 250_000
 # texts, make smaller buckets).
 TARGET_TASK_BYTES = 512 * 1024 * 1024
 SAMPLE_ROWS = 10_000
+# Hard cap on buckets: the boundaries reach the driver and the offsets are a
+# broadcast table of this many rows at most (about 12 MB).  About 100 TB
+# makes ~200k buckets of 512 MB; beyond the cap buckets simply grow.
+MAX_BUCKETS = 1_000_000
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -126,7 +130,7 @@ def _default_buckets(df: DataFrame, n_rows: int | None, rows_per_bucket: int) ->
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     by_size = -(-int(n_rows) // rows_per_bucket) if n_rows else 1
-    return max(parts, spark.sparkContext.defaultParallelism, by_size, 1)
+    return min(MAX_BUCKETS, max(parts, spark.sparkContext.defaultParallelism, by_size, 1))
 
 
 def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NUMBER",
@@ -171,9 +175,11 @@ def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NU
                                .cast("int")).drop(_KEY, "__rn_null")
 
     counts = tagged.groupBy(_BUCKET).count().collect()  # at most len(splits) + 1 rows
-    if counts and max(r["count"] for r in counts) > 2 * rows_per_bucket:
+    total = sum(r["count"] for r in counts)
+    target = max(rows_per_bucket, -(-total // buckets))  # larger only past MAX_BUCKETS
+    if counts and max(r["count"] for r in counts) > 2 * target:
         # a hot leading value: one window task would hold it whole
-        return _range_sorted_numbering(df, order_by, name, sum(r["count"] for r in counts), rows_per_bucket)
+        return _range_sorted_numbering(df, order_by, name, total, rows_per_bucket)
     offsets, running = [], 0
     for row in sorted(counts, key=lambda r: r[_BUCKET]):
         offsets.append((row[_BUCKET], running))

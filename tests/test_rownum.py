@@ -103,3 +103,19 @@ def test_wide_rows_make_smaller_window_tasks(spark, monkeypatch):
     assert seen and seen[0] == 1_000
     assert got.select("k", "ROW_NUMBER").filter("k + 1 != ROW_NUMBER").count() == 0
     assert rownum.rows_per_task(df, 4_000_000) == 1_000
+
+
+def test_bucket_count_is_capped(spark, monkeypatch):
+    """Past MAX_BUCKETS buckets grow instead (the boundary list and the
+    broadcast offsets stay bounded); numbers stay exact and no hot bucket is
+    reported for evenly spread keys."""
+    from lakezones.operators import rownum
+
+    monkeypatch.setattr(rownum, "MAX_BUCKETS", 4)
+    taken = []
+    real = rownum._range_sorted_numbering
+    monkeypatch.setattr(rownum, "_range_sorted_numbering", lambda *a, **k: taken.append(1) or real(*a, **k))
+    df = spark.range(20_000).select(F.col("id").alias("k"))
+    got = rownum.dense_row_number(df, ["k"], rows_per_bucket=100, single_task_rows=0)
+    assert got.filter("k + 1 != ROW_NUMBER").count() == 0 and not taken
+    assert rownum._default_buckets(df, 10**12, 100) == 4
