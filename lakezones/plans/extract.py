@@ -73,13 +73,15 @@ def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: st
 def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: TableSource, spec: TableSpec, *,
                   db_name: str, schema: str, run_date, zone: str = RAW_ZONE, action: str = EXTRACT_ACTION,
                   base: str = "current", legacy: bool = False, pre_check_last_checkpoint: bool = False,
-                  snapshot: bool | None = None, log_skipped: bool = False) -> Outcome:
+                  snapshot: bool | None = None, log_skipped: bool = False,
+                  history: TableRuns | None = None) -> Outcome:
     """I1 for one table (decision table in the module docstring).
 
     ``log_skipped`` logs a ``skipped`` ledger row (with the source count and
     the watermark) when the source has fewer rows than the watermark; the
     reference logs nothing there, and a skipped row never moves the
-    watermark.
+    watermark.  ``history`` is the table's run history when the caller has
+    already read it (``run_extract`` reads all tables' histories at once).
     """
     start = utcnow()
     run_date = as_date(run_date)
@@ -99,7 +101,7 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
     # Contract check outside the error capture: a broken contract stops the run.
     spec.check(df)
     business = [c for c in df.columns if c not in TECHNICAL_COLUMNS]
-    history = table.runs()  # one ledger query answers the watermark and the base batches
+    history = history or table.runs()  # one ledger query answers the watermark and the base batches
     w = history.watermark(action)
     if 0 < w and c < w:
         log.info("extract skipped, %s.%s has %d rows < watermark %d", db_name, spec.name, c, w)
@@ -172,5 +174,9 @@ def run_extract(spark: SparkSession, lake_root: str, ledger: Ledger, sources: Ma
     configured tables, each a distributed job."""
     if single_table is not None:
         specs = {single_table: select_table(specs, single_table)}
+    zone = options.get("zone", RAW_ZONE)
+    # every table's history in one ledger query; each run writes only its own table's runs
+    histories = ledger.histories(db_name=db_name, tables=[(zone, spec.name) for spec in specs.values()])
     return [extract_table(spark, lake_root, ledger, sources[name], spec, db_name=db_name, schema=schema,
-                          run_date=run_date, **options) for name, spec in specs.items()]
+                          run_date=run_date, history=histories[(zone, spec.name)], **options)
+            for name, spec in specs.items()]
