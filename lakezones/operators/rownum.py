@@ -111,16 +111,20 @@ def _row_bytes(df: DataFrame) -> Column:
     return total
 
 
-def rows_per_task(df: DataFrame, rows_per_bucket: int, sample_rows: int = SAMPLE_ROWS) -> int:
+def rows_per_task(df: DataFrame, rows_per_bucket: int, sample_rows: int = SAMPLE_ROWS,
+                  row_bytes: float | None = None) -> int:
     """``rows_per_bucket`` capped so one window task holds about
-    ``TARGET_TASK_BYTES``.  The row size is averaged over the first
-    ``sample_rows`` rows (``take``: partitions are read one after another
-    until enough rows arrive, not a scan of the table)."""
-    sizes = [r[0] for r in df.select(_row_bytes(df)).take(sample_rows)]
-    if not sizes:
-        return rows_per_bucket
-    avg = max(1.0, sum(sizes) / len(sizes))
-    return max(1_000, min(rows_per_bucket, int(TARGET_TASK_BYTES / avg)))
+    ``TARGET_TASK_BYTES``.  The row size is ``row_bytes`` if the caller
+    knows it, else averaged over the first ``sample_rows`` rows (``take``:
+    on a scan, partitions are read one after another until enough rows
+    arrive; an input behind a shuffle runs that shuffle first, so pass
+    ``row_bytes`` there)."""
+    if row_bytes is None:
+        sizes = [r[0] for r in df.select(_row_bytes(df)).take(sample_rows)]
+        if not sizes:
+            return rows_per_bucket
+        row_bytes = sum(sizes) / len(sizes)
+    return max(1_000, min(rows_per_bucket, int(TARGET_TASK_BYTES / max(1.0, row_bytes))))
 
 
 def _default_buckets(df: DataFrame, n_rows: int | None, rows_per_bucket: int) -> int:
@@ -136,9 +140,10 @@ def _default_buckets(df: DataFrame, n_rows: int | None, rows_per_bucket: int) ->
 def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NUMBER",
                      buckets: int | None = None, relative_error: float | None = None,
                      n_rows: int | None = None, rows_per_bucket: int | None = None,
-                     single_task_rows: int | None = None) -> DataFrame:
+                     single_task_rows: int | None = None, row_bytes: float | None = None) -> DataFrame:
     """``1..n`` in ``order_by`` order; ``n_rows`` (the exact row count, if
-    known) picks the path and sizes the buckets."""
+    known) picks the path and sizes the buckets; ``row_bytes`` (average row
+    size, if known) skips the size sample."""
     order_by = list(order_by)
     if not order_by:
         raise ValueError("dense_row_number needs order columns")
@@ -148,7 +153,7 @@ def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NU
         if n_rows is None:
             n_rows = df.count()
         if n_rows > SAMPLE_ROWS:  # wide rows: smaller window tasks
-            rows_per_bucket = rows_per_task(df, rows_per_bucket)
+            rows_per_bucket = rows_per_task(df, rows_per_bucket, row_bytes=row_bytes)
             single_task_rows = min(single_task_rows, rows_per_bucket)
         if n_rows <= single_task_rows:
             w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])

@@ -119,3 +119,13 @@ def test_bucket_count_is_capped(spark, monkeypatch):
     got = rownum.dense_row_number(df, ["k"], rows_per_bucket=100, single_task_rows=0)
     assert got.filter("k + 1 != ROW_NUMBER").count() == 0 and not taken
     assert rownum._default_buckets(df, 10**12, 100) == 4
+
+
+def test_known_row_size_skips_the_sample(spark, monkeypatch):
+    from lakezones.operators import rownum
+
+    monkeypatch.setattr(rownum, "_row_bytes", lambda df: (_ for _ in ()).throw(AssertionError("sampled")))
+    df = spark.range(20_000).select(F.col("id").alias("k"))
+    got = rownum.dense_row_number(df, ["k"], single_task_rows=0, row_bytes=24.0)
+    assert got.filter("k + 1 != ROW_NUMBER").count() == 0
+    assert rownum.rows_per_task(df, 4_000_000, row_bytes=1_000_000.0) == 1_000
