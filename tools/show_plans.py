@@ -61,6 +61,8 @@ def main() -> None:
          attach_row_numbers(keyed, orders, ["o_orderkey"], n_rows=10**9)),
         ("Dense row numbers, bucketed window (P4, W1)",
          dense_row_number(orders, ["o_orderkey"], n_rows=10**9, single_task_rows=0)),
+        ("Dense row numbers, range-sorted path on a text key (checkpointed; plan after the checkpoint)",
+         dense_row_number(Q.table(spark, sf, "customer"), ["c_name"], n_rows=10**9, single_task_rows=0)),
         ("Watermarks for every table (A5)", watermarks_of(Q.events_ledger(Q.table(spark, sf, "events")))),
     ]
     print("# Physical plans at scale\n")
