@@ -238,7 +238,7 @@ def key_is_unique(df: DataFrame, key: Sequence[str]) -> bool:
 
 
 def attach_row_numbers(rows: DataFrame, universe: DataFrame, key: Sequence[str], name: str = "ROW_NUMBER",
-                       n_rows: int | None = None) -> DataFrame:
+                       n_rows: int | None = None, single_task_rows: int | None = None) -> DataFrame:
     """Give ``rows`` their position in ``key`` order of ``universe`` (which
     holds every row of ``rows``; ``key`` unique and non-null there, see
     ``key_is_unique``).
@@ -248,7 +248,8 @@ def attach_row_numbers(rows: DataFrame, universe: DataFrame, key: Sequence[str],
     (the output of a diff joined on it) only the narrow numbers move.
     """
     key = list(key)
-    numbers = dense_row_number(universe.select(*key), key, name=name, n_rows=n_rows)
+    numbers = dense_row_number(universe.select(*key), key, name=name, n_rows=n_rows,
+                               single_task_rows=single_task_rows)
     return rows.join(numbers, key, "inner").select(*rows.columns, name)
 
 

@@ -74,7 +74,7 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
                   db_name: str, schema: str, run_date, zone: str = RAW_ZONE, action: str = EXTRACT_ACTION,
                   base: str = "current", legacy: bool = False, pre_check_last_checkpoint: bool = False,
                   snapshot: bool | None = None, log_skipped: bool = False,
-                  history: TableRuns | None = None) -> Outcome:
+                  history: TableRuns | None = None, single_task_rows: int | None = None) -> Outcome:
     """I1 for one table (decision table in the module docstring).
 
     ``log_skipped`` logs a ``skipped`` ledger row (with the source count and
@@ -82,6 +82,8 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
     reference logs nothing there, and a skipped row never moves the
     watermark.  ``history`` is the table's run history when the caller has
     already read it (``run_extract`` reads all tables' histories at once).
+    ``single_task_rows`` overrides the small-table size of the numbering
+    (0 takes the at-scale paths at any size).
     """
     start = utcnow()
     run_date = as_date(run_date)
@@ -120,10 +122,11 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
 
     def numbered_whole() -> DataFrame:
         if pk:
-            numbered = dense_row_number(df, pk, n_rows=c)
+            numbered = dense_row_number(df, pk, n_rows=c, single_task_rows=single_task_rows)
         else:  # no key: order by a row hash first so buckets stay balanced
             numbered = dense_row_number(df.withColumn("__row_hash", row_hash(business)),
-                                        ["__row_hash", *business], n_rows=c).drop("__row_hash")
+                                        ["__row_hash", *business], n_rows=c,
+                                        single_task_rows=single_task_rows).drop("__row_hash")
         return stamp(numbered)
 
     path, batch_id = table.new_batch_path(run_date)
@@ -135,14 +138,16 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
         # second time for the numbering window.  Exact only for a unique,
         # non-null key; that is checked first (narrow), otherwise the rows are
         # numbered whole.
-        narrow = w > 0 and keyed_base and c > rownum.SINGLE_TASK_ROWS and key_is_unique(df, pk)
+        small = rownum.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+        narrow = w > 0 and keyed_base and c > small and key_is_unique(df, pk)
         if w == 0:
             to_write = numbered_whole()
         elif narrow:
             base_df = diff_base(table, spec, business, base=base, run_date=run_date, runs=history)
             changed = changed_rows(df, base_df, business, base_unique=True, key=pk,
                                    base_key_null_free=history.state_key_null_free(pk))
-            to_write = stamp(attach_row_numbers(changed, df, pk, name=ROW_NUMBER, n_rows=c))
+            to_write = stamp(attach_row_numbers(changed, df, pk, name=ROW_NUMBER, n_rows=c,
+                                                single_task_rows=single_task_rows))
         else:
             stamped = numbered_whole()
             compare = stamped.columns if legacy else business

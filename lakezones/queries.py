@@ -325,6 +325,18 @@ def q_extract_incremental(spark, sf):
     return _zone(spark, root, ledger, "raw", ORDERS_SPEC).read(job_date=DAY2)
 
 
+def q_extract_incremental_at_scale(spark, sf):
+    """``extract_incremental`` with the small-table shortcut off, so the
+    driver's check covers the at-scale paths: the first load is numbered by
+    the bucketed window, the increment diffs unnumbered rows and numbers the
+    key alone (joined back)."""
+    orders = table(spark, sf, "orders")
+    root, ledger = _lake(spark, "extract_scale")
+    _extract(spark, root, ledger, old_orders(orders), ORDERS_SPEC, DAY1, single_task_rows=0)
+    _extract(spark, root, ledger, orders, ORDERS_SPEC, DAY2, single_task_rows=0)
+    return _zone(spark, root, ledger, "raw", ORDERS_SPEC).read(job_date=DAY2)
+
+
 def q_extract_reverted_row(spark, sf):
     orders = table(spark, sf, "orders")
     root, ledger = _lake(spark, "extract_revert")
@@ -576,6 +588,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_lines": q_text_lines,
     "extract_first_load": q_extract_first_load,
     "extract_incremental": q_extract_incremental,
+    "extract_incremental_at_scale": q_extract_incremental_at_scale,
     "extract_reverted_row": q_extract_reverted_row,
     "extract_deleted_source": q_extract_deleted_source,
     "failed_run_logged": q_failed_run_logged,
@@ -679,6 +692,7 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
     "text_lines": "SELECT '(''' || c_name || ''', ' || CAST(c_custkey AS VARCHAR) || ')' AS value FROM customer",
     "extract_first_load": _numbered("SELECT * FROM orders", DAY1),
     "extract_incremental": _changed_join("SELECT * FROM orders", OLD_ORDERS_SQL, DAY2),
+    "extract_incremental_at_scale": _changed_join("SELECT * FROM orders", OLD_ORDERS_SQL, DAY2),
     "extract_reverted_row": _changed_join("SELECT * FROM orders", ALTERED_ORDERS_SQL, DAY3),
     "extract_deleted_source": (f"SELECT 'orders' AS table_name, 'succeed' AS status, COUNT(*) AS last_row_number, "
                                f"DATE '{DAY1}' AS job_date FROM orders"),
