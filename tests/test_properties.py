@@ -118,3 +118,17 @@ def test_hot_copies_on_the_new_side_are_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("ab'\"\\\n\r\t x")), max_size=8)),
+                      min_size=1, max_size=12))
+def test_text_sink_matches_python_repr(spark, texts):
+    """K3: the text sink formats rows like Python's repr of a tuple, for
+    quotes, backslashes and control characters too."""
+    from lakezones.sources.lake import python_tuple_text
+    from pyspark.sql.types import IntegerType, StringType
+
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "s string, n int")
+    got = sorted(r[0] for r in df.select(python_tuple_text(("s", StringType()), ("n", IntegerType()))).collect())
+    assert got == sorted(repr((t, i)) for i, t in enumerate(texts))
