@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, scratch_dir
@@ -30,7 +31,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of whole rows of about ``max_bytes`` of text each."""
     col = batch.column(batch.schema.get_field_index(column))
-    sizes = pa.compute.binary_length(col).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(col).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(sizes):
         n = 0 if n != n else int(n)  # NaN: null text

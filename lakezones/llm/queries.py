@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from .chat_format import END, START, format_turns, read_back
 from .common import stored, table
 from .licenses import license_matches, license_sql
+from .packing import pack_documents
+from .token_store import new_store_path, open_store, read_documents, write_store
 from .url_filter import url_verdicts, with_host_path
+from .winnow import edit_fingerprints
 
 # The rules of the URL query, and terms of unwanted host names.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -41,6 +44,30 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id"""
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file on this machine; workers have the same installation."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), keep_ids=False)
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as directly addressable codes and read back."""
+    path = new_store_path(spark)
+    write_store(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"))
+    return read_documents(open_store(spark, path), keep_ids=False)
+
+
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edits."""
+    return edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in all documents."""
     return license_matches(table(spark, sf_dir, "documents"))
@@ -72,6 +99,9 @@ FROM p LEFT JOIN m ON p.page_id = m.page_id AND k = 1"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_token_store": op4_token_store,
+    "op6_winnowing": op6_winnowing,
     "op7_license_scan": op7_license_scan,
     "op9_url_filter": op9_url_filter,
 }
