@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from .chat_format import END, START, format_turns, read_back
 from .common import stored, table
+from .lang_crf import fit_documents, predict
 from .licenses import license_matches, license_sql
 from .packing import pack_documents
+from .suffix_dedup import removal
 from .token_store import new_store_path, open_store, read_documents, write_store
 from .url_filter import url_verdicts, with_host_path
 from .winnow import edit_fingerprints
@@ -56,6 +58,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), keep_ids=False)
 
 
+def held_out():
+    """Documents that the language model never learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by a model of those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_documents(docs.where(F.col("doc_id").isNotNull() & ~held_out()))
+    return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as directly addressable codes and read back."""
     path = new_store_path(spark)
@@ -63,6 +77,11 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(open_store(spark, path), keep_ids=False)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents that 50-byte strings of smaller documents cover."""
+    return removal(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edits."""
     return edit_fingerprints(table(spark, sf_dir, "documents"))
@@ -100,7 +119,9 @@ FROM p LEFT JOIN m ON p.page_id = m.page_id AND k = 1"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_language_id": op3_language_id,
     "op4_token_store": op4_token_store,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_winnowing": op6_winnowing,
     "op7_license_scan": op7_license_scan,
     "op9_url_filter": op9_url_filter,
