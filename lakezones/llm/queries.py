@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat_format import END, START, format_turns, read_back
 from .common import stored, table
+from .jaccard import jaccard_components
 from .lang_crf import fit_documents, predict
 from .licenses import license_matches, license_sql
 from .packing import pack_documents
@@ -92,6 +93,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_matches(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by 4-word shingles at 85 %."""
+    return jaccard_components(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url; the list of blocked hosts is every host of the corpus whose name has a term."""
     pages = table(spark, sf_dir, "pages")
@@ -124,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_winnowing": op6_winnowing,
     "op7_license_scan": op7_license_scan,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_url_filter": op9_url_filter,
 }
 
