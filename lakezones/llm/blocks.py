@@ -25,11 +25,13 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..session import ensure_checkpoint_dir, scratch_dir
 from .common import stored
 from .words import Texts
 
+_NO_TEXT = "_no_text"
 BLOCK_BYTES = 4 << 20  # of text in a block; a longer text is a block of its own
 
 
@@ -43,15 +45,18 @@ class Block(Texts):
         ids = np.frombuffer(raw, "<i8", n, 8 + n)
         self.ends = np.cumsum(np.frombuffer(raw, "<i8", n, 8 + 9 * n))
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
-        self.buf = np.frombuffer(raw, np.uint8, int(self.ends[-1]) if n else 0, 8 + 17 * n)
+        total = int(self.ends[-1]) if n else 0
+        self.buf = np.frombuffer(raw, np.uint8, total, 8 + 17 * n)
         self.doc_ids = [int(i) if k else None for i, k in zip(ids, known)]
+        self.carried = raw[8 + 17 * n + total:].decode().split("\n")  # JSON has no bare line ends
 
     @staticmethod
-    def pack(doc_ids: list, texts: list[bytes]) -> bytes:
+    def pack(doc_ids: list, texts: list[bytes], carried: list[str]) -> bytes:
         known = np.array([d is not None for d in doc_ids], np.uint8)
         ids = np.array([d or 0 for d in doc_ids], "<i8")
         sizes = np.array([len(t) for t in texts], "<i8")
         raw = struct.pack("<Q", len(texts)) + known.tobytes() + ids.tobytes() + sizes.tobytes() + b"".join(texts)
+        raw += "\n".join(carried).encode()
         return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
@@ -61,30 +66,37 @@ _BLOCKS = pa.schema([("block", pa.int64()), ("n_bytes", pa.int64()), ("payload",
 class BlockTable:
     """The blocks of a table of documents, written once."""
 
-    def __init__(self, docs: DataFrame, label: str, ordered: bool, block_bytes: int = BLOCK_BYTES):
-        """``ordered``: ascending blocks hold ascending documents, by (doc_id with nulls first, hash of text, text)."""
+    def __init__(self, docs: DataFrame, label: str, ordered: bool, carry: bool = False, block_bytes: int = BLOCK_BYTES):
+        """``ordered``: ascending blocks hold ascending documents, by (doc_id with nulls first, hash of text, text).
+
+        ``carry``: the other columns travel as JSON, for ``restored``.
+        """
         spark = docs.sparkSession
         ensure_checkpoint_dir(spark)
-        rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+        rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"] + [F.col("text").isNull().alias(_NO_TEXT)]
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                           (F.to_json(F.struct(*rest)) if carry else F.lit("")).alias("carried"))
+        self.schema = docs.schema
         if ordered:
             rows = rows.withColumn("_h", F.xxhash64("text"))
             rows = rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").drop("_h")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            part, number, size, ids, texts = TaskContext.get().partitionId(), 0, 0, [], []
+            part, number, size, ids, texts, carried = TaskContext.get().partitionId(), 0, 0, [], [], []
 
             def flush() -> pa.RecordBatch:
                 return pa.RecordBatch.from_pydict({"block": [(part << 28) + number], "n_bytes": [size],
-                                                   "payload": [Block.pack(ids, texts)]}, schema=_BLOCKS)
+                                                   "payload": [Block.pack(ids, texts, carried)]}, schema=_BLOCKS)
 
             for batch in batches:
-                for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+                for doc, text, rest in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "carried"))):
                     raw = text.encode()
                     if ids and size + len(raw) > block_bytes:
                         yield flush()
-                        number, size, ids, texts = number + 1, 0, [], []
+                        number, size, ids, texts, carried = number + 1, 0, [], [], []
                     ids.append(doc)
                     texts.append(raw)
+                    carried.append(rest)
                     size += len(raw)
             if ids:
                 yield flush()
@@ -154,6 +166,14 @@ class BlockTable:
 
         return rows.select("block", "payload", *names).mapInArrow(run, schema)
 
+    def restored(self, rows: DataFrame) -> DataFrame:
+        """Rows ``text, carried`` as rows of the documents' own columns."""
+        fields = [f for f in self.schema.fields if f.name != "text"]
+        kinds = StructType([*fields, StructField(_NO_TEXT, BooleanType())])
+        wide = rows.select("text", F.from_json("carried", kinds).alias("_c"))
+        text = F.when(~F.col(f"_c.{_NO_TEXT}") | (F.col("text") != ""), F.col("text")).alias("text")
+        return wide.select(*(text if c == "text" else F.col(f"_c.`{c}`").alias(c) for c in self.schema.names))
+
     def drop(self) -> None:
         """Forget the table's name; its files go with the shared folder."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,3 +41,14 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.Re
         total += n
     if batch.num_rows > start:
         yield batch.slice(start)
+
+
+def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]], max_bytes: int) -> DataFrame:
+    """Whole rows that ``keep`` accepts, judged a few MB of ``text`` at a time; nothing is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", max_bytes):
+                yield part.filter(pa.array(keep(part), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .blocks import Block, BlockTable
 from .common import stored
 from .components import components
-from .words import NOT_SPACE, Words, shingles
+from .words import NOT_SPACE, Words, distinct_index, shingles
 
 GROUPS = 128
 FANOUT = 16
@@ -47,12 +47,13 @@ class Sets:
         self.hash, self.text = h[new], text[new]
         self.sizes = np.bincount(self.text, minlength=len(block))
         short = self.hash >> np.uint64(64 - name_bits) << np.uint64(64 - name_bits)
-        self.names, self.which, self.local = np.unique(short, return_inverse=True, return_counts=True)
+        self.names, _, self.which = distinct_index(short)
+        self.local = np.bincount(self.which, minlength=len(self.names))
 
 
 def frequency(_: int, names: np.ndarray, blocks: np.ndarray) -> np.ndarray:
     """0 for a name of one block, else 1 + log2 of the number of blocks."""
-    order = np.argsort(names, kind="stable")
+    order = np.argsort(names)
     s = names[order]
     begin = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
     count = np.diff(np.append(begin, len(s)))
@@ -61,9 +62,11 @@ def frequency(_: int, names: np.ndarray, blocks: np.ndarray) -> np.ndarray:
     return out
 
 
-def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+ROW_BITS = 22  # a row id is the block's id and the place in the block
+
+
+def profiles(table: BlockTable, k: int, num: int, den: int) -> DataFrame:
     """``rid, doc_id, n`` of every document, and for those that may link also digest, set, prefix and point."""
-    table = BlockTable(docs, "jaccard", ordered=False)
     bits = min(64, max(24, math.ceil(math.log2(max(table.n_bytes(), 2))) + 6))
 
     def send(block: Block, _: dict) -> dict[int, np.ndarray]:
@@ -86,14 +89,12 @@ def profiles(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
             order = np.lexsort((h, r))[alone[i]:need[i]]
             prefix[i] = h[order].view(np.int64)
             point[i] = np.bincount((h >> np.uint64(7)) % np.uint64(GROUPS), minlength=GROUPS).astype("<u4").tobytes()
-        return pa.RecordBatch.from_pydict({"rid": (block_id << 22) + np.arange(n), "doc_id": block.doc_ids, "n": s.sizes,
+        return pa.RecordBatch.from_pydict({"rid": (block_id << ROW_BITS) + np.arange(n), "doc_id": block.doc_ids, "n": s.sizes,
                                            "digest": digest, "shingles": whole, "prefix": prefix, "point": point}, schema=_PROFILE)
 
     seen = table.exchange(send, frequency)
-    out = stored(table.mapped(profile, "rid long, doc_id long, n long, digest binary, shingles binary, "
-                              "prefix array<bigint>, point binary", seen), "jaccard-profiles")
-    table.drop()
-    return out
+    return stored(table.mapped(profile, "rid long, doc_id long, n long, digest binary, shingles binary, "
+                               "prefix array<bigint>, point binary", seen), "jaccard-profiles")
 
 
 _PROFILE = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
@@ -193,7 +194,42 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     text is empty; null doc_ids count as no id (null if a component has no other); rows that share a doc_id are
     documents of their own.  No documents: no rows.  Other columns are ignored.
     """
-    profile = profiles(docs, k, num, den)
+    table = BlockTable(docs, "jaccard", ordered=False)
+    every = rooted(table, k, num, den)
+    table.drop()
+    smallest = stored(every.groupBy("root").agg(F.min("doc_id").alias("component_id")), "jaccard-smallest")
+    return every.join(smallest, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def representatives(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One row of each component with all its columns: that of the smallest doc_id (null last).
+
+    Rows come back from their blocks, so the texts are not shuffled.
+    """
+    table = BlockTable(docs, "jaccard", ordered=False, carry=True)
+    every = rooted(table, k, num, den)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rid"))
+    kept = every.groupBy("root").agg(first.alias("m")).select("m.rid")
+    place = kept.select(F.shiftright("rid", ROW_BITS).alias("block"), (F.col("rid") % (1 << ROW_BITS)).alias("i"))
+    answers = stored(place.groupBy("block").agg(F.collect_list("i").alias("answers")), "jaccard-kept")
+    schema = pa.schema([("text", pa.string()), ("carried", pa.string())])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload, places in zip(batch["payload"], batch["answers"]):
+                block, some = Block(payload.as_py()), sorted(places.as_py() or [])
+                texts = [block.buf[block.starts[i]:block.ends[i]].tobytes().decode() for i in some]
+                yield pa.RecordBatch.from_pydict({"text": texts, "carried": [block.carried[i] for i in some]}, schema=schema)
+
+    rows = table.rows.join(answers, "block").select("payload", "answers").mapInArrow(keep, "text string, carried string")
+    out = table.restored(stored(rows, "jaccard-documents"))
+    table.drop()
+    return out
+
+
+def rooted(table: BlockTable, k: int, num: int, den: int) -> DataFrame:
+    """``rid, doc_id, n, root`` of every document; those of a component share a root."""
+    profile = profiles(table, k, num, den)
     may = profile.where("digest is not null")
     reps = stored(may.groupBy("digest").agg(F.min("rid").alias("rep")), "jaccard-reps")
     members = stored(may.select("rid", "digest").join(reps, "digest").select("rid", "rep"), "jaccard-members")
@@ -227,7 +263,5 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     of = (members.withColumnRenamed("rep", "node").join(roots, "node", "left")
           .select("rid", F.coalesce("root", "node").alias("root")))
-    every = stored(profile.select("rid", "doc_id", "n").join(of, "rid", "left")
-                   .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "rid").alias("root")), "jaccard-docs")
-    smallest = stored(every.groupBy("root").agg(F.min("doc_id").alias("component_id")), "jaccard-smallest")
-    return every.join(smallest, "root").select("doc_id", "n_shingles", "component_id")
+    return stored(profile.select("rid", "doc_id", "n").join(of, "rid", "left")
+                  .select("rid", "doc_id", "n", F.coalesce("root", "rid").alias("root")), "jaccard-docs")

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices
-from .words import LETTER, LOWER, Texts, Words, mix
+from .common import filter_rows, slices
+from .words import LETTER, LOWER, Texts, Words, distinct_index, mix
 
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 4000
@@ -33,6 +33,7 @@ SWITCH_EVERY = 12  # words between switches in the spliced training sequences, o
 ROUNDS = 60
 SLICE_BYTES = 3 << 20
 UNKNOWN = "und"
+MIN_SCORE = 0.4  # a document of which no language has so great a share has no language
 
 _STOPS = np.zeros(256, np.int64)
 _STOPS[[0x0A, 0x21, 0x2E, 0x3F]] = 1  # newline ! . ?
@@ -139,7 +140,7 @@ class Model:
         out = np.zeros((n, k), np.float32)
         if not n:
             return words, out
-        _, at, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        _, at, which = distinct_index(words.hash)
         score = Features(texts, words.starts[at], words.ends[at]).scores(self.weights)
         stops = np.cumsum(_STOPS[texts.buf])[words.starts]  # sentence marks before the word
         new = np.ones(n, bool)
@@ -189,7 +190,7 @@ def fit(sample: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 7) -> M
     if not len(words.starts):
         return None
     truth = np.array([labels.index(lang) for lang, _ in sample])[words.text]
-    _, at, which = np.unique(words.hash, return_index=True, return_inverse=True)
+    _, at, which = distinct_index(words.hash)
     feats = Features(texts, words.starts[at], words.ends[at])
     streams = [np.flatnonzero(truth == j) for j in range(k)]
     total = min(sum(map(len, streams)), 400_000)
@@ -246,26 +247,9 @@ def predict(docs: DataFrame, model: Model | None, keep_words: bool = False) -> D
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        crf = shared.value
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                texts = Texts(part["text"])
-                n = len(texts)
-                pred, score = [UNKNOWN] * n, np.zeros(n)
-                marks: list[list] = [[] for _ in range(n)]
-                if crf is not None:
-                    words, post = crf.word_posteriors(texts)
-                    k = len(crf.labels)
-                    sums = np.stack([np.bincount(words.text, post[:, j], n) for j in range(k)], axis=1)
-                    found = sums.sum(axis=1)
-                    best = sums.argmax(axis=1)
-                    for i in np.flatnonzero(found > 0):
-                        if any(c.isalpha() for c in part["text"][int(i)].as_py()):
-                            pred[i], score[i] = crf.labels[best[i]], min(1.0, sums[i, best[i]] / found[i])
-                    if keep_words:
-                        for i, a, b, j in zip(words.text, words.starts, words.ends, post.argmax(axis=1)):
-                            base = int(texts.starts[i])
-                            marks[i].append({"from": int(a) - base, "to": int(b) - base, "lang": crf.labels[j]})
+                pred, score, marks = _judge(shared.value, part["text"], keep_words)
                 out = {"doc_id": part["doc_id"], "lang_pred": pred, "score": score}
                 if keep_words:
                     out["words"] = marks
@@ -273,3 +257,36 @@ def predict(docs: DataFrame, model: Model | None, keep_words: bool = False) -> D
 
     kind = ", words array<struct<from: bigint, to: bigint, lang: string>>" if keep_words else ""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, lang_pred string, score double{kind}")
+
+
+def _judge(crf: Model | None, column: pa.Array, keep_words: bool) -> tuple[list[str], np.ndarray, list[list]]:
+    texts = Texts(column)
+    n = len(texts)
+    pred, score = [UNKNOWN] * n, np.zeros(n)
+    marks: list[list] = [[] for _ in range(n)]
+    if crf is None:
+        return pred, score, marks
+    words, post = crf.word_posteriors(texts)
+    sums = np.stack([np.bincount(words.text, post[:, j], n) for j in range(len(crf.labels))], axis=1)
+    found, best = sums.sum(axis=1), sums.argmax(axis=1)
+    for i in np.flatnonzero(found > 0):
+        if any(c.isalpha() for c in column[int(i)].as_py()):
+            pred[i], score[i] = crf.labels[best[i]], min(1.0, sums[i, best[i]] / found[i])
+    if keep_words:
+        for i, a, b, j in zip(words.text, words.starts, words.ends, post.argmax(axis=1)):
+            base = int(texts.starts[i])
+            marks[i].append({"from": int(a) - base, "to": int(b) - base, "lang": crf.labels[j]})
+    return pred, score, marks
+
+
+def in_language(docs: DataFrame, model: Model | None, min_score: float = MIN_SCORE) -> DataFrame:
+    """The documents, all columns, whose language is known with ``min_score`` or more; all if nothing was learned."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(part: pa.RecordBatch) -> list[bool]:
+        pred, score, _ = _judge(shared.value, part["text"], False)
+        return [p != UNKNOWN and s >= min_score for p, s in zip(pred, score)]
+
+    return filter_rows(docs, keep, SLICE_BYTES)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat_format import END, START, format_turns, read_back
 from .common import stored, table
+from .decontam import contamination
 from .jaccard import jaccard_components
 from .lang_crf import fit_documents, predict
 from .licenses import license_matches, license_sql
@@ -80,7 +81,7 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents that 50-byte strings of smaller documents cover."""
-    return removal(table(spark, sf_dir, "documents"), keep_text=False)
+    return removal(table(spark, sf_dir, "documents"))
 
 
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +123,11 @@ SELECT p.page_id, host, path, rule,
 FROM p LEFT JOIN m ON p.page_id = m.page_id AND k = 1"""
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -132,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_license_scan": op7_license_scan,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_url_filter": op9_url_filter,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {

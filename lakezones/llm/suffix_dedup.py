@@ -22,10 +22,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .blocks import Block, BlockTable
 from .common import stored
@@ -35,7 +37,7 @@ LENGTH = 50
 PERIOD = 31
 # A perfect difference set modulo 31 (every difference but 0 occurs once).
 COVER = (1, 5, 11, 24, 25, 27)
-CHUNK = 128  # mean bytes between content-defined cuts
+CUT_BITS = 7  # content-defined cuts come every 2^7 bytes on average
 CUT_GRAM = 8
 
 ANCHORS, CHUNKS, STRINGS = 0, 1, 2
@@ -69,23 +71,22 @@ class Positions:
         lengths = block.ends - block.starts
         long = lengths >= length
         self.starts, self.ends = block.starts[long], block.ends[long]
-        self.doc = np.flatnonzero(long)  # text of each
         sizes = self.ends - self.starts
-        self.first = np.cumsum(sizes) - sizes
-        at = np.arange(int(sizes.sum())) - np.repeat(self.first, sizes)  # place in the document
-        where = at + np.repeat(self.starts, sizes)
-        left = np.repeat(sizes, sizes) - at
+        begin = np.cumsum(sizes) - sizes
+        where = np.arange(int(sizes.sum())) + np.repeat(self.starts - begin, sizes)
         tuple_size = length - PERIOD + 1
-        sampled = _IN_COVER[at % PERIOD] & (left >= tuple_size)
-        self.anchor_at = where[sampled]
+        most = int(sizes.max()) if len(sizes) else 0
+        cover = np.flatnonzero(_IN_COVER[np.arange(most) % PERIOD])
+        per_text = np.searchsorted(cover, np.maximum(sizes - tuple_size + 1, 0))  # sampled places that fit
+        skip = np.cumsum(per_text) - per_text
+        self.anchor_at = cover[np.arange(int(per_text.sum())) - np.repeat(skip, per_text)] + np.repeat(self.starts, per_text)
         names = mix(self.range_hash(self.anchor_at, self.anchor_at + tuple_size))
         self.anchor = names >> np.uint64(64 - anchor_bits) << np.uint64(64 - anchor_bits)
-        del sampled
-        gram = self.range_hash(where[left >= CUT_GRAM], where[left >= CUT_GRAM] + CUT_GRAM)
-        cut = np.zeros(len(where), bool)
-        cut[left >= CUT_GRAM] = mix(gram) % np.uint64(CHUNK) == 0
-        cut &= left >= length  # a string begins here
-        cut[self.first] = True
+        begins = np.ones(len(where), bool)  # a string begins here
+        begins[(np.repeat(begin + sizes, length - 1) - np.tile(np.arange(1, length), len(sizes)))] = False
+        where = where[begins]
+        cut = mix(self.range_hash(where, where + CUT_GRAM)) % np.uint64(1 << CUT_BITS) == 0
+        cut[begin - np.arange(len(begin)) * (length - 1)] = True
         self.chunk_from = where[cut]
         owner = np.searchsorted(self.ends, self.chunk_from, side="right")
         after = np.append(self.chunk_from[1:], np.iinfo(np.int64).max)
@@ -120,30 +121,39 @@ def covering(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def grouped(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct names, which of them each place has, and the first and last text of each (``docs`` ascends)."""
-    order = np.argsort(names, kind="stable")
+    """Distinct names, which of them each place has, and the first and last text of each."""
+    order = np.argsort(names)
     s = names[order]
-    new = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.empty(0, bool)
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
     begin = np.flatnonzero(new)
     which = np.empty(len(names), np.int64)
     which[order] = np.cumsum(new) - 1
-    last = np.append(begin[1:], len(s)) - 1 if len(begin) else begin
-    return s[begin], which, docs[order[begin]], docs[order[last]]
+    owner = docs[order]
+    if not len(begin):
+        return s, which, owner, owner
+    return s[begin], which, np.minimum.reduceat(owner, begin), np.maximum.reduceat(owner, begin)
 
 
 def answer(kind: int, names: np.ndarray, blocks: np.ndarray) -> np.ndarray:
     """Tuples: do two blocks have it? Chunks and strings: does an earlier block have it?"""
-    order = np.lexsort((blocks, names))
+    order = np.argsort(names)
     s = names[order]
-    same = s[1:] == s[:-1]
-    out = np.zeros(len(names), np.uint8)
-    later = np.concatenate([[False], same])
-    out[order] = later | np.concatenate([same, [False]]) if kind == ANCHORS else later
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    begin = np.flatnonzero(new)
+    sizes = np.diff(np.append(begin, len(s)))
+    out = np.empty(len(names), np.uint8)
+    if kind == ANCHORS:
+        out[order] = np.repeat(sizes > 1, sizes)
+    else:
+        owner = blocks[order]
+        out[order] = owner > np.repeat(np.minimum.reduceat(owner, begin), sizes)
     return out
 
 
 class Marks:
-    """The three steps on a block, each from the answers so far."""
+    """The last two steps on a block, each from the answers so far."""
 
     def __init__(self, block: Block, length: int, anchor_bits: int):
         self.p = Positions(block, length, anchor_bits)
@@ -173,47 +183,66 @@ def _said(answers: dict[int, np.ndarray], kind: int, n: int) -> np.ndarray:
     return np.zeros(n, bool) if said is None else said.astype(bool)
 
 
-def removal(docs: DataFrame, length: int = LENGTH, keep_text: bool = True) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the remaining bytes) of every document.
+def removal(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document.
 
     A byte goes if a ``length``-byte string that covers it also starts in a smaller document; strings are
     judged on the input, overlaps count, nothing crosses documents.  Null texts are empty, texts shorter than
     ``length`` keep all.  Null doc_ids are the smallest; of rows that share a doc_id the one with the
     smaller (hash of text, text) counts as the smaller document.  No documents: no rows.  Other columns are ignored.
     """
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    schema = pa.schema(list(zip(names, [pa.int64()] * 4 + [pa.string()])))
+
+    def result(block: Block, gone: np.ndarray) -> pa.RecordBatch:
+        total, rows = np.concatenate([[0], np.cumsum(gone)]), []
+        for doc, a, b in zip(block.doc_ids, block.starts.tolist(), block.ends.tolist()):
+            part = gone[a:b]
+            spans = int((part[1:] & ~part[:-1]).sum() + part[0]) if b > a else 0
+            kept = block.buf[a:b][~part].tobytes()
+            rows.append((doc, b - a, int(total[b] - total[a]), spans, hashlib.sha256(kept).hexdigest()))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema)
+
+    done, table = _judged(docs, length, False, result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    table.drop()
+    return done
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents with what ``removal`` removes cut from their texts; all rows and columns stay.
+
+    Bytes of a code point that was cut in two go as well; ``n_chars``, if there, is counted anew.
+    """
+    schema = pa.schema([("text", pa.string()), ("carried", pa.string())])
+
+    def result(block: Block, gone: np.ndarray) -> pa.RecordBatch:
+        texts = [block.buf[a:b][~gone[a:b]].tobytes().decode(errors="ignore")
+                 for a, b in zip(block.starts.tolist(), block.ends.tolist())]
+        return pa.RecordBatch.from_pydict({"text": texts, "carried": block.carried}, schema=schema)
+
+    done, table = _judged(docs, length, True, result, "text string, carried string")
+    out = table.restored(done)
+    table.drop()
+    return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+
+
+def _judged(docs: DataFrame, length: int, carry: bool, result: Callable[[Block, np.ndarray], pa.RecordBatch],
+            schema: str) -> tuple[DataFrame, BlockTable]:
     if length <= PERIOD:
         raise ValueError(f"length must be over {PERIOD}")
-    table = BlockTable(docs, "suffix", ordered=True)
+    table = BlockTable(docs, "suffix", ordered=True, carry=carry)
     bits = min(64, max(32, math.ceil(math.log2(max(table.n_bytes(), 2))) + 8))  # false repeats stay below 1 in 1,000
 
     def send_names(block: Block, _: dict) -> dict[int, np.ndarray]:
-        m = Marks(block, length, bits)
-        return {ANCHORS: m.anchors[0], CHUNKS: m.chunks[0]}
+        p = Positions(block, length, bits)
+        return {ANCHORS: np.unique(p.anchor), CHUNKS: np.unique(p.chunk)}
 
     def send_strings(block: Block, answers: dict) -> dict[int, np.ndarray]:
         return {STRINGS: Marks(block, length, bits).strings(answers)[2][0]}
 
-    fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
-              ("kept_sha256", pa.string())] + ([("kept", pa.binary())] if keep_text else [])
-    schema = pa.schema(fields)
-
-    def result(_: int, block: Block, answers: dict) -> pa.RecordBatch:
-        gone = Marks(block, length, bits).removed(answers)
-        total, out = np.concatenate([[0], np.cumsum(gone)]), {name: [] for name, _ in fields}
-        for doc, a, b in zip(block.doc_ids, block.starts.tolist(), block.ends.tolist()):
-            n = int(total[b] - total[a])
-            part = gone[a:b]
-            spans = int((part[1:] & ~part[:-1]).sum() + part[0]) if n else 0
-            kept = (block.buf[a:b][~part] if n else block.buf[a:b]).tobytes()
-            for name, v in (("doc_id", doc), ("n_bytes", b - a), ("n_removed", n), ("n_spans", spans),
-                            ("kept_sha256", hashlib.sha256(kept).hexdigest()), ("kept", kept)):
-                if name in out:
-                    out[name].append(v)
-        return pa.RecordBatch.from_pydict(out, schema=schema)
+    def judge(_: int, block: Block, answers: dict) -> pa.RecordBatch:
+        return result(block, Marks(block, length, bits).removed(answers))
 
     names = table.exchange(send_names, answer)
     strings = table.exchange(send_strings, answer, names)
-    kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_text else "")
-    done = stored(table.mapped(result, kind, names, strings), "suffix-kept")
-    table.drop()
-    return done
+    return stored(table.mapped(judge, schema, names, strings), "suffix-kept"), table

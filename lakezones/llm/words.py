@@ -27,6 +27,25 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(31)
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    s = np.sort(x)
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    return s[new]
+
+
+def distinct_index(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, a place of each, and which of them every place has."""
+    order = np.argsort(x)
+    s = x[order]
+    new = np.ones(len(s), bool)
+    new[1:] = s[1:] != s[:-1]
+    which = np.empty(len(x), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return s[new], order[new], which
+
+
 def _powers(n: int) -> np.ndarray:
     return _POWERS if n <= len(_POWERS) else np.cumprod(np.full(n, _BASE), dtype=np.uint64)
 
