@@ -26,6 +26,7 @@ from pyspark.sql import SparkSession
 
 from .functions import RAW_ZONE, STAGING_ZONE
 from .operators.ledger import Ledger
+from .plans.runs import ERROR
 from .session import ensure_checkpoint_dir
 from .sources.files import JdbcSource, ParquetSource, read_csv
 from .sources.jdbc import JdbcConnection
@@ -37,6 +38,13 @@ def _print(obj) -> None:
     print(json.dumps(obj, default=str))
 
 
+def _report(outcomes) -> int:
+    """One JSON line an outcome; 1 if any failed."""
+    for o in outcomes:
+        _print(asdict(o))
+    return int(any(o.kind == ERROR for o in outcomes))
+
+
 def _today() -> str:
     return dt.datetime.now(dt.timezone.utc).date().isoformat()
 
@@ -45,6 +53,7 @@ def _common(p: argparse.ArgumentParser, dates=("run_date",)) -> None:
     p.add_argument("--lake-root", required=True)
     p.add_argument("--db", required=True)
     p.add_argument("--schema", required=True)
+    p.add_argument("--format", default="parquet", help="file format of the lake's batches")
     for d in dates:
         p.add_argument(f"--{d.replace('_', '-')}", default=_today())
 
@@ -70,9 +79,9 @@ def cmd_extract(spark, args):
     ledger = Ledger(spark, f"{args.lake_root.rstrip('/')}/_ledger")
     outs = run_extract(spark, args.lake_root, ledger, _sources(args, specs), specs, db_name=args.db,
                        schema=args.schema, run_date=args.run_date, single_table=args.table, base=args.base,
-                       legacy=args.legacy, log_skipped=args.log_skipped)
-    for o in outs:
-        _print(asdict(o))
+                       legacy=args.legacy, log_skipped=args.log_skipped, fmt=args.format,
+                       pre_check_last_checkpoint=args.last_checkpoint)
+    return _report(outs)
 
 
 def cmd_promote(spark, args):
@@ -82,9 +91,8 @@ def cmd_promote(spark, args):
     ledger = Ledger(spark, f"{args.lake_root.rstrip('/')}/_ledger")
     outs = run_promote(spark, args.lake_root, ledger, db_name=args.db, schema=args.schema, job_date=args.job_date,
                        primary_keys={n: s.primary_key for n, s in specs.items()}, single_table=args.table,
-                       from_zone=args.from_zone, to_zone=args.to_zone)
-    for o in outs:
-        _print(asdict(o))
+                       from_zone=args.from_zone, to_zone=args.to_zone, base=args.base, fmt=args.format)
+    return _report(outs)
 
 
 def cmd_compact(spark, args):
@@ -93,8 +101,8 @@ def cmd_compact(spark, args):
     for name, spec in specs.items():
         if args.table and name != args.table:
             continue
-        rows = LakeTable(spark, ledger, args.lake_root, args.zone, name, args.db, args.schema) \
-            .compact(args.run_date, spec.primary_key)
+        rows = LakeTable(spark, ledger, args.lake_root, args.zone, name, args.db, args.schema,
+                         fmt=args.format).compact(args.run_date, spec.primary_key)
         _print({"table": name, "zone": args.zone, "rows": rows})
 
 
@@ -116,8 +124,8 @@ def cmd_wide_table(spark, args):
             for d in job["dims"]]
     wide = WideTable(spark, args.lake_root, ledger, db_name=args.db, schema=args.schema,
                      output_table=job["output_table"], fact=job["fact"], fact_columns=job["fact_columns"],
-                     fact_key=job.get("fact_key", ()), dims=dims, current=bool(job.get("current", False)))
-    _print(asdict(wide.load(args.run_date)))
+                     fact_key=job.get("fact_key", ()), dims=dims, current=bool(job.get("current", False)), fmt=args.format)
+    return _report([wide.load(args.run_date, job_date=args.job_date)])
 
 
 def cmd_train(spark, args):
@@ -163,6 +171,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--parquet-dir")
     e.add_argument("--base", default="current", choices=["current", "committed", "day_path"])
     e.add_argument("--legacy", action="store_true")
+    e.add_argument("--last-checkpoint", action="store_true", help="day_path: fall back to the last committed batch")
     e.add_argument("--log-skipped", action="store_true", help="log a 'skipped' run when the source shrank")
     e.set_defaults(func=cmd_extract)
 
@@ -173,6 +182,7 @@ def parser() -> argparse.ArgumentParser:
     pr.add_argument("--table")
     pr.add_argument("--from-zone", default=RAW_ZONE)
     pr.add_argument("--to-zone", default=STAGING_ZONE)
+    pr.add_argument("--base", default="current", choices=["current", "committed"])
     pr.set_defaults(func=cmd_promote)
 
     c = sub.add_parser("compact", help="write each table's current state as a snapshot batch")
@@ -189,22 +199,23 @@ def parser() -> argparse.ArgumentParser:
 
     w = sub.add_parser("wide-table", help="join staging tables into a warehouse table")
     _common(w)
+    w.add_argument("--job-date", help="read the staging batches of this day only")
     w.add_argument("--job", required=True, help="YAML: output_table, fact, fact_columns, dims, current")
     w.set_defaults(func=cmd_wide_table)
 
     for name, func, help_ in (("train", cmd_train, "split, fit, score, decode"),
                               ("select-model", cmd_select_model, "grid + train/validation split, save, reload"),
-                              ("score", cmd_score, "load best model, score a sample")):
+                              ("score", cmd_score, "load best model, score all rows or a sample")):
         m = sub.add_parser(name, help=help_)
         m.add_argument("--csv", required=True)
-        m.add_argument("--label", default="Species")
-        m.add_argument("--features", default="SepalLengthCm,SepalWidthCm,PetalLengthCm,PetalWidthCm")
-        m.add_argument("--id", default="Id")
+        m.add_argument("--label", required=name != "score")
+        m.add_argument("--features", required=name != "score", help="comma-separated columns")
+        m.add_argument("--id", required=name != "select-model")
         m.add_argument("--model-path")
         m.add_argument("--output")
         m.add_argument("--overwrite", action="store_true")
-        m.add_argument("--fraction", type=float, default=0.1)
-        m.add_argument("--limit", type=int, default=5)
+        m.add_argument("--fraction", type=float, help="score a sample of the rows")
+        m.add_argument("--limit", type=int, help="score so many rows of it")
         m.add_argument("--parallelism", type=int, default=1, help="grid points fitted side by side")
         m.set_defaults(func=func)
     return p
@@ -214,7 +225,9 @@ def main(argv=None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"lakezones-{args.command}").getOrCreate()
     ensure_checkpoint_dir(spark)
-    args.func(spark, args)
+    failed = args.func(spark, args)
+    if failed:
+        raise SystemExit(failed)
 
 
 if __name__ == "__main__":

@@ -16,13 +16,12 @@ again for the distinct).  De-duplicating combines map-side, so a value that
 repeats for a third of a side ships one copy per partition.
 
 ``changed_rows`` keeps every new row, so a hot group of copies on the new
-side is left to AQE's skew split (left-anti and left-outer joins split their
-left side).  That split applies only when both join inputs are plain
-shuffles, so on the keyless path the de-duplicated base keys get an exchange
-of their own (one shuffle of distinct keys more; checked in the final
-adaptive plan).  A base known to be unique (a current state by primary key)
-skips the de-duplication and is joined on the key, reusing the state's
-partitioning.
+side is left to AQE's skew split (a left-anti join splits its left side).
+That split applies only when both join inputs are plain shuffles, so the
+de-duplicated base keys get an exchange of their own (one shuffle of distinct
+keys more; checked in the final adaptive plan on stored tables).  Only when
+the new side's key is unique and non-null is the current state joined on the
+key, reusing the state's partitioning.
 
 ``current_state`` keeps the newest version of every primary key with one
 aggregate (``max_by`` over the batch order) that has a partial, map-side
@@ -91,36 +90,27 @@ def snapshot_diff(new: DataFrame, old: DataFrame, columns: Sequence[str] | None
 
 
 def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str] | None = None,
-                 base_unique: bool = False, key: Sequence[str] = (), base_key_null_free: bool = False) -> DataFrame:
+                 base_unique: bool = False, key: Sequence[str] = ()) -> DataFrame:
     """Rows of ``new`` whose ``columns`` match no row of ``base``.
 
     Other columns of ``new`` are kept.  Duplicate rows of ``new`` keep their
     multiplicity (they differ in their row number, as in the reference).
 
-    With ``key`` (a primary key contained in ``columns``) and a base that is
-    unique by it (a current state), a row can only equal the base row with
-    the same key.  The anti join then becomes a left join on the key plus a
-    null-safe whole-row compare.  The current state comes out of its
+    ``key`` may be given only if it is unique and non-null in ``new`` and
+    unique in ``base`` (a current state): a row can then only equal the base
+    row with the same key, and the anti join becomes a left join on the key
+    plus a null-safe whole-row compare.  The current state comes out of its
     aggregate hash-partitioned by the key, so the join reuses that
-    partitioning and the base is not shuffled a second time.  A null key
-    cannot join; if the base has any, the whole-row anti join is used (the
-    check reads only key columns and Parquet statistics skip row groups
-    without nulls).  ``base_key_null_free`` says it is already known (the
-    lake logs null keys while it writes each batch), and skips the check.
+    partitioning and the base is not shuffled a second time; a unique key has
+    no hot value to split.
     """
     if base is None:
         return new
     columns = list(columns or business_columns(new))
     key = list(key)
     if key and base_unique and set(key) <= set(columns):
-        null_key = F.lit(False)
-        for c in key:
-            null_key = null_key | F.col(c).isNull()
-        if base_key_null_free or base.select(*key).filter(null_key).isEmpty():
-            return _changed_by_key(new, base, columns, key)
+        return _changed_by_key(new, base, columns, key)
     right = base.select(row_key(base, columns).alias(_KEY))
-    if base_unique:
-        return new.join(right, row_key(new, columns) == right[_KEY], "left_anti")
     # Copies in the base collapse map-side first.  AQE splits a hot group of
     # ``new`` (a third of the rows being copies of one row) only when both
     # join inputs are plain shuffles, and the de-duplicating aggregate in

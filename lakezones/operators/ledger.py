@@ -201,25 +201,13 @@ class TableRuns:
         """Take a run this process just logged into the history (one writer
         per table, so nothing else lands in between; it is the newest run)."""
         info = rec.details or {}
-        top, nulls, of = info.get("max_row_number"), info.get("null_keys"), info.get("null_keys_of")
+        top = info.get("max_row_number")
         self.rows.append({"run_id": rec.run_id, "action": rec.action, "status": rec.status,
                           "last_row_number": rec.last_row_number, "sink_path": info.get("sink_path"),
                           "source_path": info.get("source_path"),
                           "max_row_number": None if top is None else int(top),
-                          "null_keys": None if nulls is None else int(nulls),
-                          "null_keys_of": tuple(of) if of else None,
                           "job_date": rec.job_date, "job_end": rec.job_end})
 
-    def state_key_null_free(self, key) -> bool:
-        """Whether every batch a current state is built from (see
-        ``snapshot_and_after``) logged, while it was written, zero rows with
-        a null in ``key``.  Unknown batches count as "maybe"."""
-        snapshot, after = self.snapshot_and_after()
-        paths = ([snapshot] if snapshot else []) + after
-        logged = {r["sink_path"]: (r["null_keys"], r["null_keys_of"]) for r in self.hits()
-                  if r["sink_path"] is not None}
-        return bool(paths) and all(logged.get(p) == (0, tuple(key)) for p in paths)
-
     def promoted_sources(self) -> set[str]:
         """Source batch paths that successful runs of this zone promoted."""
         return {r["source_path"] for r in self.hits() if r["source_path"] is not None}
@@ -247,7 +235,7 @@ class Ledger:
     ``_``-prefixed file, then a rename), which is one small file operation
     instead of a Spark write job.  Spark's readers skip hidden files, so a
     record appears whole or not at all, and runs of different tables may
-    commit concurrently.  ``compact()`` folds all runs into one Parquet file
+    commit concurrently.  ``compact()`` folds all runs into one Parquet table
     under ``compacted/<id>/`` and then removes exactly the run files it
     listed before reading, so lookups read a handful of files instead of
     one per run.  Readers de-duplicate by ``run_id`` while a compaction
@@ -257,6 +245,7 @@ class Ledger:
 
     RUNS = "runs"
     COMPACTED = "compacted"
+    READ_ATTEMPTS = 3
     TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
     def __init__(self, spark: SparkSession, path: str):
@@ -301,20 +290,30 @@ class Ledger:
         return rec
 
     def frame(self) -> DataFrame:
-        snapshots = f"{self.path}/{self.COMPACTED}/*"
-        compacted = self._has(snapshots)
-        has_runs = self._has(f"{self.path}/{self.RUNS}/*.json")
-        if not (compacted or has_runs):
-            return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        try:
-            parts = []
-            if compacted:
-                parts.append(self.spark.read.schema(LEDGER_SCHEMA).parquet(snapshots))
-            if has_runs:  # the folder, so the listing skips hidden in-flight files
-                parts.append(self.spark.read.schema(LEDGER_SCHEMA).option("timestampNTZFormat", self.TS_FORMAT)
-                             .option("mode", "FAILFAST").json(f"{self.path}/{self.RUNS}"))
-        except AnalysisException:  # removed underneath us
-            return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        """All run records.  A file that vanishes between listing and reading (a
+        compaction's clean-up) means list again; a ledger is empty only if
+        it has no files."""
+        error = None
+        for _ in range(self.READ_ATTEMPTS):
+            compacted = self._has(f"{self.path}/{self.COMPACTED}/*")
+            has_runs = self._has(f"{self.path}/{self.RUNS}/*.json")
+            if not (compacted or has_runs):
+                if error is not None:
+                    break
+                return self.spark.createDataFrame([], LEDGER_SCHEMA)
+            try:
+                return self._read(compacted, has_runs)
+            except AnalysisException as exc:
+                error = exc
+        raise error
+
+    def _read(self, compacted: bool, has_runs: bool) -> DataFrame:
+        parts = []
+        if compacted:
+            parts.append(self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.path}/{self.COMPACTED}/*"))
+        if has_runs:  # the folder, so the listing skips hidden in-flight files
+            parts.append(self.spark.read.schema(LEDGER_SCHEMA).option("timestampNTZFormat", self.TS_FORMAT)
+                         .option("mode", "FAILFAST").json(f"{self.path}/{self.RUNS}"))
         df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         return df.dropDuplicates(["run_id"]) if compacted else df
 
@@ -370,15 +369,12 @@ class Ledger:
                         json_field("details", "sink_path").alias("sink_path"),
                         json_field("details", "source_path").alias("source_path"),
                         json_field("details", "max_row_number").cast("long").alias("max_row_number"),
-                        json_field("details", "null_keys").cast("long").alias("null_keys"),
-                        json_field("details", "null_keys_of").alias("null_keys_of"),
                         "job_date", "job_end")
                 .orderBy(*RUN_ORDER).collect())
         out = {pair: TableRuns([]) for pair in pairs}
         for r in rows:
             d = r.asDict()
             pair = (d.pop("zone"), d.pop("table_name"))
-            d["null_keys_of"] = tuple(json.loads(d["null_keys_of"])) if d["null_keys_of"] else None
             out[pair].rows.append(d)
         return out
 
@@ -396,7 +392,7 @@ class Ledger:
         return self.table_runs(zone=zone, db_name=db_name, table_name=table_name).snapshot_and_after()
 
     def compact(self) -> str:
-        """Fold every run record into one snapshot file, then delete the
+        """Fold every run record into one snapshot, then delete the
         older snapshots and the run folders the new snapshot contains.
 
         Run it when no pipeline is writing (one writer, as for tables): a
@@ -408,7 +404,7 @@ class Ledger:
         before = self._glob(f"{self.path}/{self.COMPACTED}/*")
         run_folders = self._glob(f"{self.path}/{self.RUNS}/*.json")  # committed records only
         target = f"{self.path}/{self.COMPACTED}/{new_run_id()}"
-        self.frame().coalesce(1).write.mode("errorifexists").parquet(target)
+        self.frame().write.mode("errorifexists").parquet(target)
         for old in before + run_folders:
             fs, hpath = self._fs(old)
             fs.delete(hpath, True)

@@ -1,261 +1,104 @@
 """Dense, deterministic row numbers (P4 / W1) without a single-partition window.
 
 The reference numbers rows with ``monotonically_increasing_id() + 1``, which
-is dense only on one partition (with four partitions ten rows reach
-25,769,803,779).  A global ``row_number().over(Window.orderBy(key))`` is dense
-but moves every row into one task.  Instead:
-
-1. ``approxQuantile`` of the leading key gives ``k`` bucket boundaries (one
-   pruned scan; ``k`` numbers reach the driver, bounded by the parameter).
-2. ``Bucketizer`` (binary search, JVM side) tags each row with its bucket;
-   buckets are contiguous key ranges of about ``n / k`` rows each.
-3. Rows per bucket are counted (``k`` rows to the driver) and turned into
-   prefix offsets, broadcast as a ``k``-row table (bounded by ``k``).
-4. ``offset + row_number()`` over ``Window.partitionBy(bucket)`` numbers the
-   rows; each window partition is one bucket.
-
-A table whose exact row count is at most ``single_task_rows`` skips all
-this: one window task numbers it (the count bounds what that task holds).
-Both ``rows_per_bucket`` and ``single_task_rows`` are capped so a task holds
-about ``TARGET_TASK_BYTES`` of rows, from the average row size of the first
-``SAMPLE_ROWS`` rows (a ``take``, not a scan): long texts make small buckets.
-``attach_row_numbers`` numbers the key columns alone and joins the numbers
-back, for callers that only need numbers on a subset of rows.
-
-The boundaries are literals, so both passes see the same buckets and the
-numbering equals the global window exactly (``1..n`` in key order).
-
-Buckets cut the *leading* column only, so one leading value that holds a
-large share of rows (a hot first column of a composite key, nulls, or a
-third of the table being copies of one row) would make one bucket, and so
-one window task, hold that share.  Step 3's counts show it for free: when a
-bucket exceeds twice ``rows_per_bucket`` (and whenever the leading column is
-not numeric, date or timestamp) the numbering switches to the range-sorted
-path: a range shuffle on *all* order columns plus a scan-position tie
-breaker (so copies of one row are spread over many partitions too), cut by
-a reliable checkpoint so the partition contents are fixed, then numbered
-from per-partition counts.  No task ever holds more than about
-``rows_per_bucket`` rows on either path.
-
-For repeatable numbers the order columns should be unique (lead with the
-primary key, or with ``row_hash`` for tables without one, as extraction
-does); among equal keys the order is unspecified, as with any window.
+is dense only on one partition.  A global ``row_number()`` window is dense
+but moves every row into one task.  One path serves all sizes:
+
+1. A range shuffle on *all* order columns plus a scan-position tie breaker,
+   as wide as ``spark.sql.shuffle.partitions``.  Neither a hot leading value
+   nor copies of one row pile up in one partition: the tie breaker tells
+   them apart.
+2. A reliable ``checkpoint()`` in the shared folder fixes the partitions.
+3. Rows per partition (one number each) become offsets; a row's number is
+   its partition's offset plus its place in the partition.
+
+When the order columns are a unique, non-null key (``key_profile`` tells, with
+one aggregate), only the key is shuffled, checkpointed and numbered, and the
+numbers are joined back on it.  Otherwise the rows are carried whole.
+
+Equal order values (only possible without a unique key) are numbered in scan
+order.  ``row_hash`` is a good leading column for tables without a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, BinaryType, DateType, MapType, NumericType, StringType, StructType,
-                               TimestampNTZType, TimestampType, UserDefinedType)
 
-_BUCKET = "__rn_bucket"
-_KEY = "__rn_key"
+from ..session import ensure_checkpoint_dir
+
 _TIE = "__rn_tie"
 _PART = "__rn_part"
 _POS = "__rn_pos"
+_OFFSET = "__rn_offset"
 # monotonically_increasing_id keeps the record number within a partition in
 # its lower 33 bits
 _IN_PARTITION = (1 << 33) - 1
 
 
-def _numeric_key(df: DataFrame, column: str):
-    dtype = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(dtype, NumericType):
-        return c.cast("double")
-    if isinstance(dtype, DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, TimestampNTZType):
-        # wall-clock microseconds, independent of the session time zone
-        # (a cast to TIMESTAMP is not monotone across daylight-saving gaps)
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{column}`)").cast("double")
-    return None
-
-
-ROWS_PER_BUCKET = 4_000_000
-# Up to this many rows (an exact count) one window task numbers the table:
-# cheaper than two planning passes, and bounded.
-SINGLE_TASK_ROWS = 250_000
-# Rows per window task are also capped by size: about this many bytes of
-# rows, from the average row size of a small sample (wide rows, such as long
-# texts, make smaller buckets).
-TARGET_TASK_BYTES = 512 * 1024 * 1024
-SAMPLE_ROWS = 10_000
-# Hard cap on buckets: the boundaries reach the driver and the offsets are a
-# broadcast table of this many rows at most (about 12 MB).  About 100 TB
-# makes ~200k buckets of 512 MB; beyond the cap buckets simply grow.
-MAX_BUCKETS = 1_000_000
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Approximate in-memory size of a row: text and binary by their byte
-    length, nested values by their JSON length, other values 8 bytes."""
-    total = F.lit(16)
-    for f in df.schema.fields:
-        c, t = F.col(f"`{f.name}`"), f.dataType
-        if isinstance(t, UserDefinedType):
-            size = F.lit(64)
-        elif isinstance(t, (StringType, BinaryType)):
-            size = F.coalesce(F.octet_length(c), F.lit(0))
-        elif isinstance(t, (ArrayType, MapType, StructType)):
-            size = F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
-        else:
-            size = F.lit(8)
-        total = total + size
-    return total
-
-
-def rows_per_task(df: DataFrame, rows_per_bucket: int, sample_rows: int = SAMPLE_ROWS,
-                  row_bytes: float | None = None) -> int:
-    """``rows_per_bucket`` capped so one window task holds about
-    ``TARGET_TASK_BYTES``.  The row size is ``row_bytes`` if the caller
-    knows it, else averaged over the first ``sample_rows`` rows (``take``:
-    on a scan, partitions are read one after another until enough rows
-    arrive; an input behind a shuffle runs that shuffle first, so pass
-    ``row_bytes`` there)."""
-    if row_bytes is None:
-        sizes = [r[0] for r in df.select(_row_bytes(df)).take(sample_rows)]
-        if not sizes:
-            return rows_per_bucket
-        row_bytes = sum(sizes) / len(sizes)
-    return max(1_000, min(rows_per_bucket, int(TARGET_TASK_BYTES / max(1.0, row_bytes))))
-
-
-def _default_buckets(df: DataFrame, n_rows: int | None, rows_per_bucket: int) -> int:
-    """Enough buckets that one window partition holds ~``rows_per_bucket``
-    rows (the window cannot be split later), never fewer than the shuffle
-    partitions."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    by_size = -(-int(n_rows) // rows_per_bucket) if n_rows else 1
-    return min(MAX_BUCKETS, max(parts, spark.sparkContext.defaultParallelism, by_size, 1))
-
-
 def dense_row_number(df: DataFrame, order_by: Sequence[str], name: str = "ROW_NUMBER",
-                     buckets: int | None = None, relative_error: float | None = None,
-                     n_rows: int | None = None, rows_per_bucket: int | None = None,
-                     single_task_rows: int | None = None, row_bytes: float | None = None) -> DataFrame:
-    """``1..n`` in ``order_by`` order; ``n_rows`` (the exact row count, if
-    known) picks the path and sizes the buckets; ``row_bytes`` (average row
-    size, if known) skips the size sample."""
+                     unique: bool = False) -> DataFrame:
+    """``1..n`` in ``order_by`` order, nulls first.  ``unique``: the order
+    columns are known to be a unique, non-null key."""
     order_by = list(order_by)
     if not order_by:
         raise ValueError("dense_row_number needs order columns")
-    single_task_rows = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    if buckets is None:
-        if n_rows is None:
-            n_rows = df.count()
-        if n_rows > SAMPLE_ROWS:  # wide rows: smaller window tasks
-            rows_per_bucket = rows_per_task(df, rows_per_bucket, row_bytes=row_bytes)
-            single_task_rows = min(single_task_rows, rows_per_bucket)
-        if n_rows <= single_task_rows:
-            w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-            return df.withColumn(name, F.row_number().over(w).cast("long"))
-    key = _numeric_key(df, order_by[0])
-    if key is None:
-        return _range_sorted_numbering(df, order_by, name, n_rows, rows_per_bucket)
-    buckets = buckets or _default_buckets(df, n_rows, rows_per_bucket)
-    # rank error of a boundary at most a quarter of a bucket
-    relative_error = relative_error or min(1e-4, 0.25 / buckets)
+    if unique and set(df.columns) != set(order_by):
+        return attach_row_numbers(df, df, order_by, name)
+    return _numbered(df, order_by, name)
 
-    keyed = df.withColumn(_KEY, key)
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = keyed.approxQuantile(_KEY, probs, relative_error) if probs else []
-    splits = sorted(set(c for c in cuts if c is not None))
-    splits = [float("-inf")] + [s for s in splits if s not in (float("-inf"), float("inf"))] + [float("inf")]
-    if len(splits) < 3:  # Bucketizer needs at least two buckets
-        splits = [float("-inf"), 0.0, float("inf")]
-    tagger = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_BUCKET, handleInvalid="keep")
-    # Nulls sort first in ascending order: give them bucket -1.
-    tagged = tagger.transform(keyed.withColumn(_KEY, F.coalesce(F.col(_KEY), F.lit(0.0)))
-                              .withColumn("__rn_null", F.col(order_by[0]).isNull()))
-    tagged = tagged.withColumn(_BUCKET, F.when(F.col("__rn_null"), F.lit(-1.0)).otherwise(F.col(_BUCKET))
-                               .cast("int")).drop(_KEY, "__rn_null")
 
-    counts = tagged.groupBy(_BUCKET).count().collect()  # at most len(splits) + 1 rows
-    total = sum(r["count"] for r in counts)
-    target = max(rows_per_bucket, -(-total // buckets))  # larger only past MAX_BUCKETS
-    if counts and max(r["count"] for r in counts) > 2 * target:
-        # a hot leading value: one window task would hold it whole
-        return _range_sorted_numbering(df, order_by, name, total, rows_per_bucket)
-    offsets, running = [], 0
-    for row in sorted(counts, key=lambda r: r[_BUCKET]):
-        offsets.append((row[_BUCKET], running))
-        running += row["count"]
+def _numbered(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
     spark = df.sparkSession
-    offset_df = spark.createDataFrame(offsets, f"{_BUCKET} int, __rn_offset long")
-
-    w = Window.partitionBy(_BUCKET).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    numbered = (tagged.join(F.broadcast(offset_df), _BUCKET)
-                .withColumn(name, (F.col("__rn_offset") + F.row_number().over(w)).cast("long")))
-    return numbered.select(*df.columns, name)
-
-
-def _range_sorted_numbering(df: DataFrame, order_by: list[str], name: str, n_rows: int | None,
-                            rows_per_bucket: int) -> DataFrame:
-    """Range-shuffle on all order columns plus a tie breaker, cut lineage
-    with a reliable checkpoint (partition contents fixed, in the shared
-    checkpoint folder), then number rows from per-partition counts.
-
-    The tie breaker is the row's scan position, so rows equal in every order
-    column (copies) spread over partitions instead of piling into one.
-    """
-    n_parts = _default_buckets(df, n_rows, rows_per_bucket)
+    ensure_checkpoint_dir(spark)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col(_TIE).asc()]
     fixed = (df.withColumn(_TIE, F.monotonically_increasing_id())
-             .repartitionByRange(n_parts, *order)
+             .repartitionByRange(width, *order)
              .sortWithinPartitions(*order)
              .withColumn(_PART, F.spark_partition_id())
              .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)))
              .checkpoint(eager=True))
-    counts = fixed.groupBy(_PART).count().collect()  # at most n_parts rows
     offsets, running = [], 0
-    for row in sorted(counts, key=lambda r: r[_PART]):
+    for row in sorted(fixed.groupBy(_PART).count().collect(), key=lambda r: r[_PART]):  # one row a partition
         offsets.append((row[_PART], running))
         running += row["count"]
-    offset_df = df.sparkSession.createDataFrame(offsets, f"{_PART} int, __rn_offset long")
-    out = (fixed.join(F.broadcast(offset_df), _PART)
-           .withColumn(name, (F.col("__rn_offset") + F.col(_POS) + 1).cast("long")))
-    return out.select(*df.columns, name)
+    offset_rows = spark.createDataFrame(offsets, f"{_PART} int, {_OFFSET} long")
+    out = fixed.join(F.broadcast(offset_rows), _PART)  # as many rows as shuffle partitions
+    return out.withColumn(name, F.col(_OFFSET) + F.col(_POS) + F.lit(1).cast("long")).select(*df.columns, name)
 
 
-def key_is_unique(df: DataFrame, key: Sequence[str]) -> bool:
-    """Whether ``key`` is non-null and unique in ``df``: one aggregate over
-    the key columns only, with map-side combine (null keys form a group of
-    their own and fail the test too)."""
-    key = list(key)
+def key_profile(df: DataFrame, key: Sequence[str]) -> tuple[int, bool]:
+    """Row count of ``df`` and whether ``key`` is unique and non-null there:
+    one aggregate over the key columns, combined before the shuffle."""
     null_key = F.lit(False)
     for c in key:
         null_key = null_key | F.col(c).isNull()
-    return df.groupBy(*key).count().filter((F.col("count") > 1) | null_key).isEmpty()
+    row = (df.groupBy(*key).count()
+           .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.max("count").alias("most"),
+                F.max(null_key).alias("nulls")).first())
+    return int(row["n"]), row["most"] in (None, 1) and not row["nulls"]
 
 
-def attach_row_numbers(rows: DataFrame, universe: DataFrame, key: Sequence[str], name: str = "ROW_NUMBER",
-                       n_rows: int | None = None, single_task_rows: int | None = None) -> DataFrame:
+def attach_row_numbers(rows: DataFrame, universe: DataFrame, key: Sequence[str],
+                       name: str = "ROW_NUMBER") -> DataFrame:
     """Give ``rows`` their position in ``key`` order of ``universe`` (which
     holds every row of ``rows``; ``key`` unique and non-null there, see
-    ``key_is_unique``).
+    ``key_profile``).
 
-    Only the key columns are numbered and shuffled; the numbers are joined
-    back on the key.  When ``rows`` is already hash-partitioned by the key
-    (the output of a diff joined on it) only the narrow numbers move.
+    Only the key columns are numbered; the numbers are joined back on the
+    key.  When ``rows`` is already hash-partitioned by the key (the output of
+    a diff joined on it) only the narrow numbers move.
     """
     key = list(key)
-    numbers = dense_row_number(universe.select(*key), key, name=name, n_rows=n_rows,
-                               single_task_rows=single_task_rows)
+    numbers = _numbered(universe.select(*key), key, name)
     return rows.join(numbers, key, "inner").select(*rows.columns, name)
 
 
-def row_hash(columns: Sequence[str]):
-    """A well-spread numeric leading key for tables without a primary key:
-    numbering by ``(row_hash, *columns)`` is dense and repeatable and its
-    buckets stay balanced whatever the value distribution of the first
-    column (only fully identical rows share a hash)."""
+def row_hash(columns: Sequence[str]) -> Column:
+    """A well-spread leading order column for tables without a primary key:
+    numbering by ``(row_hash, *columns)`` is repeatable (only fully identical
+    rows share a hash)."""
     return F.xxhash64(*[F.col(c) for c in columns])

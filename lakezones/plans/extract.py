@@ -11,7 +11,7 @@ source empty           nothing             nothing
 ``c >= w > 0``, none   nothing             nothing
 ``c < w``              nothing             nothing (``skipped`` row
                                            with ``log_skipped``)
-write/log fails        (orphan batch)      error row
+read/write/log fails   (orphan batch)      error row
 =====================  ==================  ===================
 
 Differences from the reference, each a fix of a trap it has:
@@ -21,9 +21,12 @@ Differences from the reference, each a fix of a trap it has:
 * Row numbers are dense and deterministic (``dense_row_number``), not
   ``monotonically_increasing_id``.
 * The base of the diff is the table's **current state** by primary key over
-  all committed batches, so a row that goes A -> B -> A is found; tables
-  without a key diff against all committed batches; ``base="day_path"``
-  keeps the reference's one-day base.
+  all committed batches, so a row that goes A -> B -> A is found.  That holds
+  only for a key that is unique and non-null in the snapshot (checked on every
+  run, by the aggregate that counts the source); with repeated or null keys,
+  and without a key, whole rows are compared with all committed rows, so an
+  unchanged snapshot never appends again.  ``base="day_path"`` keeps the
+  reference's one-day base.
 * The diff is evaluated once: it is written straight into a new batch
   directory while an ``Observation`` counts it; an empty result is never
   committed.
@@ -41,18 +44,18 @@ from ..functions import EXTRACT_ACTION, RAW_ZONE, SKIPPED_STATUS, SUCCESS_STATUS
 from ..operators.changes import (ROW_NUMBER, TECHNICAL_COLUMNS, add_audit_columns, changed_rows,
                                  current_state)
 from ..operators.ledger import Ledger, TableRuns, utcnow
-from ..operators import rownum
-from ..operators.rownum import attach_row_numbers, dense_row_number, key_is_unique, row_hash
+from ..operators.rownum import attach_row_numbers, dense_row_number, key_profile, row_hash
 from ..session import ensure_checkpoint_dir
 from ..sources.files import TableSource
 from ..sources.lake import LakeTable, write_batch_observed
-from ..specs import TableSpec, select_table
+from ..specs import ContractError, TableSpec, select_table
 from .runs import (NO_CHANGES, SKIPPED_EMPTY, SOURCE_SHRANK, WRITTEN, Outcome, log, record_error)
 
 
-def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: str, run_date,
+def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: str, run_date, keyed: bool,
               pre_check_last_checkpoint: bool = False, runs: TableRuns | None = None) -> DataFrame | None:
-    """The committed rows a new snapshot is compared with (``None`` = none)."""
+    """The committed rows a new snapshot is compared with (``None`` = none):
+    the current state if ``keyed``, else every committed row."""
     if base == "day_path":
         day = table.read(job_date=run_date, runs=runs)
         if day is None and pre_check_last_checkpoint:
@@ -61,7 +64,7 @@ def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: st
                 day = table.spark.read.format(table.fmt).option("basePath", table.base).load(last) \
                     .drop("ingest_date", "batch_id")
         return day
-    if base == "current" and spec.primary_key:
+    if base == "current" and keyed:
         versions = table.read_state_inputs(runs)
         if versions is None:
             return None
@@ -74,7 +77,7 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
                   db_name: str, schema: str, run_date, zone: str = RAW_ZONE, action: str = EXTRACT_ACTION,
                   base: str = "current", legacy: bool = False, pre_check_last_checkpoint: bool = False,
                   snapshot: bool | None = None, log_skipped: bool = False,
-                  history: TableRuns | None = None, single_task_rows: int | None = None) -> Outcome:
+                  history: TableRuns | None = None, fmt: str = "parquet") -> Outcome:
     """I1 for one table (decision table in the module docstring).
 
     ``log_skipped`` logs a ``skipped`` ledger row (with the source count and
@@ -82,84 +85,65 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
     reference logs nothing there, and a skipped row never moves the
     watermark.  ``history`` is the table's run history when the caller has
     already read it (``run_extract`` reads all tables' histories at once).
-    ``single_task_rows`` overrides the small-table size of the numbering
-    (0 takes the at-scale paths at any size).
+    Every failure becomes an error row; only a broken contract stops the run.
     """
     start = utcnow()
     run_date = as_date(run_date)
-    table = LakeTable(spark, ledger, lake_root, zone, spec.name, db_name, schema, action)
-
-    df = source.read(spark)
-    if snapshot if snapshot is not None else not source.stable:
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
-    # The count is needed for every non-empty source, so it doubles as the
-    # emptiness test (one job instead of two).
-    c = source.count(spark, df) if source.stable else df.count()
-    if c == 0:
-        log.info("extract ignored, source empty: %s.%s", db_name, spec.name)
-        return Outcome(spec.name, SKIPPED_EMPTY)
-
-    # Contract check outside the error capture: a broken contract stops the run.
-    spec.check(df)
-    business = [c for c in df.columns if c not in TECHNICAL_COLUMNS]
-    history = history or table.runs()  # one ledger query answers the watermark and the base batches
-    w = history.watermark(action)
-    if 0 < w and c < w:
-        log.info("extract skipped, %s.%s has %d rows < watermark %d", db_name, spec.name, c, w)
-        if log_skipped:
-            ledger.record(db_name=db_name, table_name=spec.name, action=action, zone=zone, status=SKIPPED_STATUS,
-                          last_row_number=c, details={"reason": SOURCE_SHRANK, "watermark": w},
-                          job_date=run_date, job_start=start, job_end=utcnow())
-        return Outcome(spec.name, SOURCE_SHRANK, last_row_number=c)
-
-    pk = list(spec.primary_key)
-    keyed_base = base == "current" and bool(pk) and not legacy
-
-    def stamp(numbered: DataFrame) -> DataFrame:
-        return add_audit_columns(numbered, run_date, created=spec.make_created_at, updated=spec.make_updated_at,
-                                 legacy=legacy)
-
-    def numbered_whole() -> DataFrame:
-        if pk:
-            numbered = dense_row_number(df, pk, n_rows=c, single_task_rows=single_task_rows)
-        else:  # no key: order by a row hash first so buckets stay balanced
-            numbered = dense_row_number(df.withColumn("__row_hash", row_hash(business)),
-                                        ["__row_hash", *business], n_rows=c,
-                                        single_task_rows=single_task_rows).drop("__row_hash")
-        return stamp(numbered)
-
+    table = LakeTable(spark, ledger, lake_root, zone, spec.name, db_name, schema, action, fmt)
     path, batch_id = table.new_batch_path(run_date)
     details = {"sink_path": path, **spec.config()}
-    try:  # from here on every failure (numbering passes included) becomes an error row
-        # Increment of a large keyed table: diff the unnumbered rows (one
-        # shuffle of full rows, by key), then number the key column alone and
-        # join the numbers back on the key, so full rows are not shuffled a
-        # second time for the numbering window.  Exact only for a unique,
-        # non-null key; that is checked first (narrow), otherwise the rows are
-        # numbered whole.
-        small = rownum.SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-        narrow = w > 0 and keyed_base and c > small and key_is_unique(df, pk)
+    pk, c = list(spec.primary_key), 0
+    try:
+        df = source.read(spark)
+        if snapshot if snapshot is not None else not source.stable:
+            ensure_checkpoint_dir(spark)
+            df = df.checkpoint(eager=True)
+        # The count is needed for every non-empty source; with a key the same
+        # narrow aggregate tells whether the key is unique and non-null.
+        if pk and set(pk) <= set(df.columns):
+            c, unique = key_profile(df, pk)
+        else:
+            c, unique = (source.count(spark, df) if source.stable else df.count()), False
+        if c == 0:
+            log.info("extract ignored, source empty: %s.%s", db_name, spec.name)
+            return Outcome(spec.name, SKIPPED_EMPTY)
+        spec.check(df)
+        business = [x for x in df.columns if x not in TECHNICAL_COLUMNS]
+        history = history or table.runs()  # one ledger query answers the watermark and the base batches
+        w = history.watermark(action)
+        if 0 < w and c < w:
+            log.info("extract skipped, %s.%s has %d rows < watermark %d", db_name, spec.name, c, w)
+            if log_skipped:
+                ledger.record(db_name=db_name, table_name=spec.name, action=action, zone=zone, status=SKIPPED_STATUS,
+                              last_row_number=c, details={"reason": SOURCE_SHRANK, "watermark": w},
+                              job_date=run_date, job_start=start, job_end=utcnow())
+            return Outcome(spec.name, SOURCE_SHRANK, last_row_number=c)
+
+        def stamp(numbered: DataFrame) -> DataFrame:
+            return add_audit_columns(numbered, run_date, created=spec.make_created_at, updated=spec.make_updated_at,
+                                     legacy=legacy)
+
+        def numbered_whole() -> DataFrame:
+            if unique:
+                return stamp(dense_row_number(df, pk, unique=True))
+            order = [*(k for k in pk if k in df.columns), "__row_hash"]  # equal rows keep their scan order
+            return stamp(dense_row_number(df.withColumn("__row_hash", row_hash(business)), order).drop("__row_hash"))
+
+        keyed = unique and base == "current" and not legacy
         if w == 0:
             to_write = numbered_whole()
-        elif narrow:
-            base_df = diff_base(table, spec, business, base=base, run_date=run_date, runs=history)
-            changed = changed_rows(df, base_df, business, base_unique=True, key=pk,
-                                   base_key_null_free=history.state_key_null_free(pk))
-            to_write = stamp(attach_row_numbers(changed, df, pk, name=ROW_NUMBER, n_rows=c,
-                                                single_task_rows=single_task_rows))
         else:
-            stamped = numbered_whole()
-            compare = stamped.columns if legacy else business
-            base_df = diff_base(table, spec, compare, base=base, run_date=run_date,
+            # With a unique key the unnumbered rows are compared, then the key
+            # alone is numbered and joined back: full rows move once, by key.
+            fresh = df if unique and not legacy else numbered_whole()
+            compare = fresh.columns if legacy else business
+            base_df = diff_base(table, spec, compare, base=base, run_date=run_date, keyed=keyed,
                                 pre_check_last_checkpoint=pre_check_last_checkpoint, runs=history)
-            to_write = changed_rows(stamped, base_df, compare, base_unique=keyed_base,
-                                    key=pk if keyed_base else (),
-                                    base_key_null_free=keyed_base and history.state_key_null_free(pk))
-        rows, top, nulls = write_batch_observed(to_write, path, table.fmt, max_of=ROW_NUMBER, null_key=pk)
+            to_write = changed_rows(fresh, base_df, compare, base_unique=keyed, key=pk if keyed else ())
+            if fresh is df:
+                to_write = stamp(attach_row_numbers(to_write, df, pk, name=ROW_NUMBER))
+        rows, top = write_batch_observed(to_write, path, table.fmt, max_of=ROW_NUMBER)
         details["max_row_number"] = top  # A2 for the promotion, observed during the write
-        if pk:
-            details.update(null_keys=nulls, null_keys_of=pk)
         if rows == 0:
             log.info("extract found no changes: %s.%s", db_name, spec.name)
             return Outcome(spec.name, NO_CHANGES, last_row_number=c)
@@ -167,6 +151,8 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
                       last_row_number=c, details=details, job_date=run_date, job_start=start, job_end=utcnow(),
                       run_id=batch_id)
         return Outcome(spec.name, WRITTEN, rows_written=rows, last_row_number=c, sink_path=path, details=details)
+    except ContractError:
+        raise
     except Exception as exc:  # noqa: BLE001 - every failure becomes an error row
         return record_error(ledger, db_name=db_name, table_name=spec.name, action=action, zone=zone,
                             job_date=run_date, job_start=start, error=exc, last_row_number=c, details=details)

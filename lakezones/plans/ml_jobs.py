@@ -64,13 +64,16 @@ def select_model(df: DataFrame, *, label_source: str, feature_cols: Sequence[str
     return Selection(model, reloaded, ml.grid_metrics(model), float(f1))
 
 
-def batch_inference(df: DataFrame, *, model_path: str, key: Sequence[str], fraction: float = 0.1, n: int = 5,
-                    seed: int = 0, output_col: str = "predict_label") -> DataFrame:
-    """I8: load the best pipeline (S8), score a sample of ``n`` rows
-    (M2 + O2), decode (M8)."""
+def batch_inference(df: DataFrame, *, model_path: str, key: Sequence[str] = (), fraction: float | None = None,
+                    n: int | None = None, seed: int = 0, output_col: str = "predict_label") -> DataFrame:
+    """I8: load the best pipeline (S8), score all rows and decode (M8); with
+    ``fraction`` a sample of them, cut to ``n`` rows if given (M2 + O2)."""
     model = ml.load_best_model(model_path)
-    sample = sample_limit(df, key, fraction, n, seed) if n else hash_sample(df, key, fraction, seed)
-    return ml.decoder(model, "prediction", output_col).transform(model.transform(sample))
+    if n is not None:
+        df = sample_limit(df, key, 1.0 if fraction is None else fraction, n, seed)
+    elif fraction is not None:
+        df = hash_sample(df, key, fraction, seed)
+    return ml.decoder(model, "prediction", output_col).transform(model.transform(df))
 
 
 def save_predictions(predictions: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -7,8 +7,8 @@ highest row number (A2):
 * no staging run of any status for that day (F3): if ``m`` exceeds the
   day's staging row number (A6, 0 if none) all incoming rows are appended;
 * a staging run exists: only incoming rows missing from staging's current
-  state (or all committed staging rows for tables without a key) are
-  appended; nothing if there are none.
+  state are appended (or, unless the key is unique and non-null in the batch,
+  from all committed staging rows); nothing if there are none.
 
 Each promoted batch logs a complete success row with ``m`` and the raw
 ``source_path`` (the reference never sets ``details`` on this path and its
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..functions import COMPACT_ACTION, EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date
 from ..operators.changes import business_columns, changed_rows, current_state
 from ..operators.ledger import Ledger, TableRuns, utcnow
+from ..operators.rownum import key_profile
 from ..sources.lake import LakeTable, read_batches, write_batch_observed
 from .runs import NO_CHANGES, NOT_NEWER, WRITTEN, Outcome, log, record_error
 
@@ -53,10 +54,11 @@ def pending_batches(ledger: Ledger, *, db_name: str, table_name: str, job_date,
 
 def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_name: str, schema: str,
                   table_name: str, job_date, primary_key: Sequence[str] = (), from_zone: str = RAW_ZONE,
-                  to_zone: str = STAGING_ZONE, action: str = EXTRACT_ACTION, base: str = "current") -> list[Outcome]:
+                  to_zone: str = STAGING_ZONE, action: str = EXTRACT_ACTION, base: str = "current",
+                  fmt: str = "parquet") -> list[Outcome]:
     job_date = as_date(job_date)
-    source = LakeTable(spark, ledger, lake_root, from_zone, table_name, db_name, schema, action)
-    target = LakeTable(spark, ledger, lake_root, to_zone, table_name, db_name, schema, action)
+    source = LakeTable(spark, ledger, lake_root, from_zone, table_name, db_name, schema, action, fmt)
+    target = LakeTable(spark, ledger, lake_root, to_zone, table_name, db_name, schema, action, fmt)
     outcomes = []
     # one ledger query: pending raw batches, promoted sources, F3, A6 and the base batches
     both = ledger.histories(db_name=db_name, tables=[(from_zone, table_name), (to_zone, table_name)])
@@ -80,20 +82,16 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
                 to_write = incoming
             else:
                 compare = business_columns(incoming)
-                if base == "current" and primary_key:
+                keyed = base == "current" and bool(primary_key) and key_profile(incoming, primary_key)[1]
+                if keyed:
                     versions = target.read_state_inputs(staged_runs)
                     staged = None if versions is None else current_state(versions, primary_key)
                 else:
                     staged = target.read(runs=staged_runs)
-                keyed = base == "current" and bool(primary_key)
                 to_write = changed_rows(incoming, None if staged is None else staged.select(*compare), compare,
-                                        base_unique=keyed, key=primary_key if keyed else (),
-                                        base_key_null_free=keyed and staged_runs.state_key_null_free(primary_key))
-            rows, written_top, nulls = write_batch_observed(to_write, path, target.fmt, max_of="ROW_NUMBER",
-                                                            null_key=list(primary_key))
+                                        base_unique=keyed, key=primary_key if keyed else ())
+            rows, written_top = write_batch_observed(to_write, path, target.fmt, max_of="ROW_NUMBER")
             details["max_row_number"] = written_top
-            if primary_key:
-                details.update(null_keys=nulls, null_keys_of=list(primary_key))
             if rows == 0:
                 outcomes.append(Outcome(table_name, NO_CHANGES, last_row_number=m))
                 continue

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+import re
 from dataclasses import dataclass, field
 
 from ..functions import ERROR_STATUS
@@ -32,13 +33,23 @@ class Outcome:
     details: dict = field(default_factory=dict)
 
 
+_SECRETS = re.compile(r"(?i)((?:password|passwd|pwd|user|token|secret|key)\s*=\s*)[^\s;&,]+|(//)[^/@\s]+@")
+
+
+def error_text(error: BaseException) -> str:
+    """Class and message of an error, without any stack and with credentials masked."""
+    message = str(error).split("JVM stacktrace:")[0].strip()
+    lines = [line for line in message.split("\n") if not re.match(r"\s*(at |\.\.\. \d+ more|File \"|Traceback)", line)]
+    return f"{type(error).__name__}: " + _SECRETS.sub(lambda m: f"{m[1] or m[2]}***" + ("@" if m[2] else ""), " ".join(lines))[:2000]
+
+
 def record_error(ledger: Ledger, *, db_name: str, table_name: str, action: str, zone: str, job_date,
                  job_start: _dt.datetime, error: BaseException, last_row_number: int = 0,
                  details: dict | None = None) -> Outcome:
     """Log a failed run with every ledger field set (the reference's error
     rows miss fields and use a key the logger does not read)."""
     info = dict(details or {})
-    info["error_message"] = f"{type(error).__name__}: {error}"
+    info["error_message"] = error_text(error)
     log.warning("run failed: %s.%s (%s): %s", db_name, table_name, zone, info["error_message"])
     ledger.record(db_name=db_name, table_name=table_name, action=action, zone=zone, status=ERROR_STATUS,
                   last_row_number=last_row_number, details=info, job_date=job_date, job_start=job_start,

@@ -27,30 +27,26 @@ from .runs import WRITTEN, Outcome, record_error
 
 class TransformLoad(ABC):
     def __init__(self, spark: SparkSession, lake_root: str, ledger: Ledger, *, db_name: str,
-                 zone: str = WAREHOUSE_ZONE, action: str = TRANSFORM_ACTION):
+                 zone: str = WAREHOUSE_ZONE, action: str = TRANSFORM_ACTION, fmt: str = "parquet"):
         self.spark = spark
         self.lake_root = lake_root
         self.ledger = ledger
         self.db_name = db_name
         self.zone = zone
         self.action = action
+        self.fmt = fmt
 
     @abstractmethod
     def transform(self, **kwargs) -> tuple[DataFrame, str]:
         """Return the output frame and the output table name."""
 
     def output(self, table_name: str) -> LakeTable:
-        return LakeTable(self.spark, self.ledger, self.lake_root, self.zone, table_name, None, None, self.action)
+        # the warehouse layout (K7) has no db level; its ledger rows carry the db
+        return LakeTable(self.spark, self.ledger, self.lake_root, self.zone, table_name, None, None, self.action,
+                         self.fmt, logged_db=self.db_name)
 
     def read_output(self, table_name: str) -> DataFrame | None:
-        # Ledger rows carry db_name; the warehouse layout (K7) has no db level.
-        paths = [p for p, _ in self.ledger.committed_batches(zone=self.zone, db_name=self.db_name,
-                                                             table_name=table_name)]
-        if not paths:
-            return None
-        out = self.output(table_name)
-        return self.spark.read.format(out.fmt).option("basePath", out.base).load(paths[-1]) \
-            .drop("ingest_date", "batch_id")
+        return self.output(table_name).read(latest_only=True)
 
     def load(self, run_date, **kwargs) -> Outcome:
         start = utcnow()
@@ -85,7 +81,9 @@ class DimTable:
 class WideTable(TransformLoad):
     """I4: fact ⋈ dimensions read from a zone, projected and de-duplicated
     by name (P1/P2).  ``current=True`` joins each table's current state by
-    primary key instead of all appended versions."""
+    primary key instead of all appended versions; ``transform(job_date=...)``
+    (or ``load(run_date, job_date=...)``) reads the batches of one day only,
+    picked by their paths.  Every column the caller lists is in the output."""
 
     def __init__(self, spark, lake_root, ledger, *, db_name: str, schema: str, output_table: str, fact: str,
                  fact_columns: Sequence[str], dims: Sequence[DimTable], fact_key: Sequence[str] = (),
@@ -100,29 +98,30 @@ class WideTable(TransformLoad):
         self.source_zone = source_zone
         self.current = current
 
-    def read_source(self, table: str, primary_key: Sequence[str], runs=None) -> DataFrame:
-        t = LakeTable(self.spark, self.ledger, self.lake_root, self.source_zone, table, self.db_name, self.schema)
-        if self.current and primary_key:
+    def read_source(self, table: str, primary_key: Sequence[str], runs=None, job_date=None) -> DataFrame:
+        t = LakeTable(self.spark, self.ledger, self.lake_root, self.source_zone, table, self.db_name, self.schema,
+                      fmt=self.fmt)
+        if self.current and primary_key and job_date is None:
             versions = t.read_state_inputs(runs)  # newest compaction snapshot + later batches
             if versions is None:
                 raise ValueError(f"no committed batch of {self.source_zone}.{table}")
             df = current_state(versions, primary_key)
         else:
-            df = t.read(runs=runs)
+            df = t.read(runs=runs, job_date=job_date)
             if df is None:
                 raise ValueError(f"no committed batch of {self.source_zone}.{table}")
         return df.drop(*[c for c in TECHNICAL_COLUMNS if c in df.columns])
 
-    def transform(self, **kwargs) -> tuple[DataFrame, str]:
+    def transform(self, job_date=None, **kwargs) -> tuple[DataFrame, str]:
         # the histories of every source table in one ledger query
         hist = self.ledger.histories(db_name=self.db_name,
                                      tables=[(self.source_zone, t) for t in [self.fact, *[d.table for d in self.dims]]])
-        fact = self.read_source(self.fact, self.fact_key, hist[(self.source_zone, self.fact)])
+        fact = self.read_source(self.fact, self.fact_key, hist[(self.source_zone, self.fact)], job_date)
         # Join keys of later dimensions may come from earlier dimensions.
         keys = [k for d in self.dims for k in ([d.fact_key] if isinstance(d.fact_key, str) else d.fact_key)]
         needed = list(dict.fromkeys(self.fact_columns + [k for k in keys if k in fact.columns]))
-        dims = [Dim(self.read_source(d.table, d.primary_key, hist[(self.source_zone, d.table)]), d.fact_key, d.dim_key,
-                    d.columns) for d in self.dims]
+        dims = [Dim(self.read_source(d.table, d.primary_key, hist[(self.source_zone, d.table)], job_date), d.fact_key,
+                    d.dim_key, d.columns) for d in self.dims]
         out = wide_join(fact.select(*needed), dims)
-        keep = self.fact_columns + [c for c in out.columns if c not in needed and c not in keys]
+        keep = self.fact_columns + [c for c in out.columns if c not in needed]
         return out.select(*keep), self.output_table

@@ -21,10 +21,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import SUCCESS_STATUS, json_field
+from .functions import SUCCESS_STATUS, json_details, json_field, unpadded_date_key_col
 from .operators import ml
 from .operators.changes import add_audit_columns, current_state, snapshot_diff
 from .operators.joins import Dim, wide_join
@@ -32,16 +34,17 @@ from .operators.ledger import (LEDGER_SCHEMA, Ledger, checkpoints_of, row_number
                                watermarks_of, zone_paths_of)
 from .operators.profile import describe_numeric, row_counts
 from .operators.rownum import dense_row_number
-from .operators.sampling import random_split, sample_limit, split_part
+from .operators.sampling import hash_split, random_split, sample_limit, split_part
 from .plans.extract import extract_table
-from .plans.ml_jobs import select_model, train_and_score
+from .plans.ml_jobs import batch_inference, save_predictions, select_model, train_and_score
 from .plans.promote import promote_table
 from .plans.runs import ERROR
+from .plans.text_job import count_and_save_text
 from .plans.transform_load import DimTable, WideTable
 from .session import scratch_dir
-from .sources.files import FrameSource, read_csv
+from .sources.files import FrameSource, from_rows, read_csv
 from .sources.lake import LakeTable, write_text
-from .specs import TableSpec
+from .specs import TableSpec, load_specs
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -53,6 +56,8 @@ ORDERS_SPEC = TableSpec("orders", required_columns=("o_custkey", "o_orderstatus"
                         primary_key=("o_orderkey",))
 CUSTOMER_SPEC = TableSpec("customer", required_columns=("c_name", "c_nationkey", "c_mktsegment"),
                           primary_key=("c_custkey",))
+# not unique in the test data
+LINEITEM_SPEC = TableSpec("lineitem", required_columns=("l_quantity",), primary_key=("l_orderkey", "l_linenumber"))
 NATION_SPEC = TableSpec("nation", required_columns=("n_name", "n_regionkey"), primary_key=("n_nationkey",))
 
 
@@ -172,6 +177,26 @@ def q_wide_table(spark, sf):
         fact_columns=["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"])
 
 
+def q_wide_table_drop(spark, sf):
+    """Dimension columns dropped by name."""
+    return wide_join(table(spark, sf, "orders"),
+                     [Dim(table(spark, sf, "customer"), "o_custkey", "c_custkey", drop=["c_nationkey", "c_acctbal"])])
+
+
+def q_missing_columns(spark, sf):
+    """Contracts of two load modes checked against several tables: one
+    row a missing column."""
+    contracts = {"full_load": {"orders": {"required_columns": ["o_custkey", "o_comment"], "primary_key": "o_orderkey"},
+                               "customer": {"required_columns": ["c_name"]},
+                               "nation": {"required_columns": ["n_name", "n_comment", "n_code"]}},
+                 "partial": {"region": {"required_columns": ["r_code"]}}}
+    rows = []
+    for mode, only in (("full_load", None), ("partial", "region")):
+        for name, spec in load_specs(contracts, mode, only).items():
+            rows += [(mode, name, c) for c in spec.missing_columns(table(spark, sf, name).columns)]
+    return spark.createDataFrame(rows, "load_mode string, table_name string, missing string")
+
+
 def q_wide_table_orders_customers(spark, sf):
     return wide_join(table(spark, sf, "orders"),
                      [Dim(table(spark, sf, "customer"), "o_custkey", "c_custkey", ["c_name", "c_mktsegment"])],
@@ -193,7 +218,8 @@ def q_unchanged_is_empty(spark, sf):
 
 
 def q_dense_row_number(spark, sf):
-    return dense_row_number(table(spark, sf, "orders"), ["o_orderkey"]).select("o_orderkey", "ROW_NUMBER")
+    """Unique key: the key alone is numbered and joined back."""
+    return dense_row_number(table(spark, sf, "orders"), ["o_orderkey"], unique=True).select("o_orderkey", "ROW_NUMBER")
 
 
 def q_dense_row_number_ts(spark, sf):
@@ -205,16 +231,14 @@ def q_dense_row_number_text(spark, sf):
 
 
 def q_dense_row_number_composite(spark, sf):
-    """Bucketed path (small-table shortcut off): leading column with many
-    repeated values, ties ordered by the second column inside each bucket."""
-    return dense_row_number(table(spark, sf, "events"), ["user_id", "event_id"], single_task_rows=0) \
+    """Leading column with many repeated values; rows carried whole."""
+    return dense_row_number(table(spark, sf, "events"), ["user_id", "event_id"]) \
         .select("event_id", "user_id", "ROW_NUMBER")
 
 
 def q_dense_row_number_range(spark, sf):
-    """Range-sorted, checkpointed path (small-table shortcut off): text
-    leading column."""
-    return dense_row_number(table(spark, sf, "events"), ["event_type", "event_id"], single_task_rows=0) \
+    """Text leading column, key-only numbering of a composite key."""
+    return dense_row_number(table(spark, sf, "events"), ["event_type", "event_id"], unique=True) \
         .select("event_id", "event_type", "ROW_NUMBER")
 
 
@@ -307,6 +331,36 @@ def q_text_lines(spark, sf):
     return spark.read.text(path)
 
 
+def q_count_and_text(spark, sf):
+    """Count and save as text, then once more onto the existing path."""
+    path = scratch_dir(spark, "text") + "/part"
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_retailprice")
+    first, again = count_and_save_text(part, path), count_and_save_text(part, path)
+    return (spark.read.text(path).withColumn("n", F.lit(first[0]).cast("long"))
+            .withColumn("written_again", F.lit(again[1])))
+
+
+def q_local_rows(spark, sf):
+    """The regions as a local collection, made a frame and joined to the nations."""
+    regions = from_rows(spark, [tuple(r) for r in table(spark, sf, "region").select("r_regionkey", "r_name").collect()],
+                        "key int, region string")
+    nations = table(spark, sf, "nation")
+    return nations.join(regions, nations["n_regionkey"] == regions["key"]).select("n_name", "region")
+
+
+def q_date_keys(spark, sf):
+    """Days without padding, with their number of events."""
+    return table(spark, sf, "events").groupBy(unpadded_date_key_col("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_run_details_json(spark, sf):
+    """N5 + N6: run details as JSON text, read back field by field."""
+    runs = table(spark, sf, "events").select(
+        "event_id", json_details(sink_path=F.concat(F.lit("lake/"), "event_type"), rows=F.col("user_id")).alias("details"))
+    return runs.select("event_id", "details", json_field("details", "sink_path").alias("sink_path"),
+                       json_field("details", "rows").cast("long").alias("n_rows"))
+
+
 # ---------------------------------------------------------------------------
 # 5. Composite jobs (I1-I5) on the lake
 # ---------------------------------------------------------------------------
@@ -326,15 +380,97 @@ def q_extract_incremental(spark, sf):
 
 
 def q_extract_incremental_at_scale(spark, sf):
-    """``extract_incremental`` with the small-table shortcut off, so the
-    driver's check covers the at-scale paths: the first load is numbered by
-    the bucketed window, the increment diffs unnumbered rows and numbers the
-    key alone (joined back)."""
+    """``extract_incremental`` over three days: the third brings no change,
+    so all that the later days wrote is the second day's batch."""
     orders = table(spark, sf, "orders")
     root, ledger = _lake(spark, "extract_scale")
-    _extract(spark, root, ledger, old_orders(orders), ORDERS_SPEC, DAY1, single_task_rows=0)
-    _extract(spark, root, ledger, orders, ORDERS_SPEC, DAY2, single_task_rows=0)
-    return _zone(spark, root, ledger, "raw", ORDERS_SPEC).read(job_date=DAY2)
+    for frame, day in ((old_orders(orders), DAY1), (orders, DAY2), (orders, DAY3)):
+        _extract(spark, root, ledger, frame, ORDERS_SPEC, day)
+    raw = _zone(spark, root, ledger, "raw", ORDERS_SPEC)
+    return _after_first_day(raw, raw.read().columns)
+
+
+def _raised_top_price(lines: DataFrame) -> DataFrame:
+    """Line items with the quantity of those of the highest price raised by one."""
+    top = lines.agg(F.max("l_extendedprice")).scalar()
+    return lines.withColumn("l_quantity", F.when(F.col("l_extendedprice") == top, F.col("l_quantity") + 1)
+                            .otherwise(F.col("l_quantity")))
+
+
+def _after_first_day(lake_table: LakeTable, columns: list[str]) -> DataFrame:
+    written = lake_table.read(with_batch_columns=True)
+    return written.where(F.col("ingest_date") > F.lit(DAY1).cast("date")).select(*columns)
+
+
+def q_extract_duplicate_key(spark, sf):
+    """A key that repeats: the same snapshot twice, then one with the top
+    price's lines changed.  What the second and third day wrote: only the
+    changed lines."""
+    lines = table(spark, sf, "lineitem")
+    root, ledger = _lake(spark, "extract_duplicates")
+    for frame, day in ((lines, DAY1), (lines, DAY2), (_raised_top_price(lines), DAY3)):
+        _extract(spark, root, ledger, frame, LINEITEM_SPEC, day)
+    return _after_first_day(_zone(spark, root, ledger, "raw", LINEITEM_SPEC), lines.columns)
+
+
+def _nullable_key(orders: DataFrame) -> DataFrame:
+    """Orders whose key is known only while they are not finished."""
+    return orders.withColumn("o_orderkey", F.when(F.col("o_orderstatus") != "F", F.col("o_orderkey")))
+
+
+def q_extract_null_key(spark, sf):
+    """A key that is null for finished orders: the same snapshot twice, then
+    the status change of ``altered orders`` undone.  What the second and
+    third day wrote."""
+    orders = table(spark, sf, "orders")
+    root, ledger = _lake(spark, "extract_nulls")
+    before = _nullable_key(altered_orders(orders))
+    for frame, day in ((before, DAY1), (before, DAY2), (_nullable_key(orders), DAY3)):
+        _extract(spark, root, ledger, frame, ORDERS_SPEC, day)
+    return _after_first_day(_zone(spark, root, ledger, "raw", ORDERS_SPEC), orders.columns)
+
+
+def q_promote_duplicate_key(spark, sf):
+    """Staging after two promotions of a table whose key repeats."""
+    lines = table(spark, sf, "lineitem")
+    root, ledger = _lake(spark, "promote_duplicates")
+    for frame in (lines, _raised_top_price(lines)):
+        _extract(spark, root, ledger, frame, LINEITEM_SPEC, DAY1)
+        _promote(spark, root, ledger, LINEITEM_SPEC, DAY1)
+    return _zone(spark, root, ledger, "staging", LINEITEM_SPEC).read().select(*lines.columns)
+
+
+def q_keyless_extract_promote(spark, sf):
+    """A table without a key: two extracts and promotions of one day; staging."""
+    orders = table(spark, sf, "orders")
+    spec = TableSpec("orders", required_columns=("o_totalprice",))
+    root, ledger = _lake(spark, "keyless")
+    for frame in (old_orders(orders), orders):
+        _extract(spark, root, ledger, frame, spec, DAY1)
+        _promote(spark, root, ledger, spec, DAY1)
+    return _zone(spark, root, ledger, "staging", spec).read().select(*orders.columns)
+
+
+def q_extract_no_change(spark, sf):
+    """the same snapshot on two days and an empty source: the ledger has one run."""
+    orders = table(spark, sf, "orders")
+    root, ledger = _lake(spark, "no_change")
+    for frame, day in ((orders, DAY1), (orders, DAY2), (orders.where("false"), DAY3)):
+        _extract(spark, root, ledger, frame, ORDERS_SPEC, day)
+    return ledger.runs(zone="raw").select("table_name", "status", "last_row_number", "job_date")
+
+
+def q_lake_compacted(spark, sf):
+    """Compaction of the lake and of the ledger: the state read from the
+    snapshot is the newest version of each key."""
+    orders = table(spark, sf, "orders")
+    root, ledger = _lake(spark, "compacted")
+    for frame, day in ((altered_orders(orders), DAY1), (orders, DAY2)):
+        _extract(spark, root, ledger, frame, ORDERS_SPEC, day)
+    raw = _zone(spark, root, ledger, "raw", ORDERS_SPEC)
+    raw.compact(DAY3, ORDERS_SPEC.primary_key)
+    ledger.compact()
+    return current_state(raw.read_state_inputs(), ORDERS_SPEC.primary_key).select(*orders.columns)
 
 
 def q_extract_reverted_row(spark, sf):
@@ -360,9 +496,14 @@ def q_failed_run_logged(spark, sf):
     it is written (a row with a negative balance raises inside the read, as
     a source failing mid-run would).  The failure becomes a complete error
     row (status, source row count, message) and the other tables still
-    load."""
+    load.  A volatile supplier source whose read fails ends as an error row
+    too, with 0 rows counted."""
     root, ledger = _lake(spark, "failed_run")
     customer = table(spark, sf, "customer")
+    lost = table(spark, sf, "supplier").withColumn("s_name", F.raise_error(F.lit("connection lost")))
+    extract_table(spark, root, ledger, FrameSource("supplier", lost, stable=False),
+                  TableSpec("supplier", required_columns=("s_name",), primary_key=("s_suppkey",)), db_name=DB,
+                  schema=SCHEMA, run_date=DAY1)
     breaking = customer.withColumn("c_acctbal", F.when(F.col("c_acctbal") < 0, F.raise_error(F.lit("negative balance")))
                                    .otherwise(F.col("c_acctbal")))
     for spec, frame in ((ORDERS_SPEC, table(spark, sf, "orders")), (CUSTOMER_SPEC, breaking),
@@ -427,6 +568,42 @@ def q_transform_load(spark, sf):
     return job.read_output("orders_wide")
 
 
+def _staged_orders(spark, root, ledger, sf):
+    """Old orders staged on the first day, what changed since on the second; customers on both."""
+    orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    for frame, day in ((old_orders(orders), DAY1), (orders, DAY2)):
+        _extract(spark, root, ledger, frame, ORDERS_SPEC, day)
+        _promote(spark, root, ledger, ORDERS_SPEC, day)
+    for day in (DAY1, DAY2):
+        _zone(spark, root, ledger, "staging", CUSTOMER_SPEC).append(customer, day)
+
+
+def q_transform_load_one_day(spark, sf):
+    """I4 over one staging day of two: only that day's batches are read."""
+    root, ledger = _lake(spark, "transform_day")
+    _staged_orders(spark, root, ledger, sf)
+    job = WideTable(spark, root, ledger, db_name=DB, schema=SCHEMA, output_table="orders_wide", fact="orders",
+                    fact_columns=["o_orderkey", "o_orderstatus"],
+                    dims=[DimTable("customer", "o_custkey", "c_custkey", ["c_name"])])
+    out = job.load(DAY2, job_date=DAY2)
+    if out.kind == ERROR:
+        raise RuntimeError(out.error)
+    return job.read_output("orders_wide")
+
+
+def q_transform_load_current(spark, sf):
+    """I4 over the current state of every staged table."""
+    root, ledger = _lake(spark, "transform_current")
+    _staged_orders(spark, root, ledger, sf)
+    job = WideTable(spark, root, ledger, db_name=DB, schema=SCHEMA, output_table="orders_wide", fact="orders",
+                    current=True, fact_key=["o_orderkey"], fact_columns=["o_orderkey", "o_orderstatus"],
+                    dims=[DimTable("customer", "o_custkey", "c_custkey", ["c_name"], ["c_custkey"])])
+    out = job.load(DAY3)
+    if out.kind == ERROR:
+        raise RuntimeError(out.error)
+    return job.output("orders_wide").read(latest_only=True)
+
+
 class _BalanceCheckedWide(WideTable):
     """A wide-table transform that breaks on a negative customer balance
     while its output is written."""
@@ -489,11 +666,8 @@ def q_label_index(spark, sf):
 
 def q_label_decode(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source")
-    model = ml.label_indexer("source", "source_index").fit(docs)
-    from pyspark.ml.feature import IndexToString
-
-    decode = IndexToString(inputCol="source_index", outputCol="decoded", labels=model.labels)
-    return decode.transform(model.transform(docs))
+    model = Pipeline(stages=[ml.label_indexer("source", "source_index")]).fit(docs)
+    return ml.decoder(model, "source_index", "decoded").transform(model.transform(docs))
 
 
 def q_assembled_features(spark, sf):
@@ -524,43 +698,70 @@ def _embeddings(spark, sf) -> DataFrame:
         .withColumn("label_text", F.col("label").cast("string"))
 
 
-def q_lr_scored(spark, sf):
-    emb = _embeddings(spark, sf)
-    from .operators.sampling import hash_split
+def _sane(scored: DataFrame, decoded: str, labels: list[str]) -> DataFrame:
+    """What holds for any right model: the prediction is the most probable
+    class, probabilities sum to 1, the decoded label is that class's."""
+    p = vector_to_array("probability")
+    names, predicted = F.array(*map(F.lit, labels)), F.col("prediction").cast("int")
+    return scored.select("vec_id", "label_text", (F.get(p, predicted) == F.array_max(p)).alias("is_argmax"),
+                         (F.abs(F.aggregate(p, F.lit(0.0), lambda x, y: x + y) - 1) < 1e-9).alias("sums_to_one"),
+                         (F.get(names, predicted) == F.col(decoded)).alias("label_decoded"))
 
-    scored = train_and_score(emb, label_source="label_text", feature_cols=["emb_vec"], id_col="vec_id",
-                             label_col="label_idx", split=lambda df: hash_split(df, ["vec_id"], (0.7, 0.3), 42))
-    return scored.predictions.select("vec_id", "label_text", "prediction", "output")
+
+def q_lr_scored(spark, sf):
+    """Split, fit, score and decode."""
+    scored = train_and_score(_embeddings(spark, sf), label_source="label_text", feature_cols=["emb_vec"],
+                             id_col="vec_id", label_col="label_idx",
+                             split=lambda df: hash_split(df, ["vec_id"], (0.7, 0.3), 42))
+    return _sane(scored.predictions, "output", scored.model.stages[0].labels)
 
 
 def q_grid_metrics(spark, sf):
+    """Grid, validation split, save, reload: what holds for any right selection."""
     emb = _embeddings(spark, sf)
     path = scratch_dir(spark, "model") + "/model"
     # grid points are fitted side by side (same models and metrics as one by one)
     sel = select_model(emb, label_source="label_text", feature_cols=["emb_vec"], path=path, parallelism=4)
-    rows = [(int(m["maxIter"]), float(m["regParam"]), float(m["metric"]), float(sel.f1)) for m in sel.metrics]
-    return spark.createDataFrame(rows, "maxIter int, regParam double, metric double, reloaded_f1 double")
+    scored = sel.reloaded.transform(emb).select(F.col("Label").alias("label"), "prediction")
+    same = abs(ml.weighted_f1(scored).first()["f1"] - sel.f1) < 1e-9
+    values = [float(m["metric"]) for m in sel.metrics]
+    chosen, best = sel.reloaded.bestModel.stages[-1], sel.metrics[values.index(max(values))]
+    is_best = (chosen.getMaxIter(), chosen.getRegParam()) == (int(best["maxIter"]), float(best["regParam"]))
+    rows = [(int(m["maxIter"]), float(m["regParam"]), 0 <= v <= 1, same, is_best) for m, v in zip(sel.metrics, values)]
+    return spark.createDataFrame(rows, "maxIter int, regParam double, metric_in_range boolean, "
+                                       "f1_after_reload boolean, saved_is_best boolean")
 
 
-def q_batch_inference(spark, sf):
-    """I8: fit the pipeline on the train part, persist it as ``bestModel``,
-    reload it and score a repeatable sample of 5 rows (M2 + O2 + M7 + M8)."""
-    from .operators.sampling import hash_split
-    from .plans.ml_jobs import batch_inference
-
-    emb = _embeddings(spark, sf)
+def _saved_model(spark, emb: DataFrame) -> tuple[str, list[str]]:
     train, _ = hash_split(emb, ["vec_id"], (0.7, 0.3), 42)
     model = ml.classification_pipeline("label_text", ["emb_vec"], label_col="label_idx").fit(train)
     path = scratch_dir(spark, "model")
     model.write().save(f"{path}/bestModel")
-    out = batch_inference(emb, model_path=path, key=["vec_id"], fraction=0.1, n=5)
-    return out.select("vec_id", "label_text", "prediction", "predict_label")
+    return path, model.stages[0].labels
+
+
+def q_batch_inference(spark, sf):
+    """I8: fit the pipeline on the train part, persist it as ``bestModel``,
+    reload it, score all rows and decode."""
+    emb = _embeddings(spark, sf)
+    path, labels = _saved_model(spark, emb)
+    return _sane(batch_inference(emb, model_path=path), "predict_label", labels)
+
+
+def q_predictions_table(spark, sf):
+    """K8: scored rows saved as a table, vectors as arrays, read again."""
+    emb = _embeddings(spark, sf)
+    path, _ = _saved_model(spark, emb)
+    save_predictions(batch_inference(emb, model_path=path), f"{path}/predictions")
+    total = F.aggregate("probability", F.lit(0.0), lambda x, y: x + y)
+    return spark.read.parquet(f"{path}/predictions").select("vec_id", "label_text",
+                                                            (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 def q_random_split_sizes(spark, sf):
+    """M1: both parts of Spark's random split together are the table."""
     train, test = random_split(table(spark, sf, "lineitem"), (0.7, 0.3), 42)
-    return train.select(F.lit(0).alias("part")).unionByName(test.select(F.lit(1).alias("part"))) \
-        .groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    return train.unionByName(test)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -575,6 +776,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dense_row_number_range": q_dense_row_number_range,
     "audit_columns": q_audit_columns,
     "audit_columns_legacy": q_audit_columns_legacy,
+    "wide_table_drop": q_wide_table_drop,
+    "missing_columns": q_missing_columns,
     "append_union": q_append_union,
     "lake_append_read": q_lake_append_read,
     "lake_replace_read": q_lake_replace_read,
@@ -586,17 +789,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "promotion_candidates": q_promotion_candidates,
     "csv_roundtrip": q_csv_roundtrip,
     "text_lines": q_text_lines,
+    "count_and_text": q_count_and_text,
+    "local_rows": q_local_rows,
+    "date_keys": q_date_keys,
+    "run_details_json": q_run_details_json,
     "extract_first_load": q_extract_first_load,
     "extract_incremental": q_extract_incremental,
     "extract_incremental_at_scale": q_extract_incremental_at_scale,
     "extract_reverted_row": q_extract_reverted_row,
     "extract_deleted_source": q_extract_deleted_source,
+    "extract_duplicate_key": q_extract_duplicate_key,
+    "extract_null_key": q_extract_null_key,
+    "extract_no_change": q_extract_no_change,
+    "keyless_extract_promote": q_keyless_extract_promote,
+    "lake_compacted": q_lake_compacted,
     "failed_run_logged": q_failed_run_logged,
     "current_state": q_current_state,
     "promote_first": q_promote_first,
     "promote_incremental": q_promote_incremental,
     "promote_reverted_row": q_promote_reverted_row,
+    "promote_duplicate_key": q_promote_duplicate_key,
     "transform_load": q_transform_load,
+    "transform_load_one_day": q_transform_load_one_day,
+    "transform_load_current": q_transform_load_current,
     "transform_failed_logged": q_transform_failed_logged,
     "describe_numeric": q_describe_numeric,
     "row_counts": q_row_counts,
@@ -610,6 +825,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lr_scored": q_lr_scored,
     "grid_metrics": q_grid_metrics,
     "batch_inference": q_batch_inference,
+    "predictions_table": q_predictions_table,
     "random_split_sizes": q_random_split_sizes,
 }
 
@@ -633,6 +849,10 @@ def _changed_join(new_sql: str, old_sql: str, day: str) -> str:
             f"USING ({_ORDER_COLS})")
 
 
+_RAISED = ("SELECT * REPLACE (CASE WHEN l_extendedprice = (SELECT max(l_extendedprice) FROM lineitem) "
+           "THEN l_quantity + 1 ELSE l_quantity END AS l_quantity) FROM lineitem")
+_NULL_KEY = "SELECT * REPLACE (CASE WHEN o_orderstatus <> 'F' THEN o_orderkey END AS o_orderkey) FROM ({})"
+
 _LEDGER = f"(WITH l AS ({EVENTS_LEDGER_SQL}) SELECT * FROM l)"
 _KEYS = "zone, db_name, table_name, action"
 _DESCRIBE = " UNION ALL ".join(
@@ -665,6 +885,13 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
                                "AS ROW_NUMBER FROM events"),
     "audit_columns": f"SELECT *, '{DAY1}' AS CREATED_AT, '{DAY1}' AS UPDATED_AT FROM customer",
     "audit_columns_legacy": f"SELECT *, '{DAY1}' AS UPDATED_AT FROM customer",
+    "wide_table_drop": ("SELECT o.*, c.* EXCLUDE (c_custkey, c_nationkey, c_acctbal) FROM orders o "
+                        "JOIN customer c ON o_custkey = c_custkey"),
+    "missing_columns": """SELECT load_mode, t AS table_name, c AS missing FROM (VALUES
+  ('full_load', 'orders', 'o_custkey'), ('full_load', 'orders', 'o_comment'), ('full_load', 'customer', 'c_name'),
+  ('full_load', 'nation', 'n_name'), ('full_load', 'nation', 'n_comment'), ('full_load', 'nation', 'n_code'),
+  ('partial', 'region', 'r_code')) AS v(load_mode, t, c)
+WHERE NOT EXISTS (SELECT 1 FROM information_schema.columns i WHERE i.table_name = t AND i.column_name = c)""",
     "append_union": (f"SELECT * FROM ({OLD_ORDERS_SQL}) UNION ALL "
                      f"(SELECT * FROM orders EXCEPT SELECT * FROM ({OLD_ORDERS_SQL}))"),
     "lake_append_read": "SELECT * FROM orders",
@@ -690,6 +917,39 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
         f"FROM {_LEDGER} WHERE zone = 'raw' AND status = 'succeed') r"),
     "csv_roundtrip": "SELECT * FROM part",
     "text_lines": "SELECT '(''' || c_name || ''', ' || CAST(c_custkey AS VARCHAR) || ')' AS value FROM customer",
+    "count_and_text": ("SELECT '(' || CAST(p_partkey AS VARCHAR) || ', ' || chr(39) || p_name || chr(39) || ', ' || "
+                       "CAST(p_retailprice AS VARCHAR) || ')' AS value, (SELECT COUNT(*) FROM part) AS n, "
+                       "false AS written_again FROM part"),
+    "local_rows": "SELECT n_name, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey",
+    "date_keys": "SELECT year(ts) || '-' || month(ts) || '-' || day(ts) AS day, COUNT(*) AS n FROM events GROUP BY 1",
+    "run_details_json": ("""SELECT event_id, '{"sink_path":"lake/' || event_type || '","rows":' || user_id || '}' """
+                         "AS details, 'lake/' || event_type AS sink_path, user_id::BIGINT AS n_rows FROM events"),
+    "extract_duplicate_key": f"SELECT * FROM ({_RAISED}) EXCEPT ALL SELECT * FROM lineitem",
+    "extract_null_key": (f"SELECT n.* FROM ({_NULL_KEY.format('SELECT * FROM orders')}) n WHERE NOT EXISTS "
+                         f"(SELECT 1 FROM ({_NULL_KEY.format(ALTERED_ORDERS_SQL)}) o WHERE "
+                         + " AND ".join(f"n.{c} IS NOT DISTINCT FROM o.{c}" for c in _ORDER_COLS.split(", ")) + ")"),
+    "extract_no_change": (f"SELECT 'orders' AS table_name, 'succeed' AS status, COUNT(*) AS last_row_number, "
+                          f"DATE '{DAY1}' AS job_date FROM orders"),
+    "keyless_extract_promote": (f"SELECT * FROM ({OLD_ORDERS_SQL}) UNION ALL "
+                                f"(SELECT * FROM orders EXCEPT SELECT * FROM ({OLD_ORDERS_SQL}))"),
+    "lake_compacted": "SELECT * FROM orders",
+    "promote_duplicate_key": (f"SELECT * FROM lineitem UNION ALL (SELECT * FROM ({_RAISED}) "
+                              "EXCEPT ALL SELECT * FROM lineitem)"),
+    "transform_load_one_day": (
+        f"SELECT o_orderkey, o_orderstatus, c_name FROM (SELECT * FROM orders EXCEPT SELECT * FROM ({OLD_ORDERS_SQL})) "
+        "JOIN customer ON o_custkey = c_custkey"),
+    "transform_load_current": ("SELECT o_orderkey, o_orderstatus, c_name FROM orders "
+                               "JOIN customer ON o_custkey = c_custkey"),
+    "lr_scored": ("SELECT vec_id, CAST(label AS VARCHAR) AS label_text, true AS is_argmax, true AS sums_to_one, "
+                  "true AS label_decoded FROM embeddings "
+                  "WHERE substring(md5(concat_ws('|', '42', CAST(vec_id AS VARCHAR))), 1, 8) >= 'b3333333'"),
+    "batch_inference": ("SELECT vec_id, CAST(label AS VARCHAR) AS label_text, true AS is_argmax, true AS sums_to_one, "
+                        "true AS label_decoded FROM embeddings"),
+    "predictions_table": "SELECT vec_id, CAST(label AS VARCHAR) AS label_text, true AS sums_to_one FROM embeddings",
+    "grid_metrics": ("SELECT CAST(i AS INTEGER) AS maxIter, CAST(r AS DOUBLE) AS regParam, true AS metric_in_range, "
+                     "true AS f1_after_reload, true AS saved_is_best "
+                     "FROM (VALUES (20), (30)) AS a(i), (VALUES (0.1), (0.01)) AS b(r)"),
+    "random_split_sizes": "SELECT * FROM lineitem",
     "extract_first_load": _numbered("SELECT * FROM orders", DAY1),
     "extract_incremental": _changed_join("SELECT * FROM orders", OLD_ORDERS_SQL, DAY2),
     "extract_incremental_at_scale": _changed_join("SELECT * FROM orders", OLD_ORDERS_SQL, DAY2),
@@ -701,6 +961,7 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
         "false AS has_error FROM orders UNION ALL "
         "SELECT 'customer', CASE WHEN COUNT(*) FILTER (WHERE c_acctbal < 0) > 0 THEN 'error' ELSE 'succeed' END, "
         f"COUNT(*), DATE '{DAY1}', COUNT(*) FILTER (WHERE c_acctbal < 0) > 0 FROM customer UNION ALL "
+        f"SELECT 'supplier', 'error', 0, DATE '{DAY1}', true UNION ALL "
         f"SELECT 'nation', 'succeed', COUNT(*), DATE '{DAY1}', false FROM nation"),
     "current_state": "SELECT * FROM orders",
     "promote_first": _numbered("SELECT * FROM orders", DAY1),
@@ -710,7 +971,7 @@ JOIN part p ON l.l_partkey = p.p_partkey""",
                              f"SELECT * FROM ({_changed_join(ALTERED_ORDERS_SQL, 'SELECT * FROM orders', DAY1)}) "
                              f"UNION ALL SELECT * FROM ({_changed_join('SELECT * FROM orders', ALTERED_ORDERS_SQL, DAY1)})"),
     "transform_load": """SELECT o.o_orderkey, o.o_orderdate, o.o_totalprice, o.o_orderstatus, c.c_name,
-       c.c_mktsegment, n.n_name
+       c.c_mktsegment, c.c_nationkey, n.n_name
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "transform_failed_logged": (
         "SELECT 'raw' AS zone, 'orders' AS table_name, 'extract' AS action, 'succeed' AS status, "

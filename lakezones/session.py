@@ -42,13 +42,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a local one only if none is set."""
+    """Return the cluster's checkpoint folder; a local master without one gets its own, a cluster an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lakezones-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
     sc.setCheckpointDir(configured)

@@ -19,11 +19,12 @@ writers to one table are out of scope.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType, StringType
 
 from ..functions import COMPACT_ACTION, SUCCESS_STATUS, as_date, date_text
 from ..operators.ledger import Ledger, TableRuns, new_run_id, utcnow
@@ -46,29 +47,21 @@ def batch_path(root_of_table: str, run_date, batch_id: str) -> str:
     return f"{root_of_table}/ingest_date={date_text(run_date)}/batch_id={batch_id}"
 
 
-def write_batch_observed(df: DataFrame, path: str, fmt: str = "parquet", max_of: str | None = None,
-                         null_key: Sequence[str] = ()) -> tuple[int, int | None, int | None]:
-    """K1: write ``df`` to a new batch directory; returns the row count, the
-    highest value of ``max_of`` (``None`` if absent or empty) and the number
-    of rows with a null in ``null_key`` (``None`` without a key).
+def write_batch_observed(df: DataFrame, path: str, fmt: str = "parquet",
+                         max_of: str | None = None) -> tuple[int, int | None]:
+    """K1: write ``df`` to a new batch directory; returns the row count and the
+    highest value of ``max_of`` (``None`` if absent or empty).
 
-    All three are taken by an ``Observation`` during the write itself (A2,
-    A3), so the plan runs once and the batch is never scanned again for
-    them.
+    Both are taken by an ``Observation`` during the write itself (A2, A3), so
+    the plan runs once and the batch is never scanned again for them.
     """
     obs = Observation("batch")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if max_of and max_of in df.columns:
         metrics.append(F.max(max_of).cast("long").alias("max"))
-    if null_key:
-        any_null = F.lit(False)
-        for c in null_key:
-            any_null = any_null | F.col(c).isNull()
-        metrics.append(F.count(F.when(any_null, 1)).alias("null_keys"))
     df.observe(obs, *metrics).write.format(fmt).mode("errorifexists").save(path)
-    got = obs.get
-    top, nulls = got.get("max"), got.get("null_keys")
-    return int(got["rows"]), None if top is None else int(top), None if nulls is None else int(nulls)
+    top = obs.get.get("max")
+    return int(obs.get["rows"]), None if top is None else int(top)
 
 
 def write_batch(df: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -96,6 +89,7 @@ class LakeTable:
     schema: str | None = None
     action: str = "extract"
     fmt: str = "parquet"
+    logged_db: str | None = None  # the db in the ledger where the path has none (warehouse tables)
 
     @property
     def base(self) -> str:
@@ -103,7 +97,7 @@ class LakeTable:
 
     @property
     def ledger_db(self) -> str:
-        return self.db_name or ""
+        return self.logged_db or self.db_name or ""
 
     def new_batch_path(self, run_date, batch_id: str | None = None) -> tuple[str, str]:
         batch_id = batch_id or new_run_id()
@@ -156,11 +150,8 @@ class LakeTable:
         state = current_state(inputs, primary_key) if primary_key else inputs
         start = utcnow()
         path, batch_id = self.new_batch_path(run_date, new_run_id(start))
-        rows, _, nulls = write_batch_observed(state.drop(*BATCH_COLUMNS), path, self.fmt,
-                                              null_key=list(primary_key))
+        rows = write_batch(state.drop(*BATCH_COLUMNS), path, self.fmt)
         info = {"sink_path": path, "primary_key": list(primary_key)}
-        if primary_key:
-            info.update(null_keys=nulls, null_keys_of=list(primary_key))
         self.ledger.record(db_name=self.ledger_db, table_name=self.table, action=COMPACT_ACTION, zone=self.zone,
                            status=SUCCESS_STATUS, last_row_number=rows, details=info,
                            job_date=as_date(run_date), job_start=start, job_end=utcnow(), run_id=batch_id)
@@ -193,48 +184,80 @@ class LakeTable:
         return self.append(df, run_date, last_row_number=last_row_number, details=details, commit_empty=True)
 
 
-def python_tuple_text(*cols) -> "F.Column":
-    """Format columns like Python's ``repr`` of a tuple: ``('Java', 20000)``.
+def _python_string(c: Column) -> Column:
+    """``repr`` of a string: quotes and backslashes as Python chooses them, control characters escaped."""
+    use_double = c.contains("'") & ~c.contains('"')
+    esc = F.regexp_replace(c, r"\\", r"\\\\")
+    for char, name in (("\n", "n"), ("\r", "r"), ("\t", "t")):
+        esc = F.regexp_replace(esc, char, rf"\\{name}")
+    hexed = F.array_join(F.transform(F.split(esc, ""), lambda ch: F.when(
+        ch.rlike(r"[\x00-\x1f\x7f]"), F.concat(F.lit("\\x"), F.lower(F.lpad(F.hex(F.ascii(ch)), 2, "0")))).otherwise(ch)), "")
+    esc = F.when(esc.rlike(r"[\x00-\x1f\x7f]"), hexed).otherwise(esc)
+    return F.when(use_double, F.concat(F.lit('"'), esc, F.lit('"'))) \
+        .otherwise(F.concat(F.lit("'"), F.regexp_replace(esc, "'", r"\\'"), F.lit("'")))
+
 
-    Strings are quoted as ``repr`` does for plain text (single quotes, or
-    double quotes when the text has a single quote and no double quote) with
-    backslash, quote, newline, carriage return and tab escaped.
+def _python_float(c: Column) -> Column:
+    """``repr`` of a double: plain digits from 1e-4 to below 1e16, else an exponent of two digits or more.
+
+    The digits are the JVM's (before Java 19 a few values, such as the smallest, have others than Python's).
     """
-    from pyspark.sql.types import NumericType, StringType
+    text = c.cast("string")
+    plain = F.concat(F.regexp_replace(text.cast("decimal(38, 21)").cast("string"), r"0+$", ""), F.lit(""))
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    power = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(-?)(\d)$", r"E$10$2")
+    power = F.regexp_replace(F.regexp_replace(power, "E-", "e-"), "E", "e+")
+    size = F.abs(c)
+    zero = F.when(text.startswith("-"), "-0.0").otherwise("0.0")
+    return (F.when(F.isnan(c), "nan").when(c == float("inf"), "inf").when(c == float("-inf"), "-inf").when(c == 0, zero)
+            .when((size >= 1e-4) & (size < 1e16), plain).otherwise(power))
+
+
+def python_tuple_text(*cols) -> Column:
+    """Format columns like Python's ``repr`` of a tuple: ``('Java', 20000)``.
 
+    Strings, booleans, doubles, integers and decimals without an exponent come out as
+    ``repr`` writes them (ASCII control characters escaped; other unprintable
+    characters stay); a float is shown as its double.  All other
+    types are quoted text.
+    """
     parts = []
     for c, dtype in cols:
         c = F.col(c) if isinstance(c, str) else c
         if isinstance(dtype, StringType):
-            use_double = c.contains("'") & ~c.contains('"')
-            esc = F.regexp_replace(c, r"\\", r"\\\\")
-            esc = F.regexp_replace(esc, "\n", r"\\n")
-            esc = F.regexp_replace(esc, "\r", r"\\r")
-            esc = F.regexp_replace(esc, "\t", r"\\t")
-            single = F.concat(F.lit("'"), F.regexp_replace(esc, "'", r"\\'"), F.lit("'"))
-            double = F.concat(F.lit('"'), esc, F.lit('"'))
-            text = F.when(c.isNull(), F.lit("None")).when(use_double, double).otherwise(single)
+            text = _python_string(c)
+        elif isinstance(dtype, BooleanType):
+            text = F.when(c, "True").otherwise("False")
+        elif isinstance(dtype, (DoubleType, FloatType)):
+            text = _python_float(c.cast("double"))
         elif isinstance(dtype, NumericType):
-            text = F.coalesce(c.cast("string"), F.lit("None"))
+            text = c.cast("string")
         else:
-            text = F.coalesce(F.concat(F.lit("'"), c.cast("string"), F.lit("'")), F.lit("None"))
-        parts.append(text)
+            text = F.concat(F.lit("'"), c.cast("string"), F.lit("'"))
+        parts.append(F.when(c.isNull(), "None").otherwise(text))
     inner = F.concat_ws(", ", *parts)
     if len(parts) == 1:
         inner = F.concat(inner, F.lit(","))
     return F.concat(F.lit("("), inner, F.lit(")"))
 
 
-def write_text(df: DataFrame, path: str, columns: list[str] | None = None) -> bool:
-    """K3: save rows as Python-tuple text lines; an existing path is not
-    overwritten (the reference logs and swallows that error: returns False)."""
-    from pyspark.errors import AnalysisException
-
+def write_text_counted(df: DataFrame, path: str, columns: list[str] | None = None) -> int | None:
+    """K3 + A4: save rows as Python-tuple text lines and count them in the
+    same pass; ``None`` if the path exists (it is not overwritten)."""
     columns = columns or df.columns
     types = {f.name: f.dataType for f in df.schema.fields}
     lines = df.select(python_tuple_text(*[(c, types[c]) for c in columns]).alias("value"))
+    obs = Observation("text")
     try:
-        lines.write.mode("errorifexists").text(path)
-    except AnalysisException:
-        return False
-    return True
+        lines.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").text(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        return None
+    return int(obs.get["rows"])
+
+
+def write_text(df: DataFrame, path: str, columns: list[str] | None = None) -> bool:
+    """K3: save rows as Python-tuple text lines; an existing path is not
+    overwritten (the reference logs and swallows that error: returns False)."""
+    return write_text_counted(df, path, columns) is not None

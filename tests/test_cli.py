@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 import yaml
 
 from lakezones.__main__ import main
@@ -59,5 +60,16 @@ def test_ml_commands(spark, tmp_path, capsys):
     main(["select-model", *ml, "--model-path", model, "--parallelism", "2"])
     sel = _lines(capsys)[0]
     assert len(sel["validation"]) == 4 and 0.0 <= sel["f1_after_reload"] <= 1.0
-    main(["score", *ml, "--model-path", model, "--limit", "3", "--fraction", "0.5"])
+    score = ["score", "--csv", csv, "--id", "c_custkey", "--model-path", model]
+    main([*score, "--limit", "3", "--fraction", "0.5"])
     assert _lines(capsys)[0]["scored"] == 3
+    main(score)  # all rows unless a sample is asked for
+    assert _lines(capsys)[0]["scored"] == 150
+
+
+def test_failed_outcomes_exit_with_an_error(spark, tmp_path, capsys):
+    job = tmp_path / "wide.yaml"
+    job.write_text(yaml.safe_dump({"output_table": "w", "fact": "nothing", "fact_columns": ["a"], "dims": []}))
+    with pytest.raises(SystemExit) as end:
+        main(["wide-table", "--lake-root", scratch_dir(spark, "cli"), "--db", "d", "--schema", "s", "--job", str(job)])
+    assert end.value.code == 1 and _lines(capsys)[0]["kind"] == "error"

@@ -43,11 +43,11 @@ def test_empty_append_not_committed(spark, lake):
 
 def test_text_sink_python_tuples(spark):
     path = scratch_dir(spark, "text") + "/out"
-    rows = spark.createDataFrame([("Java", 20000), ("Python", 100000), ("it's", 3), (None, 1)], "lang string, n int")
+    rows = spark.createDataFrame([("oak", 17), ("birch", 4200), ("it's", 3), (None, 1)], "tree string, n int")
     n, written = count_and_save_text(rows, path)
     assert (n, written) == (4, True)
     lines = sorted(r.value for r in spark.read.text(path).collect())
-    assert lines == sorted([repr(("Java", 20000)), repr(("Python", 100000)), repr(("it's", 3)), repr((None, 1))])
+    assert lines == sorted([repr(("oak", 17)), repr(("birch", 4200)), repr(("it's", 3)), repr((None, 1))])
     # existing path: logged and swallowed
     assert write_text(rows, path) is False
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import CUSTOMERS, CUSTOMERS_SCHEMA, NEW_ORDER, ORDERS, ORDERS_SCHEMA, PRODUCTS, PRODUCTS_SCHEMA
 from lakezones.functions import ERROR_STATUS, SUCCESS_STATUS
+from lakezones.operators.ledger import Ledger
 from lakezones.plans import runs
 from lakezones.plans.extract import extract_table, run_extract
 from lakezones.plans.promote import promote_table, run_promote
@@ -154,7 +155,7 @@ def _golden_extract(spark, lake, orders):
 
 def _normalize_job(spark, lake):
     root, ledger = lake
-    return WideTable(spark, root, ledger, db_name="inv", schema="s", output_table="normalize_table", fact="orders",
+    return WideTable(spark, root, ledger, db_name="inv", schema="s", output_table="orders_flat", fact="orders",
                      fact_columns=["id", "order_date", "quantity", "product_id"],
                      dims=[DimTable("customers", "purchaser", "id", ["first_name", "last_name", "email"]),
                            DimTable("products", "product_id", "id")])
@@ -167,7 +168,7 @@ def test_golden_scenario(spark, lake):
     job = _normalize_job(spark, lake)
     out = job.load(D1)
     assert (out.kind, out.rows_written) == (runs.WRITTEN, 4)
-    wide = job.read_output("normalize_table")
+    wide = job.read_output("orders_flat")
     assert wide.columns == ["id", "order_date", "quantity", "product_id", "first_name", "last_name", "email", "name",
                             "description", "weight"]
     assert job.load(D1).rows_written == 4
@@ -175,7 +176,7 @@ def test_golden_scenario(spark, lake):
     assert [(o.table, o.rows_written) for o in ext if o.kind == runs.WRITTEN] == [("orders", 1)]
     assert [(o.table, o.rows_written) for o in pro if o.kind == runs.WRITTEN] == [("orders", 1)]
     assert job.load(D1).rows_written == 5
-    assert job.read_output("normalize_table").count() == 5
+    assert job.read_output("orders_flat").count() == 5
     row = lake[1].runs(zone="warehouse").orderBy("job_end").collect()[-1]
     assert (row["action"], row["zone"], row["last_row_number"]) == ("transform", "warehouse", 5)
 
@@ -265,24 +266,15 @@ def test_row_number_max_observed_during_write(spark, lake):
     assert [(o.kind, o.last_row_number) for o in outs] == [(runs.WRITTEN, 7)]
 
 
-@pytest.mark.parametrize("rows_per_bucket", [50, 4_000_000])
-def test_extract_numbers_like_the_global_window_on_every_path(spark, lake, monkeypatch, rows_per_bucket):
-    """Extraction with the small-table path switched off: bucketed numbering
-    (big buckets) and, with tiny buckets plus a hot key prefix, the range
-    path.  Both equal row_number() over the key."""
+def test_extract_numbers_like_the_global_window(spark, lake):
+    """A composite key whose first column is hot for a third of the rows: the
+    numbers equal row_number() over the key."""
     from pyspark.sql import Window
 
-    from lakezones.operators import rownum
     from lakezones.specs import TableSpec
 
-    monkeypatch.setattr(rownum, "SINGLE_TASK_ROWS", 0)
-    monkeypatch.setattr(rownum, "ROWS_PER_BUCKET", rows_per_bucket)
-    taken = []
-    real = rownum._range_sorted_numbering
-    monkeypatch.setattr(rownum, "_range_sorted_numbering", lambda *a, **k: taken.append(1) or real(*a, **k))
     root, ledger = lake
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    # composite key whose first column is hot for a third of the rows
     src = orders.withColumn("region", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("o_orderkey")))
     spec = TableSpec("orders", required_columns=("o_custkey",), primary_key=("region", "o_orderkey"))
     out = extract_table(spark, root, ledger, FrameSource("orders", src), spec, db_name="tpch", schema="s", run_date=D1)
@@ -290,24 +282,21 @@ def test_extract_numbers_like_the_global_window_on_every_path(spark, lake, monke
     got = {(r["o_orderkey"], r["ROW_NUMBER"]) for r in
            LakeTable(spark, ledger, root, "raw", "orders", "tpch", "s").read().collect()}
     w = Window.orderBy("region", "o_orderkey")
-    exp = {(r[0], r[1]) for r in src.select("o_orderkey", F.row_number().over(w)).collect()}
-    assert got == exp
-    assert bool(taken) == (rows_per_bucket == 50)  # the hot prefix only matters for small buckets
+    assert got == {(r[0], r[1]) for r in src.select("o_orderkey", F.row_number().over(w)).collect()}
 
 
 @pytest.mark.parametrize("duplicate_key", [False, True])
 def test_incremental_extract_numbers_only_the_key(spark, lake, monkeypatch, duplicate_key):
-    """Increment of a keyed table above the small-table size: the diff runs on
-    unnumbered rows and only the key is numbered (joined back), when the key
-    is unique; with a duplicated key the rows are numbered whole.  Either way
-    the batch holds the changed rows with their global row numbers."""
+    """Increment of a keyed table: the diff runs on unnumbered rows and only
+    the key is numbered (joined back), when the key is unique; with a
+    duplicated key the rows are numbered whole.  Either way the batch holds
+    the changed rows with their global row numbers, and the same snapshot
+    once more adds nothing."""
     from pyspark.sql import Window
 
-    from lakezones.operators import rownum
     from lakezones.plans import extract as extract_mod
     from lakezones.specs import TableSpec
 
-    monkeypatch.setattr(rownum, "SINGLE_TASK_ROWS", 0)
     taken = []
     real = extract_mod.attach_row_numbers
     monkeypatch.setattr(extract_mod, "attach_row_numbers", lambda *a, **k: taken.append(1) or real(*a, **k))
@@ -325,6 +314,8 @@ def test_incremental_extract_numbers_only_the_key(spark, lake, monkeypatch, dupl
                             run_date=day)
         assert out.kind == runs.WRITTEN
     assert bool(taken) == (not duplicate_key)
+    again = extract_table(spark, root, ledger, FrameSource("orders", new), spec, db_name="tpch", schema="s", run_date=D2)
+    assert again.kind == runs.NO_CHANGES
     got = LakeTable(spark, ledger, root, "raw", "orders", "tpch", "s").read(job_date=D2)
     cols = orders.columns
     numbered = new.withColumn("ROW_NUMBER", F.row_number().over(Window.orderBy("o_orderkey", "o_orderstatus")))
@@ -336,12 +327,9 @@ def test_incremental_extract_numbers_only_the_key(spark, lake, monkeypatch, dupl
     assert {r["UPDATED_AT"] for r in got.collect()} == {D2}
 
 
-def test_failure_while_numbering_becomes_an_error_row(spark, lake, monkeypatch):
+def test_failure_while_numbering_becomes_an_error_row(spark, lake):
     """A source that breaks while its key is read for numbering (past the
     contract check) ends as a complete error row, not an escaped exception."""
-    from lakezones.operators import rownum
-
-    monkeypatch.setattr(rownum, "SINGLE_TASK_ROWS", 0)
     root, ledger = lake
     df = spark.createDataFrame(ORDERS, ORDERS_SCHEMA)
     broken = df.withColumn("id", F.when(F.col("id") == 10003, F.raise_error(F.lit("bad key"))).otherwise(F.col("id")))
@@ -349,7 +337,7 @@ def test_failure_while_numbering_becomes_an_error_row(spark, lake, monkeypatch):
                         schema="s", run_date=D1)
     assert out.kind == runs.ERROR and "bad key" in out.error
     row = ledger.runs(zone="raw", table_name="orders").first()
-    assert (row["status"], row["last_row_number"]) == (ERROR_STATUS, 4)
+    assert (row["status"], row["last_row_number"]) == (ERROR_STATUS, 0)  # failed while its keys were counted
 
 
 def test_source_shrank_logged_only_when_asked(spark, lake):
@@ -367,25 +355,42 @@ def test_source_shrank_logged_only_when_asked(spark, lake):
     assert _raw(spark, lake).read().count() == 4  # nothing written
 
 
-@pytest.mark.parametrize("null_key_row", [False, True])
-def test_logged_null_keys_decide_the_diff_path(spark, lake, monkeypatch, null_key_row):
-    """Batches log how many rows have a null key.  A state whose batches all
-    logged zero skips the Spark null check; a state with a null key uses the
-    whole-row anti join.  The written increment is the same either way."""
-    import json
+def test_repeated_and_null_keys_are_not_appended_again(spark, lake):
+    rows = [(1, None, 1001, 1, 102), (1, None, 1001, 2, 102), (2, None, 1001, 1, 102), (None, None, 1001, 9, 101),
+            (None, None, 1001, 9, 101)]
+    assert _extract(spark, lake, rows, ORDERS_SCHEMA).rows_written == 5
+    assert _extract(spark, lake, rows, ORDERS_SCHEMA, day=D2).kind == runs.NO_CHANGES
+    changed = [*rows[:1], (1, None, 1001, 3, 102), *rows[2:]]
+    out = _extract(spark, lake, changed, ORDERS_SCHEMA, day=D2)
+    assert (out.kind, out.rows_written) == (runs.WRITTEN, 1)
+    assert _extract(spark, lake, changed, ORDERS_SCHEMA, day=D2).kind == runs.NO_CHANGES
 
-    from lakezones.plans import extract as extract_mod
 
-    seen = []
-    real = extract_mod.changed_rows
-    monkeypatch.setattr(extract_mod, "changed_rows",
-                        lambda *a, **k: seen.append(k.get("base_key_null_free")) or real(*a, **k))
-    rows = ORDERS + ([(None, None, 1001, 9, 101)] if null_key_row else [])
-    _extract(spark, lake, rows, ORDERS_SCHEMA)
-    ledger = lake[1]
-    logged = json.loads(ledger.runs(zone="raw", table_name="orders").first()["details"])
-    assert (logged["null_keys"], logged["null_keys_of"]) == (int(null_key_row), ["id"])
-    out = _extract(spark, lake, rows + [NEW_ORDER], ORDERS_SCHEMA, day=D2)
-    assert (out.kind, out.rows_written) == (runs.WRITTEN, 1)
-    assert seen == [not null_key_row]
-    assert [r["id"] for r in _raw(spark, lake).read(job_date=D2).collect()] == [10005]
+def test_volatile_source_that_fails_on_read(spark, lake):
+    root, ledger = lake
+    df = spark.createDataFrame(ORDERS, ORDERS_SCHEMA)
+    lost = df.withColumn("quantity", F.raise_error(F.lit("lost jdbc://me:pw@host?password=x; user=me")).cast("int"))
+    out = extract_table(spark, root, ledger, FrameSource("orders", lost, stable=False), SPECS["orders"], db_name="inv",
+                        schema="s", run_date=D1)
+    text = ledger.runs(zone="raw").first()["details"]
+    assert out.kind == runs.ERROR and "lost" in out.error and "\tat " not in text
+    assert "me:pw" not in text and "password=x" not in text
+
+
+def test_ledger_is_never_empty_by_error(spark, lake, monkeypatch):
+    from pyspark.errors import AnalysisException
+
+    _extract(spark, lake, ORDERS, ORDERS_SCHEMA)
+    ledger, real, calls = lake[1], Ledger._read, []
+
+    def vanishing(self, *a):
+        calls.append(1)
+        if len(calls) < 2:
+            raise AnalysisException("path vanished")
+        return real(self, *a)
+
+    monkeypatch.setattr(Ledger, "_read", vanishing)
+    assert ledger.frame().count() == 1 and len(calls) == 2
+    monkeypatch.setattr(Ledger, "_read", lambda self, *a: (_ for _ in ()).throw(AnalysisException("gone")))
+    with pytest.raises(AnalysisException):
+        ledger.frame()

@@ -53,17 +53,14 @@ def test_keyed_diff_reuses_the_state_partitioning(no_broadcast):
 def test_key_only_numbering_moves_no_full_row_twice(no_broadcast):
     orders, _, state = _orders(no_broadcast)
     changed = changed_rows(orders, state, orders.columns, base_unique=True, key=["o_orderkey"])
-    out = attach_row_numbers(changed, orders, ["o_orderkey"], n_rows=10**9)
-    ex = _exchanges(out)
-    # new rows by key, state by key, narrow key numbers by bucket and by key
-    assert len(ex) == 4
-    assert sum("__rn_bucket" in e for e in ex) == 1
+    ex = _exchanges(attach_row_numbers(changed, orders, ["o_orderkey"]))
+    # new rows by key, state by key, the checkpointed key numbers by key
+    assert len(ex) == 3
 
 
-def test_bucketed_numbering_is_one_shuffle(no_broadcast):
+def test_numbering_whole_rows_adds_no_shuffle_after_the_checkpoint(no_broadcast):
     orders = no_broadcast.read.parquet(f"{SF_SMALL}/orders.parquet")
-    ex = _exchanges(dense_row_number(orders, ["o_orderkey"], n_rows=10**9, single_task_rows=0))
-    assert len(ex) == 1 and "__rn_bucket" in ex[0]
+    assert _exchanges(dense_row_number(orders, ["o_orderkey"])) == []
 
 
 def test_wide_table_shuffles(no_broadcast):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakezones.operators.changes import changed_rows, current_state, snapshot_diff
 from lakezones.operators.joins import Dim, wide_join
-from lakezones.operators.rownum import dense_row_number
+from lakezones.operators.rownum import dense_row_number, key_profile
 
 values = st.one_of(st.none(), st.sampled_from([0.0, -0.0, 1.5, float("nan"), 1e-300, 2.0]))
 rows = st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.sampled_from(["a", "b", ""])), values),
@@ -38,10 +38,10 @@ def test_diff_is_set_difference(spark, new, old, parts):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(keys=st.lists(st.integers(-50, 50), unique=True, max_size=40), buckets=st.integers(1, 6))
-def test_row_numbers_dense_in_key_order(spark, keys, buckets):
-    df = spark.createDataFrame([(k,) for k in keys], "k int")
-    got = sorted((r.k, r.ROW_NUMBER) for r in dense_row_number(df, ["k"], buckets=buckets).collect())
+@given(keys=st.lists(st.integers(-50, 50), unique=True, max_size=40), parts=st.integers(1, 6))
+def test_row_numbers_dense_in_key_order(spark, keys, parts):
+    df = spark.createDataFrame([(k,) for k in keys], "k int").repartition(parts)
+    got = sorted((r.k, r.ROW_NUMBER) for r in dense_row_number(df, ["k"]).collect())
     assert got == [(k, i + 1) for i, k in enumerate(sorted(keys))]
 
 
@@ -72,8 +72,9 @@ keyed_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)),
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(new=keyed_rows, old=keyed_rows, parts=st.integers(1, 4))
 def test_keyed_changes_equal_whole_row_anti_join(spark, new, old, parts):
-    """Against a base unique by key (its current state), the key join path
-    finds exactly the rows the whole-row anti join finds, null keys too."""
+    """For a unique, non-null key and a base unique by key (its current state),
+    the key join finds exactly the rows the whole-row anti join finds."""
+    new = list({r[0]: r for r in new if r[0] is not None}.values())
     n = spark.createDataFrame(new, SCHEMA).repartition(parts)
     versions = spark.createDataFrame(old, SCHEMA).withColumn("batch_id", F.lit("b1")) \
         .withColumn("ROW_NUMBER", F.monotonically_increasing_id())
@@ -85,10 +86,11 @@ def test_keyed_changes_equal_whole_row_anti_join(spark, new, old, parts):
     assert bag(changed_rows(n, base, cols, base_unique=True, key=["k"])) == bag(changed_rows(n, base, cols))
 
 
-def test_hot_copies_on_the_new_side_are_split(spark):
-    """A third of the new rows share their compared columns (copies that
-    differ only in the row number).  Both diff paths leave the hot group to
-    AQE's skew split: the final adaptive plan shows it."""
+def test_hot_keys_on_the_new_side_are_split(spark):
+    """Stored tables, a third of the new rows on one key and a third null: such a key is not
+    unique, so whole rows are compared, and AQE's skew split takes the hot group apart."""
+    from lakezones.session import scratch_dir
+
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
@@ -97,21 +99,19 @@ def test_hot_copies_on_the_new_side_are_split(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        n = 300_000
-        hot = F.col("id") % 3 == 0
-        new = spark.range(n).select(F.when(hot, F.lit(7)).otherwise(F.col("id")).alias("k"),
-                                    F.when(hot, F.lit(1)).otherwise(F.col("id") % 1000).alias("v"),
-                                    (F.col("id") * 7919 % 1000003).alias("ROW_NUMBER"))
-        base = spark.range(0, n, 2).select(F.col("id").alias("k"), (F.col("id") % 1000).alias("v"))
-        versions = base.withColumn("batch_id", F.lit("b1"))
-        for df in (changed_rows(new, base, ["k", "v"]),
-                   changed_rows(new, current_state(versions, ["k"]).select("k", "v"), ["k", "v"],
-                                base_unique=True, key=["k"])):
-            qe = df._jdf.queryExecution()
-            qe.toRdd().count()
-            assert "skew=true" in qe.executedPlan().toString()
-            # every hot copy (7, 1) is new; other rows are new exactly for odd ids not divisible by 3
-            assert df.count() == n // 3 + n // 3
+        n, root = 300_000, scratch_dir(spark, "hot-keys")
+        key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id"))
+        spark.range(n).select(key.alias("k"), F.when(F.col("id") % 3 < 2, F.lit(1)).otherwise(F.col("id") % 1000).alias("v"),
+                              (F.col("id") * 7919 % 1000003).alias("ROW_NUMBER")).write.parquet(f"{root}/new")
+        spark.range(0, n, 2).select(F.col("id").alias("k"), (F.col("id") % 1000).alias("v")).write.parquet(f"{root}/base")
+        new, base = spark.read.parquet(f"{root}/new"), spark.read.parquet(f"{root}/base")
+        assert not key_profile(new, ["k"])[1]
+        df = changed_rows(new, base, ["k", "v"])
+        qe = df._jdf.queryExecution()
+        qe.toRdd().count()
+        assert "skew=true" in qe.executedPlan().toString()
+        # every hot row, (7, 1) or (null, 1), is new; the others are new exactly for odd ids
+        assert df.count() == 2 * n // 3 + n // 6
     finally:
         for k, v in old.items():
             if v is None:
@@ -120,8 +120,21 @@ def test_hot_copies_on_the_new_side_are_split(spark):
                 spark.conf.set(k, v)
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(xs=st.lists(st.one_of(st.none(), st.integers(-10**9, 10**9).map(lambda i: i / 64)), min_size=1, max_size=12),
+       flag=st.booleans())
+def test_text_sink_matches_python_repr_of_numbers(spark, xs, flag):
+    from lakezones.sources.lake import python_tuple_text
+    from pyspark.sql.types import BooleanType, DoubleType
+
+    xs += [1e10, 1e16, 1e15, 123456.75, 1e-4, 9.9e-5, 1.5e-7, 2.5e100, -0.0, float("inf"), -float("inf"), float("nan")]
+    df = spark.createDataFrame([(flag, x) for x in xs], "b boolean, x double")
+    got = sorted(r[0] for r in df.select(python_tuple_text(("b", BooleanType()), ("x", DoubleType()))).collect())
+    assert got == sorted(repr((flag, x)) for x in xs)
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
-@given(texts=st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("ab'\"\\\n\r\t x")), max_size=8)),
+@given(texts=st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("ab'\"\\\n\r\t\x07\x7f x")), max_size=8)),
                       min_size=1, max_size=12))
 def test_text_sink_matches_python_repr(spark, texts):
     """K3: the text sink formats rows like Python's repr of a tuple, for

@@ -9,9 +9,8 @@ import pytest
 
 from conftest import SF_SMALL
 from __spark_entry__ import entry, oracle_sql, queries
-from lakezones.queries import TABLES
+from lakezones.queries import ORACLE_SQL, QUERIES, TABLES
 
-SLOW = {"grid_metrics", "lr_scored", "transform_load", "promote_incremental"}
 
 
 def _norm(v):
@@ -34,9 +33,8 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(queries()) - set(oracle_sql())
-    assert rows_only == {"lr_scored", "grid_metrics", "batch_inference", "random_split_sizes"}
+def test_every_query_has_an_oracle():
+    assert set(ORACLE_SQL) == set(QUERIES)
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -45,7 +43,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SLOW) + ["transform_load", "promote_incremental"])
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
     df = queries()[name](spark, SF_SMALL)
     got = sorted((tuple(_norm(v) for v in r) for r in df.collect()), key=_key)

@@ -2,7 +2,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from lakezones.operators.rownum import dense_row_number
+from lakezones.operators.rownum import attach_row_numbers, dense_row_number, key_profile
 
 
 def _expected(df, cols):
@@ -10,122 +10,70 @@ def _expected(df, cols):
     return {tuple(r) for r in df.withColumn("ROW_NUMBER", F.row_number().over(w)).collect()}
 
 
-def test_equals_global_window_numeric(spark):
+def test_equals_global_window(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
-    got = dense_row_number(orders, ["o_orderkey"], buckets=7)
-    assert {tuple(r) for r in got.collect()} == _expected(orders, ["o_orderkey"])
+    want = _expected(orders, ["o_orderkey"])
+    for unique in (False, True):
+        assert {tuple(r) for r in dense_row_number(orders, ["o_orderkey"], unique=unique).collect()} == want
 
 
 def test_independent_of_partitioning(spark):
     orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey", "o_totalprice")
     a = {tuple(r) for r in dense_row_number(orders, ["o_orderkey"]).collect()}
-    b = {tuple(r) for r in dense_row_number(orders.repartition(13), ["o_orderkey"], buckets=3).collect()}
+    b = {tuple(r) for r in dense_row_number(orders.repartition(13), ["o_orderkey"], unique=True).collect()}
     assert a == b
     nums = sorted(r[-1] for r in a)
     assert nums == list(range(1, len(nums) + 1))
 
 
-def test_nulls_first_and_timestamps(spark):
+def test_nulls_first_timestamps_and_text(spark):
     rows = [(None, "a"), (5, "b"), (-3, "c"), (10, "d"), (None, "e")]
     df = spark.createDataFrame(rows, "k int, v string")
-    got = dense_row_number(df, ["k", "v"], buckets=2)
-    assert {tuple(r) for r in got.collect()} == _expected(df, ["k", "v"])
+    assert {tuple(r) for r in dense_row_number(df, ["k", "v"]).collect()} == _expected(df, ["k", "v"])
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "ts")
     assert {tuple(r) for r in dense_row_number(ev, ["ts"]).collect()} == _expected(ev, ["ts"])
-
-
-def test_string_key_fallback(spark):
     cust = spark.read.parquet(f"{SF_SMALL}/customer.parquet").select("c_name", "c_custkey")
-    for limit in (0, 10**6):  # range-sorted path and single-task path
-        got = dense_row_number(cust, ["c_name"], single_task_rows=limit)
-        assert {tuple(r) for r in got.collect()} == _expected(cust, ["c_name"])
+    assert {tuple(r) for r in dense_row_number(cust, ["c_name"]).collect()} == _expected(cust, ["c_name"])
 
 
-def test_single_value_key(spark):
+def test_empty_and_single_value(spark):
     df = spark.range(50).select(F.lit(1).alias("k"), F.col("id"))
-    got = dense_row_number(df, ["k", "id"], buckets=4)
-    assert sorted(r["ROW_NUMBER"] for r in got.collect()) == list(range(1, 51))
-
-
-def test_hot_leading_value_switches_to_range_path(spark, monkeypatch):
-    """A third of the rows share the first key column: the bucket counts show
-    it and the numbering takes the range-sorted path, still equal to the
-    global window."""
-    from lakezones.operators import rownum
-
-    taken = []
-    real = rownum._range_sorted_numbering
-    monkeypatch.setattr(rownum, "_range_sorted_numbering", lambda *a, **k: taken.append(1) or real(*a, **k))
-    n = 3000
-    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("a"),
-                               F.col("id").alias("b"))
-    got = rownum.dense_row_number(df, ["a", "b"], rows_per_bucket=200, single_task_rows=0)
-    assert taken
-    assert {tuple(r) for r in got.collect()} == _expected(df, ["a", "b"])
-
-
-def test_copies_of_one_row_spread_over_partitions(spark):
-    """A third of the rows are copies of one row (no column tells them
-    apart): numbers stay 1..n and the copies do not share one partition."""
-    from lakezones.operators.rownum import _range_sorted_numbering
-
-    n = 3000
-    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
-    got = _range_sorted_numbering(df, ["k"], "ROW_NUMBER", n, 100)
-    rows = got.collect()
-    assert sorted(r["ROW_NUMBER"] for r in rows) == list(range(1, n + 1))
-    copies = sorted(r["ROW_NUMBER"] for r in rows if r["k"] == -1)
-    assert copies == list(range(1, n // 3 + 1))
-    spread = got.filter("k = -1").select(F.spark_partition_id().alias("p")).distinct().count()
-    assert spread > 1
-
-
-def test_null_heavy_key_stays_dense(spark):
-    n = 2000
-    df = spark.range(n).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"),
-                               F.col("id"))
-    got = dense_row_number(df, ["k", "id"], rows_per_bucket=100, single_task_rows=0)
-    assert {tuple(r) for r in got.collect()} == _expected(df, ["k", "id"])
-
-
-def test_wide_rows_make_smaller_window_tasks(spark, monkeypatch):
-    """Rows of about 1 KB with a 1 MB task target: buckets of about 1,000 rows
-    (not the 4M-row default, and no single task), numbers still exact."""
-    from lakezones.operators import rownum
-
-    monkeypatch.setattr(rownum, "TARGET_TASK_BYTES", 1_000_000)
-    seen = []
-    real = rownum._default_buckets
-    monkeypatch.setattr(rownum, "_default_buckets", lambda df, n, per: seen.append(per) or real(df, n, per))
-    n = 20_000
-    df = spark.range(n).select(((F.col("id") * 7919) % n).alias("k"), F.repeat(F.lit("x"), 1000).alias("text"))
-    got = rownum.dense_row_number(df.select("k", "text"), ["k"])
-    assert seen and seen[0] == 1_000
-    assert got.select("k", "ROW_NUMBER").filter("k + 1 != ROW_NUMBER").count() == 0
-    assert rownum.rows_per_task(df, 4_000_000) == 1_000
-
-
-def test_bucket_count_is_capped(spark, monkeypatch):
-    """Past MAX_BUCKETS buckets grow instead (the boundary list and the
-    broadcast offsets stay bounded); numbers stay exact and no hot bucket is
-    reported for evenly spread keys."""
-    from lakezones.operators import rownum
-
-    monkeypatch.setattr(rownum, "MAX_BUCKETS", 4)
-    taken = []
-    real = rownum._range_sorted_numbering
-    monkeypatch.setattr(rownum, "_range_sorted_numbering", lambda *a, **k: taken.append(1) or real(*a, **k))
-    df = spark.range(20_000).select(F.col("id").alias("k"))
-    got = rownum.dense_row_number(df, ["k"], rows_per_bucket=100, single_task_rows=0)
-    assert got.filter("k + 1 != ROW_NUMBER").count() == 0 and not taken
-    assert rownum._default_buckets(df, 10**12, 100) == 4
-
-
-def test_known_row_size_skips_the_sample(spark, monkeypatch):
-    from lakezones.operators import rownum
-
-    monkeypatch.setattr(rownum, "_row_bytes", lambda df: (_ for _ in ()).throw(AssertionError("sampled")))
-    df = spark.range(20_000).select(F.col("id").alias("k"))
-    got = rownum.dense_row_number(df, ["k"], single_task_rows=0, row_bytes=24.0)
-    assert got.filter("k + 1 != ROW_NUMBER").count() == 0
-    assert rownum.rows_per_task(df, 4_000_000, row_bytes=1_000_000.0) == 1_000
+    assert sorted(r["ROW_NUMBER"] for r in dense_row_number(df, ["k", "id"]).collect()) == list(range(1, 51))
+    assert dense_row_number(df.where("false"), ["k"]).collect() == []
+
+
+def _largest_share(numbered, n):
+    """Share of the rows in the fullest partition of the checkpointed exchange."""
+    most = numbered.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+    return most / n
+
+
+def test_no_task_holds_a_hot_value(spark):
+    """A third of the rows share the leading value, a third are null, and a third are copies of one
+    row: no partition of the numbered rows holds more than a small share."""
+    n = 6000
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id"))
+        df = spark.range(n).select(hot.alias("a"), F.col("id").alias("b"))
+        got = dense_row_number(df, ["a", "b"])
+        assert {tuple(r) for r in got.collect()} == _expected(df, ["a", "b"])
+        assert _largest_share(got, n) < 0.15
+        copies = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+        got = dense_row_number(copies, ["k"])
+        assert sorted(r["ROW_NUMBER"] for r in got.collect()) == list(range(1, n + 1))
+        assert sorted(r["ROW_NUMBER"] for r in got.where("k = -1").collect()) == list(range(1, n // 3 + 1))
+        assert _largest_share(got, n) < 0.15
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_key_profile_and_attached_numbers(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k int, v string")
+    assert key_profile(df, ["k"]) == (4, False)
+    assert key_profile(df, ["k", "v"]) == (4, False)
+    assert key_profile(df.where("v <> 'd'"), ["k", "v"]) == (3, True)
+    assert key_profile(df.where("false"), ["k"]) == (0, True)
+    numbered = attach_row_numbers(df.where("v = 'b'"), df.where("v <> 'd'"), ["k", "v"])
+    assert [tuple(r) for r in numbered.collect()] == [(2, "b", 2)]

@@ -58,11 +58,11 @@ def main() -> None:
         ("Changed rows against the keyed current state (J3)", keyed),
         ("Whole-row changed rows, keyless base (J3)", changed_rows(orders, old, orders.columns)),
         ("Incremental extract: key-only numbering joined back to the changed rows",
-         attach_row_numbers(keyed, orders, ["o_orderkey"], n_rows=10**9)),
-        ("Dense row numbers, bucketed window (P4, W1)",
-         dense_row_number(orders, ["o_orderkey"], n_rows=10**9, single_task_rows=0)),
-        ("Dense row numbers, range-sorted path on a text key (checkpointed; plan after the checkpoint)",
-         dense_row_number(Q.table(spark, sf, "customer"), ["c_name"], n_rows=10**9, single_task_rows=0)),
+         attach_row_numbers(keyed, orders, ["o_orderkey"])),
+        ("Dense row numbers of a unique key, joined back (P4, W1; plan after the checkpoint)",
+         dense_row_number(orders, ["o_orderkey"], unique=True)),
+        ("Dense row numbers, rows carried whole (plan after the checkpoint)",
+         dense_row_number(Q.table(spark, sf, "customer"), ["c_name"])),
         ("Watermarks for every table (A5)", watermarks_of(Q.events_ledger(Q.table(spark, sf, "events")))),
     ]
     print("# Physical plans at scale\n")
