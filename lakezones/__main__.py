@@ -64,7 +64,7 @@ def _sources(args, specs):
                               user=os.environ.get("LAKEZONES_JDBC_USER"),
                               password=os.environ.get("LAKEZONES_JDBC_PASSWORD"))
         return {name: JdbcSource(name, conn, f"{args.schema}.{name}",
-                                 partition_column=spec.primary_key[0] if spec.primary_key and args.partitions else None,
+                                 partition_column=spec.primary_key[0] if spec.primary_key else None,
                                  num_partitions=args.partitions)
                 for name, spec in specs.items()}
     if args.parquet_dir:

@@ -9,12 +9,18 @@ pruning reach the database through Catalyst's JDBC pushdown.
 
 from __future__ import annotations
 
+from datetime import date
+from decimal import Decimal
+
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+DEFAULT_PARTITIONS = 8
+
+
 @dataclass(frozen=True)
 class JdbcConnection:
     url: str
@@ -67,15 +73,19 @@ def read_query(spark: SparkSession, conn: JdbcConnection, sql: str) -> DataFrame
 def read_table(spark: SparkSession, conn: JdbcConnection, table: str, *,
                partition_column: str | None = None, num_partitions: int | None = None,
                lower_bound=None, upper_bound=None, fetch_size: int | None = 10_000) -> DataFrame:
-    """Scan a whole table, in ``num_partitions`` ranges of ``partition_column``."""
-    if partition_column and num_partitions and (lower_bound is None or upper_bound is None):
-        bounds = read_query(spark, conn, f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi "
-                                         f"FROM {table}").first()
-        lower_bound, upper_bound = bounds["lo"], bounds["hi"]
-        if lower_bound is None:  # empty table: a plain read is enough
+    """Scan a whole table, in ``num_partitions`` (default
+    ``DEFAULT_PARTITIONS``) ranges of ``partition_column`` if that is a number
+    or a date; a text column, an empty table or none given is one plain read."""
+    if partition_column:
+        if lower_bound is None or upper_bound is None:
+            bounds = read_query(spark, conn, f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi "
+                                             f"FROM {table}").first()
+            lower_bound, upper_bound = bounds["lo"], bounds["hi"]
+        if not isinstance(lower_bound, (int, float, Decimal, date)):
             partition_column = None
     opts = table_options(conn, table, partition_column=partition_column, lower_bound=lower_bound,
-                         upper_bound=upper_bound, num_partitions=num_partitions, fetch_size=fetch_size)
+                         upper_bound=upper_bound, num_partitions=num_partitions or DEFAULT_PARTITIONS,
+                         fetch_size=fetch_size)
     return spark.read.format("jdbc").options(**opts).load()
 
 

@@ -32,3 +32,18 @@ def test_query_options_and_secret_hiding():
 
 def test_jdbc_source_is_snapshotted():
     assert JdbcSource("orders", CONN, "inventory.orders").stable is False
+
+
+@pytest.mark.parametrize("low,ranges", [(1, "8"), ("a", None), (None, None)])
+def test_numeric_keys_are_read_in_ranges(monkeypatch, low, ranges):
+    """Several partitions by default where the key is a number; bounds come from the database."""
+    from types import SimpleNamespace
+
+    from lakezones.sources import jdbc
+
+    seen = {}
+    reader = SimpleNamespace(options=lambda **o: seen.update(o) or SimpleNamespace(load=lambda: "frame"))
+    spark = SimpleNamespace(read=SimpleNamespace(format=lambda kind: reader))
+    monkeypatch.setattr(jdbc, "read_query", lambda *a: SimpleNamespace(first=lambda: {"lo": low, "hi": low and low * 9}))
+    assert jdbc.read_table(spark, CONN, "t", partition_column="id") == "frame"
+    assert seen.get("numPartitions") == ranges and ("partitionColumn" in seen) == (ranges is not None)
