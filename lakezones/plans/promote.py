@@ -10,6 +10,9 @@ highest row number (A2):
   state are appended (or, unless the key is unique and non-null in the batch,
   from all committed staging rows); nothing if there are none.
 
+Several pending batches of a day with unique, non-null keys are promoted in
+one pass over staging (``_promote_together``); otherwise one after the other.
+
 Each promoted batch logs a complete success row with ``m`` and the raw
 ``source_path`` (the reference never sets ``details`` on this path and its
 log call fails after the data is written).  Raw batches already named as a
@@ -21,14 +24,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import COMPACT_ACTION, EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date
-from ..operators.changes import business_columns, changed_rows, current_state
-from ..operators.ledger import Ledger, TableRuns, utcnow
+from ..operators.changes import business_columns, changed_rows, current_state, row_key
+from ..operators.ledger import Ledger, TableRuns, new_run_id, utcnow
 from ..operators.rownum import key_profile
-from ..sources.lake import LakeTable, read_batches, write_batch_observed
+from ..sources.lake import LakeTable, batch_path, read_batches, write_batch_observed
 from .runs import NO_CHANGES, NOT_NEWER, WRITTEN, Outcome, log, record_error
 
 
@@ -63,9 +66,19 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
     # one ledger query: pending raw batches, promoted sources, F3, A6 and the base batches
     both = ledger.histories(db_name=db_name, tables=[(from_zone, table_name), (to_zone, table_name)])
     staged_runs = both[(to_zone, table_name)]
-    for raw_path, top in pending_batches(ledger, db_name=db_name, table_name=table_name, job_date=job_date,
-                                         from_zone=from_zone, to_zone=to_zone, target_runs=staged_runs,
-                                         source_runs=both[(from_zone, table_name)]):
+    pending = pending_batches(ledger, db_name=db_name, table_name=table_name, job_date=job_date, from_zone=from_zone,
+                              to_zone=to_zone, target_runs=staged_runs, source_runs=both[(from_zone, table_name)])
+    key = list(primary_key)
+    if len(pending) > 1 and base == "current" and key and all(top is not None for _, top in pending):
+        try:
+            batches = [read_batches(spark, [p], source.base, source.fmt) for p, _ in pending]
+            unique = all(key_profile(b, key)[1] for b in batches)
+        except Exception as exc:  # noqa: BLE001 - the loop below meets it again and logs it
+            log.warning("batches of %s.%s cannot be read together: %s", db_name, table_name, exc)
+            unique = False
+        if unique:
+            return _promote_together(target, staged_runs, pending, batches, key, job_date, action)
+    for raw_path, top in pending:
         start = utcnow()
         path, batch_id = target.new_batch_path(job_date)
         details = {"sink_path": path, "source_path": raw_path}
@@ -109,6 +122,67 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
     return outcomes
 
 
+def _promote_together(target: LakeTable, staged_runs: TableRuns, pending: list[tuple[str, int]], batches: list[DataFrame],
+                      key: list[str], job_date, action: str) -> list[Outcome]:
+    """Several pending batches with unique, non-null keys in one pass.
+
+    Staging's current state (version 0) and the batches (1, 2, ...) are
+    shuffled by key once; a row is kept if it differs from the version before
+    it.  That equals promoting one batch after the other: an equal row changes
+    nothing.  All batches are written by one job, each into its own folder,
+    and each gets its own ledger row.  Without a staging run on that day the first
+    batch above the day's row number is kept whole, and batches before it are not newer.
+    """
+    start, name, db = utcnow(), target.table, target.ledger_db
+    whole, skipped = 0, []  # number of the batch that is kept whole
+    if not staged_runs.exists(job_date):
+        r = staged_runs.row_number_on_date(job_date, action)
+        whole = next((i for i, (_, m) in enumerate(pending, 1) if m > r), len(pending) + 1)
+        skipped = [Outcome(name, NOT_NEWER, last_row_number=m) for _, m in pending[:whole - 1]]
+    todo = [(i, p, m, new_run_id()) for i, (p, m) in enumerate(pending, 1) if i >= whole]
+    if not todo:
+        return skipped
+    todo = [(i, p, m, b) for (i, p, m, _), b in zip(todo, sorted(t[3] for t in todo))]  # ids sort in commit order
+    folder = batch_path(target.base, job_date, "").rsplit("/", 1)[0]
+    try:
+        columns = batches[todo[0][0] - 1].columns
+        compare = business_columns(batches[todo[0][0] - 1])
+        versions = [batches[i - 1].select(*columns).withColumn("__v", F.lit(i)) for i, *_ in todo]
+        state = target.read_state_inputs(staged_runs)
+        if state is not None:
+            state = current_state(state, key).select(*[c for c in columns if c in state.columns])
+            versions.append(state.withColumn("__v", F.lit(0)))
+        every = versions[0]
+        for v in versions[1:]:
+            every = every.unionByName(v, allowMissingColumns=True)
+        order = Window.partitionBy(*key).orderBy("__v")
+        row = row_key(every, compare)
+        every = every.withColumn("__same", F.coalesce(row == F.lag(row).over(order), F.lit(False)))
+        kept = every.where((F.col("__v") > 0) & (~F.col("__same") | (F.col("__v") == whole)))
+        obs = Observation("promotion")
+        metrics = [f(F.when(F.col("__v") == i, c)).alias(f"{what}{i}") for i, *_ in todo
+                   for what, f, c in (("rows", F.count, F.lit(1)), ("top", F.max, F.col("ROW_NUMBER")))]
+        ids = F.create_map(*[F.lit(x) for i, _, _, b in todo for x in (i, b)])
+        (kept.observe(obs, *metrics).withColumn("batch_id", ids[F.col("__v")]).drop("__v", "__same")
+         .write.format(target.fmt).mode("append").partitionBy("batch_id").save(folder))
+        got, out = obs.get, list(skipped)
+        for i, raw_path, m, batch_id in todo:
+            rows, path = int(got[f"rows{i}"]), f"{folder}/batch_id={batch_id}"
+            if rows == 0:
+                out.append(Outcome(name, NO_CHANGES, last_row_number=m))
+                continue
+            details = {"sink_path": path, "source_path": raw_path, "max_row_number": int(got[f"top{i}"])}
+            staged_runs.add(target.ledger.record(db_name=db, table_name=name, action=action, zone=target.zone,
+                                                 status=SUCCESS_STATUS, last_row_number=m, details=details,
+                                                 job_date=job_date, job_start=start, job_end=utcnow(), run_id=batch_id))
+            out.append(Outcome(name, WRITTEN, rows_written=rows, last_row_number=m, sink_path=path, details=details))
+        return out
+    except Exception as exc:  # noqa: BLE001
+        return [*skipped, *(record_error(target.ledger, db_name=db, table_name=name, action=action, zone=target.zone,
+                                         job_date=job_date, job_start=start, error=exc, last_row_number=m,
+                                         details={"source_path": p}) for _, p, m, _ in todo)]
+
+
 def run_promote(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_name: str, schema: str, job_date,
                 primary_keys: dict[str, Sequence[str]] | None = None, single_table: str | None = None,
                 **options) -> list[Outcome]:
