@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ..session import ensure_checkpoint_dir, scratch_dir
-from .common import stored
+from .common import scratch_path, shuffles_removed, stored
 from .words import Texts
 
 _NO_TEXT = "_no_text"
@@ -72,7 +71,6 @@ class BlockTable:
         ``carry``: the other columns travel as JSON, for ``restored``.
         """
         spark = docs.sparkSession
-        ensure_checkpoint_dir(spark)
         rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"] + [F.col("text").isNull().alias(_NO_TEXT)]
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
                            (F.to_json(F.struct(*rest)) if carry else F.lit("")).alias("carried"))
@@ -104,8 +102,9 @@ class BlockTable:
         self.spark, self.label = spark, label
         self.ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"lakezones_{label}_{uuid.uuid4().hex[:12]}".replace("-", "_")
-        (rows.mapInArrow(run, "block long, n_bytes long, payload binary").write.option("compression", "none")
-         .option("path", scratch_dir(spark, label)).bucketBy(self.ranges, "block").saveAsTable(self.name))
+        with shuffles_removed(spark):
+            (rows.mapInArrow(run, "block long, n_bytes long, payload binary").write.option("compression", "none")
+             .option("path", scratch_path(spark, label)).bucketBy(self.ranges, "block").saveAsTable(self.name))
         self.rows = spark.table(self.name)
 
     def n_bytes(self) -> int:
@@ -175,7 +174,7 @@ class BlockTable:
         return wide.select(*(text if c == "text" else F.col(f"_c.`{c}`").alias(c) for c in self.schema.names))
 
     def drop(self) -> None:
-        """Forget the table's name; its files go with the shared folder."""
+        """Forget the table's name; its files go with the scope that made it."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
@@ -187,18 +186,22 @@ def range_starts(n: int) -> np.ndarray:
 
 
 def delta_coded(names: np.ndarray) -> bytes:
-    """Sorted names as their first and the differences, in as few whole bytes as the largest needs."""
+    """Sorted names as their first and the differences, in as few whole bytes as the largest needs; zero bits that
+    all differences end with are left out."""
     deltas = np.diff(names)
+    ends = int(np.bitwise_or.reduce(deltas)) if len(deltas) else 0
+    shift = (ends & -ends).bit_length() - 1 if ends else 0
+    deltas >>= np.uint64(shift)
     width = max(1, (int(deltas.max()).bit_length() + 7) // 8) if len(deltas) else 1
     planes = deltas.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
-    return struct.pack("<QB", int(names[0]), width) + planes.tobytes()
+    return struct.pack("<QBB", int(names[0]), width, shift) + planes.tobytes()
 
 
 def delta_decoded(blob: bytes) -> np.ndarray:
-    first, width = struct.unpack_from("<QB", blob)
-    planes = np.frombuffer(blob, np.uint8, offset=9).reshape(-1, width)
+    first, width, shift = struct.unpack_from("<QBB", blob)
+    planes = np.frombuffer(blob, np.uint8, offset=10).reshape(-1, width)
     deltas = np.zeros((len(planes) + 1, 8), np.uint8)
     deltas[1:, :width] = planes
-    out = deltas.view("<u8").ravel()
+    out = deltas.view("<u8").ravel() << np.uint64(shift)
     out[0] = first
     return np.cumsum(out, dtype=np.uint64)

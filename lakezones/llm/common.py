@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,16 +18,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+_SCOPES = threading.local()
 
-    Cuts the lineage with a table that survives a lost executor and is seen by all.
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are deleted at the end, but for those stored with ``keep``.
+
+    Kept ones belong to the scope around, if there is one.  What leaves a scope must read kept tables only.
     """
-    spark = df.sparkSession
+    stack = _SCOPES.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path, keep in stack.pop():
+            if not keep:
+                where = spark._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            elif stack:
+                stack[-1].append((path, False))
+
+
+def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new place in the shared folder, deleted with the scope unless kept."""
     ensure_checkpoint_dir(spark)
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stack = _SCOPES.__dict__.get("stack")
+    if stack:
+        stack[-1].append((path, keep))
+    return path
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of every query inside when it ends, as nothing reads them again."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    Cuts the lineage with a table that survives a lost executor and is seen by all.
+    """
+    path = scratch_path(df.sparkSession, label, keep)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import scratch_tables, stored
 
 MAX_ROUNDS = 200
 
@@ -18,6 +18,11 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     a constant factor.  Minima are combined before they are shuffled and every table is written once;
     a hub's edges are split by the join.
     """
+    with scratch_tables(edges.sparkSession):
+        return _contracted(edges, label)
+
+
+def _contracted(edges: DataFrame, label: str) -> DataFrame:
     left = stored(edges.select("a", "b").where("a <> b").distinct(), f"{label}-edges")
     roots = None
     for number in range(MAX_ROUNDS):
@@ -40,4 +45,4 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         raise RuntimeError("components did not converge")
     if roots is None:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("root")).where("false")
-    return roots
+    return stored(roots, f"{label}-roots", keep=True)

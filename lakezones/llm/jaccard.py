@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Block, BlockTable
-from .common import stored
+from .common import scratch_tables, stored
 from .components import components
 from .words import NOT_SPACE, Words, distinct_index, shingles
 
@@ -194,9 +194,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     text is empty; null doc_ids count as no id (null if a component has no other); rows that share a doc_id are
     documents of their own.  No documents: no rows.  Other columns are ignored.
     """
-    table = BlockTable(docs, "jaccard", ordered=False)
-    every = rooted(table, k, num, den)
-    table.drop()
+    with scratch_tables(docs.sparkSession):
+        table = BlockTable(docs, "jaccard", ordered=False)
+        every = rooted(table, k, num, den)
+        table.drop()
     smallest = stored(every.groupBy("root").agg(F.min("doc_id").alias("component_id")), "jaccard-smallest")
     return every.join(smallest, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
@@ -206,29 +207,30 @@ def representatives(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
 
     Rows come back from their blocks, so the texts are not shuffled.
     """
-    table = BlockTable(docs, "jaccard", ordered=False, carry=True)
-    every = rooted(table, k, num, den)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rid"))
-    kept = every.groupBy("root").agg(first.alias("m")).select("m.rid")
-    place = kept.select(F.shiftright("rid", ROW_BITS).alias("block"), (F.col("rid") % (1 << ROW_BITS)).alias("i"))
-    answers = stored(place.groupBy("block").agg(F.collect_list("i").alias("answers")), "jaccard-kept")
-    schema = pa.schema([("text", pa.string()), ("carried", pa.string())])
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for payload, places in zip(batch["payload"], batch["answers"]):
-                block, some = Block(payload.as_py()), sorted(places.as_py() or [])
-                texts = [block.buf[block.starts[i]:block.ends[i]].tobytes().decode() for i in some]
-                yield pa.RecordBatch.from_pydict({"text": texts, "carried": [block.carried[i] for i in some]}, schema=schema)
-
-    rows = table.rows.join(answers, "block").select("payload", "answers").mapInArrow(keep, "text string, carried string")
-    out = table.restored(stored(rows, "jaccard-documents"))
-    table.drop()
+    with scratch_tables(docs.sparkSession):
+        table = BlockTable(docs, "jaccard", ordered=False, carry=True)
+        every = rooted(table, k, num, den)
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rid"))
+        kept = every.groupBy("root").agg(first.alias("m")).select("m.rid")
+        place = kept.select(F.shiftright("rid", ROW_BITS).alias("block"), (F.col("rid") % (1 << ROW_BITS)).alias("i"))
+        answers = stored(place.groupBy("block").agg(F.collect_list("i").alias("answers")), "jaccard-kept")
+        schema = pa.schema([("text", pa.string()), ("carried", pa.string())])
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for payload, places in zip(batch["payload"], batch["answers"]):
+                    block, some = Block(payload.as_py()), sorted(places.as_py() or [])
+                    texts = [block.buf[block.starts[i]:block.ends[i]].tobytes().decode() for i in some]
+                    yield pa.RecordBatch.from_pydict({"text": texts, "carried": [block.carried[i] for i in some]}, schema=schema)
+
+        rows = table.rows.join(answers, "block").select("payload", "answers").mapInArrow(keep, "text string, carried string")
+        out = table.restored(stored(rows, "jaccard-documents", keep=True))
+        table.drop()
     return out
 
 
 def rooted(table: BlockTable, k: int, num: int, den: int) -> DataFrame:
-    """``rid, doc_id, n, root`` of every document; those of a component share a root."""
+    """``rid, doc_id, n, root`` of every document; those of a component share a root (kept table)."""
     profile = profiles(table, k, num, den)
     may = profile.where("digest is not null")
     reps = stored(may.groupBy("digest").agg(F.min("rid").alias("rep")), "jaccard-reps")
@@ -264,4 +266,4 @@ def rooted(table: BlockTable, k: int, num: int, den: int) -> DataFrame:
     of = (members.withColumnRenamed("rep", "node").join(roots, "node", "left")
           .select("rid", F.coalesce("root", "node").alias("root")))
     return stored(profile.select("rid", "doc_id", "n").join(of, "rid", "left")
-                  .select("rid", "doc_id", "n", F.coalesce("root", "rid").alias("root")), "jaccard-docs")
+                  .select("rid", "doc_id", "n", F.coalesce("root", "rid").alias("root")), "jaccard-docs", keep=True)

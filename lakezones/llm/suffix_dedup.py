@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Block, BlockTable
-from .common import stored
-from .words import mix
+from .common import scratch_tables, stored
+from .words import distinct, mix
 
 LENGTH = 50
 PERIOD = 31
 # A perfect difference set modulo 31 (every difference but 0 occurs once).
 COVER = (1, 5, 11, 24, 25, 27)
-CUT_BITS = 7  # content-defined cuts come every 2^7 bytes on average
+CUT_BITS = 5  # content-defined cuts come every 2^5 bytes on average
 CUT_GRAM = 8
 
 ANCHORS, CHUNKS, STRINGS = 0, 1, 2
@@ -46,17 +46,13 @@ _TABLE = np.random.default_rng(50).integers(1, 2**63, 256, dtype=np.uint64)
 _R = 0x9E3779B97F4A7C15
 _R_INVERSE = pow(_R, -1, 1 << 64)
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
-_powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """Powers 0 to n - 1 of ``base`` modulo 2^64; the longest asked for is kept by the worker."""
-    known = _powers.get(base)
-    if known is None or len(known) < n:
-        full = np.full(max(n, 1 << 22), base, np.uint64)
-        full[0] = 1
-        known = _powers[base] = np.cumprod(full, dtype=np.uint64)
-    return known[:n]
+    """Powers 0 to n - 1 of ``base`` modulo 2^64."""
+    full = np.full(n, base, np.uint64)
+    full[:1] = 1
+    return np.cumprod(full, dtype=np.uint64, out=full)
 
 
 class Positions:
@@ -85,7 +81,8 @@ class Positions:
         begins = np.ones(len(where), bool)  # a string begins here
         begins[(np.repeat(begin + sizes, length - 1) - np.tile(np.arange(1, length), len(sizes)))] = False
         where = where[begins]
-        cut = mix(self.range_hash(where, where + CUT_GRAM)) % np.uint64(1 << CUT_BITS) == 0
+        gram = (self.prefix[CUT_GRAM:] - self.prefix[:-CUT_GRAM]) * self.inverse[:-CUT_GRAM]
+        cut = (gram * np.uint64(_R) >> np.uint64(64 - CUT_BITS) == 0)[where]
         cut[begin - np.arange(len(begin)) * (length - 1)] = True
         self.chunk_from = where[cut]
         owner = np.searchsorted(self.ends, self.chunk_from, side="right")
@@ -203,8 +200,10 @@ def removal(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             rows.append((doc, b - a, int(total[b] - total[a]), spans, hashlib.sha256(kept).hexdigest()))
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema)
 
-    done, table = _judged(docs, length, False, result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    table.drop()
+    with scratch_tables(docs.sparkSession):
+        done, table = _judged(docs, length, False, result,
+                              "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        table.drop()
     return done
 
 
@@ -220,9 +219,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                  for a, b in zip(block.starts.tolist(), block.ends.tolist())]
         return pa.RecordBatch.from_pydict({"text": texts, "carried": block.carried}, schema=schema)
 
-    done, table = _judged(docs, length, True, result, "text string, carried string")
-    out = table.restored(done)
-    table.drop()
+    with scratch_tables(docs.sparkSession):
+        done, table = _judged(docs, length, True, result, "text string, carried string")
+        out = table.restored(done)
+        table.drop()
     return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
 
 
@@ -235,7 +235,7 @@ def _judged(docs: DataFrame, length: int, carry: bool, result: Callable[[Block,
 
     def send_names(block: Block, _: dict) -> dict[int, np.ndarray]:
         p = Positions(block, length, bits)
-        return {ANCHORS: np.unique(p.anchor), CHUNKS: np.unique(p.chunk)}
+        return {ANCHORS: distinct(p.anchor), CHUNKS: distinct(p.chunk)}
 
     def send_strings(block: Block, answers: dict) -> dict[int, np.ndarray]:
         return {STRINGS: Marks(block, length, bits).strings(answers)[2][0]}
@@ -245,4 +245,4 @@ def _judged(docs: DataFrame, length: int, carry: bool, result: Callable[[Block,
 
     names = table.exchange(send_names, answer)
     strings = table.exchange(send_strings, answer, names)
-    return stored(table.mapped(judge, schema, names, strings), "suffix-kept"), table
+    return stored(table.mapped(judge, schema, names, strings), "suffix-kept", keep=True), table

@@ -223,3 +223,22 @@ def test_stages_take_odd_rows(spark):
         assert out.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"]
     near = corpus_pipeline.near_duplicates(spark, odd, SF_SMALL)
     assert sorted(near.collect(), key=str) == sorted((r for i, r in enumerate(odd.collect()) if i not in (1, 2)), key=str)
+
+
+def test_scratch_tables_go_with_their_scope(spark):
+    import os
+
+    from lakezones.llm.common import scratch_tables, stored
+
+    def there(df):
+        return os.path.isdir(os.path.dirname(df.inputFiles()[0].removeprefix("file:")))
+
+    with scratch_tables(spark):
+        outer = stored(spark.range(3), "t")
+        with scratch_tables(spark):
+            inner, kept = stored(spark.range(3), "t"), stored(spark.range(3), "t", keep=True)
+            folders = [os.path.dirname(d.inputFiles()[0].removeprefix("file:")) for d in (outer, inner, kept)]
+            assert there(inner) and there(kept)
+        assert [os.path.isdir(f) for f in folders] == [True, False, True]
+        last = stored(spark.range(4), "t", keep=True)
+    assert [os.path.isdir(f) for f in folders] == [False, False, False] and last.count() == 4
