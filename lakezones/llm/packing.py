@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, stored
-from .tokens import encoder
+from .tokens import CACHE_PARTS, encoder
 
 CAPACITY = 1024
 END_ID = 2
@@ -32,7 +32,7 @@ Pattern = tuple[int, list[tuple[int, int]]]  # repeats, [(length, copies)]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-                 keep_ids: bool = True) -> DataFrame:
+                 keep_ids: bool = True, cache_parts: int = CACHE_PARTS) -> DataFrame:
     """Pieces ``doc_id, piece, start, length, ids_crc32`` (and ``ids``, little-endian 32-bit) of whole documents.
 
     A document's ids end with ``end_id``.  Only a document longer than ``capacity`` is cut: into pieces
@@ -44,7 +44,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     schema, end = pa.schema(fields), np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path, keeps_space=True)
+        enc = encoder(tokenizer_path, True, cache_parts)
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 out: dict[str, list] = {name: [] for name, _ in fields}
@@ -158,9 +158,9 @@ def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-                   keep_ids: bool = True) -> DataFrame:
+                   keep_ids: bool = True, cache_parts: int = CACHE_PARTS) -> DataFrame:
     """Pieces of all documents with their places; see ``token_pieces`` and ``place``."""
-    return place(token_pieces(docs, tokenizer_path, capacity, end_id, keep_ids), capacity)
+    return place(token_pieces(docs, tokenizer_path, capacity, end_id, keep_ids, cache_parts), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

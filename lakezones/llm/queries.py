@@ -22,6 +22,7 @@ from .winnow import edit_fingerprints
 # The rules of the URL query, and terms of unwanted host names.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 HOST_TERMS = ("ads-track", "adult", "bets", "casino", "pills", "spam")
+WORD_CACHE = 800_000  # parts of texts whose ids a worker keeps, about 170 MB
 # The extra conversation of the chat query.
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -57,7 +58,8 @@ def tokenizer_path(name: str) -> str:
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
-    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), keep_ids=False)
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), keep_ids=False,
+                          cache_parts=WORD_CACHE)
 
 
 def held_out():
@@ -75,7 +77,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as directly addressable codes and read back."""
     path = new_store_path(spark)
-    write_store(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"))
+    write_store(table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"),
+                cache_parts=WORD_CACHE)
     return read_documents(open_store(spark, path), keep_ids=False)
 
 

@@ -1,22 +1,40 @@
 """Token ids of whole texts by the ``tokenizers`` library, with a bounded cache of words.
 
-A text is cut before single spaces and every distinct part is encoded once per worker.
-Pre-tokenisation never looks back over such a cut, so the ids are those of the whole text;
-texts with a space inside longer white space are encoded whole.
+A text is cut before single spaces, between a word and the marks that close it, and around single
+line ends.  Every distinct part is encoded once per worker.  Pre-tokenisation ends a token at each of
+these cuts and never looks back, so the ids are those of the whole text.  Texts with a
+space inside longer white space, or with a null character, are encoded whole.  A part of letters is one
+pre-token and goes straight to the library's BPE model; all others take its whole pipeline.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from array import array
+from itertools import chain
 
-CACHE_PARTS = 500_000  # about 100 MB a worker; then the cache starts anew
+CACHE_PARTS = 400_000  # about 90 MB a worker; then the cache starts anew
 
-_UNSAFE = re.compile(r"\s (?:\s|\Z)")  # a space with white space on both sides
+_ODD = ("\n\n", " \n", "\n ", "  ", "\t", "\r", "\v", "\f", "\0")
+_CUT = "\0"  # begins a part that has no space before it
+_UNSAFE = re.compile(r"\s (?:\s|\Z)|\0")  # a space with white space on both sides
+_MARKS = re.compile(r"([.,;:!?](?<=[^\W_].)[.,;:!?]*)(?=[ \n])")  # marks that close a word
+_LINE = re.compile(r"(?<=\S)\n(?=\S)")
 _ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable Latin-1 for itself, the others from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
 class Encoder:
     def __init__(self, path: str, keeps_space: bool, cache_parts: int = CACHE_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task owns one core
@@ -24,37 +42,75 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.lead = " " if keeps_space else ""
+        self.model = self.tokenizer.model
+        self.keeps_space = keeps_space
         self.cache_parts = cache_parts
         self.parts: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pre_token(self, word: str, spaced: bool) -> str | None:
+        """What pre-tokenisation makes of a word of letters; None if that is not simply one token."""
+        if not self.keeps_space:  # composed and in lower case, letter by letter
+            if not word.isascii():
+                word = unicodedata.normalize("NFC", word)
+            word = word.lower() if word.isascii() else "".join([c.lower() for c in word])
+            if not word.isalpha():
+                return None
+        elif spaced:
+            word = " " + word
+        return word.encode().decode("latin-1").translate(_LETTERS)
+
+    def _learn(self, new: set[str]) -> None:
+        slow, tokenize = [], self.model.tokenize
+        plain = [p for p in new if p.isascii() and p.isalpha()]  # most of them
+        forms = ["\u0120" + p for p in plain] if self.keeps_space else [p.lower() for p in plain]
+        self.parts.update(zip(plain, [array("I", [t.id for t in tokenize(f)]).tobytes() for f in forms]))
+        for p in new.difference(plain):
+            spaced, word = p[:1] != _CUT, p.removeprefix(_CUT)
+            form = self._pre_token(word, spaced) if word.isalpha() else None
+            if form is None:
+                slow.append((p, " " + word if spaced and self.keeps_space else word))
+            else:
+                self.parts[p] = array("I", [t.id for t in tokenize(form)]).tobytes()
+        for i in range(0, len(slow), 20_000):
+            some = slow[i:i + 20_000]
+            self.parts.update(zip([p for p, _ in some], self._ids([text for _, text in some])))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.parts) > self.cache_parts:
             self.parts = {}
-        parts, split, firsts = self.parts, [], []
-        for t in texts:
-            if _UNSAFE.search(t) if self.lead else False:
-                split.append(None)
-                firsts.append(t)
+        split, whole = [], []
+        for i, t in enumerate(texts):
+            plain = t.isascii() and not any(map(t.__contains__, _ODD))  # white space is single spaces and line ends
+            if not plain and _UNSAFE.search(t):
+                whole.append(i)
+                split.append([])
+                continue
+            if plain and not self.keeps_space:
+                t = t.lower()  # as the tokenizer does; fewer distinct parts
+            cut = _MARKS.sub(" \0\\1", _CUT + t)  # the first part has no space before it
+            if not plain or t[:1] == "\n" or t[-1:] in ("\n", " "):
+                cut = _LINE.sub(" \0\n \0", cut)
             else:
-                first, *rest = t.split(" ")
-                split.append(rest)
-                firsts.append(first)
-        new = list({p for rest in split if rest for p in rest if p not in parts})
-        for i in range(0, len(new), 20_000):
-            some = new[i:i + 20_000]
-            parts.update(zip(some, self._ids([self.lead + p for p in some])))
-        heads = self._ids(firsts)
-        return [head + b"".join([parts[p] for p in rest]) if rest else head for head, rest in zip(heads, split)]
-
-
-def encoder(path: str, keeps_space: bool) -> Encoder:
+                cut = cut.replace("\n", " \0\n \0")
+            split.append(cut.split(" "))
+        new = set(chain.from_iterable(split)).difference(self.parts)
+        if new:
+            self._learn(new)
+        get = self.parts.__getitem__
+        out = [b"".join(map(get, parts)) for parts in split]
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+            out[i] = ids
+        return out
+
+
+def encoder(path: str, keeps_space: bool, cache_parts: int = CACHE_PARTS) -> Encoder:
     """This worker's encoder. ``keeps_space``: tokens hold the space before a word (byte-level BPE)."""
     key = (path, keeps_space)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, keeps_space)
+        _ENCODERS[key] = Encoder(path, keeps_space, cache_parts)
+    _ENCODERS[key].cache_parts = cache_parts
     return _ENCODERS[key]
