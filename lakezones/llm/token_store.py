@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_dir
 from .common import slices
-from .tokens import encoder
+from .tokens import CACHE_PARTS, encoder
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
@@ -114,7 +114,7 @@ _SHARDS = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("first", pa.i
 
 
 def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, keeps_space: bool = False,
-                shard_tokens: int = SHARD_TOKENS) -> None:
+                shard_tokens: int = SHARD_TOKENS, cache_parts: int = CACHE_PARTS) -> None:
     """Encode whole texts (null: empty), each followed by ``end_id``, in ascending doc_id order.
 
     Null doc_ids come first; rows of one doc_id follow each other by a hash of their text, then the text, and stay
@@ -124,7 +124,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = E
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(tokenizer_path, keeps_space), TaskContext.get().partitionId()
+        enc, part = encoder(tokenizer_path, keeps_space, cache_parts), TaskContext.get().partitionId()
         shard, first = 0, 0
         ids: list[bytes] = []
         docs_in: list = []
@@ -163,7 +163,8 @@ def open_store(spark: SparkSession, path: str) -> DataFrame:
     totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
-    return shards.join(bases, "part").withColumn("base", F.col("_before") + F.col("first")).drop("_before")
+    # one row a writing task: a few MB for a hundred thousand of them
+    return shards.join(F.broadcast(bases), "part").withColumn("base", F.col("_before") + F.col("first")).drop("_before")
 
 
 def read_documents(store: DataFrame, keep_ids: bool = True) -> DataFrame:
