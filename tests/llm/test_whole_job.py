@@ -60,3 +60,13 @@ def test_every_stretch_that_leaks_is_proposed():
         want = {(int(a), i) for f, n in zip(first, counts) for i, item in enumerate(items) for a in range(f, f + n, len(item.words))
                 if decontam.leaks(item, w.hash[a:min(a + 3 * len(item.words), f + n)].tolist())[0]}
         assert want and want <= got
+
+
+def test_short_texts_that_share_half_are_alike(spark):
+    from lakezones.llm.winnow import edit_fingerprints
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdefghij  ") for _ in range(n)) for n in range(40, 175)]
+    rng.shuffle(texts)
+    rows = edit_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert len(rows) == len(texts) and all(r.near_edited > 0 and r.near_edited > r.near_next for r in rows)
