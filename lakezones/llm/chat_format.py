@@ -8,9 +8,11 @@ assistant turn is located the same way: its header is what ``open_reply`` adds,
 its trailer what a reply of empty text has beyond the header.
 
 Rows come sorted by conversation and turn and stream through the task, one
-piece of output a turn: memory holds the last ``window`` turns of one
-conversation, whatever its length.  Later turns are rendered after the first
-turn and the last ``window - 1`` ones, so work stays linear in long conversations.
+piece of output a turn.  A template sees every true prefix, so memory holds one
+conversation and work grows with the square of its turns.  Only a template that
+says that it renders each turn by itself (``turnwise = True``, as the default one's)
+is rendered after the first turn and the last ``window - 1`` ones: the output is the
+same, memory holds ``window`` turns and work is linear.
 """
 
 from __future__ import annotations
@@ -56,11 +58,15 @@ def marked_turns(turns: list[Turn], open_reply: bool = False) -> str:
     return out + f"{START}assistant\n" if open_reply else out
 
 
+marked_turns.turnwise = True  # the output is a join over turns: none depends on another or on its place
+
+
 class Spans:
     """Feeds one conversation's turns in order; each call returns that turn's piece and its place."""
 
     def __init__(self, render: Template, window: int = WINDOW):
-        self.render, self.first, self.last = render, None, deque(maxlen=window - 1)
+        self.render, self.first = render, None
+        self.last = deque(maxlen=window - 1 if getattr(render, "turnwise", False) else None)
         self.offset = 0
 
     def add(self, turn: Turn) -> dict:
@@ -105,7 +111,7 @@ def format_turns(conversations: DataFrame, render: Template = marked_turns, wind
     ``rewrites`` marks a turn whose rendering changed text before it; ``start`` then points at
     the change.  Turns are ordered by (turn, role, text), nulls first, so ties and repeated
     rows have one order; a null text or role is empty; null conv_id is one conversation.
-    Other columns are ignored.
+    Other columns are ignored.  ``window`` is for templates that are ``turnwise``; others see all turns.
     """
     turns = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"),
                                  F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))

@@ -70,3 +70,29 @@ def test_short_texts_that_share_half_are_alike(spark):
     rng.shuffle(texts)
     rows = edit_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert len(rows) == len(texts) and all(r.near_edited > 0 and r.near_edited > r.near_next for r in rows)
+
+
+def test_templates_see_every_turn_of_long_conversations(spark):
+    from lakezones.llm.chat_format import Spans, format_turns
+
+    def last_forty(turns, open_reply=False):
+        """Keeps the last 40 turns only."""
+        return "".join(f"[{r}:{t}]" for r, t in turns[-40:]) + ("[assistant:" if open_reply else "")
+
+    def numbered(turns, open_reply=False):
+        return "".join(f"[{i}:{r}:{t}]" for i, (r, t) in enumerate(turns)) + (f"[{len(turns)}:assistant:" if open_reply else "")
+
+    turns = [("assistant" if i % 2 else "user", f"t{i}") for i in range(60)]
+    spans = Spans(last_forty)
+    got = [spans.add(t) for t in turns]
+    assert [g["rewrites"] for g in got] == [i >= 40 for i in range(60)]
+    text = ""
+    for i, g in enumerate(got):
+        text = text[:g["start"]] + g["piece"]
+        assert text == last_forty(turns[:i + 1])
+    rows = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    pieces = format_turns(rows, numbered).orderBy("ord").collect()
+    assert "".join(p.piece for p in pieces) == numbered(turns) and not any(p.rewrites for p in pieces)
+    for (role, text), p in zip(turns, pieces):
+        assert p.piece[p.loss_from:p.loss_to] == (text if role == "assistant" else "")
+        assert numbered(turns)[p.start:].startswith(p.piece)
