@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import decoded, digests, encoded
 from .chat_format import END, START, format_turns, read_back
 from .common import stored, table
 from .decontam import contamination
+from .divergence import divergence, divergence_sql
 from .jaccard import jaccard_components
 from .lang_crf import fit_documents, predict
 from .licenses import license_matches, license_sql
+from .merkle import manifest_rows, merkle_sql
 from .packing import pack_documents
 from .suffix_dedup import removal
 from .token_store import new_store_path, open_store, read_documents, write_store
@@ -131,6 +134,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verification of every document."""
+    return manifest_rows(table(spark, sf_dir, "documents"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text that they give back."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    return digests(decoded(encoded(table(spark, sf_dir, "documents"), path), path))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of every source of a language to the others, and its ten most particular terms."""
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -142,10 +161,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_url_filter": op9_url_filter,
     "op10_decontamination": op10_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_bpe": op12_bpe,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_format": OP1_SQL,
     "op7_license_scan": license_sql(),
     "op9_url_filter": _op9_sql(),
+    "op11_merkle_manifest": merkle_sql(),
+    "op13_source_divergence": divergence_sql(),
 }
