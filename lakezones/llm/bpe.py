@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-SLICE_BYTES = 4 << 20
-CACHE_WORDS = 400_000  # about 80 MB a worker; then the cache starts anew
+SLICE_BYTES = 2 << 20
+CACHE_WORDS = 300_000  # about 60 MB a worker; then the cache starts anew
 LONG_WORD = 1024
 NO_RANK = np.iinfo(np.int32).max
 # Fixed value: the pattern of byte-level pre-tokenisation.
@@ -278,19 +278,28 @@ def decoded(rows: DataFrame, tokenizer_path: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
 
-def digests(rows: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of rows ``doc_id, ids, text``."""
+def round_trip(docs: DataFrame, tokenizer_path: str, cache_words: int = CACHE_WORDS) -> DataFrame:
+    """``encoded`` and ``decoded`` in one pass: ``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every whole text.
+
+    Digests are of the decimal ids joined by commas and of the text that the ids give back.  One worker a task does
+    both, so that a task holds one cache.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        model = bpe(tokenizer_path, cache_words)
         for batch in batches:
-            out = {name: [] for name in schema.names}
-            for doc, ids, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "ids", "text"))):
-                numbers = np.frombuffer(ids, "<u4").tolist()
-                out["doc_id"].append(doc)
-                out["n_tokens"].append(len(numbers))
-                out["ids_sha256"].append(sha256(",".join(map(str, numbers)).encode()).hexdigest())
-                out["decoded_sha256"].append(sha256(text.encode()).hexdigest())
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
-
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            for part in slices(batch, "text", SLICE_BYTES):
+                out = {name: [] for name in schema.names}
+                for doc, ids in zip(part["doc_id"].to_pylist(), model.encode(part["text"].to_pylist())):
+                    numbers = np.frombuffer(ids, "<u4").tolist()
+                    out["doc_id"].append(doc)
+                    out["n_tokens"].append(len(numbers))
+                    out["ids_sha256"].append(sha256(",".join(map(str, numbers)).encode()).hexdigest())
+                    out["decoded_sha256"].append(sha256(model.decode(ids).encode()).hexdigest())
+                yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+    text = F.coalesce("text", F.lit("")).alias("text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

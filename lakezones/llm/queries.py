@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import decoded, digests, encoded
+from .bpe import round_trip
 from .chat_format import END, START, format_turns, read_back
 from .common import stored, table
 from .decontam import contamination
@@ -141,8 +141,7 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text that they give back."""
-    path = tokenizer_path("byte_bpe_50k.json")
-    return digests(decoded(encoded(table(spark, sf_dir, "documents"), path), path))
+    return round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
