@@ -80,7 +80,7 @@ def cmd_extract(spark, args):
     outs = run_extract(spark, args.lake_root, ledger, _sources(args, specs), specs, db_name=args.db,
                        schema=args.schema, run_date=args.run_date, single_table=args.table, base=args.base,
                        legacy=args.legacy, log_skipped=args.log_skipped, fmt=args.format,
-                       pre_check_last_checkpoint=args.last_checkpoint)
+                       pre_check_last_checkpoint=args.last_checkpoint, parallel=args.parallel)
     return _report(outs)
 
 
@@ -90,8 +90,8 @@ def cmd_promote(spark, args):
     specs = load_specs(args.contracts, mode=args.mode)
     ledger = Ledger(spark, f"{args.lake_root.rstrip('/')}/_ledger")
     outs = run_promote(spark, args.lake_root, ledger, db_name=args.db, schema=args.schema, job_date=args.job_date,
-                       primary_keys={n: s.primary_key for n, s in specs.items()}, single_table=args.table,
-                       from_zone=args.from_zone, to_zone=args.to_zone, base=args.base, fmt=args.format)
+                       specs=specs, single_table=args.table, from_zone=args.from_zone, to_zone=args.to_zone,
+                       base=args.base, fmt=args.format, parallel=args.parallel)
     return _report(outs)
 
 
@@ -102,7 +102,7 @@ def cmd_compact(spark, args):
         if args.table and name != args.table:
             continue
         rows = LakeTable(spark, ledger, args.lake_root, args.zone, name, args.db, args.schema,
-                         fmt=args.format).compact(args.run_date, spec.primary_key)
+                         fmt=args.format, renames=spec.renames, fill=spec.fill).compact(args.run_date, spec.primary_key, spec.buckets)
         _print({"table": name, "zone": args.zone, "rows": rows})
 
 
@@ -173,6 +173,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--legacy", action="store_true")
     e.add_argument("--last-checkpoint", action="store_true", help="day_path: fall back to the last committed batch")
     e.add_argument("--log-skipped", action="store_true", help="log a 'skipped' run when the source shrank")
+    e.add_argument("--parallel", type=int, default=1, help="tables in work at a time")
     e.set_defaults(func=cmd_extract)
 
     pr = sub.add_parser("promote", help="promote raw batches of a day to staging")
@@ -183,6 +184,7 @@ def parser() -> argparse.ArgumentParser:
     pr.add_argument("--from-zone", default=RAW_ZONE)
     pr.add_argument("--to-zone", default=STAGING_ZONE)
     pr.add_argument("--base", default="current", choices=["current", "committed"])
+    pr.add_argument("--parallel", type=int, default=1, help="tables in work at a time")
     pr.set_defaults(func=cmd_promote)
 
     c = sub.add_parser("compact", help="write each table's current state as a snapshot batch")

@@ -17,6 +17,8 @@ SUCCESS_STATUS = "succeed"
 ERROR_STATUS = "error"
 SKIPPED_STATUS = "skipped"      # our own, opt-in: a run that wrote nothing on purpose
 RAW_ZONE = "raw"
+CORRUPT = "_corrupt_record"  # text of a line that a reader could not parse
+REJECTED_ZONE = "rejected"  # rows that break a contract
 STAGING_ZONE = "staging"
 WAREHOUSE_ZONE = "warehouse"
 EXTRACT_ACTION = "extract"

@@ -44,6 +44,8 @@ LEDGER_SCHEMA = StructType([
 ])
 
 KEY_COLUMNS = ("zone", "db_name", "table_name", "action")
+# Parts of a run's details that are JSON values of their own.
+DETAIL_JSON = ("schema", "layout", "digests")
 # Newest run first: job_end, then run_id to make ties deterministic.
 RUN_ORDER = ("job_end", "run_id")
 
@@ -206,8 +208,16 @@ class TableRuns:
                           "last_row_number": rec.last_row_number, "sink_path": info.get("sink_path"),
                           "source_path": info.get("source_path"),
                           "max_row_number": None if top is None else int(top),
+                          **{c: json.dumps(info[c]) if c in info else None for c in DETAIL_JSON},
                           "job_date": rec.job_date, "job_end": rec.job_end})
 
+    def details_of(self, path: str) -> dict:
+        """What the newest successful run that wrote ``path`` recorded of ``DETAIL_JSON`` (JSON text or ``None``)."""
+        for r in reversed(self.hits()):
+            if r["sink_path"] == path:
+                return {c: r.get(c) for c in DETAIL_JSON}
+        return dict.fromkeys(DETAIL_JSON)
+
     def promoted_sources(self) -> set[str]:
         """Source batch paths that successful runs of this zone promoted."""
         return {r["source_path"] for r in self.hits() if r["source_path"] is not None}
@@ -369,7 +379,7 @@ class Ledger:
                         json_field("details", "sink_path").alias("sink_path"),
                         json_field("details", "source_path").alias("source_path"),
                         json_field("details", "max_row_number").cast("long").alias("max_row_number"),
-                        "job_date", "job_end")
+                        *[json_field("details", c).alias(c) for c in DETAIL_JSON], "job_date", "job_end")
                 .orderBy(*RUN_ORDER).collect())
         out = {pair: TableRuns([]) for pair in pairs}
         for r in rows:

@@ -30,32 +30,51 @@ Differences from the reference, each a fix of a trap it has:
 * The diff is evaluated once: it is written straight into a new batch
   directory while an ``Observation`` counts it; an empty result is never
   committed.
+* The columns may change: the new snapshot and the committed batches are
+  compared in their merged schema (``operators/schemas.py``).  A column the
+  source no longer has counts as null (or the contract's ``fill``).  A type that
+  does not hold the earlier values ends as an error row, before anything is written.
+* Rows are tested against a typed contract in the aggregate that counts the
+  source (``operators/contracts.py``).  Broken rows fail the run or, by the contract, go
+  to the ``rejected`` zone; the source count still counts them.
+* With key buckets in the contract the run keeps a digest of every bucket
+  (``operators/keyed_state.py``): the next run compares only buckets whose digest moved, an
+  unchanged snapshot reads nothing of the lake, and a bucketed state is not shuffled.
 * A source that can change between reads (JDBC) is snapshotted once with a
   reliable checkpoint, so count, numbering and diff see the same rows.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..functions import EXTRACT_ACTION, RAW_ZONE, SKIPPED_STATUS, SUCCESS_STATUS, as_date
+from ..functions import (CORRUPT, EXTRACT_ACTION, RAW_ZONE, REJECTED_ZONE, SKIPPED_STATUS, SUCCESS_STATUS,
+                         as_date)
 from ..operators.changes import (ROW_NUMBER, TECHNICAL_COLUMNS, add_audit_columns, changed_rows,
-                                 current_state)
+                                 current_state, row_key)
+from ..operators.contracts import REASONS, ROW, BrokenRowsError, contract_profile, split_broken, typed
+from ..operators.keyed_state import (BucketedState, bucket_digests, bucket_of, can_digest, changed_by_state, moved_buckets,
+                                     signature)
 from ..operators.ledger import Ledger, TableRuns, utcnow
 from ..operators.rownum import attach_row_numbers, dense_row_number, key_profile, row_hash
+from ..operators.schemas import conform, merge_schemas, schema_record
 from ..session import ensure_checkpoint_dir
 from ..sources.files import TableSource
 from ..sources.lake import LakeTable, write_batch_observed
-from ..specs import ContractError, TableSpec, select_table
-from .runs import (NO_CHANGES, SKIPPED_EMPTY, SOURCE_SHRANK, WRITTEN, Outcome, log, record_error)
+from ..specs import REJECT, ContractError, TableSpec, select_table
+from .runs import NO_CHANGES, SKIPPED_EMPTY, SOURCE_SHRANK, WRITTEN, Outcome, each_table, log, record_error
 
 
-def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: str, run_date, keyed: bool,
+def diff_base(table: LakeTable, spec: TableSpec, schema: StructType, *, base: str, run_date, keyed: bool,
               pre_check_last_checkpoint: bool = False, runs: TableRuns | None = None) -> DataFrame | None:
-    """The committed rows a new snapshot is compared with (``None`` = none):
-    the current state if ``keyed``, else every committed row."""
+    """The committed rows a new snapshot is compared with, in ``schema``
+    (``None`` = none): the current state if ``keyed``, else every committed row."""
     if base == "day_path":
         day = table.read(job_date=run_date, runs=runs)
         if day is None and pre_check_last_checkpoint:
@@ -63,14 +82,56 @@ def diff_base(table: LakeTable, spec: TableSpec, columns: list[str], *, base: st
             if last:
                 day = table.spark.read.format(table.fmt).option("basePath", table.base).load(last) \
                     .drop("ingest_date", "batch_id")
-        return day
+        return None if day is None else conform(day, schema, table.renames, table.fill)
     if base == "current" and keyed:
         versions = table.read_state_inputs(runs)
         if versions is None:
             return None
-        return current_state(versions, spec.primary_key).select(*columns)
+        return conform(current_state(versions, spec.primary_key), schema, fill=table.fill)
     committed = table.read(runs=runs)
-    return None if committed is None else committed.select(*columns)
+    return None if committed is None else conform(committed, schema, fill=table.fill)
+
+
+def _digests(table: LakeTable, spec: TableSpec, df: DataFrame, business: list[str], batch_id: str,
+             runs: TableRuns) -> tuple[dict, list[int] | None]:
+    """This snapshot's digests, stored beside the batches: their record, and the buckets that moved
+    since the newest run (``None``: it kept none that can be compared)."""
+    key = list(spec.primary_key)
+    record = {"path": f"{table.base}/_digests/{batch_id}", **signature(df.schema, business, key, spec.buckets)}
+    bucket_digests(df, business, key, spec.buckets).coalesce(1).write.parquet(record["path"])
+    now = table.spark.read.parquet(record["path"])
+    # only the newest run tells what the lake holds now
+    before = json.loads((runs.hits(table.action) or [{}])[-1].get("digests") or "null")
+    if before and all(before.get(k) == v for k, v in record.items() if k != "path"):
+        return record, moved_buckets(now, table.spark.read.parquet(before["path"]))
+    return record, None
+
+
+def _changed_in_buckets(table: LakeTable, spec: TableSpec, df: DataFrame, business: list[str], runs: TableRuns,
+                        moved: list[int] | None, state: BucketedState | None, later: DataFrame | None) -> DataFrame:
+    """Rows of ``df`` that changed, compared in the buckets that moved only."""
+    key, wanted = list(spec.primary_key), df.select(*business).schema
+
+    def inside(rows: DataFrame) -> DataFrame:
+        return rows if moved is None else rows.where(bucket_of(key, spec.buckets).isin(moved))
+
+    same_key = state is not None and state.key == key and all(state.schema[c].dataType == df.schema[c].dataType
+                                                              for c in key if c in state.schema.names)
+    if same_key and set(key) <= set(state.schema.names):
+        few = moved is not None and state.buckets == spec.buckets and 2 * len(moved) < spec.buckets
+        base = state.rows_of(moved) if few else state.rows()
+        newest = None if later is None else conform(current_state(inside(later), key), wanted, fill=table.fill)
+        return changed_by_state(inside(df), conform(base, wanted, table.renames, table.fill), newest, business, key)
+    versions = table.read_state_inputs(runs)
+    base = None if versions is None else conform(current_state(inside(versions), key), wanted, fill=table.fill)
+    return changed_rows(inside(df), base, business, base_unique=True, key=key)
+
+
+def _keep_broken(table: LakeTable, broken: DataFrame, run_date) -> int:
+    """Append broken rows that the table's side table does not hold yet."""
+    side = LakeTable(table.spark, table.ledger, table.root, REJECTED_ZONE, table.table, table.db_name, table.schema,
+                     table.action, table.fmt)
+    return side.append(changed_rows(broken, side.read(), [REASONS, ROW]), run_date)
 
 
 def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: TableSource, spec: TableSpec, *,
@@ -89,18 +150,33 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
     """
     start = utcnow()
     run_date = as_date(run_date)
-    table = LakeTable(spark, ledger, lake_root, zone, spec.name, db_name, schema, action, fmt)
+    table = LakeTable(spark, ledger, lake_root, zone, spec.name, db_name, schema, action, fmt, renames=spec.renames, fill=spec.fill)
     path, batch_id = table.new_batch_path(run_date)
     details = {"sink_path": path, **spec.config()}
     pk, c = list(spec.primary_key), 0
+    stack = ExitStack()
     try:
         df = source.read(spark)
         if snapshot if snapshot is not None else not source.stable:
             ensure_checkpoint_dir(spark)
             df = df.checkpoint(eager=True)
+        df = df.withColumnsRenamed({old: new for old, new in spec.renames.items() if new not in df.columns})
         # The count is needed for every non-empty source; with a key the same
         # narrow aggregate tells whether the key is unique and non-null.
-        if pk and set(pk) <= set(df.columns):
+        broken = None
+        if spec.checks_rows or CORRUPT in df.columns:
+            spec.check(df)
+            profile = contract_profile(df, spec)
+            c, unique = profile.rows, profile.unique
+            if profile.broken:
+                details["broken"] = profile.broken
+                if spec.on_broken == REJECT:
+                    raise BrokenRowsError(f"rows of {spec.name} break its contract: {profile.broken}")
+                df, broken = split_broken(df, spec, profile)
+                unique = unique or spec.unique_key
+            else:
+                df = typed(df, spec)
+        elif pk and set(pk) <= set(df.columns):
             c, unique = key_profile(df, pk)
         else:
             c, unique = (source.count(spark, df) if source.stable else df.count()), False
@@ -118,6 +194,14 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
                               last_row_number=c, details={"reason": SOURCE_SHRANK, "watermark": w},
                               job_date=run_date, job_start=start, job_end=utcnow())
             return Outcome(spec.name, SOURCE_SHRANK, last_row_number=c)
+        known = table.current_schema(history)
+        if known is not None:
+            own = StructType([f for f in known.fields if f.name not in TECHNICAL_COLUMNS])
+            whole = merge_schemas([StructType([df.schema[x] for x in business]), own], spec.name)
+            technical = [df.schema[x] for x in df.columns if x in TECHNICAL_COLUMNS]
+            df, business = conform(df, StructType([*whole.fields, *technical]), fill=spec.fill), whole.names
+        if broken is not None:
+            details["rejected_rows"] = _keep_broken(table, broken, run_date)
 
         def stamp(numbered: DataFrame) -> DataFrame:
             return add_audit_columns(numbered, run_date, created=spec.make_created_at, updated=spec.make_updated_at,
@@ -130,19 +214,45 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
             return stamp(dense_row_number(df.withColumn("__row_hash", row_hash(business)), order).drop("__row_hash"))
 
         keyed = unique and base == "current" and not legacy
+        buckets = keyed and spec.buckets > 0 and can_digest(df.schema, business)
+        moved = None
+        if buckets:
+            details["digests"], moved = _digests(table, spec, df, business, batch_id, history)
+            if w > 0 and moved == []:
+                log.info("extract found no bucket changed: %s.%s", db_name, spec.name)
+                return Outcome(spec.name, NO_CHANGES, last_row_number=c)
         if w == 0:
             to_write = numbered_whole()
+        elif buckets:
+            stored = table.bucketed_state(history)
+            if stored is not None:
+                stack.enter_context(stored[0])
+            changed = _changed_in_buckets(table, spec, df, business, history, moved, *(stored or (None, None)))
+            to_write = stamp(attach_row_numbers(changed, df, pk, name=ROW_NUMBER))
+        elif not unique and not legacy:
+            # which rows changed, before any is numbered: an unchanged snapshot is not numbered at all
+            base_df = diff_base(table, spec, df.select(*business).schema, base=base, run_date=run_date, keyed=False,
+                                pre_check_last_checkpoint=pre_check_last_checkpoint, runs=history)
+            changed = changed_rows(df, base_df, business)
+            ensure_checkpoint_dir(spark)
+            changed = changed.select(row_key(changed, business).alias("__changed")).dropDuplicates().checkpoint(eager=True)
+            if changed.isEmpty():
+                log.info("extract found no changes: %s.%s", db_name, spec.name)
+                return Outcome(spec.name, NO_CHANGES, last_row_number=c)
+            numbered = numbered_whole()
+            to_write = numbered.join(changed, row_key(numbered, business) == F.col("__changed"), "left_semi")
         else:
             # With a unique key the unnumbered rows are compared, then the key
             # alone is numbered and joined back: full rows move once, by key.
             fresh = df if unique and not legacy else numbered_whole()
             compare = fresh.columns if legacy else business
-            base_df = diff_base(table, spec, compare, base=base, run_date=run_date, keyed=keyed,
+            base_df = diff_base(table, spec, fresh.select(*compare).schema, base=base, run_date=run_date, keyed=keyed,
                                 pre_check_last_checkpoint=pre_check_last_checkpoint, runs=history)
             to_write = changed_rows(fresh, base_df, compare, base_unique=keyed, key=pk if keyed else ())
             if fresh is df:
                 to_write = stamp(attach_row_numbers(to_write, df, pk, name=ROW_NUMBER))
         rows, top = write_batch_observed(to_write, path, table.fmt, max_of=ROW_NUMBER)
+        details["schema"] = schema_record(to_write.schema)
         details["max_row_number"] = top  # A2 for the promotion, observed during the write
         if rows == 0:
             log.info("extract found no changes: %s.%s", db_name, spec.name)
@@ -156,18 +266,23 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
     except Exception as exc:  # noqa: BLE001 - every failure becomes an error row
         return record_error(ledger, db_name=db_name, table_name=spec.name, action=action, zone=zone,
                             job_date=run_date, job_start=start, error=exc, last_row_number=c, details=details)
+    finally:
+        stack.close()
 
 
 def run_extract(spark: SparkSession, lake_root: str, ledger: Ledger, sources: Mapping[str, TableSource],
                 specs: Mapping[str, TableSpec], *, db_name: str, schema: str, run_date,
-                single_table: str | None = None, **options) -> list[Outcome]:
-    """I1 over every configured table (or one, P7).  The loop is over
-    configured tables, each a distributed job."""
+                single_table: str | None = None, parallel: int = 1, **options) -> list[Outcome]:
+    """I1 over every configured table (or one, P7), each a distributed job; ``parallel`` tables are in work at a time."""
     if single_table is not None:
         specs = {single_table: select_table(specs, single_table)}
     zone = options.get("zone", RAW_ZONE)
     # every table's history in one ledger query; each run writes only its own table's runs
     histories = ledger.histories(db_name=db_name, tables=[(zone, spec.name) for spec in specs.values()])
-    return [extract_table(spark, lake_root, ledger, sources[name], spec, db_name=db_name, schema=schema,
-                          run_date=run_date, history=histories[(zone, spec.name)], **options)
-            for name, spec in specs.items()]
+
+    def one(name: str) -> Outcome:
+        spec = specs[name]
+        return extract_table(spark, lake_root, ledger, sources[name], spec, db_name=db_name, schema=schema,
+                             run_date=run_date, history=histories[(zone, spec.name)], **options)
+
+    return each_table(spark, list(specs), one, parallel)

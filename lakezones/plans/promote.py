@@ -10,8 +10,11 @@ highest row number (A2):
   state are appended (or, unless the key is unique and non-null in the batch,
   from all committed staging rows); nothing if there are none.
 
-Several pending batches of a day with unique, non-null keys are promoted in
-one pass over staging (``_promote_together``); otherwise one after the other.
+Several pending batches of a day are promoted in one pass over staging
+(``_promote_together``): against the current state where keys are unique and
+non-null in every batch, else by the first version of each whole row.
+
+Batches and staging are compared in their merged schema (``operators/schemas.py``).
 
 Each promoted batch logs a complete success row with ``m`` and the raw
 ``source_path`` (the reference never sets ``details`` on this path and its
@@ -22,17 +25,22 @@ or repeated raw runs are not reprocessed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import COMPACT_ACTION, EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date
 from ..operators.changes import business_columns, changed_rows, current_state, row_key
 from ..operators.ledger import Ledger, TableRuns, new_run_id, utcnow
 from ..operators.rownum import key_profile
-from ..sources.lake import LakeTable, batch_path, read_batches, write_batch_observed
-from .runs import NO_CHANGES, NOT_NEWER, WRITTEN, Outcome, log, record_error
+from ..operators.schemas import conform, merge_schemas, schema_record
+from ..sources.lake import LakeTable, batch_path, write_batch_observed
+from ..specs import TableSpec
+from .runs import NO_CHANGES, NOT_NEWER, WRITTEN, Outcome, each_table, log, record_error
 
 
 def pending_batches(ledger: Ledger, *, db_name: str, table_name: str, job_date, from_zone: str,
@@ -58,33 +66,36 @@ def pending_batches(ledger: Ledger, *, db_name: str, table_name: str, job_date,
 def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_name: str, schema: str,
                   table_name: str, job_date, primary_key: Sequence[str] = (), from_zone: str = RAW_ZONE,
                   to_zone: str = STAGING_ZONE, action: str = EXTRACT_ACTION, base: str = "current",
-                  fmt: str = "parquet") -> list[Outcome]:
+                  fmt: str = "parquet", renames: Mapping[str, str] | None = None,
+                  fill: Mapping[str, Any] | None = None) -> list[Outcome]:
     job_date = as_date(job_date)
-    source = LakeTable(spark, ledger, lake_root, from_zone, table_name, db_name, schema, action, fmt)
-    target = LakeTable(spark, ledger, lake_root, to_zone, table_name, db_name, schema, action, fmt)
+    source, target = (LakeTable(spark, ledger, lake_root, zone, table_name, db_name, schema, action, fmt, renames=renames or {},
+                                fill=fill or {}) for zone in (from_zone, to_zone))
     outcomes = []
     # one ledger query: pending raw batches, promoted sources, F3, A6 and the base batches
     both = ledger.histories(db_name=db_name, tables=[(from_zone, table_name), (to_zone, table_name)])
-    staged_runs = both[(to_zone, table_name)]
+    staged_runs, raw_runs = both[(to_zone, table_name)], both[(from_zone, table_name)]
     pending = pending_batches(ledger, db_name=db_name, table_name=table_name, job_date=job_date, from_zone=from_zone,
-                              to_zone=to_zone, target_runs=staged_runs, source_runs=both[(from_zone, table_name)])
+                              to_zone=to_zone, target_runs=staged_runs, source_runs=raw_runs)
     key = list(primary_key)
-    if len(pending) > 1 and base == "current" and key and all(top is not None for _, top in pending):
+    if len(pending) > 1 and base == "current" and all(top is not None for _, top in pending):
         try:
-            batches = [read_batches(spark, [p], source.base, source.fmt) for p, _ in pending]
-            unique = all(key_profile(b, key)[1] for b in batches)
+            batches = [source.read_paths([p], runs=raw_runs) for p, _ in pending]
+            whole = _merged(batches, target, staged_runs)
+            batches = [conform(b, whole, fill=target.fill) for b in batches]
+            unique = bool(key) and all(key_profile(b, key)[1] for b in batches)
         except Exception as exc:  # noqa: BLE001 - the loop below meets it again and logs it
             log.warning("batches of %s.%s cannot be read together: %s", db_name, table_name, exc)
-            unique = False
-        if unique:
-            return _promote_together(target, staged_runs, pending, batches, key, job_date, action)
+        else:
+            return _promote_together(target, staged_runs, pending, batches, key if unique else [], job_date, action)
     for raw_path, top in pending:
         start = utcnow()
         path, batch_id = target.new_batch_path(job_date)
         details = {"sink_path": path, "source_path": raw_path}
         m = 0
         try:
-            incoming = read_batches(spark, [raw_path], source.base, source.fmt)
+            incoming = source.read_paths([raw_path], runs=raw_runs)
+            incoming = conform(incoming, _merged([incoming], target, staged_runs), fill=target.fill)
             # A2: observed while the batch was written; scanned only for older ledger rows
             m = top if top is not None else int(incoming.agg(F.coalesce(F.max("ROW_NUMBER"), F.lit(0))).first()[0])
             if not staged_runs.exists(job_date):
@@ -101,10 +112,11 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
                     staged = None if versions is None else current_state(versions, primary_key)
                 else:
                     staged = target.read(runs=staged_runs)
-                to_write = changed_rows(incoming, None if staged is None else staged.select(*compare), compare,
+                wanted = incoming.select(*compare).schema
+                to_write = changed_rows(incoming, None if staged is None else conform(staged, wanted, fill=target.fill), compare,
                                         base_unique=keyed, key=primary_key if keyed else ())
             rows, written_top = write_batch_observed(to_write, path, target.fmt, max_of="ROW_NUMBER")
-            details["max_row_number"] = written_top
+            details.update(max_row_number=written_top, schema=schema_record(to_write.schema))
             if rows == 0:
                 outcomes.append(Outcome(table_name, NO_CHANGES, last_row_number=m))
                 continue
@@ -122,79 +134,115 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
     return outcomes
 
 
+def _merged(batches: list[DataFrame], target: LakeTable, staged_runs: TableRuns) -> StructType:
+    """Schema of the target once it holds the batches."""
+    known = target.current_schema(staged_runs)
+    return merge_schemas([*(b.schema for b in batches), *([known] if known is not None else [])], target.table)
+
+
+def _first_by_key(versions: DataFrame, state: DataFrame | None, compare: list[str], key: list[str]) -> DataFrame:
+    """Rows that differ from the version of their key before them; one shuffle by key."""
+    every = versions if state is None else versions.unionByName(state, allowMissingColumns=True)
+    row = row_key(every, compare)
+    before = F.lag(row).over(Window.partitionBy(*key).orderBy("__v"))
+    return every.withColumn("__new", ~F.coalesce(row == before, F.lit(False))).where("__v > 0")
+
+
+def _first_by_row(versions: DataFrame, staged: DataFrame | None, compare: list[str]) -> DataFrame:
+    """Rows of the first version that has a row with the same values, all copies of it.
+
+    The versions of a value combine before they are shuffled.  Rows meet them in a plain shuffle join (the value is wrapped once more, as in
+    ``changed_rows``), so a hot value is split.
+    """
+    seen = versions if staged is None else versions.unionByName(staged, allowMissingColumns=True)
+    first = seen.select(row_key(seen, compare).alias("__row"), "__v").groupBy("__row").agg(F.min("__v").alias("__first"))
+    first = first.select(F.struct(F.col("__row").alias("r")).alias("__row"), "__first")
+    met = versions.join(first, F.struct(row_key(versions, compare).alias("r")) == first["__row"], "left")
+    return met.withColumn("__new", F.col("__first") == F.col("__v")).drop("__row", "__first")
+
+
 def _promote_together(target: LakeTable, staged_runs: TableRuns, pending: list[tuple[str, int]], batches: list[DataFrame],
                       key: list[str], job_date, action: str) -> list[Outcome]:
-    """Several pending batches with unique, non-null keys in one pass.
-
-    Staging's current state (version 0) and the batches (1, 2, ...) are
-    shuffled by key once; a row is kept if it differs from the version before
-    it.  That equals promoting one batch after the other: an equal row changes
-    nothing.  All batches are written by one job, each into its own folder,
-    and each gets its own ledger row.  Without a staging run on that day the first
-    batch above the day's row number is kept whole, and batches before it are not newer.
+    """Several pending batches of one schema in one pass over staging.
+
+    Staging is version 0 and the batches are versions 1, 2, ...  With a
+    ``key`` (unique and non-null in every batch) staging is its current state and a row is kept if it differs from the version
+    before it; without one all committed rows count, and a row is kept in the first version that has its values.
+    That equals promoting one batch after the other.  All batches are written by one job, each into its own
+    folder, and each gets its own ledger row; if the ledger fails half-way, only the batches without a row count as failed.
+    Without a staging run on that day the first batch above the day's row number is kept whole, and batches before
+    it are not newer.
     """
     start, name, db = utcnow(), target.table, target.ledger_db
-    whole, skipped = 0, []  # number of the batch that is kept whole
+    whole, out = 0, []  # number of the batch that is kept whole
     if not staged_runs.exists(job_date):
         r = staged_runs.row_number_on_date(job_date, action)
         whole = next((i for i, (_, m) in enumerate(pending, 1) if m > r), len(pending) + 1)
-        skipped = [Outcome(name, NOT_NEWER, last_row_number=m) for _, m in pending[:whole - 1]]
+        out = [Outcome(name, NOT_NEWER, last_row_number=m) for _, m in pending[:whole - 1]]
     todo = [(i, p, m, new_run_id()) for i, (p, m) in enumerate(pending, 1) if i >= whole]
     if not todo:
-        return skipped
+        return out
     todo = [(i, p, m, b) for (i, p, m, _), b in zip(todo, sorted(t[3] for t in todo))]  # ids sort in commit order
     folder = batch_path(target.base, job_date, "").rsplit("/", 1)[0]
+    ended: set[str] = set()
     try:
-        columns = batches[todo[0][0] - 1].columns
-        compare = business_columns(batches[todo[0][0] - 1])
-        versions = [batches[i - 1].select(*columns).withColumn("__v", F.lit(i)) for i, *_ in todo]
-        state = target.read_state_inputs(staged_runs)
+        compare = business_columns(batches[0])
+        wanted = batches[0].select(*compare).schema
+        versions = reduce(DataFrame.unionByName, [batches[i - 1].withColumn("__v", F.lit(i)) for i, *_ in todo])
+        if key:
+            state = target.read_state_inputs(staged_runs)
+            state = None if state is None else current_state(state, key)
+        else:
+            state = target.read(runs=staged_runs)
         if state is not None:
-            state = current_state(state, key).select(*[c for c in columns if c in state.columns])
-            versions.append(state.withColumn("__v", F.lit(0)))
-        every = versions[0]
-        for v in versions[1:]:
-            every = every.unionByName(v, allowMissingColumns=True)
-        order = Window.partitionBy(*key).orderBy("__v")
-        row = row_key(every, compare)
-        every = every.withColumn("__same", F.coalesce(row == F.lag(row).over(order), F.lit(False)))
-        kept = every.where((F.col("__v") > 0) & (~F.col("__same") | (F.col("__v") == whole)))
+            state = conform(state, wanted, fill=target.fill).withColumn("__v", F.lit(0))
+        marked = _first_by_key(versions, state, compare, key) if key else _first_by_row(versions, state, compare)
+        kept = marked.where(F.col("__new") | (F.col("__v") == whole)).drop("__new")
         obs = Observation("promotion")
         metrics = [f(F.when(F.col("__v") == i, c)).alias(f"{what}{i}") for i, *_ in todo
                    for what, f, c in (("rows", F.count, F.lit(1)), ("top", F.max, F.col("ROW_NUMBER")))]
         ids = F.create_map(*[F.lit(x) for i, _, _, b in todo for x in (i, b)])
-        (kept.observe(obs, *metrics).withColumn("batch_id", ids[F.col("__v")]).drop("__v", "__same")
+        (kept.observe(obs, *metrics).withColumn("batch_id", ids[F.col("__v")]).drop("__v")
          .write.format(target.fmt).mode("append").partitionBy("batch_id").save(folder))
-        got, out = obs.get, list(skipped)
+        got = obs.get
         for i, raw_path, m, batch_id in todo:
             rows, path = int(got[f"rows{i}"]), f"{folder}/batch_id={batch_id}"
             if rows == 0:
                 out.append(Outcome(name, NO_CHANGES, last_row_number=m))
+                ended.add(batch_id)
                 continue
-            details = {"sink_path": path, "source_path": raw_path, "max_row_number": int(got[f"top{i}"])}
+            details = {"sink_path": path, "source_path": raw_path, "max_row_number": int(got[f"top{i}"]),
+                       "schema": schema_record(batches[0].schema)}
             staged_runs.add(target.ledger.record(db_name=db, table_name=name, action=action, zone=target.zone,
                                                  status=SUCCESS_STATUS, last_row_number=m, details=details,
                                                  job_date=job_date, job_start=start, job_end=utcnow(), run_id=batch_id))
+            ended.add(batch_id)
             out.append(Outcome(name, WRITTEN, rows_written=rows, last_row_number=m, sink_path=path, details=details))
-        return out
     except Exception as exc:  # noqa: BLE001
-        return [*skipped, *(record_error(target.ledger, db_name=db, table_name=name, action=action, zone=target.zone,
-                                         job_date=job_date, job_start=start, error=exc, last_row_number=m,
-                                         details={"source_path": p}) for _, p, m, _ in todo)]
+        out += [record_error(target.ledger, db_name=db, table_name=name, action=action, zone=target.zone,
+                             job_date=job_date, job_start=start, error=exc, last_row_number=m,
+                             details={"source_path": p}) for _, p, m, batch_id in todo if batch_id not in ended]
+    return out
 
 
 def run_promote(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_name: str, schema: str, job_date,
                 primary_keys: dict[str, Sequence[str]] | None = None, single_table: str | None = None,
-                **options) -> list[Outcome]:
-    """I2 for every table the source zone wrote on ``job_date``."""
+                specs: Mapping[str, TableSpec] | None = None, parallel: int = 1, **options) -> list[Outcome]:
+    """I2 for every table the source zone wrote on ``job_date`` (S9).  ``specs`` gives keys, renames and fills at
+    once; ``parallel`` tables are in work at a time."""
     from_zone = options.get("from_zone", RAW_ZONE)
     tables = sorted({r["table_name"] for r in
                      ledger.zone_paths(from_zone, job_date=job_date, db_name=db_name).select("table_name")
                      .distinct().collect()})
     if single_table is not None:
         tables = [t for t in tables if t == single_table]
-    out = []
-    for t in tables:
-        out += promote_table(spark, lake_root, ledger, db_name=db_name, schema=schema, table_name=t,
-                             job_date=job_date, primary_key=(primary_keys or {}).get(t, ()), **options)
-    return out
+    specs = specs or {}
+
+    def one(t: str) -> list[Outcome]:
+        spec = specs.get(t)
+        key = (primary_keys or {}).get(t, spec.primary_key if spec else ())
+        more = {"renames": spec.renames, "fill": spec.fill} if spec else {}
+        return promote_table(spark, lake_root, ledger, db_name=db_name, schema=schema, table_name=t, job_date=job_date,
+                             primary_key=key, **more, **options)
+
+    return [o for outs in each_table(spark, tables, one, parallel) for o in outs]

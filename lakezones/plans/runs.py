@@ -1,12 +1,18 @@
 """Run outcome capture (I5): every run ends as a complete ledger row or as an
-explicit, logged non-event."""
+explicit, logged non-event.  ``each_table`` runs a job over many tables at once."""
 
 from __future__ import annotations
 
 import datetime as _dt
 import logging
 import re
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import TypeVar
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 from ..functions import ERROR_STATUS
 from ..operators.ledger import Ledger, utcnow
@@ -56,3 +62,31 @@ def record_error(ledger: Ledger, *, db_name: str, table_name: str, action: str,
                   job_end=utcnow())
     return Outcome(table=table_name, kind=ERROR, last_row_number=last_row_number,
                    sink_path=info.get("sink_path"), error=info["error_message"], details=info)
+
+
+T = TypeVar("T")
+POOL = "spark.scheduler.pool"
+
+
+def each_table(spark: SparkSession, tables: Sequence[str], job: Callable[[str], T], parallel: int = 1) -> list[T]:
+    """``job`` for every table, results in the order of ``tables``.
+
+    With ``parallel`` above 1 so many tables are in work at a time, each thread in a scheduler pool of its table's name
+    (under ``spark.scheduler.mode=FAIR`` the pools share the executors evenly, and pools that no file
+    configures have equal weight).  Every table ends before the first exception, if any, is raised.
+    """
+    if parallel <= 1 or len(tables) <= 1:
+        return [job(t) for t in tables]
+
+    def pooled(name: str) -> T:
+        context = spark.sparkContext
+        context.setLocalProperty(POOL, name)
+        try:
+            return job(name)
+        finally:
+            context.setLocalProperty(POOL, None)
+
+    with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="lakezones-table") as pool:
+        # a wrapper for each task: it copies the caller's local properties
+        running = [pool.submit(inheritable_thread_target(spark)(pooled), t) for t in tables]
+    return [r.result() for r in running]

@@ -6,8 +6,9 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
+from ..functions import CORRUPT
 from .jdbc import JdbcConnection, count_rows, read_table
 
 
@@ -26,6 +27,20 @@ def read_csv(spark: SparkSession, path: str, *, schema: StructType | str | None
     return reader.csv(path)
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType | str, *, header: bool = True) -> DataFrame:
+    """S5 with every line kept: a line that does not fit ``schema`` (too few or too many fields, a value of another
+    type) has its text in ``_corrupt_record``.
+
+    Lines are parsed whole whatever columns a query needs, so all queries agree on which are malformed.
+    ``operators/contracts.py`` parts them from the others.
+    """
+    kinds = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if CORRUPT not in kinds.names:
+        kinds = StructType(list(kinds.fields)).add(CORRUPT, StringType())
+    return (spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("columnPruning", False).option("enforceSchema", True).schema(kinds).csv(path))
+
+
 def from_rows(spark: SparkSession, rows: Iterable, schema: StructType | str) -> DataFrame:
     """A local collection as a distributed frame (small driver-side data only)."""
     return spark.createDataFrame(list(rows), schema)
@@ -68,6 +83,19 @@ class ParquetSource(TableSource):
         return spark.read.parquet(self.path)
 
 
+@dataclass
+class CsvSource(TableSource):
+    """S5 as a source; a contract that quarantines takes malformed lines out."""
+
+    name: str
+    path: str
+    schema: StructType | str
+    header: bool = True
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return read_csv_checked(spark, self.path, self.schema, header=self.header)
+
+
 @dataclass
 class JdbcSource(TableSource):
     """S1 + A1 for one table; the count is pushed to the database."""

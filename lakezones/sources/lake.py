@@ -11,6 +11,8 @@ two steps leaves an orphan directory no reader lists.  ``replace`` (K2) never
 overwrites in place: the table is its newest committed batch.  Readers pass
 the committed batch paths with ``basePath`` so ``ingest_date`` and
 ``batch_id`` come back as partition columns; batch ids sort in commit order.
+Every batch is read with the schema that its run recorded, and batches of
+several schemas are one table of their merged schema (``operators/schemas.py``).
 
 One writer per table at a time is assumed (as with the reference); concurrent
 writers to one table are out of scope.
@@ -19,15 +21,21 @@ writers to one table are out of scope.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+import json
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+from functools import reduce
+from typing import Any
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType, StringType
+from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType, StringType, StructType
 
 from ..functions import COMPACT_ACTION, SUCCESS_STATUS, as_date, date_text
+from ..operators.keyed_state import BucketedState, write_bucketed
 from ..operators.ledger import Ledger, TableRuns, new_run_id, utcnow
+from ..operators.schemas import conform, merge_schemas, recorded_schema, renamed, schema_record
 
 BATCH_COLUMNS = ("ingest_date", "batch_id")
 
@@ -70,9 +78,13 @@ def write_batch(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 
 
 def read_batches(spark: SparkSession, paths: list[str], base: str, fmt: str = "parquet",
-                 with_batch_columns: bool = False) -> DataFrame:
-    """The bag union of the given batches (one scan, many paths)."""
-    df = spark.read.format(fmt).option("basePath", base).load(paths)
+                 with_batch_columns: bool = False, schema: StructType | None = None) -> DataFrame:
+    """The bag union of the given batches (one scan, many paths).  With the batches' ``schema`` no
+    file is opened to infer it."""
+    reader = spark.read.format(fmt).option("basePath", base)
+    if schema is not None and fmt != "delta":
+        reader = reader.schema(schema)
+    df = reader.load(paths)
     return df if with_batch_columns else df.drop(*BATCH_COLUMNS)
 
 
@@ -90,6 +102,8 @@ class LakeTable:
     action: str = "extract"
     fmt: str = "parquet"
     logged_db: str | None = None  # the db in the ledger where the path has none (warehouse tables)
+    renames: Mapping[str, str] = field(default_factory=dict)  # earlier column names: today's
+    fill: Mapping[str, Any] = field(default_factory=dict)  # values of columns that a batch does not have
 
     @property
     def base(self) -> str:
@@ -114,34 +128,85 @@ class LakeTable:
             batches = [b for b in batches if marker in b[0]]
         return [p for p, _ in batches]
 
+    def _by_schema(self, paths: list[str], runs: TableRuns) -> list[tuple[StructType, list[str]]]:
+        """Paths by the schema that their runs recorded; files without a record are asked for theirs."""
+        groups: dict[str, tuple[StructType, list[str]]] = {}
+        unknown = []
+        for p in paths:
+            schema = recorded_schema(runs.details_of(p)["schema"])
+            if schema is None:
+                unknown.append(p)
+            else:
+                groups.setdefault(schema.json(), (schema, []))[1].append(p)
+        out = list(groups.values())
+        if unknown:
+            out.insert(0, (read_batches(self.spark, unknown, self.base, self.fmt).schema, unknown))
+        return out
+
+    def schema_of(self, paths: list[str], runs: TableRuns | None = None) -> StructType:
+        """Merged schema of batches under today's names."""
+        groups = self._by_schema(paths, runs or self.runs())
+        return merge_schemas((renamed(s, self.renames) for s, _ in groups), self.table)
+
+    def current_schema(self, runs: TableRuns | None = None) -> StructType | None:
+        """Merged schema of all committed batches; ``None`` when nothing is committed yet."""
+        runs = runs or self.runs()
+        paths = self.committed_paths(runs=runs)
+        return self.schema_of(paths, runs) if paths else None
+
+    def read_paths(self, paths: list[str], *, runs: TableRuns | None = None, with_batch_columns: bool = False) -> DataFrame:
+        """The given batches as one table, one scan for each schema among them."""
+        groups = self._by_schema(paths, runs or self.runs())
+        whole = merge_schemas((renamed(s, self.renames) for s, _ in groups), self.table)
+        parts = []
+        for schema, some in groups:
+            rows = read_batches(self.spark, some, self.base, self.fmt, with_batch_columns=True, schema=schema)
+            kinds = {f.name: f for f in rows.schema.fields}
+            target = StructType([*whole.fields, *(kinds[c] for c in BATCH_COLUMNS if c in kinds and c not in whole.names)])
+            parts.append(conform(rows, target, self.renames, self.fill))
+        df = reduce(DataFrame.unionByName, parts)
+        return df if with_batch_columns else df.drop(*BATCH_COLUMNS)
+
     def read(self, *, latest_only: bool = False, job_date=None, with_batch_columns: bool = False,
              runs: TableRuns | None = None) -> DataFrame | None:
         """Committed rows (all batches, or the newest for ``replace``
         tables); ``None`` when nothing is committed yet.  ``runs`` reuses a
         history already read in this step."""
+        runs = runs or self.runs()
         paths = self.committed_paths(job_date, runs)
         if not paths:
             return None
         if latest_only:
             paths = paths[-1:]
-        return read_batches(self.spark, paths, self.base, self.fmt, with_batch_columns)
+        return self.read_paths(paths, runs=runs, with_batch_columns=with_batch_columns)
 
     def read_state_inputs(self, runs: TableRuns | None = None) -> DataFrame | None:
         """Rows a current state is computed from: the newest compaction
         snapshot plus the batches committed after it (with batch columns).
         Without compaction this is every committed batch."""
-        snapshot, after = (runs or self.runs()).snapshot_and_after()
+        runs = runs or self.runs()
+        snapshot, after = runs.snapshot_and_after()
         paths = ([snapshot] if snapshot else []) + after
-        if not paths:
+        return self.read_paths(paths, runs=runs, with_batch_columns=True) if paths else None
+
+    def bucketed_state(self, runs: TableRuns | None = None) -> tuple[BucketedState, DataFrame | None] | None:
+        """The newest snapshot, if it was written bucketed, and the rows committed after it (with batch columns)."""
+        runs = runs or self.runs()
+        snapshot, after = runs.snapshot_and_after()
+        kept = runs.details_of(snapshot) if snapshot else {}
+        layout, schema = json.loads(kept.get("layout") or "null"), recorded_schema(kept.get("schema"))
+        if not layout or schema is None:
             return None
-        return read_batches(self.spark, paths, self.base, self.fmt, with_batch_columns=True)
+        later = self.read_paths(after, runs=runs, with_batch_columns=True) if after else None
+        return BucketedState(self.spark, snapshot, schema, layout["key"], layout["buckets"], self.fmt), later
 
-    def compact(self, run_date, primary_key=()) -> int:
+    def compact(self, run_date, primary_key=(), buckets: int = 0) -> int:
         """Write the table's current state (newest version per key; all rows
         for keyless tables) as one snapshot batch and commit it with action
         ``compact``.  Later diffs read the snapshot plus newer batches, so
         their cost follows the table's size, not its history.  Plain reads
-        still return every appended version."""
+        still return every appended version.  With ``buckets`` the snapshot is
+        bucketed and sorted by key, so a diff does not shuffle it."""
         from ..operators.changes import current_state
 
         inputs = self.read_state_inputs()
@@ -150,8 +215,14 @@ class LakeTable:
         state = current_state(inputs, primary_key) if primary_key else inputs
         start = utcnow()
         path, batch_id = self.new_batch_path(run_date, new_run_id(start))
-        rows = write_batch(state.drop(*BATCH_COLUMNS), path, self.fmt)
-        info = {"sink_path": path, "primary_key": list(primary_key)}
+        state = state.drop(*BATCH_COLUMNS)
+        info = {"sink_path": path, "primary_key": list(primary_key), "schema": schema_record(state.schema)}
+        if buckets and primary_key and self.fmt != "delta":
+            obs = Observation("state")
+            write_bucketed(state.observe(obs, F.count(F.lit(1)).alias("rows")), path, primary_key, buckets, self.fmt)
+            rows, info["layout"] = int(obs.get["rows"]), {"buckets": buckets, "key": list(primary_key)}
+        else:
+            rows = write_batch(state, path, self.fmt)
         self.ledger.record(db_name=self.ledger_db, table_name=self.table, action=COMPACT_ACTION, zone=self.zone,
                            status=SUCCESS_STATUS, last_row_number=rows, details=info,
                            job_date=as_date(run_date), job_start=start, job_end=utcnow(), run_id=batch_id)
@@ -176,7 +247,8 @@ class LakeTable:
         rows = write_batch(df, path, self.fmt)
         if rows == 0 and not commit_empty:
             return 0
-        return self._commit(path, batch_id, rows, run_date, start, last_row_number, details)
+        return self._commit(path, batch_id, rows, run_date, start, last_row_number,
+                            {"schema": schema_record(df.schema), **(details or {})})
 
     def replace(self, df: DataFrame, run_date, *, last_row_number: int | None = None,
                 details: dict | None = None) -> int:

@@ -1,7 +1,10 @@
 """Table contracts.
 
 A contract lists, per load mode and table, the primary key, the columns a
-source frame must carry, and which audit columns to stamp.  Contracts are job
+source frame must carry, and which audit columns to stamp.  It may also say
+what rows must meet (``columns``, ``unique_key``; ``operators/contracts.py``), what
+becomes of rows that do not (``on_broken``), and how columns changed
+(``renames``, ``fill``; ``operators/schemas.py``).  Contracts are job
 configuration: they are loaded on the driver, never shipped with data.
 """
 
@@ -12,6 +15,8 @@ from dataclasses import dataclass, field, asdict
 from typing import Any
 
 DEFAULT_MODE = "full_load"
+REJECT = "reject"          # one broken row fails the run, nothing is written
+QUARANTINE = "quarantine"  # broken rows go to a side table, the others load
 
 
 class ContractError(ValueError):
@@ -26,17 +31,35 @@ class TableSpec:
     make_created_at: bool = True
     make_updated_at: bool = True
     extra: Mapping[str, Any] = field(default_factory=dict)
+    #: ``{column: {"type": "decimal(12,2)", "nullable": False}}``
+    columns: Mapping[str, Mapping[str, Any]] = field(default_factory=dict)
+    unique_key: bool = False          # no null and no repeated primary key
+    on_broken: str = REJECT           # or QUARANTINE
+    renames: Mapping[str, str] = field(default_factory=dict)  # earlier column names: today's
+    fill: Mapping[str, Any] = field(default_factory=dict)     # values of a column in batches that do not have it
+    buckets: int = 0  # key buckets of the stored state and of the digests of a snapshot (0: none)
 
     def __post_init__(self):
         if not self.required_columns:
             # The reference's "mandatory" error can never fire (an empty list
             # passes the subset test); we reject it when the spec is built.
             raise ContractError(f"table {self.name!r}: required_columns is mandatory and must not be empty")
+        if self.on_broken not in (REJECT, QUARANTINE):
+            raise ContractError(f"table {self.name!r}: on_broken is {REJECT!r} or {QUARANTINE!r}, not {self.on_broken!r}")
+        if self.unique_key and not self.primary_key:
+            raise ContractError(f"table {self.name!r}: unique_key needs a primary_key")
+
+    @property
+    def checks_rows(self) -> bool:
+        return bool(self.columns) or self.unique_key
 
     def config(self) -> dict[str, Any]:
         """The spec as plain JSON-able values (goes into ledger details)."""
         out = asdict(self)
         out.pop("name")
+        for optional in ("columns", "unique_key", "on_broken", "renames", "fill", "buckets"):
+            if out[optional] in ({}, False, REJECT):
+                del out[optional]
         out["required_columns"] = list(self.required_columns)
         out["primary_key"] = list(self.primary_key)
         out.update(out.pop("extra"))
@@ -63,7 +86,8 @@ def _as_tuple(value) -> tuple[str, ...]:
 
 
 def spec_from_dict(name: str, raw: Mapping[str, Any]) -> TableSpec:
-    known = {"primary_key", "required_columns", "make_created_at", "make_updated_at"}
+    known = {"primary_key", "required_columns", "make_created_at", "make_updated_at", "columns", "unique_key", "on_broken",
+             "renames", "fill", "buckets"}
     return TableSpec(
         name=name,
         required_columns=_as_tuple(raw.get("required_columns")),
@@ -71,6 +95,12 @@ def spec_from_dict(name: str, raw: Mapping[str, Any]) -> TableSpec:
         make_created_at=bool(raw.get("make_created_at", False)),
         make_updated_at=bool(raw.get("make_updated_at", False)),
         extra={k: v for k, v in raw.items() if k not in known},
+        columns=dict(raw.get("columns") or {}),
+        unique_key=bool(raw.get("unique_key", False)),
+        on_broken=raw.get("on_broken", REJECT),
+        renames=dict(raw.get("renames") or {}),
+        fill=dict(raw.get("fill") or {}),
+        buckets=int(raw.get("buckets", 0)),
     )
 
 

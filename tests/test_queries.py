@@ -8,8 +8,8 @@ import duckdb
 import pytest
 
 from conftest import SF_SMALL
-from __spark_entry__ import entry, oracle_sql, queries
-from lakezones.queries import ORACLE_SQL, QUERIES, TABLES
+from __spark_entry__ import ORACLE_SQL, QUERIES, entry, oracle_sql, queries
+from lakezones.queries import TABLES
 
 
 
