@@ -2,9 +2,10 @@
 
 A text is cut before single spaces, between a word and the marks that close it, and around single
 line ends.  Every distinct part is encoded once per worker.  Pre-tokenisation ends a token at each of
-these cuts and never looks back, so the ids are those of the whole text.  Texts with a
-space inside longer white space, or with a null character, are encoded whole.  A part of letters is one
-pre-token and goes straight to the library's BPE model; all others take its whole pipeline.
+these cuts and never looks back, so the ids are those of the whole text.  Marks are cut off only after an ASCII or Latin
+letter or digit that stays one when it is normalised (not after a dotted capital I, whose small form ends in a combining dot).  Texts with a
+space inside longer white space, with a null character, or with a string of an added token in any case are encoded whole.  A part of
+Latin letters is one pre-token and goes straight to the library's BPE model; all others take its whole pipeline.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ CACHE_PARTS = 400_000  # about 90 MB a worker; then the cache starts anew
 _ODD = ("\n\n", " \n", "\n ", "  ", "\t", "\r", "\v", "\f", "\0")
 _CUT = "\0"  # begins a part that has no space before it
 _UNSAFE = re.compile(r"\s (?:\s|\Z)|\0")  # a space with white space on both sides
-_MARKS = re.compile(r"([.,;:!?](?<=[^\W_].)[.,;:!?]*)(?=[ \n])")  # marks that close a word
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"  # letters in every version of Unicode, and small in one letter
+_WORD = re.compile(f"[{_LATIN}]+")
+_MARKS = re.compile(rf"([.,;:!?](?<=[0-9{_LATIN}].)[.,;:!?]*)(?=[ \n])")  # marks that close a word
 _LINE = re.compile(r"(?<=\S)\n(?=\S)")
-_ENCODERS: dict[tuple[str, bool], "Encoder"] = {}
+_ENCODERS: dict[tuple[str, bool, bool], "Encoder"] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -36,12 +39,18 @@ _LETTERS = _byte_letters()
 
 
 class Encoder:
-    def __init__(self, path: str, keeps_space: bool, cache_parts: int = CACHE_PARTS):
+    def __init__(self, path: str, keeps_space: bool, cache_parts: int = CACHE_PARTS, special_as_text: bool = False):
+        """``special_as_text``: strings of special tokens in a text are ordinary text; by default, as in the library, they
+        are their ids."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task owns one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        prefix = os.path.commonprefix(added)
+        self.added_prefix = prefix if prefix.isascii() and prefix.lower() == prefix.upper() else ""  # the same in any case
         self.model = self.tokenizer.model
         self.keeps_space = keeps_space
         self.cache_parts = cache_parts
@@ -69,7 +78,7 @@ class Encoder:
         self.parts.update(zip(plain, [array("I", [t.id for t in tokenize(f)]).tobytes() for f in forms]))
         for p in new.difference(plain):
             spaced, word = p[:1] != _CUT, p.removeprefix(_CUT)
-            form = self._pre_token(word, spaced) if word.isalpha() else None
+            form = self._pre_token(word, spaced) if _WORD.fullmatch(word) else None
             if form is None:
                 slow.append((p, " " + word if spaced and self.keeps_space else word))
             else:
@@ -85,7 +94,7 @@ class Encoder:
         split, whole = [], []
         for i, t in enumerate(texts):
             plain = t.isascii() and not any(map(t.__contains__, _ODD))  # white space is single spaces and line ends
-            if not plain and _UNSAFE.search(t):
+            if (not plain and _UNSAFE.search(t)) or (self.added and self.added_prefix in t and self.added.search(t)):
                 whole.append(i)
                 split.append([])
                 continue
@@ -107,10 +116,11 @@ class Encoder:
         return out
 
 
-def encoder(path: str, keeps_space: bool, cache_parts: int = CACHE_PARTS) -> Encoder:
-    """This worker's encoder. ``keeps_space``: tokens hold the space before a word (byte-level BPE)."""
-    key = (path, keeps_space)
+def encoder(path: str, keeps_space: bool, cache_parts: int = CACHE_PARTS, special_as_text: bool = False) -> Encoder:
+    """This worker's encoder; another one's cache goes. ``keeps_space``: tokens hold the space before a word (byte-level BPE)."""
+    key = (path, keeps_space, special_as_text)
     if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, keeps_space, cache_parts)
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(path, keeps_space, cache_parts, special_as_text)
     _ENCODERS[key].cache_parts = cache_parts
     return _ENCODERS[key]

@@ -27,23 +27,36 @@ def docs(spark):
     return spark.read.parquet(f"{SF_SMALL}/documents.parquet")
 
 
-def plain(name):
+def plain(name, special_as_text=False):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(q.tokenizer_path(name))
-    t.encode_special_tokens = True
+    t.encode_special_tokens = special_as_text
     return t
 
 
+def any_texts(rng, n):
+    """Texts of letters of all scripts, marks, spaces and strings of added tokens in any case."""
+    wide = [chr(c) for c in range(0x80, 0x110000, 37) if not 0xD800 <= c <= 0xDFFF]
+    near = [chr(c) for c in range(0x80, 0x600)]
+    more = ["İ", "İ", "ẞ", "Σ", "ŉ", "ǰ", "\u0307", "\u0301", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|", "'S", "'ll", "\u212b"]
+    for _ in range(n):
+        some = rng.choices(near, k=4) + rng.choices(wide, k=2) + rng.choices(more, k=3) + list("aB9") + [" ", " ", ".", ",", "!", "\n", "? "]
+        yield "".join(rng.choice(some) for _ in range(rng.randrange(25)))
+
+
 @pytest.mark.parametrize("name,space", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_cached_ids_are_the_tokenizers_ids(docs, name, space):
     rng = random.Random(1)
     texts = [r[0] for r in docs.select("text").collect()]
     texts += ["", " ", "  ", "a ", "a  ", " \n ", "a \n b", "a\n b", "a \n\n  b ", "it's  we'll\t x", "ΣΣ Σ", "á ́b"]
     texts += ["".join(rng.choice("ab' \n\t. 1é") for _ in range(rng.randrange(30))) for _ in range(2000)]
-    got = Encoder(q.tokenizer_path(name), space, cache_parts=50).encode(texts)
-    want = [np.array(e.ids, "<u4").tobytes() for e in plain(name).encode_batch(texts, add_special_tokens=False)]
-    assert got == want
+    texts += [f"a{m}" for m in ("İ. ", "İ, x", "İİ! ", "ı. ", "\u0307. ")] + list(any_texts(rng, 30_000))
+    for special_as_text in (False, True):
+        enc, library = Encoder(q.tokenizer_path(name), space, 50, special_as_text), plain(name, special_as_text)
+        for i in range(0, len(texts), 500):
+            some = texts[i:i + 500]
+            assert enc.encode(some) == [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(some, add_special_tokens=False)]
 
 
 def test_fullest_is_optimal():
@@ -138,6 +151,9 @@ def test_store_odd_rows(spark):
     write_store(odd, path, q.tokenizer_path("word_bpe_49k.json"), shard_tokens=4)
     rows = sorted(read_documents(open_store(spark, path)).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == [None, 1, 2, 3, 5, 5, 9]
+    texts = {r[0]: r[1] or "" for r in ODD_ROWS}
+    for r in rows:
+        assert np.frombuffer(r.ids, "<u4").tolist() == [*plain("word_bpe_49k.json").encode(texts[r.doc_id], add_special_tokens=False).ids, 2]
     at = 0
     for r in rows:
         assert r.start == at and len(r.ids) == 4 * r.n_tokens
