@@ -25,13 +25,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from .common import scratch_path, shuffles_removed, stored
 from .words import Texts
 
-_NO_TEXT = "_no_text"
 BLOCK_BYTES = 4 << 20  # of text in a block; a longer text is a block of its own
+PLACE_BITS = 22  # of a row's place in its block; a block has fewer rows than these number
+RANGE_BYTES = 64 << 20  # of text for each range of names
 
 
 class Block(Texts):
@@ -47,15 +48,25 @@ class Block(Texts):
         total = int(self.ends[-1]) if n else 0
         self.buf = np.frombuffer(raw, np.uint8, total, 8 + 17 * n)
         self.doc_ids = [int(i) if k else None for i, k in zip(ids, known)]
-        self.carried = raw[8 + 17 * n + total:].decode().split("\n")  # JSON has no bare line ends
+        self.carried = raw[8 + 17 * n + total:]
+
+    def rows(self, names: list[str], texts: list[str], places: list[int] | None = None) -> pa.RecordBatch:
+        """Rows of the documents' own columns: all (or those at ``places``), with new texts; an empty text stays null if it was."""
+        rest = pa.ipc.open_stream(self.carried).read_next_batch()
+        if places is not None:
+            rest = rest.take(pa.array(places, pa.int64()))
+        null = rest.column(rest.num_columns - 1).to_pylist()
+        text = pa.array([None if n and not t else t for n, t in zip(null, texts)], pa.string())
+        others = iter(rest.columns)
+        return pa.RecordBatch.from_arrays([text if c == "text" else next(others) for c in names], names=names)
 
     @staticmethod
-    def pack(doc_ids: list, texts: list[bytes], carried: list[str]) -> bytes:
+    def pack(doc_ids: list, texts: list[bytes], carried: bytes) -> bytes:
         known = np.array([d is not None for d in doc_ids], np.uint8)
         ids = np.array([d or 0 for d in doc_ids], "<i8")
         sizes = np.array([len(t) for t in texts], "<i8")
         raw = struct.pack("<Q", len(texts)) + known.tobytes() + ids.tobytes() + sizes.tobytes() + b"".join(texts)
-        raw += "\n".join(carried).encode()
+        raw += carried
         return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
@@ -68,12 +79,12 @@ class BlockTable:
     def __init__(self, docs: DataFrame, label: str, ordered: bool, carry: bool = False, block_bytes: int = BLOCK_BYTES):
         """``ordered``: ascending blocks hold ascending documents, by (doc_id with nulls first, hash of text, text).
 
-        ``carry``: the other columns travel as JSON, for ``restored``.
+        ``carry``: the other columns travel with the texts as Arrow data, exact in every type, for ``Block.rows``.
         """
         spark = docs.sparkSession
-        rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"] + [F.col("text").isNull().alias(_NO_TEXT)]
+        rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c != "text"] + [F.col("text").isNull().alias("no_text")]
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
-                           (F.to_json(F.struct(*rest)) if carry else F.lit("")).alias("carried"))
+                           *([F.struct(*rest).alias("carried")] if carry else []))
         self.schema = docs.schema
         if ordered:
             rows = rows.withColumn("_h", F.xxhash64("text"))
@@ -81,51 +92,65 @@ class BlockTable:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part, number, size, ids, texts, carried = TaskContext.get().partitionId(), 0, 0, [], [], []
+            if part >= 1 << 63 - 28 - PLACE_BITS:
+                raise ValueError("too many scan partitions for block numbers")
 
             def flush() -> pa.RecordBatch:
+                sink = pa.BufferOutputStream()
+                if carried:
+                    held = pa.RecordBatch.from_struct_array(pa.concat_arrays(carried))
+                    with pa.ipc.new_stream(sink, held.schema) as out:
+                        out.write_batch(held)
                 return pa.RecordBatch.from_pydict({"block": [(part << 28) + number], "n_bytes": [size],
-                                                   "payload": [Block.pack(ids, texts, carried)]}, schema=_BLOCKS)
+                                                   "payload": [Block.pack(ids, texts, sink.getvalue().to_pybytes())]}, schema=_BLOCKS)
 
             for batch in batches:
-                for doc, text, rest in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "carried"))):
+                first = 0
+                for i, (doc, text) in enumerate(zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist())):
                     raw = text.encode()
-                    if ids and size + len(raw) > block_bytes:
+                    if ids and (size + len(raw) > block_bytes or len(ids) + 1 >= 1 << PLACE_BITS):
+                        if carry:
+                            carried.append(batch["carried"].slice(first, i - first))
                         yield flush()
-                        number, size, ids, texts, carried = number + 1, 0, [], [], []
+                        number, size, ids, texts, carried, first = number + 1, 0, [], [], [], i
                     ids.append(doc)
                     texts.append(raw)
-                    carried.append(rest)
                     size += len(raw)
+                if carry:
+                    carried.append(batch["carried"].slice(first))
             if ids:
                 yield flush()
 
         self.spark, self.label = spark, label
-        self.ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"lakezones_{label}_{uuid.uuid4().hex[:12]}".replace("-", "_")
         with shuffles_removed(spark):
             (rows.mapInArrow(run, "block long, n_bytes long, payload binary").write.option("compression", "none")
-             .option("path", scratch_path(spark, label)).bucketBy(self.ranges, "block").saveAsTable(self.name))
+             .option("path", scratch_path(spark, label)).bucketBy(buckets, "block").saveAsTable(self.name))
         self.rows = spark.table(self.name)
-
-    def n_bytes(self) -> int:
-        return self.rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+        self.n_bytes = self.rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+        self.ranges = max(buckets, -(-self.n_bytes // RANGE_BYTES))  # more with the corpus, so that no task grows with it
 
     def exchange(self, send: Callable[[Block, dict], dict[int, np.ndarray]],
-                 answer: Callable[[int, np.ndarray, np.ndarray], np.ndarray], *earlier: DataFrame) -> DataFrame:
+                 answer: Callable[[int, np.ndarray, np.ndarray, np.ndarray | None], np.ndarray], *earlier: DataFrame) -> DataFrame:
         """One round; returns stored answers for ``mapped`` or a later round.
 
-        ``send(block, answers)`` gives sorted distinct names by kind; ``answer(kind, names, blocks)`` gets all
-        names of a range with the place of their block among the blocks (ascending with block order) and returns a byte each.
+        ``send(block, answers)`` gives sorted distinct names by kind, or names and a byte for each; ``answer(kind, names, blocks, sent)``
+        gets all names of a range with the place of their block among the blocks (ascending with block order) and their bytes, if any, and
+        returns a byte each.
         """
         ranges = self.ranges
 
         def out(block_id: int, block: Block, answers: dict) -> pa.RecordBatch:
             rows = []
+            pack = zstandard.ZstdCompressor(level=1)
             for kind, names in send(block, answers).items():
+                names, extra = names if isinstance(names, tuple) else (names, None)
                 cuts = np.searchsorted(names, range_starts(ranges))
                 for r, (a, b) in enumerate(zip(cuts, np.append(cuts[1:], len(names)))):
                     if b > a:
-                        rows.append({"kind": kind, "range": r, "block": block_id, "blob": delta_coded(names[a:b])})
+                        rows.append({"kind": kind, "range": r, "block": block_id, "blob": delta_coded(names[a:b]),
+                                     "extra": None if extra is None else pack.compress(extra[a:b].tobytes())})
             return pa.RecordBatch.from_pylist(rows, schema=_SENT)
 
         def reduce(group: pa.Table) -> pa.Table:
@@ -134,12 +159,14 @@ class BlockTable:
             parts = [delta_decoded(x.as_py()) for x in group["blob"]]
             sizes = np.array([len(p) for p in parts])
             place = np.searchsorted(np.sort(ids), ids)
-            said = answer(kind, np.concatenate(parts), np.repeat(place, sizes)).astype(np.uint8)
+            unpack = zstandard.ZstdDecompressor()
+            extra = [np.frombuffer(unpack.decompress(x.as_py()), np.uint8) for x in group["extra"] if x.is_valid]
+            said = answer(kind, np.concatenate(parts), np.repeat(place, sizes), np.concatenate(extra) if extra else None).astype(np.uint8)
             pack = zstandard.ZstdCompressor(level=1)
             blobs = [pack.compress(s.tobytes()) for s in np.split(said, np.cumsum(sizes)[:-1])]
-            return pa.table({"kind": [kind] * len(ids), "range": [r] * len(ids), "block": ids, "blob": blobs}, schema=_SENT)
+            return pa.table({"kind": [kind] * len(ids), "range": [r] * len(ids), "block": ids, "blob": blobs}, schema=_BACK)
 
-        sent = self.mapped(out, "kind int, range int, block long, blob binary", *earlier)
+        sent = self.mapped(out, "kind int, range int, block long, blob binary, extra binary", *earlier)
         back = sent.groupBy("kind", "range").applyInArrow(reduce, "kind int, range int, block long, blob binary")
         return stored(back.groupBy("block").agg(F.collect_list(F.struct("kind", "range", "blob")).alias("answers")),
                       f"{self.label}-answers")
@@ -165,20 +192,13 @@ class BlockTable:
 
         return rows.select("block", "payload", *names).mapInArrow(run, schema)
 
-    def restored(self, rows: DataFrame) -> DataFrame:
-        """Rows ``text, carried`` as rows of the documents' own columns."""
-        fields = [f for f in self.schema.fields if f.name != "text"]
-        kinds = StructType([*fields, StructField(_NO_TEXT, BooleanType())])
-        wide = rows.select("text", F.from_json("carried", kinds).alias("_c"))
-        text = F.when(~F.col(f"_c.{_NO_TEXT}") | (F.col("text") != ""), F.col("text")).alias("text")
-        return wide.select(*(text if c == "text" else F.col(f"_c.`{c}`").alias(c) for c in self.schema.names))
-
     def drop(self) -> None:
         """Forget the table's name; its files go with the scope that made it."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-_SENT = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("block", pa.int64()), ("blob", pa.binary())])
+_BACK = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("block", pa.int64()), ("blob", pa.binary())])
+_SENT = _BACK.append(pa.field("extra", pa.binary()))
 
 
 def range_starts(n: int) -> np.ndarray:

@@ -1,16 +1,19 @@
 """Jaccard join of word shingles by an R-tree over count vectors.
 
-A document's shingles are hashed into ``GROUPS`` groups; the counts of the groups are a point.  Two
+A document's shingles are hashed into groups, the more the larger the set; the counts of the groups are a point.  Two
 documents cannot share more shingles than the sum over groups of the smaller count, and two nodes of the
 tree hold no link if the sum of the smaller maxima is too small.  Pairs of points that pass
-are verified on the whole sets.
+are verified on the whole sets.  With more groups than shingles the bound is nearly the overlap itself, so what passes grows with the
+pairs that are nearly alike, not with those that share a passage.
 
 The space is cut so that no tree holds the corpus: in one order of all shingles (rare first) linked
 documents share one among the first ``n - ceil(t n) + 1`` of each, so a tree is built for every
 such shingle that several documents have.  Shingle frequencies come from all documents.  Three steps keep large groups of
 copies linear: equal sets are one point; every point is first verified against the smallest
 document of its shingles' cells; and cells whose points are then in one component are done.  Trees
-skip pairs within a component.  Cells are split by size class, as linked sizes differ by ``t`` at most.
+skip pairs within a component.  Cells are split by size class, as linked sizes differ by ``t`` at most; a
+pair comes from the first cell that both points are in only; and the points of a large cell are dealt to parts that are
+joined two by two, so that no task holds a cell.
 """
 
 from __future__ import annotations
@@ -24,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Block, BlockTable
+from .blocks import PLACE_BITS, Block, BlockTable
 from .common import scratch_tables, stored
 from .components import components
-from .words import NOT_SPACE, Words, distinct_index, shingles
+from .words import NOT_SPACE, Words, distinct_index, mix, shingles
 
-GROUPS = 128
+GROUPS = (128, 4096)  # of the smallest and the largest sets
 FANOUT = 16
+PART_POINTS = 4096  # of a cell in one part
 FREQUENCIES = 0
 
 
@@ -48,34 +52,58 @@ class Sets:
         self.sizes = np.bincount(self.text, minlength=len(block))
         short = self.hash >> np.uint64(64 - name_bits) << np.uint64(64 - name_bits)
         self.names, _, self.which = distinct_index(short)
-        self.local = np.bincount(self.which, minlength=len(self.names))
+        self.local = np.log2(np.bincount(self.which, minlength=len(self.names))).astype(np.uint8)  # documents, as a power of two
 
 
-def frequency(_: int, names: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-    """0 for a name of one block, else 1 + log2 of the number of blocks."""
+def frequency(_: int, names: np.ndarray, blocks: np.ndarray, local: np.ndarray) -> np.ndarray:
+    """0 for a name of one document, else 1 + log2 of the number of documents (each block's number as a power of two)."""
     order = np.argsort(names)
     s = names[order]
     begin = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
     count = np.diff(np.append(begin, len(s)))
+    documents = np.add.reduceat(np.left_shift(np.int64(1), local[order].astype(np.int64)), begin)
     out = np.empty(len(names), np.uint8)
-    out[order] = np.repeat(np.where(count > 1, 1 + np.log2(count), 0).astype(np.uint8), count)
+    out[order] = np.repeat(np.where(documents > 1, 1 + np.log2(documents), 0).astype(np.uint8), count)
     return out
 
 
-ROW_BITS = 22  # a row id is the block's id and the place in the block
+ROW_BITS = PLACE_BITS  # a row id is the block's id and the place in the block
+
+
+def groups_of(size: int) -> int:
+    """Groups for sets of a size: a power of two, so that a point folds to fewer groups."""
+    return min(max(1 << max(size - 1, 1).bit_length() + 1, GROUPS[0]), GROUPS[1])
+
+
+def point_of(shingles: np.ndarray) -> bytes:
+    """Counts of the groups, in one byte each, or in four where one has more than 255."""
+    n = groups_of(len(shingles))
+    counts = np.bincount((shingles >> np.uint64(7)) & np.uint64(n - 1), minlength=n)
+    return counts.astype(np.uint8 if counts.max() < 256 else "<u4").tobytes()
+
+
+def folded(points: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Points of several numbers of groups in the least of them; the type holds all counts."""
+    groups = [groups_of(n) for n in sizes.tolist()]
+    least = min(groups)
+    out = np.empty((len(points), least), np.uint32)
+    for i, (p, n) in enumerate(zip(points, groups)):
+        out[i] = np.frombuffer(p, np.uint8 if len(p) == n else "<u4").reshape(-1, least).sum(axis=0, dtype=np.uint32)
+    high = int(out.max(initial=0))
+    return out.astype(np.uint8 if high < 256 else np.uint16 if high < 65536 else np.uint32)
 
 
 def profiles(table: BlockTable, k: int, num: int, den: int) -> DataFrame:
     """``rid, doc_id, n`` of every document, and for those that may link also digest, set, prefix and point."""
-    bits = min(64, max(24, math.ceil(math.log2(max(table.n_bytes(), 2))) + 6))
+    bits = min(64, max(24, math.ceil(math.log2(max(table.n_bytes, 2))) + 6))
 
-    def send(block: Block, _: dict) -> dict[int, np.ndarray]:
-        return {FREQUENCIES: Sets(block, k, bits).names}
+    def send(block: Block, _: dict) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        s = Sets(block, k, bits)
+        return {FREQUENCIES: (s.names, s.local)}
 
     def profile(block_id: int, block: Block, answers: dict) -> pa.RecordBatch:
         s = Sets(block, k, bits)
-        said = answers.get(FREQUENCIES, np.zeros(len(s.names), np.uint8)).astype(np.int64)
-        rank = np.where(said > 0, said, np.where(s.local > 1, 1 + np.log2(s.local), 0).astype(np.int64))[s.which]
+        rank = answers.get(FREQUENCIES, np.zeros(len(s.names), np.uint8)).astype(np.int64)[s.which]
         alone = np.bincount(s.text, rank == 0, len(block)).astype(np.int64)
         need = s.sizes - (num * s.sizes + den - 1) // den + 1  # length of the prefix
         n = len(block)
@@ -88,7 +116,7 @@ def profiles(table: BlockTable, k: int, num: int, den: int) -> DataFrame:
             digest[i] = hashlib.blake2b(whole[i], digest_size=16).digest()
             order = np.lexsort((h, r))[alone[i]:need[i]]
             prefix[i] = h[order].view(np.int64)
-            point[i] = np.bincount((h >> np.uint64(7)) % np.uint64(GROUPS), minlength=GROUPS).astype("<u4").tobytes()
+            point[i] = point_of(h)
         return pa.RecordBatch.from_pydict({"rid": (block_id << ROW_BITS) + np.arange(n), "doc_id": block.doc_ids, "n": s.sizes,
                                            "digest": digest, "shingles": whole, "prefix": prefix, "point": point}, schema=_PROFILE)
 
@@ -171,20 +199,59 @@ class RTree:
 
 def _tree_join(num: int, den: int):
     def join(group: pa.Table) -> pa.Table:
-        rid, home = group["rid"].to_numpy(), group["home"].to_numpy(zero_copy_only=False)
-        points = np.frombuffer(b"".join(p.as_py() for p in group["point"]), "<u4").reshape(-1, GROUPS)
+        rid, home, part = (group[c].to_numpy(zero_copy_only=False) for c in ("rid", "home", "part"))
+        sizes = group["n"].to_numpy()
+        one_part = group["low"][0].as_py() == group["high"][0].as_py()
+        cells = [np.frombuffer(c.as_py(), np.int64) for c in group["earlier"]]
+        sets: dict[int, frozenset] = {}
+
+        def earlier(i: int) -> frozenset:
+            if i not in sets:
+                sets[i] = frozenset(cells[i].tolist())
+            return sets[i]
+
         _, comps = np.unique(group["comp"].to_numpy(), return_inverse=True)
+        points = folded([p.as_py() for p in group["point"]], sizes)
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for found in RTree(points, group["n"].to_numpy(), comps).pairs(num, den):
+        for found in RTree(points, sizes, comps).pairs(num, den):
             x, y = found[:, 0], found[:, 1]
             some = home[x] | home[y]  # two guests meet at home
-            a.append(np.minimum(rid[x], rid[y])[some])
-            b.append(np.maximum(rid[x], rid[y])[some])
+            if not one_part:
+                some &= part[x] != part[y]  # two of one part meet there
+            x, y = x[some], y[some]
+            first = np.array([earlier(i).isdisjoint(earlier(j)) for i, j in zip(x.tolist(), y.tolist())], bool)
+            a.append(np.minimum(rid[x], rid[y])[first])
+            b.append(np.maximum(rid[x], rid[y])[first])
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     return join
 
 
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row of a point for each of its cells and each part that its own part meets there, with the cells before it."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            tokens = np.unique(np.array([c["token"] for c in row["cells"]], np.int64))
+            out: dict[str, list] = {name: [] for name in _DEALT.names}
+            for c in row["cells"]:
+                part = int(mix(np.array([row["rid"]], np.uint64))[0] % np.uint64(c["parts"]))
+                for other in range(c["parts"]):
+                    for name in ("token", "class", "home"):
+                        out[name].append(c[name])
+                    for name in ("rid", "n", "comp", "point"):
+                        out[name].append(row[name])
+                    out["part"].append(part)
+                    out["low"].append(min(part, other))
+                    out["high"].append(max(part, other))
+                    out["earlier"].append(tokens[:np.searchsorted(tokens, c["token"])].tobytes())
+            yield pa.RecordBatch.from_pydict(out, schema=_DEALT)
+
+
+_DEALT = pa.schema([("token", pa.int64()), ("class", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("part", pa.int64()),
+                    ("home", pa.bool_()), ("rid", pa.int64()), ("n", pa.int64()), ("comp", pa.int64()), ("point", pa.binary()),
+                    ("earlier", pa.binary())])
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document.
 
@@ -214,17 +281,17 @@ def representatives(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
         kept = every.groupBy("root").agg(first.alias("m")).select("m.rid")
         place = kept.select(F.shiftright("rid", ROW_BITS).alias("block"), (F.col("rid") % (1 << ROW_BITS)).alias("i"))
         answers = stored(place.groupBy("block").agg(F.collect_list("i").alias("answers")), "jaccard-kept")
-        schema = pa.schema([("text", pa.string()), ("carried", pa.string())])
+        names = docs.columns
 
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for payload, places in zip(batch["payload"], batch["answers"]):
                     block, some = Block(payload.as_py()), sorted(places.as_py() or [])
                     texts = [block.buf[block.starts[i]:block.ends[i]].tobytes().decode() for i in some]
-                    yield pa.RecordBatch.from_pydict({"text": texts, "carried": [block.carried[i] for i in some]}, schema=schema)
+                    yield block.rows(names, texts, some)
 
-        rows = table.rows.join(answers, "block").select("payload", "answers").mapInArrow(keep, "text string, carried string")
-        out = table.restored(stored(rows, "jaccard-documents", keep=True))
+        rows = table.rows.join(answers, "block").select("payload", "answers").mapInArrow(keep, docs.schema)
+        out = stored(rows, "jaccard-documents", keep=True)
         table.drop()
     return out
 
@@ -252,14 +319,21 @@ def rooted(table: BlockTable, k: int, num: int, den: int) -> DataFrame:
     postings = postings.join(roots.withColumnRenamed("node", "rid"), "rid", "left").withColumn("comp", F.coalesce("root", "rid"))
     open_cells = stored(postings.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
                         .where("x < y").select("token"), "jaccard-cells")
-    left = postings.join(open_cells, "token").select("token", "rid", "n", "comp")
-    left = left.join(may.select("rid", "point"), "rid")
     size_class = F.floor(F.log("n") / math.log(den / num) + 1e-9) if num < den else F.col("n")
-    homes = left.withColumn("class", size_class)
-    guests = F.explode(F.array(F.struct(F.col("class").alias("class"), F.lit(True).alias("home")),
-                               F.struct((F.col("class") + 1).alias("class"), F.lit(False).alias("home"))))
-    dealt = homes.select("token", "rid", "n", "comp", "point", guests.alias("g")).select("token", "rid", "n", "comp", "point", "g.*")
-    pairs = stored(dealt.groupBy("token", "class").applyInArrow(_tree_join(num, den), "a long, b long").distinct(), "jaccard-pairs")
+    guests = F.explode(F.array(F.struct(size_class.alias("class"), F.lit(True).alias("home")),
+                               F.struct((size_class + 1).alias("class"), F.lit(False).alias("home"))))
+    left = stored(postings.join(open_cells, "token").select("token", "rid", "n", "comp", guests.alias("g"))
+                  .select("token", "rid", "n", "comp", F.col("g.class").cast("long").alias("class"), "g.home"), "jaccard-left")
+    # a cell without two components or without a home has no pairs
+    cells = left.groupBy("token", "class").agg(F.count("*").alias("m"), F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                               F.max("home").alias("h")).where("x < y and h")
+    cells = cells.select("token", "class", F.ceil(F.col("m") / PART_POINTS).alias("parts"))
+    by_point = (left.join(cells, ["token", "class"]).groupBy("rid")  # the cells of one prefix
+                .agg(F.first("n").alias("n"), F.first("comp").alias("comp"),
+                     F.collect_list(F.struct("token", "class", "home", "parts")).alias("cells")).join(may.select("rid", "point"), "rid"))
+    dealt = by_point.mapInArrow(_dealt, "token long, class long, low long, high long, part long, home boolean, rid long, n long, "
+                                "comp long, point binary, earlier binary")
+    pairs = stored(dealt.groupBy("token", "class", "low", "high").applyInArrow(_tree_join(num, den), "a long, b long"), "jaccard-pairs")
     more = stored(verified(pairs, may, num, den), "jaccard-more")
     roots = components(links.unionByName(more), "jaccard-all")
 

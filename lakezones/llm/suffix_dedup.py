@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .blocks import Block, BlockTable
 from .common import scratch_tables, stored
@@ -132,7 +133,7 @@ def grouped(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return s[begin], which, np.minimum.reduceat(owner, begin), np.maximum.reduceat(owner, begin)
 
 
-def answer(kind: int, names: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+def answer(kind: int, names: np.ndarray, blocks: np.ndarray, _: np.ndarray | None = None) -> np.ndarray:
     """Tuples: do two blocks have it? Chunks and strings: does an earlier block have it?"""
     order = np.argsort(names)
     s = names[order]
@@ -212,26 +213,25 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Bytes of a code point that was cut in two go as well; ``n_chars``, if there, is counted anew.
     """
-    schema = pa.schema([("text", pa.string()), ("carried", pa.string())])
+    names = docs.columns
 
     def result(block: Block, gone: np.ndarray) -> pa.RecordBatch:
         texts = [block.buf[a:b][~gone[a:b]].tobytes().decode(errors="ignore")
                  for a, b in zip(block.starts.tolist(), block.ends.tolist())]
-        return pa.RecordBatch.from_pydict({"text": texts, "carried": block.carried}, schema=schema)
+        return block.rows(names, texts)
 
     with scratch_tables(docs.sparkSession):
-        done, table = _judged(docs, length, True, result, "text string, carried string")
-        out = table.restored(done)
+        out, table = _judged(docs, length, True, result, docs.schema)
         table.drop()
     return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
 
 
 def _judged(docs: DataFrame, length: int, carry: bool, result: Callable[[Block, np.ndarray], pa.RecordBatch],
-            schema: str) -> tuple[DataFrame, BlockTable]:
+            schema: str | StructType) -> tuple[DataFrame, BlockTable]:
     if length <= PERIOD:
         raise ValueError(f"length must be over {PERIOD}")
     table = BlockTable(docs, "suffix", ordered=True, carry=carry)
-    bits = min(64, max(32, math.ceil(math.log2(max(table.n_bytes(), 2))) + 8))  # false repeats stay below 1 in 1,000
+    bits = min(64, max(32, math.ceil(math.log2(max(table.n_bytes, 2))) + 8))  # false repeats stay below 1 in 1,000
 
     def send_names(block: Block, _: dict) -> dict[int, np.ndarray]:
         p = Positions(block, length, bits)

@@ -9,7 +9,7 @@ import pytest
 from conftest import SF_SMALL
 from lakezones.llm import queries as q
 from lakezones.llm.components import components
-from lakezones.llm.jaccard import RTree, jaccard_components
+from lakezones.llm.jaccard import RTree, _tree_join, folded, groups_of, jaccard_components, point_of, representatives
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -51,7 +51,9 @@ def test_op8(spark):
 
 
 @pytest.mark.parametrize("k,num,den", [(5, 80, 100), (2, 60, 100), (1, 50, 100), (3, 100, 100)])
-def test_chains_of_edits(spark, k, num, den):
+@pytest.mark.parametrize("part_points", [3, 4096])
+def test_chains_of_edits(spark, k, num, den, part_points, monkeypatch):
+    monkeypatch.setattr("lakezones.llm.jaccard.PART_POINTS", part_points)
     rng = random.Random(k * num)
     vocabulary = [f"w{i}" for i in range(300)]
     docs = []
@@ -98,3 +100,58 @@ def test_odd_rows(spark):
     assert rows_of(jaccard_components(docs, 4, 85, 100)) == brute([r[:2] for r in rows], 4, 85, 100)
     assert jaccard_components(docs.where("false")).collect() == []
     assert rows_of(jaccard_components(docs.where("text is null"))) == [(2, 0, 2)]
+
+
+def test_points_bound_the_overlap():
+    rng = np.random.default_rng(3)
+    sets = [rng.choice(2**62, n, replace=False).astype(np.uint64) for n in (1, 40, 70, 900, 1100, 5000)]
+    sets += [np.concatenate([sets[3][:800], sets[4][:200]]), (np.arange(2000, dtype=np.uint64) << np.uint64(40))]
+    assert len(point_of(sets[-1])) == 4 * groups_of(2000)  # one group has all
+    sizes = np.array([len(s) for s in sets])
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            x, y = folded([point_of(a), point_of(b)], sizes[[i, j]])
+            assert x.sum() == len(a) and y.sum() == len(b)
+            assert np.minimum(x, y).sum(dtype=np.int64) >= len(np.intersect1d(a, b))
+
+
+def test_a_pair_comes_from_one_cell_and_parts_meet_once():
+    import pyarrow as pa
+
+    shingles = np.arange(100, dtype=np.uint64) << np.uint64(7)
+    cells = {1: [5, 7, 9], 2: [6, 7, 9], 3: [5, 9]}
+    found = []
+    for parts in (1, 2):
+        for token in (5, 6, 7, 9):
+            for low in range(parts):
+                for high in range(low, parts):
+                    rows = [r for r in cells if token in cells[r] and r % parts in (low, high)]
+                    if not rows:
+                        continue
+                    group = pa.table({"rid": rows, "home": [True] * len(rows), "part": [r % parts for r in rows], "n": [100] * len(rows),
+                                      "low": [low] * len(rows), "high": [high] * len(rows), "comp": rows,
+                                      "point": [point_of(shingles)] * len(rows),
+                                      "earlier": [np.array([t for t in cells[r] if t < token], np.int64).tobytes() for r in rows]})
+                    out = _tree_join(85, 100)(group)
+                    found += [(parts, token, a, b) for a, b in zip(out["a"].to_pylist(), out["b"].to_pylist())]
+    assert sorted(found) == [(1, 5, 1, 3), (1, 7, 1, 2), (1, 9, 2, 3), (2, 5, 1, 3), (2, 7, 1, 2), (2, 9, 2, 3)]
+
+
+def test_representatives_keep_every_column_as_it_is(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    schema = ("doc_id long, text string, _no_text int, n_chars int, at timestamp, local timestamp_ntz, price decimal(20,4), raw binary, "
+              "tags array<string>, by map<string,int>, c0 struct<x:date,y:double>")
+    t = "one two three four five six seven eight nine ten eleven twelve"
+    when = dt.datetime(2024, 3, 8, 1, 2, 3, 123456)
+    rest = (1, 2, when, when, Decimal("1.2345"), bytearray(b"\x00\xff"), ["a", None], {"k": 1}, (dt.date(2024, 1, 1), 0.1))
+    rows = [(3, t, *rest), (2, t, *rest), (None, None, *([None] * 9)), (7, "", *rest)]
+    docs = spark.createDataFrame(rows, schema)
+    got = representatives(docs)
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, docs.where("doc_id is null or doc_id <> 3").collect()))
+    from lakezones.llm.suffix_dedup import without_repeats
+
+    same = without_repeats(docs.where("doc_id is null or doc_id <> 3").drop("n_chars"))
+    assert sorted(map(repr, same.collect())) == sorted(map(repr, docs.where("doc_id is null or doc_id <> 3").drop("n_chars").collect()))
