@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import scratch_path, shuffles_removed, stored
+from .common import frugal, give_back, scratch_path, shuffles_removed, stored
 from .words import Texts
 
 BLOCK_BYTES = 4 << 20  # of text in a block; a longer text is a block of its own
@@ -125,7 +125,7 @@ class BlockTable:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"lakezones_{label}_{uuid.uuid4().hex[:12]}".replace("-", "_")
         with shuffles_removed(spark):
-            (rows.mapInArrow(run, "block long, n_bytes long, payload binary").write.option("compression", "none")
+            (rows.mapInArrow(frugal(run), "block long, n_bytes long, payload binary").write.option("compression", "none")
              .option("path", scratch_path(spark, label)).bucketBy(buckets, "block").saveAsTable(self.name))
         self.rows = spark.table(self.name)
         self.n_bytes = self.rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
@@ -164,6 +164,8 @@ class BlockTable:
             said = answer(kind, np.concatenate(parts), np.repeat(place, sizes), np.concatenate(extra) if extra else None).astype(np.uint8)
             pack = zstandard.ZstdCompressor(level=1)
             blobs = [pack.compress(s.tobytes()) for s in np.split(said, np.cumsum(sizes)[:-1])]
+            del parts, extra, said
+            give_back()
             return pa.table({"kind": [kind] * len(ids), "range": [r] * len(ids), "block": ids, "blob": blobs}, schema=_BACK)
 
         sent = self.mapped(out, "kind int, range int, block long, blob binary, extra binary", *earlier)
@@ -190,7 +192,7 @@ class BlockTable:
                     answers = {k: np.concatenate(v) for k, v in said.items()}
                     yield fn(batch["block"][i].as_py(), Block(batch["payload"][i].as_py()), answers)
 
-        return rows.select("block", "payload", *names).mapInArrow(run, schema)
+        return rows.select("block", "payload", *names).mapInArrow(frugal(run), schema)
 
     def drop(self) -> None:
         """Forget the table's name; its files go with the scope that made it."""

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import kept_by_worker, slices
 
 SLICE_BYTES = 2 << 20
 CACHE_WORDS = 300_000  # about 60 MB a worker; then the cache starts anew
@@ -232,7 +232,7 @@ class Bpe:
         return self.token_bytes[np.repeat(self.token_starts[i], lengths) + within].tobytes().decode("utf-8", "replace")
 
 
-_MODELS: dict[str, Bpe] = {}
+_MODELS: dict[str, Bpe] = kept_by_worker("bpe")
 
 
 def bpe(path: str, cache_words: int = CACHE_WORDS) -> Bpe:

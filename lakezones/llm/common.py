@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -75,6 +76,43 @@ def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_CACHES: dict[str, dict] = {}  # what a worker keeps between tasks, by the module that keeps it
+
+
+def kept_by_worker(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker, or until a ``frugal`` task that does not use it."""
+    return _CACHES.setdefault(name, {})
+
+
+def drop_caches(uses: str) -> None:
+    for name, cache in _CACHES.items():
+        if name != uses:
+            cache.clear()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker serves the tasks of all stages in turn."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+           uses: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` as a good neighbour: caches other than the one it ``uses`` go before it begins, and what it freed is given back after."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches(uses)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of whole rows of about ``max_bytes`` of text each."""
     col = batch.column(batch.schema.get_field_index(column))
@@ -98,4 +136,4 @@ def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], list[bool]], m
             for part in slices(batch, "text", max_bytes):
                 yield part.filter(pa.array(keep(part), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)

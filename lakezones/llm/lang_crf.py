@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import filter_rows, slices
+from .common import filter_rows, frugal, slices
 from .words import LETTER, LOWER, Texts, Words, distinct_index, mix
 
 SAMPLE_DOCS = 400
@@ -32,6 +32,7 @@ SEQUENCE = 64  # words of a sequence: a sentence, or so many words of a longer o
 SWITCH_EVERY = 12  # words between switches in the spliced training sequences, on average
 ROUNDS = 60
 SLICE_BYTES = 1 << 20
+TRAIN_WORDS = 400_000
 UNKNOWN = "und"
 MIN_SCORE = 0.4  # a document of which no language has so great a share has no language
 
@@ -179,8 +180,8 @@ def training_sample(docs: DataFrame, sample_docs: int, sample_chars: int, max_la
             .orderBy("lang", "_r").select("lang", "text").collect()]
 
 
-def fit(sample: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 7) -> Model | None:
-    """Maximum likelihood with L2, full batches, Adam; deterministic."""
+def fit(sample: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 7, train_words: int = TRAIN_WORDS) -> Model | None:
+    """Maximum likelihood with L2, full batches, Adam; deterministic. At most ``train_words`` words of all languages a round."""
     labels = sorted({lang for lang, _ in sample})
     if not labels:
         return None
@@ -193,7 +194,7 @@ def fit(sample: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 7) -> M
     _, at, which = distinct_index(words.hash)
     feats = Features(texts, words.starts[at], words.ends[at])
     streams = [np.flatnonzero(truth == j) for j in range(k)]
-    total = min(sum(map(len, streams)), 400_000)
+    total = min(sum(map(len, streams)), train_words)
     seqs = max(1, total // SEQUENCE)
     used = np.zeros(k, np.int64)
     pick, label = np.empty((seqs, SEQUENCE), np.int64), np.empty((seqs, SEQUENCE), np.int64)
@@ -229,9 +230,10 @@ def fit(sample: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 7) -> M
 
 
 def fit_documents(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
-                  max_labels: int = MAX_LABELS) -> Model | None:
-    """Model of the labelled documents (columns doc_id, text, lang); None if nothing can be learned."""
-    return fit(training_sample(docs, sample_docs, sample_chars, max_labels))
+                  max_labels: int = MAX_LABELS, train_words: int = TRAIN_WORDS) -> Model | None:
+    """Model of the labelled documents (columns doc_id, text, lang); None if nothing can be learned.  ``train_words`` bounds
+    the words of all languages that a round learns from."""
+    return fit(training_sample(docs, sample_docs, sample_chars, max_labels), train_words=train_words)
 
 
 def predict(docs: DataFrame, model: Model | None, keep_words: bool = False) -> DataFrame:
@@ -256,7 +258,7 @@ def predict(docs: DataFrame, model: Model | None, keep_words: bool = False) -> D
                 yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     kind = ", words array<struct<from: bigint, to: bigint, lang: string>>" if keep_words else ""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, lang_pred string, score double{kind}")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(frugal(run), f"doc_id long, lang_pred string, score double{kind}")
 
 
 def _judge(crf: Model | None, column: pa.Array, keep_words: bool) -> tuple[list[str], np.ndarray, list[list]]:

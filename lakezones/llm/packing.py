@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import frugal, slices, stored
 from .tokens import CACHE_PARTS, encoder
 
 CAPACITY = 1024
@@ -63,7 +63,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
 
     text = F.coalesce("text", F.lit("")).alias("text")
     return docs.select(F.col("doc_id").cast("long"), text).mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else ""))
+        frugal(run, "tokens"), "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else ""))
 
 
 def fullest(counts: dict[int, int], room: int) -> list[tuple[int, int]]:

@@ -16,6 +16,8 @@ import unicodedata
 from array import array
 from itertools import chain
 
+from .common import kept_by_worker
+
 CACHE_PARTS = 400_000  # about 90 MB a worker; then the cache starts anew
 
 _ODD = ("\n\n", " \n", "\n ", "  ", "\t", "\r", "\v", "\f", "\0")
@@ -25,7 +27,7 @@ _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"  # letters
 _WORD = re.compile(f"[{_LATIN}]+")
 _MARKS = re.compile(rf"([.,;:!?](?<=[0-9{_LATIN}].)[.,;:!?]*)(?=[ \n])")  # marks that close a word
 _LINE = re.compile(r"(?<=\S)\n(?=\S)")
-_ENCODERS: dict[tuple[str, bool, bool], "Encoder"] = {}
+_ENCODERS: dict[tuple[str, bool, bool], "Encoder"] = kept_by_worker("tokens")
 
 
 def _byte_letters() -> dict[int, str]:
