@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import PLACE_BITS, Block, BlockTable
+from .blocks import BLOCK_BYTES, PLACE_BITS, Block, BlockTable
 from .common import scratch_tables, stored
 from .components import components
 from .words import NOT_SPACE, Words, distinct_index, mix, shingles
@@ -269,13 +269,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     return every.join(smallest, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
-def representatives(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def representatives(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row of each component with all its columns: that of the smallest doc_id (null last).
 
-    Rows come back from their blocks, so the texts are not shuffled.
+    Rows come back from their blocks, so the texts are not shuffled.  ``block_bytes`` of text are in work in a task at a time.
     """
     with scratch_tables(docs.sparkSession):
-        table = BlockTable(docs, "jaccard", ordered=False, carry=True)
+        table = BlockTable(docs, "jaccard", ordered=False, carry=True, block_bytes=block_bytes)
         every = rooted(table, k, num, den)
         first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "rid"))
         kept = every.groupBy("root").agg(first.alias("m")).select("m.rid")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .blocks import Block, BlockTable
+from .blocks import BLOCK_BYTES, Block, BlockTable
 from .common import scratch_tables, stored
 from .words import distinct, mix
 
@@ -208,10 +208,11 @@ def removal(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return done
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents with what ``removal`` removes cut from their texts; all rows and columns stay.
 
     Bytes of a code point that was cut in two go as well; ``n_chars``, if there, is counted anew.
+    ``block_bytes`` of text are in work in a task at a time.
     """
     names = docs.columns
 
@@ -221,16 +222,16 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return block.rows(names, texts)
 
     with scratch_tables(docs.sparkSession):
-        out, table = _judged(docs, length, True, result, docs.schema)
+        out, table = _judged(docs, length, True, result, docs.schema, block_bytes)
         table.drop()
     return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
 
 
 def _judged(docs: DataFrame, length: int, carry: bool, result: Callable[[Block, np.ndarray], pa.RecordBatch],
-            schema: str | StructType) -> tuple[DataFrame, BlockTable]:
+            schema: str | StructType, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, BlockTable]:
     if length <= PERIOD:
         raise ValueError(f"length must be over {PERIOD}")
-    table = BlockTable(docs, "suffix", ordered=True, carry=carry)
+    table = BlockTable(docs, "suffix", ordered=True, carry=carry, block_bytes=block_bytes)
     bits = min(64, max(32, math.ceil(math.log2(max(table.n_bytes, 2))) + 8))  # false repeats stay below 1 in 1,000
 
     def send_names(block: Block, _: dict) -> dict[int, np.ndarray]:
