@@ -16,6 +16,7 @@ from lakezones.llm.packing import pack_documents
 from lakezones.llm.queries import tokenizer_path
 from lakezones.llm.suffix_dedup import without_repeats
 
+BLOCK_BYTES = 2 << 20  # of text in work in a task; executors also hold what the JVM grew to in earlier stages
 WORD_CACHE = 150_000  # parts; workers serve all stages in turn, and what one keeps the next cannot use
 
 
@@ -26,12 +27,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component at 80 % of 5-word shingles stays."""
-    return representatives(docs, k=5, num=80, den=100)
+    return representatives(docs, k=5, num=80, den=100, block_bytes=BLOCK_BYTES)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes that 50-byte strings of smaller documents cover are cut; no document goes."""
-    return without_repeats(docs)
+    return without_repeats(docs, block_bytes=BLOCK_BYTES)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
