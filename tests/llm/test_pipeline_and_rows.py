@@ -107,7 +107,8 @@ def test_license_odd_rows(spark):
             (None, "All rights reserved!", 1), (4, "all rights are reserved " * 5000, 1),
             (5, "line\n\n" + TEMPLATES["gpl-3.0-header"].replace(", ", ",\n") + "\n\nend", 1)]
     found = {(r.doc_id, r.license) for r in license_matches(spark.createDataFrame(rows, "doc_id long, text string, license int")).collect()}
-    assert found == {(1, "mit-text"), (None, "all-rights-reserved"), (5, "gpl-3.0-header")}
+    # "Released under the MIT" is a window of permitted size: 6 of 7
+    assert found == {(1, "mit-text"), (1, "mit"), (None, "all-rights-reserved"), (5, "gpl-3.0-header")}
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert license_matches(empty).collect() == [] and license_matches(empty, {}).collect() == []
 
