@@ -106,10 +106,11 @@ class JdbcSource(TableSource):
     partition_column: str | None = None
     num_partitions: int | None = None
     stable: bool = False
+    even: bool = False  # ranges of as many rows, also of a text key
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.connection, self.dbtable, partition_column=self.partition_column,
-                          num_partitions=self.num_partitions)
+                          num_partitions=self.num_partitions, even=self.even)
 
     def count(self, spark: SparkSession, df: DataFrame) -> int:
         return count_rows(spark, self.connection, self.dbtable)
