@@ -13,6 +13,7 @@ from lakezones.llm import queries as q
 from lakezones.llm.chat_format import END, START, Spans, escape, format_turns, marked_turns, read_back, unescape
 from lakezones.llm.licenses import TEMPLATES, license_matches
 from lakezones.llm.lang_crf import fit, in_language, posteriors, predict
+from lakezones.llm import url_filter
 from lakezones.llm.url_filter import url_verdicts
 from test_suffix_dedup import brute as brute_removal
 from test_jaccard import brute as brute_components
@@ -131,6 +132,29 @@ def test_url_odd_rows(spark, max_bits):
     assert {r.verdict for r in url_verdicts(pages, rules.where("false"), hosts.where("false")).collect()} == {"allow"}
 
 
+def test_url_long_lists_in_shards_and_passes(spark, monkeypatch):
+    rng = random.Random(9)
+    hosts = [f"h{rng.randrange(10**9)}.{rng.choice(['net', 'org', 'com'])}" for _ in range(2500)]
+    blocked, paths = set(rng.sample(hosts, 900)), ["/", "/en/x", "/fr/", ""]
+    ruled = {h + p: a for h in rng.sample(hosts, 500) for p, a in [("/", "block"), ("/en/", "allow")]}
+    pages = [(i, "https://" + rng.choice(["", "www."]) + rng.choice(hosts) + rng.choice(paths)) for i in range(4000)]
+    rules = spark.createDataFrame([(k[:k.index("/")], k[k.index("/"):], a) for k, a in ruled.items()], "host string, path string, action string")
+    listed = spark.createDataFrame([(h,) for h in blocked] * 2, "host string")
+    passes, dealt = [], url_filter.waves
+    monkeypatch.setattr(url_filter, "waves", lambda *a: passes.extend(dealt(*a)) or passes)
+    got = url_filter.url_verdicts(spark.createDataFrame(pages, "page_id long, url string"), rules, listed, 1, 1 << 12).collect()
+    want = set()
+    for i, url in pages:
+        host, slash, path = url[8:].partition("/")
+        path = slash + path
+        fits = [k for h in (host, host[4:] if host.startswith("www.") else host) for p in ("/", "/en/") if path.startswith(p) and (k := h + p) in ruled]
+        rule = max(fits, key=lambda k: (len(k), k), default=None)
+        want.add((i, host, path, rule, ruled[rule] if rule else "block" if host in blocked else "allow"))
+    assert {tuple(r) for r in got} == want and len(got) == len(pages)
+    dealt = [c for wave in passes for c, _, _ in wave]
+    assert len(passes) > 3 and max(c.shards for c in dealt) > 1 and all(c.shard_words * 64 <= 1 << 12 for c in dealt)
+
+
 def test_lcs_bits():
     rng = random.Random(3)
     for _ in range(200):
