@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF_SMALL
@@ -60,12 +61,16 @@ def test_chat_odd_rows(spark):
     assert read_back(format_turns(turns.where("false"))).collect() == []
 
 
-def test_op3_accuracy_and_rules(spark, docs):
+def test_op3_accuracy_and_rules(spark, docs, tmp_path):
     rows = q.op3_language_id(spark, SF_SMALL).collect()
     truth = {r.doc_id: r.lang for r in docs.collect()}
     held = [r for r in rows if r.held_out]
     assert len(rows) == len(truth) and held and all(0 <= r.score <= 1 for r in rows)
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.95
+    # neither the languages of held-out documents nor any source has a part in a prediction
+    other = docs.withColumn("lang", F.when(q.held_out(), F.lit("xx")).otherwise(F.col("lang"))).withColumn("source", F.reverse("source"))
+    other.write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(map(tuple, q.op3_language_id(spark, str(tmp_path)).collect())) == sorted(map(tuple, rows))
 
 
 def test_forward_backward_by_enumeration():
