@@ -2,10 +2,10 @@
 
 1. Statistics.  Document frequencies of all words over all documents.  Words of the benchmark
    have their own columns, all others share ``SHARED`` hashed ones.
-2. Latent space.  A randomised SVD of the TF-IDF matrix of passages, run by Spark: a random range, one power
-   iteration and the projected Gram matrix are sums of per-task products; the driver sees
-   matrices of vocabulary x rank only.  Its rows are the benchmark's passages, with weight ``BENCHMARK_WEIGHT``,
-   and ``SAMPLE_PASSAGES`` passages of a bounded sample of documents (those with the least hash).
+2. Latent space.  A randomised SVD of the TF-IDF matrix of passages, run by Spark in one pass: the Gram matrix times a random
+   range is a sum of per-task products, and the range and its image give the singular vectors (Nystroem); the driver
+   sees matrices of the benchmark's words x rank only.  Its rows are all passages of all documents, which together weigh as
+   ``CORPUS_PASSAGES`` at most, and the benchmark's passages, with weight ``BENCHMARK_WEIGHT``; its columns are the words that project.
 3. Search.  Every window of every whole document is projected by its benchmark words and compared by cosine with
    the benchmark passages of its length class.  What the space does not hold of a window counts in its length, so a
    window that shares a few common words is far from every item.  The benchmark is the query set; it goes out in
@@ -27,28 +27,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filter_rows, frugal, scratch_tables, slices, stored
+from .common import filter_rows, frugal, slices
 from .words import ALNUM, Texts, Words, distinct
 
 SHARED = 1 << 15
 RANK = 112
 OVERSAMPLE = 10
 BENCHMARK_WEIGHT = 20.0
-SAMPLE_DOCS = 4000
-SAMPLE_PASSAGES = 8  # of a sampled document
+CORPUS_PASSAGES = 32_000  # weight of all documents' passages together, if there are more
 PASSAGE = 32
 STEP = 8  # words of a block; windows are 2, 4 or 8 blocks
 CLASSES = ((16, 20), (32, 44), (64, 1 << 60))  # window, longest query passage
 LONGEST = 64  # words of a query passage; longer items have several
 COSINE = 0.5  # of window and item, estimated: the item's share outside the space is made up for
 RARE = 1.5  # idf of the words by which windows are projected: those of at most about a quarter of the documents
+BUCKET_BITS = 17  # of a hash, by which known words are looked up
 SIGN_SHARE = 0.15  # of an item's words, that a stretch must hold among the item's least frequent ones
 HITS = 1 << 21  # signature words of items counted at once
 LCS_SHARE = 0.7  # of the item's words, in order
 QUESTION_SHARE, ANSWER_SHARE = 0.6, 0.8  # or of question and answer each
 ITEM_BLOCK = 4096
 SLICE_BYTES = 1 << 20
-_CHUNK = 4096  # rows of a matrix in one shuffled piece
+_CHUNK = 64  # rows of a matrix in one shuffled piece; pieces of a chunk from all tasks are summed in one group
 
 
 @dataclass
@@ -57,10 +57,12 @@ class Item:
     words: np.ndarray  # hashes
     answer_from: int
     masks: dict[int, int] = field(default_factory=dict)
+    least: int = 0  # words of it that any window with a leak holds
 
     def __post_init__(self):
         for i, h in enumerate(self.words.tolist()):
             self.masks[h] = self.masks.get(h, 0) | 1 << i
+        self.least = least_words(self)
 
     def shares(self, window: list[int]) -> tuple[float, float, float]:
         """Longest common subsequence with the whole item, its question and its answer, as shares of their words."""
@@ -81,6 +83,8 @@ def lcs(bits: list[int], n: int) -> int:
 
 
 def leaks(item: Item, window: list[int]) -> tuple[bool, float, float]:
+    if sum(map(item.masks.__contains__, window)) < item.least:
+        return False, 0.0, 0.0
     whole, question, answer = item.shares(window)
     return whole >= LCS_SHARE or (question >= QUESTION_SHARE and answer >= ANSWER_SHARE), whole, answer
 
@@ -116,15 +120,28 @@ class Vocabulary:
     known: np.ndarray  # sorted hashes of the benchmark's words
     weight: np.ndarray | None = None  # idf of each column
 
+    def __post_init__(self):
+        """First of the known words of each bucket (the hash's first bits), and the most words of one."""
+        first = np.searchsorted(self.known, np.arange(1 << BUCKET_BITS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS))
+        self.bucket = first.astype(np.int32)
+        self.most = int(np.diff(first, append=len(self.known)).max())
+        self.padded = np.append(self.known, np.repeat(self.known[-1:], self.most))
+
     @property
     def size(self) -> int:
         return len(self.known) + SHARED
 
     def columns(self, h: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.known, h)
-        own = at < len(self.known)
-        own[own] = self.known[at[own]] == h[own]
-        return np.where(own, at, len(self.known) + (h >> np.uint64(49)).astype(np.int64) % SHARED)
+        at = self.bucket[h >> np.uint64(64 - BUCKET_BITS)]
+        out = len(self.known) + (h >> np.uint64(49)).astype(np.int64) % SHARED
+        for k in range(self.most - 1, -1, -1):  # a place beyond the known words gives way to the true one
+            own = np.flatnonzero(self.padded[at + k] == h)
+            out[own] = at[own] + k
+        return out
+
+    def rare(self) -> np.ndarray:
+        """Which of the benchmark's words project."""
+        return self.weight[:len(self.known)] >= RARE
 
 
 def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, int]:
@@ -136,7 +153,7 @@ def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.nd
         v = shared.value
         df, n = np.zeros(v.size, np.int64), 0
         for batch in batches:
-            for part in slices(batch, "text", 4 * SLICE_BYTES):
+            for part in slices(batch, "text", SLICE_BYTES):
                 texts = Texts(part["text"])
                 words = Words(texts, ALNUM)
                 pairs = distinct(words.text * v.size + v.columns(words.hash))
@@ -155,92 +172,95 @@ def document_frequencies(docs: DataFrame, vocabulary: Vocabulary) -> tuple[np.nd
     return df, total
 
 
-def passages(texts: Texts, vocabulary: Vocabulary, most: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Columns of the words of ``PASSAGE``-word passages, and where each passage begins; ``most`` evenly spaced ones a text."""
+def passages(texts: Texts, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Projecting words of all ``PASSAGE``-word passages: columns, weights and where each passage's begin; and the number of passages.
+
+    A passage's TF-IDF vector, of all its words, has length 1 (repeats taken as they come).
+    """
     words = Words(texts, ALNUM)
-    counts = words.counts(texts)
-    first, cols, begin, at = np.cumsum(counts) - counts, vocabulary.columns(words.hash), [], 0
-    out = []
-    for f, n in zip(first[counts > 0], counts[counts > 0]):
-        starts = np.arange(0, n, PASSAGE)
-        if most and len(starts) > most:
-            starts = starts[np.linspace(0, len(starts) - 1, most).astype(int)]
-        for s in starts:
-            part = cols[f + s:f + min(s + PASSAGE, n)]
-            out.append(part)
-            begin.append(at)
-            at += len(part)
-    return np.concatenate(out) if out else np.empty(0, np.int64), np.array(begin, np.int64)
-
-
-def _rows_of(cols: np.ndarray, begin: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Weight of every word so that each passage's TF-IDF vector has length 1 (repeats taken as they come)."""
-    w = weight[cols]
+    if not len(words.starts):
+        return np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.int64), 0
+    counts, cols = words.counts(texts), vocabulary.columns(words.hash)
+    first = np.cumsum(counts) - counts
+    new = (np.arange(len(cols)) - first[words.text]) % PASSAGE == 0
+    begin, w = np.flatnonzero(new), vocabulary.weight[cols]
     norm = np.sqrt(np.add.reduceat(w * w, begin))
-    return w / np.repeat(np.maximum(norm, 1e-9), np.diff(np.append(begin, len(cols))))
-
-
-def _gram_product(cols: np.ndarray, begin: np.ndarray, w: np.ndarray, m: np.ndarray, out: np.ndarray) -> np.ndarray:
-    """Adds A' (A m) to ``out`` and returns A m, by bands of passages."""
-    sizes = np.diff(np.append(begin, len(cols)))
-    done = []
-    for i in range(0, len(begin), 1024):
-        a, b = begin[i], begin[i + 1023] + sizes[i + 1023] if i + 1023 < len(begin) else len(cols)
-        c, x = cols[a:b], w[a:b, None]
-        z = np.add.reduceat(x * m[c], begin[i:i + 1024] - a, axis=0)
-        back = x * np.repeat(z, sizes[i:i + 1024], axis=0)
-        order = np.argsort(c, kind="stable")
-        s = c[order]
-        new = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-        out[s[new]] += np.add.reduceat(back[order], new, axis=0)
-        done.append(z)
-    return np.concatenate(done) if done else np.zeros((0, m.shape[1]), m.dtype)
-
-
-def _product(rows: DataFrame, vocabulary: Vocabulary, m: np.ndarray, gram: bool) -> np.ndarray:
-    """A' A m, or (A m)' (A m) if ``gram``, summed over Spark's tasks."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((vocabulary, m.astype(np.float32)))
-    shape = (m.shape[1] if gram else vocabulary.size, m.shape[1])
-    schema = pa.schema([("chunk", pa.int32()), ("data", pa.binary())])
+    own = np.flatnonzero(np.append(vocabulary.rare(), np.zeros(SHARED, bool))[cols])
+    passage = (np.cumsum(new) - 1)[own]
+    return (cols[own], (w[own] / np.maximum(norm, 1e-9)[passage]).astype(np.float32),
+            np.flatnonzero(np.diff(passage, prepend=-1)), len(begin))
+
+
+def _sums(rows: np.ndarray, at: np.ndarray, w: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Weighted sums of the ``rows`` at places ``at``, for each group; four places at a time, by bands."""
+    sizes = np.diff(begin, append=len(at))
+    fours = -(-sizes // 4)
+    ends = np.cumsum(fours)
+    to = np.arange(len(at)) + np.repeat(4 * (ends - fours) - begin, sizes)
+    places, weights = np.zeros(4 * ends[-1], np.int64), np.zeros(4 * ends[-1], np.float32)
+    places[to], weights[to] = at, w
+    out = np.empty((ends[-1], rows.shape[1]), np.float32)
+    for i in range(0, len(out), 512):
+        a, b = 4 * i, 4 * min(i + 512, len(out))
+        np.matmul(weights[a:b].reshape(-1, 1, 4), rows.take(places[a:b], axis=0).reshape(-1, 4, rows.shape[1]),
+                  out=out[i:i + 512].reshape(-1, 1, rows.shape[1]))
+    return np.add.reduceat(out, ends - fours, axis=0)
+
+
+def _gram_product(cols: np.ndarray, w: np.ndarray, begin: np.ndarray, m: np.ndarray, out: np.ndarray) -> None:
+    """Adds A' (A m) to ``out``."""
+    if not len(cols):
+        return
+    z = _sums(m, cols, w, begin)
+    passage = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(cols)))
+    order = np.argsort(cols, kind="stable")
+    s = cols[order]
+    new = np.flatnonzero(np.diff(s, prepend=-1))
+    out[s[new]] += _sums(z, passage[order], w[order], new)
+
+
+def _product(rows: DataFrame, vocabulary: Vocabulary, m: np.ndarray) -> tuple[np.ndarray, int]:
+    """A' A m of the rows' passages, and their number; summed over Spark's tasks."""
+    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, m.astype(np.float32)))
+    schema = pa.schema([("chunk", pa.int32()), ("n", pa.int64()), ("data", pa.binary())])
+    types = "chunk int, n long, data binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, mat = shared.value
-        total, work = np.zeros(shape, np.float32), np.zeros((v.size, mat.shape[1]), np.float32)
+        total, n = np.zeros(mat.shape, np.float32), 0
         for batch in batches:
-            for key in (True, False):  # the benchmark's rows count in full
-                mask = pa.array([x == key for x in batch["query"].to_pylist()], pa.bool_())
-                texts = Texts(batch["text"].filter(mask))
-                cols, begin = passages(texts, v, None if key else SAMPLE_PASSAGES)
-                if len(begin):
-                    w = _rows_of(cols, begin, v.weight).astype(np.float32) * np.float32(BENCHMARK_WEIGHT if key else 1)
-                    z = _gram_product(cols, begin, w, mat, work)
-                    if gram:
-                        total += z.T @ z
-        total = total if gram else work
+            for part in slices(batch, "text", SLICE_BYTES):
+                cols, w, begin, more = passages(Texts(part["text"]), v)
+                _gram_product(cols, w, begin, mat, total)
+                n += more
         for i in range(0, len(total), _CHUNK):
-            yield pa.RecordBatch.from_pydict({"chunk": [i], "data": [total[i:i + _CHUNK].tobytes()]}, schema=schema)
+            yield pa.RecordBatch.from_pydict({"chunk": [i], "n": [n], "data": [total[i:i + _CHUNK].tobytes()]}, schema=schema)
 
     def add(group: pa.Table) -> pa.Table:
         whole = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in group["data"])
-        return pa.table({"chunk": group["chunk"][:1], "data": pa.chunked_array([[whole.astype("<f4").tobytes()]], pa.binary())},
+        return pa.table({"chunk": group["chunk"][:1], "n": [sum(group["n"].to_pylist())], "data": [whole.astype("<f4").tobytes()]},
                         schema=schema)
 
-    sums = rows.mapInArrow(run, "chunk int, data binary").groupBy("chunk").applyInArrow(add, "chunk int, data binary")
-    out = np.zeros(shape)
-    for r in sums.collect():  # vocabulary x rank
-        part = np.frombuffer(r["data"], "<f4").reshape(-1, shape[1])
-        out[r["chunk"]:r["chunk"] + len(part)] = part
-    return out
+    sums = rows.select("text").mapInArrow(frugal(run), types).groupBy("chunk").applyInArrow(add, types)
+    out, n = np.zeros(m.shape), 0
+    for r in sums.collect():  # the benchmark's words x rank
+        part = np.frombuffer(r["data"], "<f4").reshape(-1, m.shape[1])
+        out[r["chunk"]:r["chunk"] + len(part)], n = part, r["n"]
+    return out, n
 
 
-def latent_space(rows: DataFrame, vocabulary: Vocabulary, rank: int = RANK, seed: int = 3) -> np.ndarray:
-    """Right singular vectors ``[vocabulary, rank]`` of the rows' passages (columns text, query) by a randomised SVD."""
-    m = np.random.default_rng(seed).standard_normal((vocabulary.size, rank + OVERSAMPLE))
-    for _ in range(2):
-        m, _ = np.linalg.qr(_product(rows, vocabulary, m, gram=False))
-    values, vectors = np.linalg.eigh(_product(rows, vocabulary, m, gram=True))
-    return (m @ vectors[:, np.argsort(values)[::-1][:rank]]).astype(np.float32)
+def latent_space(docs: DataFrame, bench: DataFrame, vocabulary: Vocabulary, rank: int = RANK, seed: int = 3) -> np.ndarray:
+    """Right singular vectors ``[benchmark's words, rank]`` of all passages by a randomised SVD; words that do not project are 0."""
+    m = np.random.default_rng(seed).standard_normal((len(vocabulary.known), rank + OVERSAMPLE)) * vocabulary.rare()[:, None]
+    m, _ = np.linalg.qr(m)
+    m = m.astype(np.float32).astype(np.float64)  # as the tasks have it
+    corpus, n = _product(docs, vocabulary, m)
+    image = corpus * min(1.0, CORPUS_PASSAGES / max(n, 1)) + BENCHMARK_WEIGHT ** 2 * _product(bench, vocabulary, m)[0]
+    core = m.T @ image
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    some = values > 1e-6 * max(values[-1], 1e-30)
+    left, _, _ = np.linalg.svd(image @ (vectors[:, some] / np.sqrt(values[some])), full_matrices=False)
+    return left[:, :rank].astype(np.float32) if some.any() else np.zeros((len(m), 1), np.float32)
 
 
 @dataclass
@@ -260,7 +280,7 @@ class Signatures:
     def of(cls, vocabulary: Vocabulary, items: list[Item], df: np.ndarray) -> "Signatures":
         cols, weight, least = [], [], []
         for item in items:
-            own, need = vocabulary.columns(item.words), least_words(item)
+            own, need = vocabulary.columns(item.words), item.least
             r = min(need, max(1, int(np.ceil(SIGN_SHARE * len(own)))))
             rarest = own[np.lexsort((own, df[own]))][:len(own) - need + r]  # copies of a word side by side
             c, n = np.unique(rarest, return_counts=True)
@@ -321,8 +341,8 @@ class Index:
 
     @classmethod
     def of(cls, vocabulary: Vocabulary, space: np.ndarray, items: list[Item], df: np.ndarray) -> "Index":
-        rare = (vocabulary.weight >= RARE) & (np.arange(vocabulary.size) < len(vocabulary.known))
-        terms = space * np.where(rare, vocabulary.weight, 0)[:, None].astype(np.float32)
+        rare = np.append(vocabulary.rare(), np.zeros(SHARED, bool))
+        terms = space * np.where(vocabulary.rare(), vocabulary.weight[:len(space)], 0)[:, None].astype(np.float32)
         found: list[tuple[list, list]] = [([], []) for _ in CLASSES]
         for i, item in enumerate(items):
             parts = max(1, -(-len(item.words) // (LONGEST * 5 // 4)))
@@ -333,7 +353,7 @@ class Index:
                 found[c][0].append(v * (whole / max(float(v @ v), 1e-9)))
                 found[c][1].append(i)
         queries = [(np.array(v, np.float32).reshape(-1, space.shape[1]), np.array(i, np.int64)) for v, i in found]
-        return cls(vocabulary, np.ascontiguousarray(terms[:len(vocabulary.known)]), rare, items, queries,
+        return cls(vocabulary, terms, rare, items, queries,
                    Signatures.of(vocabulary, items, df))
 
     def similarity(self, item: Item, window: np.ndarray) -> float:
@@ -360,7 +380,7 @@ class Index:
         for i in range(0, len(full), 4096):
             some = full[i:i + 4096]
             a, b = bounds[some[0]], bounds[full[i + 4096]] if i + 4096 < len(full) else len(own)
-            cur[some] = np.add.reduceat(self.terms[cols[own[a:b]]], bounds[some] - a, axis=0)
+            cur[some] = _sums(self.terms, cols[own[a:b]], np.ones(b - a, np.float32), bounds[some] - a)
         out, blocks = [], 1
         for (size, _), (vectors, items) in zip(CLASSES, self.queries):
             while blocks * STEP < size:  # windows of twice the blocks, cut at the text's end
@@ -395,14 +415,7 @@ class Index:
 def build_index(docs: DataFrame, items: list[Item], df: np.ndarray, n_docs: int, vocabulary: Vocabulary,
                 bench: DataFrame) -> Index:
     vocabulary = Vocabulary(vocabulary.known, np.log((1 + n_docs) / (1 + df)) + 0.1)
-    h = F.xxhash64("doc_id", "text")
-    share = min(1.0, 4.0 * SAMPLE_DOCS / max(n_docs, 1))
-    few = docs.where("text is not null").withColumn("_h", h).where(F.pmod("_h", F.lit(1 << 30)) < int(share * (1 << 30)))
-    few = few.orderBy("_h", "doc_id").limit(SAMPLE_DOCS).select("text", F.lit(False).alias("query"))
-    with scratch_tables(docs.sparkSession):
-        rows = stored(few.unionByName(bench.where("text is not null").select("text", F.lit(True).alias("query")))
-                      .repartition(8), "decontam-sample")
-        return Index.of(vocabulary, latent_space(rows, vocabulary), items, df)
+    return Index.of(vocabulary, latent_space(docs, bench, vocabulary), items, df)
 
 
 FOUND = "doc_id long, item_id long, cosine double, lcs_share double, answer_share double"

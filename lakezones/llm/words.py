@@ -7,7 +7,10 @@ import numpy as np
 _RNG = np.random.default_rng(20240229)
 _BYTES = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.cumprod(np.full(1 << 12, _BASE), dtype=np.uint64)
+_RUN = 1 << 16  # bytes that share a table of powers
+_POWERS = np.cumprod(np.append(np.uint64(1), np.full(_RUN - 1, _BASE)), dtype=np.uint64)
+_INVERSE = pow(int(_BASE), -1, 1 << 64)  # the base is odd
+_INVERSES = np.cumprod(np.append(np.uint64(1), np.full(_RUN - 1, _INVERSE, np.uint64)), dtype=np.uint64)
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -18,6 +21,7 @@ ALNUM = LETTER.copy()
 ALNUM[0x30:0x3A] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
+_LOWER_BYTES = _BYTES[LOWER]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -46,8 +50,21 @@ def distinct_index(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return s[new], order[new], which
 
 
-def _powers(n: int) -> np.ndarray:
-    return _POWERS if n <= len(_POWERS) else np.cumprod(np.full(n, _BASE), dtype=np.uint64)
+def _prefix_sums(buf: np.ndarray) -> np.ndarray:
+    """Sums of the bytes before each place, each byte weighted by the base to the power of its place."""
+    out = np.zeros(len(buf) + 1, np.uint64)
+    for run, a in enumerate(range(0, len(buf), _RUN)):
+        part = out[a + 1:a + 1 + _RUN]
+        np.multiply(_LOWER_BYTES[buf[a:a + _RUN]], _POWERS[:len(part)], out=part)
+        part *= np.uint64(pow(int(_BASE), run * _RUN, 1 << 64))
+    return np.cumsum(out, out=out)
+
+
+def _moved_to_one(sums: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``sums`` of runs as if each run began at power 1."""
+    runs = int(starts[-1]) // _RUN + 1
+    back = np.array([pow(_INVERSE, r * _RUN - 1, 1 << 64) for r in range(runs)], np.uint64)
+    return sums * _INVERSES[starts % _RUN] * back[starts // _RUN]
 
 
 class Texts:
@@ -82,15 +99,13 @@ class Words:
         last[e] = mask[e]
         self.starts = np.flatnonzero(first)
         self.ends = np.flatnonzero(last) + 1
-        self.text = np.searchsorted(texts.ends, self.starts, side="right")
+        bounds = np.searchsorted(self.starts, texts.ends)  # words before each text's end
+        self.text = np.repeat(np.arange(len(texts)), np.diff(bounds, prepend=0))
         self.hash = np.empty(0, np.uint64)
-        if n and len(self.starts):
-            lengths = self.ends - self.starts
-            place = np.arange(n, dtype=np.int64)
-            place[mask] -= np.repeat(self.starts, lengths)
-            place[~mask] = 0
-            values = np.where(mask, _BYTES[LOWER[texts.buf]], np.uint64(0)) * _powers(int(lengths.max()))[place]
-            self.hash = mix(np.add.reduceat(values, self.starts) + lengths.astype(np.uint64))
+        if len(self.starts):
+            sums = _prefix_sums(texts.buf)
+            found = _moved_to_one(sums[self.ends] - sums[self.starts], self.starts)
+            self.hash = mix(found + (self.ends - self.starts).astype(np.uint64))
 
     def counts(self, texts: Texts) -> np.ndarray:
         return np.bincount(self.text, minlength=len(texts))

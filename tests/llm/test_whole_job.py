@@ -96,3 +96,46 @@ def test_templates_see_every_turn_of_long_conversations(spark):
     for (role, text), p in zip(turns, pieces):
         assert p.piece[p.loss_from:p.loss_to] == (text if role == "assistant" else "")
         assert numbered(turns)[p.start:].startswith(p.piece)
+
+
+def test_latent_space_is_fitted_on_every_passage_of_every_document(spark):
+    import numpy as np
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(50)]
+    texts = [text_of(rng, rng.choice((0, 1, 31, 32, 33, 700)), [*words, "other", "more"]) for _ in range(40)] + [text_of(rng, 9000, words), None]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    known = np.unique(decontam.Words(decontam.Texts(column_of([" ".join(words)])), decontam.ALNUM).hash)
+    v = decontam.Vocabulary(known)
+    v.weight = np.linspace(1.0, 3.0, v.size)  # some of the benchmark's words do not project
+    rows = []
+    for t in texts:
+        cols = v.columns(decontam.Words(decontam.Texts(column_of([t])), decontam.ALNUM).hash)
+        for a in range(0, len(cols), decontam.PASSAGE):
+            part, row = cols[a:a + decontam.PASSAGE], np.zeros(len(known))
+            own = part[part < len(known)]
+            np.add.at(row, own, v.weight[own] * v.rare()[own])
+            rows.append(row / np.sqrt((v.weight[part] ** 2).sum()))
+    want = np.array(rows)
+    assert len(want) > 8 * len([t for t in texts if t])  # more than the eight of a document once taken
+    got, n = decontam._product(docs, v, np.eye(len(known)))
+    assert n == len(want)
+    assert np.allclose(got, want.T @ want, rtol=1e-4, atol=1e-5)
+
+
+def column_of(texts):
+    import pyarrow as pa
+
+    return pa.array(texts, pa.string())
+
+
+def test_word_hashes_beyond_a_table_of_powers():
+    """A word's hash does not depend on its place, nor on a border between two tables."""
+    from lakezones.llm import words as w
+
+    filler = "ab " * (w._RUN // 3)
+    texts = [filler + "Needle " + "x" * (2 * w._RUN), "needle", "", None, "x" * (2 * w._RUN)]
+    got = w.Words(w.Texts(column_of(texts)), w.ALNUM)
+    first = got.text == 0
+    assert got.hash[first][-2] == got.hash[got.text == 1][0] and got.hash[first][-1] == got.hash[got.text == 4][0]
+    assert len(set(got.hash.tolist())) == 3 and got.counts(w.Texts(column_of(texts))).tolist() == [len(filler) // 3 + 2, 1, 0, 0, 1]
