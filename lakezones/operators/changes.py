@@ -60,6 +60,7 @@ def align_by_name(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 _KEY = "__row_key"
+_DIGEST = "__row_digest"
 
 
 def _key_field(df: DataFrame, c: str) -> Column:
@@ -77,6 +78,16 @@ def row_key(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.struct(*[_key_field(df, c) for c in columns])
 
 
+def join_rows(left: DataFrame, key: Column, right: DataFrame, right_key: str, how: str) -> DataFrame:
+    """Join ``left`` with ``right`` on equal rows: ``key`` and the column ``right_key``, see ``row_key``.
+
+    Rows are shuffled and sorted by a 64-bit digest of the key, a number, which is far cheaper than by the whole row;
+    those of one digest are then compared in full.
+    """
+    digests = right.select(*right.columns, F.xxhash64(right_key).alias(_DIGEST))
+    return left.join(digests, (F.xxhash64(key) == digests[_DIGEST]) & (key == digests[right_key]), how)
+
+
 def snapshot_diff(new: DataFrame, old: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct rows of ``new`` with no equal row in ``old`` (NULL = NULL),
     i.e. ``EXCEPT DISTINCT`` with columns matched by name."""
@@ -114,11 +125,10 @@ def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str]
     # Copies in the base collapse map-side first.  AQE splits a hot group of
     # ``new`` (a third of the rows being copies of one row) only when both
     # join inputs are plain shuffles, and the de-duplicating aggregate in
-    # between would block that.  Wrapping the key once more gives the distinct
+    # between would block that.  Joining by a digest gives the distinct
     # keys an exchange of their own (one shuffle of distinct keys), so the
     # skew split applies.
-    right = right.dropDuplicates().select(F.struct(F.col(_KEY).alias("r")).alias(_KEY))
-    return new.join(right, F.struct(row_key(new, columns).alias("r")) == right[_KEY], "left_anti")
+    return join_rows(new, row_key(new, columns), right.dropDuplicates(), _KEY, "left_anti")
 
 
 _BASE_ROW = "__base_row"

@@ -57,7 +57,7 @@ from pyspark.sql.types import StructType
 from ..functions import (CORRUPT, EXTRACT_ACTION, RAW_ZONE, REJECTED_ZONE, SKIPPED_STATUS, SUCCESS_STATUS,
                          as_date)
 from ..operators.changes import (ROW_NUMBER, TECHNICAL_COLUMNS, add_audit_columns, changed_rows,
-                                 current_state, row_key)
+                                 current_state, join_rows, row_key)
 from ..operators.contracts import REASONS, ROW, BrokenRowsError, contract_profile, split_broken, typed
 from ..operators.keyed_state import (BucketedState, bucket_digests, bucket_of, can_digest, changed_by_state, moved_buckets,
                                      signature)
@@ -240,7 +240,7 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
                 log.info("extract found no changes: %s.%s", db_name, spec.name)
                 return Outcome(spec.name, NO_CHANGES, last_row_number=c)
             numbered = numbered_whole()
-            to_write = numbered.join(changed, row_key(numbered, business) == F.col("__changed"), "left_semi")
+            to_write = join_rows(numbered, row_key(numbered, business), changed, "__changed", "left_semi")
         else:
             # With a unique key the unnumbered rows are compared, then the key
             # alone is numbered and joined back: full rows move once, by key.

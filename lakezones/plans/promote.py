@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import COMPACT_ACTION, EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date
-from ..operators.changes import business_columns, changed_rows, current_state, row_key
+from ..operators.changes import business_columns, changed_rows, current_state, join_rows, row_key
 from ..operators.ledger import Ledger, TableRuns, new_run_id, utcnow
 from ..operators.rownum import key_profile
 from ..operators.schemas import conform, merge_schemas, schema_record
@@ -151,14 +151,13 @@ def _first_by_key(versions: DataFrame, state: DataFrame | None, compare: list[st
 def _first_by_row(versions: DataFrame, staged: DataFrame | None, compare: list[str]) -> DataFrame:
     """Rows of the first version that has a row with the same values, all copies of it.
 
-    The versions of a value combine before they are shuffled.  Rows meet them in a plain shuffle join (the value is wrapped once more, as in
-    ``changed_rows``), so a hot value is split.
+    The versions of a value combine before they are shuffled.  Rows meet them in a plain shuffle join by digest, as in
+    ``changed_rows``, so a hot value is split.
     """
     seen = versions if staged is None else versions.unionByName(staged, allowMissingColumns=True)
     first = seen.select(row_key(seen, compare).alias("__row"), "__v").groupBy("__row").agg(F.min("__v").alias("__first"))
-    first = first.select(F.struct(F.col("__row").alias("r")).alias("__row"), "__first")
-    met = versions.join(first, F.struct(row_key(versions, compare).alias("r")) == first["__row"], "left")
-    return met.withColumn("__new", F.col("__first") == F.col("__v")).drop("__row", "__first")
+    met = join_rows(versions, row_key(versions, compare), first, "__row", "left")
+    return met.select(*versions.columns, (F.col("__first") == F.col("__v")).alias("__new"))
 
 
 def _promote_together(target: LakeTable, staged_runs: TableRuns, pending: list[tuple[str, int]], batches: list[DataFrame],
