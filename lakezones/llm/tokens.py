@@ -18,7 +18,7 @@ from itertools import chain
 
 from .common import kept_by_worker
 
-CACHE_PARTS = 400_000  # about 90 MB a worker; then the cache starts anew
+CACHE_PARTS = 400_000  # about 90 MB a worker; half of them are those met last, the others go when a new half begins
 
 _ODD = ("\n\n", " \n", "\n ", "  ", "\t", "\r", "\v", "\f", "\0")
 _CUT = "\0"  # begins a part that has no space before it
@@ -57,6 +57,7 @@ class Encoder:
         self.keeps_space = keeps_space
         self.cache_parts = cache_parts
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # met before ``parts`` began; those met again move there
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -91,8 +92,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.parts) > self.cache_parts:
-            self.parts = {}
+        if len(self.parts) > self.cache_parts // 2:
+            self.parts, self.older = {}, self.parts
         split, whole = [], []
         for i, t in enumerate(texts):
             plain = t.isascii() and not any(map(t.__contains__, _ODD))  # white space is single spaces and line ends
@@ -109,6 +110,10 @@ class Encoder:
                 cut = cut.replace("\n", " \0\n \0")
             split.append(cut.split(" "))
         new = set(chain.from_iterable(split)).difference(self.parts)
+        if new and self.older:
+            again = new.intersection(self.older)
+            self.parts.update(zip(again, map(self.older.pop, again)))
+            new -= again
         if new:
             self._learn(new)
         get = self.parts.__getitem__

@@ -217,3 +217,19 @@ def test_winnow_odd_rows(spark):
     assert edit_fingerprints(odd.where("false")).collect() == []
     one = edit_fingerprints(odd.where("doc_id = 2")).collect()
     check_edits(one, [(2, ODD_ROWS[2][1])])
+
+
+def test_a_full_cache_keeps_the_parts_met_last(monkeypatch):
+    """A full cache once started anew: the most frequent words were encoded again and again."""
+    from lakezones.llm.queries import tokenizer_path
+    from lakezones.llm.tokens import Encoder
+
+    for name, keeps_space in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        enc, plain, learned = Encoder(tokenizer_path(name), keeps_space, 60), Encoder(tokenizer_path(name), keeps_space), []
+        real = enc._learn
+        monkeypatch.setattr(enc, "_learn", lambda new: (learned.extend(new), real(new)))
+        for i in range(30):
+            text = " ".join(["the and of", *(f"w{chr(97 + i % 26)}{chr(97 + j)}{'x' * (i // 26)}" for j in range(20))])
+            assert enc.encode([text]) == plain.encode([text])
+            assert len(enc.parts) + len(enc.older) <= 60 + 2 * 25  # and what one call adds
+        assert [learned.count(w) for w in ("and", "of")] == [1, 1]
