@@ -176,16 +176,14 @@ def read_documents(store: DataFrame, keep_ids: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                dac, a, out = Dac(batch["payload"][row].as_py()), 0, {name: [] for name, _ in fields}
-                base = batch["base"][row].as_py()
-                for doc, b in zip(batch["doc_ids"][row].as_py(), batch["doc_ends"][row].as_py()):
-                    ids = dac.slice(a, b).astype("<u4").tobytes()
-                    for name, v in (("doc_id", doc), ("start", base + a), ("n_tokens", b - a),
-                                    ("ids_crc32", zlib.crc32(ids)), ("ids", ids)):
-                        if name in out:
-                            out[name].append(v)
-                    a = b
-                yield pa.RecordBatch.from_pydict(out, schema=schema)
+                dac, base = Dac(batch["payload"][row].as_py()), batch["base"][row].as_py()
+                ends = np.array(batch["doc_ends"][row].as_py(), np.int64)
+                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+                shard = memoryview(dac.slice(0, len(dac)).astype("<u4", copy=False).tobytes())  # documents lie in it without gaps
+                ids = [shard[4 * a:4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
+                columns = [batch["doc_ids"][row].values, base + starts, ends - starts, [zlib.crc32(x) for x in ids]]
+                columns += [[bytes(x) for x in ids]] if keep_ids else []
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], schema=schema)
 
     return store.select("base", "doc_ids", "doc_ends", "payload").mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids binary" if keep_ids else ""))

@@ -1,6 +1,6 @@
 """Token ids of whole texts by the ``tokenizers`` library, with a bounded cache of words.
 
-A text is cut before single spaces, between a word and the marks that close it, and around single
+A text is cut before single spaces, between a word and the ASCII marks that close it, and around single
 line ends.  Every distinct part is encoded once per worker.  Pre-tokenisation ends a token at each of
 these cuts and never looks back, so the ids are those of the whole text.  Marks are cut off only after an ASCII or Latin
 letter or digit that stays one when it is normalised (not after a dotted capital I, whose small form ends in a combining dot).  Texts with a
@@ -14,7 +14,7 @@ import os
 import re
 import unicodedata
 from array import array
-from itertools import chain
+from collections.abc import Callable, Iterable
 
 from .common import kept_by_worker
 
@@ -22,11 +22,12 @@ CACHE_PARTS = 400_000  # about 90 MB a worker; half of them are those met last,
 
 _ODD = ("\n\n", " \n", "\n ", "  ", "\t", "\r", "\v", "\f", "\0")
 _CUT = "\0"  # begins a part that has no space before it
-_UNSAFE = re.compile(r"\s (?:\s|\Z)|\0")  # a space with white space on both sides
+_UNSAFE = re.compile(r" (?<=\s )(?:\s|\Z)")  # a space with white space on both sides
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"  # letters in every version of Unicode, and small in one letter
 _WORD = re.compile(f"[{_LATIN}]+")
-_MARKS = re.compile(rf"([.,;:!?](?<=[0-9{_LATIN}].)[.,;:!?]*)(?=[ \n])")  # marks that close a word
-_LINE = re.compile(r"(?<=\S)\n(?=\S)")
+_MARK = r"[!-/:-@\[-`{-~]"  # ASCII punctuation and symbols
+_MARKS = re.compile(rf"({_MARK}(?<=[0-9{_LATIN}].){_MARK}*)(?![^ \n])")  # marks that close a word
+_LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
 _ENCODERS: dict[tuple[str, bool, bool], "Encoder"] = kept_by_worker("tokens")
 
 
@@ -40,6 +41,17 @@ def _byte_letters() -> dict[int, str]:
 _LETTERS = _byte_letters()
 
 
+class _Parts(dict):
+    """Ids by part; a part that is not there is met."""
+
+    def __init__(self, meet: Callable[[str], bytes]):
+        super().__init__()
+        self.meet = meet
+
+    def __missing__(self, part: str) -> bytes:
+        return self.meet(part)
+
+
 class Encoder:
     def __init__(self, path: str, keeps_space: bool, cache_parts: int = CACHE_PARTS, special_as_text: bool = False):
         """``special_as_text``: strings of special tokens in a text are ordinary text; by default, as in the library, they
@@ -56,7 +68,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.keeps_space = keeps_space
         self.cache_parts = cache_parts
-        self.parts: dict[str, bytes] = {}
+        self.parts = _Parts(self._meet)
         self.older: dict[str, bytes] = {}  # met before ``parts`` began; those met again move there
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -74,32 +86,40 @@ class Encoder:
             word = " " + word
         return word.encode().decode("latin-1").translate(_LETTERS)
 
-    def _learn(self, new: set[str]) -> None:
-        slow, tokenize = [], self.model.tokenize
-        plain = [p for p in new if p.isascii() and p.isalpha()]  # most of them
-        forms = ["\u0120" + p for p in plain] if self.keeps_space else [p.lower() for p in plain]
-        self.parts.update(zip(plain, [array("I", [t.id for t in tokenize(f)]).tobytes() for f in forms]))
-        for p in new.difference(plain):
-            spaced, word = p[:1] != _CUT, p.removeprefix(_CUT)
+    def _meet(self, part: str) -> bytes:
+        """Ids of a part that ``parts`` lacks: an older one moves there, another is learnt."""
+        ids = self.older.pop(part, None)
+        if ids is None:
+            self._learn((part,))
+        else:
+            self.parts[part] = ids
+        return self.parts[part]
+
+    def _learn(self, new: Iterable[str]) -> None:
+        parts, tokenize = self.parts, self.model.tokenize
+        for part in new:
+            if part.isascii() and part.isalpha():  # most of them
+                form = "\u0120" + part if self.keeps_space else part.lower()
+                parts[part] = array("I", [t.id for t in tokenize(form)]).tobytes()
+                continue
+            spaced, word = part[:1] != _CUT, part.removeprefix(_CUT)
             form = self._pre_token(word, spaced) if _WORD.fullmatch(word) else None
             if form is None:
-                slow.append((p, " " + word if spaced and self.keeps_space else word))
+                (parts[part],) = self._ids([" " + word if spaced and self.keeps_space else word])
             else:
-                self.parts[p] = array("I", [t.id for t in tokenize(form)]).tobytes()
-        for i in range(0, len(slow), 20_000):
-            some = slow[i:i + 20_000]
-            self.parts.update(zip([p for p, _ in some], self._ids([text for _, text in some])))
+                parts[part] = array("I", [t.id for t in tokenize(form)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.parts) > self.cache_parts // 2:
-            self.parts, self.older = {}, self.parts
-        split, whole = [], []
+            self.parts, self.older = _Parts(self._meet), self.parts
+        get = self.parts.__getitem__
+        out, whole = [], []
         for i, t in enumerate(texts):
             plain = t.isascii() and not any(map(t.__contains__, _ODD))  # white space is single spaces and line ends
-            if (not plain and _UNSAFE.search(t)) or (self.added and self.added_prefix in t and self.added.search(t)):
+            if (not plain and ("\0" in t or _UNSAFE.search(t))) or (self.added and self.added_prefix in t and self.added.search(t)):
                 whole.append(i)
-                split.append([])
+                out.append(b"")
                 continue
             if plain and not self.keeps_space:
                 t = t.lower()  # as the tokenizer does; fewer distinct parts
@@ -108,16 +128,7 @@ class Encoder:
                 cut = _LINE.sub(" \0\n \0", cut)
             else:
                 cut = cut.replace("\n", " \0\n \0")
-            split.append(cut.split(" "))
-        new = set(chain.from_iterable(split)).difference(self.parts)
-        if new and self.older:
-            again = new.intersection(self.older)
-            self.parts.update(zip(again, map(self.older.pop, again)))
-            new -= again
-        if new:
-            self._learn(new)
-        get = self.parts.__getitem__
-        out = [b"".join(map(get, parts)) for parts in split]
+            out.append(b"".join(map(get, cut.split(" "))))  # text by text, while its parts are near
         for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
             out[i] = ids
         return out

@@ -233,3 +233,34 @@ def test_a_full_cache_keeps_the_parts_met_last(monkeypatch):
             assert enc.encode([text]) == plain.encode([text])
             assert len(enc.parts) + len(enc.older) <= 60 + 2 * 25  # and what one call adds
         assert [learned.count(w) for w in ("and", "of")] == [1, 1]
+
+
+@pytest.mark.parametrize("name,space", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_word_is_learnt_once_whatever_closes_it(name, space):
+    """Marks other than . , ; : ! ? once stayed with their word, and each such pair was a part of its own."""
+    enc, library = Encoder(q.tokenizer_path(name), space), plain(name)
+    marks = ["###", "$$$", ",&&&", ".***", ")", "%", "'", "\"'", "_", ".", "", "'\n", ")\n\n"]
+    texts = [f"{mark}x {word}{mark} y {word}{mark}" for mark in marks for word in ("carpet", "écran", "x7", "it's", "İ", "a-b")]
+    assert enc.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert not [p for p in enc.parts if p.startswith("carpet") and p not in ("carpet", "carpet)\n\n")]
+
+
+def test_a_shard_is_decoded_once(spark, monkeypatch):
+    """Each document's ids once went through all levels of their own."""
+    texts, seen = ["a b c", "", None, "é" * 300, "d"], []
+    path = scratch_dir(spark, "store-shards")
+    write_store(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, q.tokenizer_path("word_bpe_49k.json"), shard_tokens=1000)
+    store = open_store(spark, path)
+    run = []
+    monkeypatch.setattr(type(store), "mapInArrow", lambda df, f, schema: run.append(f) or df)
+    frame = read_documents(store)
+    monkeypatch.undo()
+    real = Dac.slice
+    monkeypatch.setattr(Dac, "slice", lambda dac, a, b: seen.append((a, b)) or real(dac, a, b))
+    shards = frame.toArrow()
+    rows = [r for b in shards.to_batches() for out in run[0](iter([b])) for r in out.to_pylist()]
+    assert len(seen) == shards.num_rows
+    ids = [np.array(plain("word_bpe_49k.json").encode(t or "", add_special_tokens=False).ids + [2], "<u4") for t in texts]
+    rows.sort(key=lambda r: r["start"])
+    assert [(r["doc_id"], r["n_tokens"], r["ids"]) for r in rows] == [(i, len(x), x.tobytes()) for i, x in enumerate(ids)]
+    assert [r["start"] for r in rows] == [sum(map(len, ids[:i])) for i in range(len(ids))]
