@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import frugal, give_back, scratch_path, shuffles_removed, stored
+from .common import frugal, give_back, scratch_path, shuffles_removed, small_batches, stored
 from .words import Texts
 
 BLOCK_BYTES = 4 << 20  # of text in a block; a longer text is a block of its own
@@ -124,7 +124,7 @@ class BlockTable:
         self.spark, self.label = spark, label
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"lakezones_{label}_{uuid.uuid4().hex[:12]}".replace("-", "_")
-        with shuffles_removed(spark):
+        with shuffles_removed(spark), small_batches(spark):
             (rows.mapInArrow(frugal(run), "block long, n_bytes long, payload binary").write.option("compression", "none")
              .option("path", scratch_path(spark, label)).bucketBy(buckets, "block").saveAsTable(self.name))
         self.rows = spark.table(self.name)
@@ -158,13 +158,15 @@ class BlockTable:
             ids = group["block"].to_numpy()
             parts = [delta_decoded(x.as_py()) for x in group["blob"]]
             sizes = np.array([len(p) for p in parts])
-            place = np.searchsorted(np.sort(ids), ids)
+            place = np.searchsorted(np.sort(ids), ids).astype(np.int32)
             unpack = zstandard.ZstdDecompressor()
             extra = [np.frombuffer(unpack.decompress(x.as_py()), np.uint8) for x in group["extra"] if x.is_valid]
-            said = answer(kind, np.concatenate(parts), np.repeat(place, sizes), np.concatenate(extra) if extra else None).astype(np.uint8)
+            names = np.concatenate(parts)
+            del parts
+            said = answer(kind, names, np.repeat(place, sizes), np.concatenate(extra) if extra else None).astype(np.uint8)
             pack = zstandard.ZstdCompressor(level=1)
             blobs = [pack.compress(s.tobytes()) for s in np.split(said, np.cumsum(sizes)[:-1])]
-            del parts, extra, said
+            del names, extra, said
             give_back()
             return pa.table({"kind": [kind] * len(ids), "range": [r] * len(ids), "block": ids, "blob": blobs}, schema=_BACK)
 

@@ -56,6 +56,10 @@ def _power(base: int, n: int) -> np.ndarray:
     return np.cumprod(full, dtype=np.uint64, out=full)
 
 
+_RUN = 1 << 16  # bytes in work at a time; they share the tables of powers
+_POWERS, _INVERSES = _power(_R, _RUN), _power(_R_INVERSE, _RUN)
+
+
 class Positions:
     """What one block's texts give: names of sampled tuples, chunks and strings."""
 
@@ -63,14 +67,16 @@ class Positions:
         self.block, self.length = block, length
         n = len(block.buf)
         self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(_TABLE[block.buf] * _power(_R, n), dtype=np.uint64, out=self.prefix[1:])
-        self.inverse = _power(_R_INVERSE, n + 1)
+        self.back = np.array([pow(_R_INVERSE, a, 1 << 64) for a in range(0, n + 1, _RUN)], np.uint64)
+        for a in range(0, n, _RUN):
+            part = self.prefix[a + 1:a + 1 + _RUN]
+            np.multiply(_TABLE[block.buf[a:a + _RUN]], _POWERS[:len(part)], out=part)
+            part *= np.uint64(pow(_R, a, 1 << 64))
+        np.cumsum(self.prefix, out=self.prefix)
         lengths = block.ends - block.starts
         long = lengths >= length
         self.starts, self.ends = block.starts[long], block.ends[long]
         sizes = self.ends - self.starts
-        begin = np.cumsum(sizes) - sizes
-        where = np.arange(int(sizes.sum())) + np.repeat(self.starts - begin, sizes)
         tuple_size = length - PERIOD + 1
         most = int(sizes.max()) if len(sizes) else 0
         cover = np.flatnonzero(_IN_COVER[np.arange(most) % PERIOD])
@@ -79,13 +85,13 @@ class Positions:
         self.anchor_at = cover[np.arange(int(per_text.sum())) - np.repeat(skip, per_text)] + np.repeat(self.starts, per_text)
         names = mix(self.range_hash(self.anchor_at, self.anchor_at + tuple_size))
         self.anchor = names >> np.uint64(64 - anchor_bits) << np.uint64(64 - anchor_bits)
-        begins = np.ones(len(where), bool)  # a string begins here
-        begins[(np.repeat(begin + sizes, length - 1) - np.tile(np.arange(1, length), len(sizes)))] = False
-        where = where[begins]
-        gram = (self.prefix[CUT_GRAM:] - self.prefix[:-CUT_GRAM]) * self.inverse[:-CUT_GRAM]
-        cut = (gram * np.uint64(_R) >> np.uint64(64 - CUT_BITS) == 0)[where]
-        cut[begin - np.arange(len(begin)) * (length - 1)] = True
-        self.chunk_from = where[cut]
+        cut = covering(self.starts, self.ends - length + 1, n)  # strings begin here
+        for run, a in enumerate(range(0, n, _RUN)):
+            at = self.prefix[a:min(a + _RUN, n + 1 - CUT_GRAM)]
+            gram = (self.prefix[a + CUT_GRAM:a + CUT_GRAM + _RUN] - at) * _INVERSES[:len(at)] * self.back[run]
+            cut[a:a + len(at)] &= gram * np.uint64(_R) >> np.uint64(64 - CUT_BITS) == 0
+        cut[self.starts] = True
+        self.chunk_from = np.flatnonzero(cut)
         owner = np.searchsorted(self.ends, self.chunk_from, side="right")
         after = np.append(self.chunk_from[1:], np.iinfo(np.int64).max)
         self.chunk_to = np.minimum(after, self.ends[owner] - length + 1) if len(owner) else after[:0]
@@ -93,7 +99,7 @@ class Positions:
                          + (self.chunk_to - self.chunk_from).astype(np.uint64))
 
     def range_hash(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (self.prefix[b] - self.prefix[a]) * self.inverse[a]
+        return (self.prefix[b] - self.prefix[a]) * _INVERSES[a % _RUN] * self.back[a // _RUN]
 
     def doc_of(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.block.ends, places, side="right")
@@ -113,9 +119,23 @@ class Positions:
 
 
 def covering(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Places below ``n`` in any of the ranges [a, b)."""
-    change = np.bincount(a, minlength=n + 1) - np.bincount(b, minlength=n + 1)
-    return np.cumsum(change[:n]) > 0
+    """Places below ``n`` in any of the ranges [a, b), none of them empty; ``a`` ascends."""
+    change = np.zeros(n + 1, np.int8)
+    if len(a):
+        reach = np.maximum.accumulate(b)
+        new = np.append(True, a[1:] > reach[:-1])
+        change[a[new]] = 1
+        change[reach[np.append(new[1:], True)]] = -1
+    return np.cumsum(change[:n], dtype=np.int8).view(bool)
+
+
+def reached(starts: np.ndarray, length: int) -> np.ndarray:
+    """Places that are less than ``length`` behind a marked one, or marked."""
+    sums = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(starts, dtype=np.int32, out=sums[1:])
+    out = sums[1:] > 0
+    out[length - 1:] = sums[length:] > sums[:max(len(sums) - length, 0)]
+    return out
 
 
 def grouped(names: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -172,8 +192,7 @@ class Marks:
         covered, at, (names, which, first, _) = self.strings(answers)
         found = _said(answers, STRINGS, len(names))[which] | (self.p.doc_of(at) > first[which])
         covered[at[found]] = True
-        starts = np.flatnonzero(covered)
-        return covering(starts, starts + self.p.length, len(covered))
+        return reached(covered, self.p.length)
 
 
 def _said(answers: dict[int, np.ndarray], kind: int, n: int) -> np.ndarray:
@@ -193,12 +212,12 @@ def removal(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     schema = pa.schema(list(zip(names, [pa.int64()] * 4 + [pa.string()])))
 
     def result(block: Block, gone: np.ndarray) -> pa.RecordBatch:
-        total, rows = np.concatenate([[0], np.cumsum(gone)]), []
+        rows = []
         for doc, a, b in zip(block.doc_ids, block.starts.tolist(), block.ends.tolist()):
             part = gone[a:b]
             spans = int((part[1:] & ~part[:-1]).sum() + part[0]) if b > a else 0
             kept = block.buf[a:b][~part].tobytes()
-            rows.append((doc, b - a, int(total[b] - total[a]), spans, hashlib.sha256(kept).hexdigest()))
+            rows.append((doc, b - a, int(part.sum()), spans, hashlib.sha256(kept).hexdigest()))
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), schema.types)], schema=schema)
 
     with scratch_tables(docs.sparkSession):

@@ -64,3 +64,56 @@ def test_odd_rows(spark):
     n = len(long)
     assert len(got) == 6 and (None, 0) in by and (4, n) in by and (7, n) in by and (2, 0) in by and (1, 0) in by
     assert removal(docs.where("false")).collect() == []
+
+
+def test_work_arrays_of_a_block_stay_small():
+    """Positions, powers and sums of all bytes once took 47 bytes for each byte of text, twice the block's share of a worker."""
+    import tracemalloc
+
+    from lakezones.llm.blocks import Block
+    from lakezones.llm.suffix_dedup import Marks
+
+    rng = random.Random(6)
+    texts = [bytes(rng.choices(b"abcdefgh ", k=2000)) for _ in range(300)]
+    block = Block(Block.pack(list(range(300)), texts, b""))
+    tracemalloc.start()
+    try:
+        assert not Marks(block, 50, 40).removed({}).any()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 36 * len(block.buf)
+
+
+def test_ranges_and_reach():
+    import numpy as np
+
+    from lakezones.llm.suffix_dedup import covering, reached
+
+    rng = np.random.default_rng(7)
+    for n in (1, 5, 60, 300):
+        for k in (0, 1, 2, 40):
+            a = np.sort(rng.integers(0, n, k))
+            b = np.minimum(a + rng.integers(1, 20, k), n)
+            got = covering(a, b, n)
+            assert got.dtype == bool and got.tolist() == [bool(((a <= i) & (i < b)).any()) for i in range(n)]
+            marked = np.isin(np.arange(n), a)
+            assert reached(marked, 7).tolist() == [bool(marked[max(i - 6, 0):i + 1].any()) for i in range(n)]
+
+
+def test_rows_go_to_python_in_batches_of_a_few_megabytes(spark):
+    """A batch of 10,000 documents once was held whole by the JVM and by the worker."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from lakezones.llm.common import BATCH_BYTES, stored
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(0, 9000, 1, 1).select("id", F.expr("repeat('x', 2000)").alias("text"))
+    found = [r.n for r in stored(docs.mapInArrow(sizes, "n long"), "batch-sizes").collect()]
+    assert len(found) > 2 and max(found) < 1.1 * BATCH_BYTES and spark.conf.get(name) == before
