@@ -23,6 +23,10 @@ keys more; checked in the final adaptive plan on stored tables).  Only when
 the new side's key is unique and non-null is the current state joined on the
 key, reusing the state's partitioning.
 
+``new_values`` finds which values are new without the rows that hold them, with
+one shuffle of either side and no join; tables whose key does not tell rows apart
+are compared by it.
+
 ``current_state`` keeps the newest version of every primary key with one
 aggregate (``max_by`` over the batch order) that has a partial, map-side
 step, so a key with many versions ships one row per partition.  Spark runs
@@ -61,6 +65,7 @@ def align_by_name(df: DataFrame, like: DataFrame) -> DataFrame:
 
 _KEY = "__row_key"
 _DIGEST = "__row_digest"
+_SIDE = "__row_side"
 
 
 def _key_field(df: DataFrame, c: str) -> Column:
@@ -131,6 +136,18 @@ def changed_rows(new: DataFrame, base: DataFrame | None, columns: Sequence[str]
     return join_rows(new, row_key(new, columns), right.dropDuplicates(), _KEY, "left_anti")
 
 
+def new_values(new: DataFrame, base: DataFrame | None, columns: Sequence[str], name: str) -> DataFrame:
+    """The different values of ``columns`` in ``new`` that no row of ``base`` has, as one column of ``row_key``s.
+
+    Both sides go through one aggregate that combines map-side: a value is shuffled once for each partition that has it,
+    and copies make no partition uneven.
+    """
+    seen = new.select(row_key(new, columns).alias(name), F.lit(1).alias(_SIDE))
+    if base is not None:
+        seen = seen.unionAll(base.select(row_key(base, columns), F.lit(0)))
+    return seen.groupBy(name).agg(F.min(_SIDE).alias(_SIDE)).where(F.col(_SIDE) == 1).select(name)
+
+
 _BASE_ROW = "__base_row"
 
 

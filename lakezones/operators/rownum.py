@@ -16,18 +16,23 @@ When the order columns are a unique, non-null key (``key_profile`` tells, with
 one aggregate), only the key is shuffled, checkpointed and numbered, and the
 numbers are joined back on it.  Otherwise the rows are carried whole.
 
+``numbered_in_slices`` does the same a range of order values at a time: each
+slice is fixed in a scratch table that is deleted once its rows are written, and
+the next goes on with its numbers.  Columns that are not written need not be carried.
+
 Equal order values (only possible without a unique key) are numbered in scan
 order.  ``row_hash`` is a good leading column for tables without a key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_table, shuffles_removed
+from .slices import range_slices
 
 _TIE = "__rn_tie"
 _PART = "__rn_part"
@@ -54,20 +59,49 @@ def _numbered(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    fixed = _placed(df.withColumn(_TIE, F.monotonically_increasing_id()), order_by, width).checkpoint(eager=True)
+    return _with_offsets(fixed, df.columns, name)[0]
+
+
+def _placed(tied: DataFrame, order_by: Sequence[str], width: int) -> DataFrame:
+    """Rows in order, with their partition and their place in it."""
     order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col(_TIE).asc()]
-    fixed = (df.withColumn(_TIE, F.monotonically_increasing_id())
-             .repartitionByRange(width, *order)
-             .sortWithinPartitions(*order)
-             .withColumn(_PART, F.spark_partition_id())
-             .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)))
-             .checkpoint(eager=True))
-    offsets, running = [], 0
+    return (tied.repartitionByRange(width, *order)
+            .sortWithinPartitions(*order)
+            .withColumn(_PART, F.spark_partition_id())
+            .withColumn(_POS, F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION))))
+
+
+def _with_offsets(fixed: DataFrame, columns: Sequence[str], name: str, before: int = 0) -> tuple[DataFrame, int]:
+    """The numbers of fixed rows, which follow ``before``, and the last of them."""
+    offsets, running = [], before
     for row in sorted(fixed.groupBy(_PART).count().collect(), key=lambda r: r[_PART]):  # one row a partition
         offsets.append((row[_PART], running))
         running += row["count"]
-    offset_rows = spark.createDataFrame(offsets, f"{_PART} int, {_OFFSET} long")
+    offset_rows = fixed.sparkSession.createDataFrame(offsets, f"{_PART} int, {_OFFSET} long")
     out = fixed.join(F.broadcast(offset_rows), _PART)  # as many rows as shuffle partitions
-    return out.withColumn(name, F.col(_OFFSET) + F.col(_POS) + F.lit(1).cast("long")).select(*df.columns, name)
+    return out.withColumn(name, F.col(_OFFSET) + F.col(_POS) + F.lit(1).cast("long")).select(*columns, name), running
+
+
+def numbered_in_slices(df: DataFrame, order_by: Sequence[str], columns: Sequence[str], slices: int, rows: int, name: str = "ROW_NUMBER",
+                       carry: Callable[[DataFrame], DataFrame] | None = None) -> Iterator[DataFrame]:
+    """``columns`` of ``dense_row_number(df, order_by)``, a frame for each of so many ranges of the order.
+
+    A frame must be written before the next is asked for.  ``carry`` may change the ``columns`` of a slice, but neither its rows nor
+    its other columns.
+    """
+    spark, before = df.sparkSession, 0
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    width = max(-(-width // slices), min(width, spark.sparkContext.defaultParallelism))
+    for part in range_slices(df.withColumn(_TIE, F.monotonically_increasing_id()), order_by, slices, rows):
+        with scratch_table(spark, "numbering") as path:
+            placed = _placed(carry(part) if carry else part, order_by, width).select(*columns, _PART, _POS)
+            with shuffles_removed(spark):
+                placed.write.parquet(path)
+            out, last = _with_offsets(spark.read.schema(placed.schema).parquet(path), columns, name, before)
+            if last > before:
+                yield out
+            before = last
 
 
 def key_profile(df: DataFrame, key: Sequence[str]) -> tuple[int, bool]:

@@ -27,6 +27,9 @@ Differences from the reference, each a fix of a trap it has:
   and without a key, whole rows are compared with all committed rows, so an
   unchanged snapshot never appends again.  ``base="day_path"`` keeps the
   reference's one-day base.
+* With repeated or null keys, or none, whole rows are compared and numbered a slice
+  at a time (``operators/slices.py``), and shuffle files go when their query ends: the disk
+  in use follows a slice.  Rows that did not change are numbered by their order columns alone.
 * The diff is evaluated once: it is written straight into a new batch
   directory while an ``Observation`` counts it; an empty result is never
   committed.
@@ -52,24 +55,27 @@ from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import NullType, StructType
 
 from ..functions import (CORRUPT, EXTRACT_ACTION, RAW_ZONE, REJECTED_ZONE, SKIPPED_STATUS, SUCCESS_STATUS,
                          as_date)
 from ..operators.changes import (ROW_NUMBER, TECHNICAL_COLUMNS, add_audit_columns, changed_rows,
-                                 current_state, join_rows, row_key)
+                                 current_state, join_rows, new_values, row_key)
 from ..operators.contracts import REASONS, ROW, BrokenRowsError, contract_profile, split_broken, typed
 from ..operators.keyed_state import (BucketedState, bucket_digests, bucket_of, can_digest, changed_by_state, moved_buckets,
                                      signature)
 from ..operators.ledger import Ledger, TableRuns, utcnow
-from ..operators.rownum import attach_row_numbers, dense_row_number, key_profile, row_hash
+from ..operators.rownum import attach_row_numbers, dense_row_number, key_profile, numbered_in_slices, row_hash
 from ..operators.schemas import conform, merge_schemas, schema_record
-from ..session import ensure_checkpoint_dir
+from ..operators.slices import slice_count, value_slice
+from ..session import ensure_checkpoint_dir, scratch_table, shuffles_removed
 from ..sources.files import TableSource
-from ..sources.lake import LakeTable, write_batch_observed
+from ..sources.lake import LakeTable, write_slices_observed
 from ..specs import REJECT, ContractError, TableSpec, select_table
 from .runs import NO_CHANGES, SKIPPED_EMPTY, SOURCE_SHRANK, WRITTEN, Outcome, each_table, log, record_error
 
+NUMBERED_SHARE = 0.6  # numbering moves whole rows once, a comparison the rows of two tables
+
 
 def diff_base(table: LakeTable, spec: TableSpec, schema: StructType, *, base: str, run_date, keyed: bool,
               pre_check_last_checkpoint: bool = False, runs: TableRuns | None = None) -> DataFrame | None:
@@ -127,6 +133,15 @@ def _changed_in_buckets(table: LakeTable, spec: TableSpec, df: DataFrame, busine
     return changed_rows(inside(df), base, business, base_unique=True, key=key)
 
 
+def _changed_values(df: DataFrame, base: DataFrame | None, columns: list[str], slices: int, place: str) -> DataFrame:
+    """The different values of the rows of ``df`` that are not in ``base``, stored at ``place``; compared a slice of the values at a time."""
+    for i in range(slices):
+        some, old = (x if x is None else value_slice(x, columns, slices, i) for x in (df, base))
+        changed = new_values(some, old, columns, "__changed")
+        changed.write.mode("append").parquet(place)
+    return df.sparkSession.read.schema(changed.schema).parquet(place)
+
+
 def _keep_broken(table: LakeTable, broken: DataFrame, run_date) -> int:
     """Append broken rows that the table's side table does not hold yet."""
     side = LakeTable(table.spark, table.ledger, table.root, REJECTED_ZONE, table.table, table.db_name, table.schema,
@@ -156,6 +171,7 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
     pk, c = list(spec.primary_key), 0
     stack = ExitStack()
     try:
+        stack.enter_context(shuffles_removed(spark))
         df = source.read(spark)
         if snapshot if snapshot is not None else not source.stable:
             ensure_checkpoint_dir(spark)
@@ -207,11 +223,14 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
             return add_audit_columns(numbered, run_date, created=spec.make_created_at, updated=spec.make_updated_at,
                                      legacy=legacy)
 
+        def hashed_order() -> tuple[DataFrame, list[str]]:
+            order = [*(k for k in pk if k in df.columns), "__row_hash"]  # equal rows keep their scan order
+            return df.withColumn("__row_hash", row_hash(business)), order
+
         def numbered_whole() -> DataFrame:
             if unique:
                 return stamp(dense_row_number(df, pk, unique=True))
-            order = [*(k for k in pk if k in df.columns), "__row_hash"]  # equal rows keep their scan order
-            return stamp(dense_row_number(df.withColumn("__row_hash", row_hash(business)), order).drop("__row_hash"))
+            return stamp(dense_row_number(*hashed_order()).drop("__row_hash"))
 
         keyed = unique and base == "current" and not legacy
         buckets = keyed and spec.buckets > 0 and can_digest(df.schema, business)
@@ -221,26 +240,49 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
             if w > 0 and moved == []:
                 log.info("extract found no bucket changed: %s.%s", db_name, spec.name)
                 return Outcome(spec.name, NO_CHANGES, last_row_number=c)
-        if w == 0:
-            to_write = numbered_whole()
+        if w == 0 and unique:
+            parts = [numbered_whole()]
+        elif w == 0:
+            rows_in_order, order = hashed_order()
+            slices = slice_count(df, rows=c, share=NUMBERED_SHARE)
+            parts = map(stamp, numbered_in_slices(rows_in_order, order, df.columns, slices, c, ROW_NUMBER))
         elif buckets:
             stored = table.bucketed_state(history)
             if stored is not None:
                 stack.enter_context(stored[0])
             changed = _changed_in_buckets(table, spec, df, business, history, moved, *(stored or (None, None)))
-            to_write = stamp(attach_row_numbers(changed, df, pk, name=ROW_NUMBER))
+            parts = [stamp(attach_row_numbers(changed, df, pk, name=ROW_NUMBER))]
         elif not unique and not legacy:
             # which rows changed, before any is numbered: an unchanged snapshot is not numbered at all
             base_df = diff_base(table, spec, df.select(*business).schema, base=base, run_date=run_date, keyed=False,
                                 pre_check_last_checkpoint=pre_check_last_checkpoint, runs=history)
-            changed = changed_rows(df, base_df, business)
-            ensure_checkpoint_dir(spark)
-            changed = changed.select(row_key(changed, business).alias("__changed")).dropDuplicates().checkpoint(eager=True)
-            if changed.isEmpty():
+            slices = slice_count(df, base_df, rows=c)
+            # a column of no type is null on both sides, and cannot be stored
+            compare = [x for x in business if not isinstance(df.schema[x].dataType, NullType)]
+            changed = _changed_values(df, base_df, compare, slices, stack.enter_context(scratch_table(spark, "changed")))
+            values = changed.count()
+            if values == 0:
                 log.info("extract found no changes: %s.%s", db_name, spec.name)
                 return Outcome(spec.name, NO_CHANGES, last_row_number=c)
-            numbered = numbered_whole()
-            to_write = join_rows(numbered, row_key(numbered, business), changed, "__changed", "left_semi")
+            # rows at the place of a changed value in the order keep their columns; whole rows decide once these are numbered
+            rows_in_order, order = hashed_order()
+            own = [x for x in order if x in compare or x not in business]
+            found = changed.select(*[F.col("__changed")[x].cast(df.schema[x].dataType).alias(x) for x in compare])
+            places = found.withColumn("__row_hash", row_hash(compare)).select(F.struct(*own).alias("__place")).dropDuplicates()
+
+            def place_only(part: DataFrame) -> DataFrame:  # rows at no changed place count, but carry nothing else
+                met = join_rows(part, F.struct(*own), places, "__place", "left")
+                row = F.when(F.col("__place").isNotNull(), F.struct(*[F.col(x) for x in df.columns]))
+                return met.select(*[x for x in part.columns if x not in df.columns or x in order], row.alias("__row"))
+
+            def changed_only(numbered: DataFrame) -> DataFrame:
+                rows = numbered.where(F.col("__row").isNotNull()).select("__row.*", ROW_NUMBER)
+                return stamp(join_rows(rows, row_key(rows, compare), changed, "__changed", "left_semi"))
+
+            carried = min(1.0, (len(order) + 2) / len(df.columns) + values / c)
+            slices = slice_count(df, rows=c, share=NUMBERED_SHARE * carried)
+            numbered = numbered_in_slices(rows_in_order, order, ["__row"], slices, c, ROW_NUMBER, place_only)
+            parts = map(changed_only, numbered)
         else:
             # With a unique key the unnumbered rows are compared, then the key
             # alone is numbered and joined back: full rows move once, by key.
@@ -251,8 +293,9 @@ def extract_table(spark: SparkSession, lake_root: str, ledger: Ledger, source: T
             to_write = changed_rows(fresh, base_df, compare, base_unique=keyed, key=pk if keyed else ())
             if fresh is df:
                 to_write = stamp(attach_row_numbers(to_write, df, pk, name=ROW_NUMBER))
-        rows, top = write_batch_observed(to_write, path, table.fmt, max_of=ROW_NUMBER)
-        details["schema"] = schema_record(to_write.schema)
+            parts = [to_write]
+        rows, top, written = write_slices_observed(parts, path, table.fmt, max_of=ROW_NUMBER)
+        details["schema"] = schema_record(written)
         details["max_row_number"] = top  # A2 for the promotion, observed during the write
         if rows == 0:
             log.info("extract found no changes: %s.%s", db_name, spec.name)

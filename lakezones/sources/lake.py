@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -63,13 +63,23 @@ def write_batch_observed(df: DataFrame, path: str, fmt: str = "parquet",
     Both are taken by an ``Observation`` during the write itself (A2, A3), so
     the plan runs once and the batch is never scanned again for them.
     """
-    obs = Observation("batch")
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if max_of and max_of in df.columns:
-        metrics.append(F.max(max_of).cast("long").alias("max"))
-    df.observe(obs, *metrics).write.format(fmt).mode("errorifexists").save(path)
-    top = obs.get.get("max")
-    return int(obs.get["rows"]), None if top is None else int(top)
+    return write_slices_observed([df], path, fmt, max_of)[:2]
+
+
+def write_slices_observed(parts: Iterable[DataFrame], path: str, fmt: str = "parquet",
+                          max_of: str | None = None) -> tuple[int, int | None, StructType]:
+    """``write_batch_observed`` of a batch that comes in slices, one job each; also returns their schema."""
+    rows, tops, schema = 0, [], StructType()
+    for i, df in enumerate(parts):
+        schema, obs = df.schema, Observation("batch")
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if max_of and max_of in df.columns:
+            metrics.append(F.max(max_of).cast("long").alias("max"))
+        # nobody reads the batch before its ledger row, which comes after the last slice
+        df.observe(obs, *metrics).write.format(fmt).mode("append" if i else "errorifexists").save(path)
+        rows += int(obs.get["rows"])
+        tops.append(obs.get.get("max"))
+    return rows, max((int(t) for t in tops if t is not None), default=None), schema
 
 
 def write_batch(df: DataFrame, path: str, fmt: str = "parquet") -> int:
