@@ -13,7 +13,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, StructField, StructType
 
 SLICE_BYTES = 128 << 20
 MOST_SLICES = 4
@@ -38,16 +38,19 @@ def slice_count(*frames: DataFrame | None, rows: int = 0, share: float = 1.0) ->
     return max(1, ceil(min(MOST_SLICES, size / SLICE_BYTES) * share))
 
 
-def value_slice(df: DataFrame, columns: Sequence[str], slices: int, number: int) -> DataFrame:
-    """Rows of ``df`` whose values of ``columns`` fall into slice ``number``: equal rows (null = null, -0.0 = 0.0) share one."""
+def value_slice(df: DataFrame, columns: Sequence[str], slices: int, number: int, like: DataFrame | None = None) -> DataFrame:
+    """Rows of ``df`` whose values of ``columns`` fall into slice ``number``: equal rows (null = null, -0.0 = 0.0) share one.
+
+    Frames that are to meet need equal types; ``like`` has those to compare in, where ``df`` has others.
+    """
     if slices == 1:
         return df
-    return df.where(F.pmod(F.xxhash64(*[_plain(df, c) for c in columns]), F.lit(slices)) == number)
+    types = (df if like is None else like).schema
+    return df.where(F.pmod(F.xxhash64(*[_plain(F.col(c).cast(types[c].dataType), types[c].dataType) for c in columns]), F.lit(slices)) == number)
 
 
-def _plain(df: DataFrame, c: str) -> Column:
-    kind = df.schema[c].dataType
-    return F.col(c) + F.lit(0.0).cast(kind) if isinstance(kind, (DoubleType, FloatType)) else F.col(c)
+def _plain(column: Column, kind: DataType) -> Column:
+    return column + F.lit(0.0).cast(kind) if isinstance(kind, (DoubleType, FloatType)) else column
 
 
 def range_slices(df: DataFrame, order_by: Sequence[str], slices: int, rows: int) -> Iterator[DataFrame]:

@@ -14,6 +14,8 @@ Several pending batches of a day are promoted in one pass over staging
 (``_promote_together``): against the current state where keys are unique and
 non-null in every batch, else by the first version of each whole row.
 
+Keys or whole rows are compared a slice at a time (``operators/slices.py``) and shuffle files go when their query ends.
+
 Batches and staging are compared in their merged schema (``operators/schemas.py``).
 
 Each promoted batch logs a complete success row with ``m`` and the raw
@@ -25,7 +27,7 @@ or repeated raw runs are not reprocessed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
@@ -34,11 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import COMPACT_ACTION, EXTRACT_ACTION, RAW_ZONE, STAGING_ZONE, SUCCESS_STATUS, as_date
-from ..operators.changes import business_columns, changed_rows, current_state, join_rows, row_key
+from ..operators.changes import business_columns, changed_rows, current_state, join_rows, new_values, row_key
 from ..operators.ledger import Ledger, TableRuns, new_run_id, utcnow
 from ..operators.rownum import key_profile
 from ..operators.schemas import conform, merge_schemas, schema_record
-from ..sources.lake import LakeTable, batch_path, write_batch_observed
+from ..operators.slices import slice_count, value_slice
+from ..session import shuffles_removed
+from ..sources.lake import LakeTable, batch_path, write_slices_observed
 from ..specs import TableSpec
 from .runs import NO_CHANGES, NOT_NEWER, WRITTEN, Outcome, each_table, log, record_error
 
@@ -83,7 +87,8 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
             batches = [source.read_paths([p], runs=raw_runs) for p, _ in pending]
             whole = _merged(batches, target, staged_runs)
             batches = [conform(b, whole, fill=target.fill) for b in batches]
-            unique = bool(key) and all(key_profile(b, key)[1] for b in batches)
+            with shuffles_removed(spark):
+                unique = bool(key) and all(key_profile(b, key)[1] for b in batches)
         except Exception as exc:  # noqa: BLE001 - the loop below meets it again and logs it
             log.warning("batches of %s.%s cannot be read together: %s", db_name, table_name, exc)
         else:
@@ -103,20 +108,16 @@ def promote_table(spark: SparkSession, lake_root: str, ledger: Ledger, *, db_nam
                 if m <= r:
                     outcomes.append(Outcome(table_name, NOT_NEWER, last_row_number=m))
                     continue
-                to_write = incoming
+                parts = [incoming]
             else:
                 compare = business_columns(incoming)
-                keyed = base == "current" and bool(primary_key) and key_profile(incoming, primary_key)[1]
-                if keyed:
-                    versions = target.read_state_inputs(staged_runs)
-                    staged = None if versions is None else current_state(versions, primary_key)
-                else:
-                    staged = target.read(runs=staged_runs)
-                wanted = incoming.select(*compare).schema
-                to_write = changed_rows(incoming, None if staged is None else conform(staged, wanted, fill=target.fill), compare,
-                                        base_unique=keyed, key=primary_key if keyed else ())
-            rows, written_top = write_batch_observed(to_write, path, target.fmt, max_of="ROW_NUMBER")
-            details.update(max_row_number=written_top, schema=schema_record(to_write.schema))
+                with shuffles_removed(spark):
+                    keyed = base == "current" and bool(primary_key) and key_profile(incoming, primary_key)[1]
+                staged = target.read_state_inputs(staged_runs) if keyed else target.read(runs=staged_runs)
+                parts = _new_in_slices(incoming, staged, compare, list(primary_key) if keyed else [], target.fill)
+            with shuffles_removed(spark):
+                rows, written_top, written = write_slices_observed(parts, path, target.fmt, max_of="ROW_NUMBER")
+            details.update(max_row_number=written_top, schema=schema_record(written))
             if rows == 0:
                 outcomes.append(Outcome(table_name, NO_CHANGES, last_row_number=m))
                 continue
@@ -140,6 +141,21 @@ def _merged(batches: list[DataFrame], target: LakeTable, staged_runs: TableRuns)
     return merge_schemas([*(b.schema for b in batches), *([known] if known is not None else [])], target.table)
 
 
+def _new_in_slices(incoming: DataFrame, staged: DataFrame | None, compare: list[str], key: list[str],
+                   fill: Mapping[str, Any]) -> Iterator[DataFrame]:
+    """Rows of ``incoming`` that staging does not have, all copies of them: against its current state by ``key``, else all its rows."""
+    wanted, slices = incoming.select(*compare).schema, slice_count(incoming, staged)
+    for i in range(slices if staged is not None else 0):
+        if key:
+            old = conform(current_state(value_slice(staged, key, slices, i, like=incoming), key), wanted, fill=fill)
+            yield changed_rows(value_slice(incoming, key, slices, i), old, compare, base_unique=True, key=key)
+        else:
+            some, old = (value_slice(x, compare, slices, i) for x in (incoming, conform(staged, wanted, fill=fill)))
+            yield join_rows(some, row_key(some, compare), new_values(some, old, compare, "__row"), "__row", "left_semi")
+    if staged is None:
+        yield incoming
+
+
 def _first_by_key(versions: DataFrame, state: DataFrame | None, compare: list[str], key: list[str]) -> DataFrame:
     """Rows that differ from the version of their key before them; one shuffle by key."""
     every = versions if state is None else versions.unionByName(state, allowMissingColumns=True)

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from lakezones.operators import changes, slices
 from lakezones.operators.ledger import Ledger
 from lakezones.operators.rownum import numbered_in_slices
-from lakezones.plans import runs
+from lakezones.plans import promote, runs
 from lakezones.plans.extract import extract_table
-from lakezones.plans.promote import promote_table
 from lakezones.session import CLEANUP_CONF, scratch_dir, shared_root, shuffles_removed
 from lakezones.sources.files import FrameSource
 from lakezones.sources.lake import LakeTable
@@ -122,19 +121,43 @@ def test_promote_in_slices(spark, lake, sliced, pending):
     def extract(rows):
         extract_table(spark, root, ledger, FrameSource("t", _frame(spark, rows)), SPEC, db_name="d", schema="s", run_date=DAYS[0])
 
-    def promote():
-        return promote_table(spark, root, ledger, db_name="d", schema="s", table_name="t", job_date=DAYS[0], primary_key=SPEC.primary_key)
+    def promoted():
+        return promote.promote_table(spark, root, ledger, db_name="d", schema="s", table_name="t", job_date=DAYS[0], primary_key=SPEC.primary_key)
 
     extract(snapshots[0])
-    promote()
+    promoted()
     for rows in snapshots[1:]:
         extract(rows)
-    assert [o.kind for o in promote()] == [runs.WRITTEN] * pending
+    assert [o.kind for o in promoted()] == [runs.WRITTEN] * pending
     staged = LakeTable(spark, ledger, root, "staging", "t", "d", "s").read()
     raw = LakeTable(spark, ledger, root, "raw", "t", "d", "s").read()
     assert raw.count() > len(snapshots[0]) and _texts(staged) == _texts(raw)
     assert _texts(staged, ("k", "line", "ROW_NUMBER")) == _texts(raw, ("k", "line", "ROW_NUMBER"))
-    assert promote() == []
+    assert promoted() == []
+
+
+@pytest.mark.parametrize("pending", [1, 3])
+def test_promote_unique_batches_in_slices(spark, lake, sliced, pending):
+    """Batches whose key is unique, over staging where it repeats and was narrower: the newest version of a key decides."""
+    root, ledger = lake
+    spec = TableSpec("t", required_columns=("v",), primary_key=("k",))
+    first = [(i % 60, "a", float(i), None) for i in range(90)]
+
+    def run(rows, kind):
+        frame = spark.createDataFrame(rows, SCHEMA.replace("k int", f"k {kind}"))
+        extract_table(spark, root, ledger, FrameSource("t", frame), spec, db_name="d", schema="s", run_date=DAYS[0])
+
+    def promoted():
+        return promote.promote_table(spark, root, ledger, db_name="d", schema="s", table_name="t", job_date=DAYS[0], primary_key=("k",))
+
+    run(first, "int")
+    promoted()
+    for n in range(1, pending + 1):  # more keys each day, all of them new
+        run(first + [(1000 * n + i, "new", 0.5, None) for i in range(40)] + [(i, "b", float(n), None) for i in range(0, 60, 7)], "long")
+    assert [o.kind for o in promoted()] == [runs.WRITTEN] * pending
+    staged = LakeTable(spark, ledger, root, "staging", "t", "d", "s").read()
+    raw = LakeTable(spark, ledger, root, "raw", "t", "d", "s").read()
+    assert raw.count() == 90 + pending * 49 and _texts(staged, ("k", "line", "v", "ROW_NUMBER")) == _texts(raw, ("k", "line", "v", "ROW_NUMBER"))
 
 
 def test_a_new_column_without_a_type_is_no_change(spark, lake):
@@ -193,6 +216,29 @@ def _most_kept(spark, run):
     return most[0]
 
 
+def test_disk_of_a_promotion_follows_a_slice(spark, monkeypatch):
+    """One changed row over a large staging table: its whole state was shuffled at once."""
+    monkeypatch.setattr(slices, "SLICE_BYTES", 1 << 20)
+    root = scratch_dir(spark, "promotion")
+    ledger = Ledger(spark, f"{root}/_ledger")
+    df = spark.range(0, 300_000, 1, 4).select((F.col("id") % 150_000).alias("k"), F.rand(1).alias("v"), F.rand(2).alias("w"))
+    for zone in ("raw", "staging"):
+        LakeTable(spark, ledger, root, zone, "t", "d", "s").append(df.withColumn("ROW_NUMBER", F.col("k") + 1), DAYS[0], details={"source_path": "x"})
+    raw = LakeTable(spark, ledger, root, "raw", "t", "d", "s")
+    raw.append(spark.createDataFrame([(1, 2.0, 3.0, 1)], "k long, v double, w double, ROW_NUMBER long"), DAYS[0], details={"max_row_number": 1})
+    first, newest = raw.committed_paths()
+    file = sum(os.lstat(f"{urlparse(first).path}/{x}").st_size for x in os.listdir(urlparse(first).path))
+    real = promote.pending_batches
+    monkeypatch.setattr(promote, "pending_batches", lambda *a, **k: [p for p in real(*a, **k) if p[0] == newest])
+
+    def run():
+        out = promote.promote_table(spark, root, ledger, db_name="d", schema="s", table_name="t", job_date=DAYS[0], primary_key=("k",))
+        assert [(o.kind, o.rows_written) for o in out] == [(runs.WRITTEN, 1)]
+
+    most = _most_kept(spark, run)
+    assert most < 0.8 * file, f"{most / file:.2f} x the table"
+
+
 def test_disk_follows_a_slice(spark, monkeypatch):
     """The same snapshot twice, then a changed one: 17 times the snapshot's file before, when shuffle files and checkpoints of the whole table stayed."""
     monkeypatch.setattr(slices, "SLICE_BYTES", 1 << 20)
