@@ -172,8 +172,9 @@ def _first_by_row(versions: DataFrame, staged: DataFrame | None, compare: list[s
     """
     seen = versions if staged is None else versions.unionByName(staged, allowMissingColumns=True)
     first = seen.select(row_key(seen, compare).alias("__row"), "__v").groupBy("__row").agg(F.min("__v").alias("__first"))
+    first = first.where("__first > 0")  # values of staging are not new in any version
     met = join_rows(versions, row_key(versions, compare), first, "__row", "left")
-    return met.select(*versions.columns, (F.col("__first") == F.col("__v")).alias("__new"))
+    return met.select(*versions.columns, F.coalesce(F.col("__first") == F.col("__v"), F.lit(False)).alias("__new"))
 
 
 def _promote_together(target: LakeTable, staged_runs: TableRuns, pending: list[tuple[str, int]], batches: list[DataFrame],
@@ -183,8 +184,8 @@ def _promote_together(target: LakeTable, staged_runs: TableRuns, pending: list[t
     Staging is version 0 and the batches are versions 1, 2, ...  With a
     ``key`` (unique and non-null in every batch) staging is its current state and a row is kept if it differs from the version
     before it; without one all committed rows count, and a row is kept in the first version that has its values.
-    That equals promoting one batch after the other.  All batches are written by one job, each into its own
-    folder, and each gets its own ledger row; if the ledger fails half-way, only the batches without a row count as failed.
+    That equals promoting one batch after the other.  All batches are written by one job for each slice of the keys or
+    rows, each into its own folder, and each gets its own ledger row; if the ledger fails half-way, only the batches without a row count as failed.
     Without a staging run on that day the first batch above the day's row number is kept whole, and batches before
     it are not newer.
     """
@@ -204,29 +205,32 @@ def _promote_together(target: LakeTable, staged_runs: TableRuns, pending: list[t
         compare = business_columns(batches[0])
         wanted = batches[0].select(*compare).schema
         versions = reduce(DataFrame.unionByName, [batches[i - 1].withColumn("__v", F.lit(i)) for i, *_ in todo])
-        if key:
-            state = target.read_state_inputs(staged_runs)
-            state = None if state is None else current_state(state, key)
-        else:
-            state = target.read(runs=staged_runs)
-        if state is not None:
-            state = conform(state, wanted, fill=target.fill).withColumn("__v", F.lit(0))
-        marked = _first_by_key(versions, state, compare, key) if key else _first_by_row(versions, state, compare)
-        kept = marked.where(F.col("__new") | (F.col("__v") == whole)).drop("__new")
-        obs = Observation("promotion")
+        state = target.read_state_inputs(staged_runs) if key else target.read(runs=staged_runs)
         metrics = [f(F.when(F.col("__v") == i, c)).alias(f"{what}{i}") for i, *_ in todo
                    for what, f, c in (("rows", F.count, F.lit(1)), ("top", F.max, F.col("ROW_NUMBER")))]
         ids = F.create_map(*[F.lit(x) for i, _, _, b in todo for x in (i, b)])
-        (kept.observe(obs, *metrics).withColumn("batch_id", ids[F.col("__v")]).drop("__v")
-         .write.format(target.fmt).mode("append").partitionBy("batch_id").save(folder))
-        got = obs.get
+        slices = slice_count(versions, state)
+        got: list[dict] = []
+        for n in range(slices):
+            some, old = value_slice(versions, key or compare, slices, n), state
+            if old is not None:
+                old = current_state(value_slice(old, key, slices, n, like=versions), key) if key else old
+                old = conform(old, wanted, fill=target.fill).withColumn("__v", F.lit(0))
+                old = old if key else value_slice(old, compare, slices, n)
+            marked = _first_by_key(some, old, compare, key) if key else _first_by_row(some, old, compare)
+            kept = marked.where(F.col("__new") | (F.col("__v") == whole)).drop("__new")
+            obs = Observation("promotion")
+            with shuffles_removed(target.spark):
+                (kept.observe(obs, *metrics).withColumn("batch_id", ids[F.col("__v")]).drop("__v")
+                 .write.format(target.fmt).mode("append").partitionBy("batch_id").save(folder))
+            got.append(obs.get)
         for i, raw_path, m, batch_id in todo:
-            rows, path = int(got[f"rows{i}"]), f"{folder}/batch_id={batch_id}"
+            rows, path = sum(int(g[f"rows{i}"]) for g in got), f"{folder}/batch_id={batch_id}"
             if rows == 0:
                 out.append(Outcome(name, NO_CHANGES, last_row_number=m))
                 ended.add(batch_id)
                 continue
-            details = {"sink_path": path, "source_path": raw_path, "max_row_number": int(got[f"top{i}"]),
+            details = {"sink_path": path, "source_path": raw_path, "max_row_number": max(int(t) for g in got if (t := g[f"top{i}"]) is not None),
                        "schema": schema_record(batches[0].schema)}
             staged_runs.add(target.ledger.record(db_name=db, table_name=name, action=action, zone=target.zone,
                                                  status=SUCCESS_STATUS, last_row_number=m, details=details,
