@@ -240,7 +240,7 @@ def test_disk_of_a_promotion_follows_a_slice(spark, monkeypatch):
 
 
 def test_disk_follows_a_slice(spark, monkeypatch):
-    """The same snapshot twice, then a changed one: 17 times the snapshot's file before, when shuffle files and checkpoints of the whole table stayed."""
+    """The same snapshot twice, then a changed one: shuffle files and checkpoints of the whole table stayed before."""
     monkeypatch.setattr(slices, "SLICE_BYTES", 1 << 20)
     top = scratch_dir(spark, "source")
     (spark.range(0, 400_000, 1, 4).select((F.col("id") % 150_000).alias("k"), (F.xxhash64("id") % 7).cast("string").alias("line"),
